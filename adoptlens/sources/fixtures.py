@@ -120,12 +120,56 @@ usage AS (
 )"""
 
 
-def with_fixtures(body: str, usage_needed: bool = True) -> str:
-    """Prefix an oracle statement with the roster (and usage) CTEs."""
+def with_fixtures(body: str, usage_needed: bool = True, extra: tuple[str, ...] = ()) -> str:
+    """Prefix an oracle statement with the roster (and usage, and extra) CTEs."""
     ctes = [ROSTER_SQL.strip()]
     if usage_needed:
         ctes.append(USAGE_SQL.strip())
+    ctes.extend(e.strip() for e in extra)
     body = body.strip()
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def roster_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roster file with duplicate e-mails: customers with c_custkey % 5 = 0 appear again right
+    after their first row (ordinal 2k+1), with another status, a filled practice and a blank
+    team. Columns as ``roster`` plus ``src_ord``."""
+    base = roster_source(spark, sf_dir)
+    orig = base.withColumn("src_ord", F.col("src_ord") * 2)
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    k = F.col("c_custkey")
+    shifted = (k + 3) % 8
+    copies = c.filter((k % 13 != 6) & (k % 5 == 0)).join(n, F.col("n_nationkey") == F.col("c_nationkey")).select(
+        _email(k).alias("email"),
+        F.col("c_name").alias("workforce_name"),
+        F.col("n_name").alias("location"),
+        F.col("c_mktsegment").alias("practice"),
+        F.lit("").alias("team"),
+        F.when(F.col("c_acctbal") < 0, "Trainee").when(F.col("c_acctbal") < 5000, "Associate")
+        .otherwise("Partner").alias("designation"),
+        F.when(shifted == 4, "Revoked - low usage").when(shifted == 5, "User Resigned")
+        .when(shifted == 6, F.lit(None).cast("string")).when(shifted == 7, "Requested")
+        .otherwise("Added").alias("raw_status"),
+        (k * 2 + 1).alias("src_ord"),
+    )
+    return orig.unionByName(copies).withColumn("access_state", access_state("raw_status"))
+
+
+COPIES_SQL = """
+roster_copies AS (
+  SELECT email, workforce_name, location, practice, team, designation, raw_status, access_state, src_ord * 2 AS src_ord
+  FROM roster_src
+  UNION ALL
+  SELECT 'user' || CAST(c.c_custkey AS VARCHAR) || '@example.com', c.c_name, n.n_name, c.c_mktsegment, '',
+         CASE WHEN c.c_acctbal < 0 THEN 'Trainee' WHEN c.c_acctbal < 5000 THEN 'Associate' ELSE 'Partner' END,
+         CASE (c.c_custkey + 3) % 8 WHEN 4 THEN 'Revoked - low usage' WHEN 5 THEN 'User Resigned' WHEN 6 THEN NULL
+              WHEN 7 THEN 'Requested' ELSE 'Added' END,
+         CASE (c.c_custkey + 3) % 8 WHEN 4 THEN 'revoked' WHEN 5 THEN 'resigned' WHEN 6 THEN 'pending'
+              WHEN 7 THEN 'pending' ELSE 'granted' END,
+         c.c_custkey * 2 + 1
+  FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+  WHERE c.c_custkey % 13 <> 6 AND c.c_custkey % 5 = 0
+)"""
