@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Python's str.strip() removes Unicode whitespace (incl. U+00A0); Spark's trim() removes
-# spaces only, so a Unicode-aware regex is used for "strip" semantics.
-_STRIP_RE = r"(?U)^\s+|\s+$"
+# spaces only. Fixed value: the exact set str.strip() removes, trimmed with btrim (no regex).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+                 "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def _col(c: Column | str) -> Column:
@@ -16,7 +17,7 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove leading/trailing Unicode whitespace (NULL stays NULL)."""
-    return F.regexp_replace(_col(c).cast("string"), _STRIP_RE, "")
+    return F.btrim(_col(c).cast("string"), F.lit(PY_WHITESPACE))
 
 
 def clean_text(c: Column | str) -> Column:
