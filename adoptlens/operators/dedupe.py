@@ -1,37 +1,38 @@
-"""Key-based de-duplication and merges (last wins / first wins), as partial aggregates.
+"""Key-based de-duplication and merges (last wins / first wins).
 
-``max_by``/``min_by`` over a struct of the row are ordinary aggregates, so Spark combines
-them map-side before the shuffle: a key holding a third of all rows is reduced to one
-row per input partition first, unlike a ``row_number()`` window that would pull the
-whole key into one task.
+Written as ``row_number() = 1`` per key. Spark plans this with a *partial*
+``WindowGroupLimit`` before the shuffle (each map task keeps only its best row per key)
+and a final one after it — the same map-side reduction as a partial aggregate, so a key
+holding a third of all rows ships at most one row per input partition. It measured
+faster than a struct-valued ``max_by`` (which forces sort-based aggregation).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order_struct(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]):
+def _tie_break(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> list[str]:
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
     # all remaining columns break ties, so the survivor is deterministic
-    return F.struct(*[F.col(c) for c in list(order_cols) + rest])
+    return list(order_cols) + rest
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per key: the row with the greatest ``order_cols`` (then other columns)."""
-    payload = F.struct(*[F.col(c) for c in df.columns])
-    agg = df.groupBy(*keys).agg(F.max_by(payload, _order_struct(df, keys, order_cols)).alias("_row"))
-    return agg.select("_row.*")
+    order = [F.desc_nulls_last(c) for c in _tie_break(df, keys, order_cols)]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per key: the row with the smallest ``order_cols`` (then other columns)."""
-    payload = F.struct(*[F.col(c) for c in df.columns])
-    agg = df.groupBy(*keys).agg(F.min_by(payload, _order_struct(df, keys, order_cols)).alias("_row"))
-    return agg.select("_row.*")
+    order = [F.asc_nulls_first(c) for c in _tie_break(df, keys, order_cols)]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def keep_first_with_key(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:

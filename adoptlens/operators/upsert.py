@@ -28,9 +28,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      order_cols: Sequence[str], partition_col: str) -> None:
+                      order_cols: Sequence[str], partition_col: str, keys_may_move: bool = True) -> None:
     """Merge ``batch`` into the table at ``path``: per key the batch row wins (last one by
-    ``order_cols`` inside the batch); other rows and untouched partitions stay as they are."""
+    ``order_cols`` inside the batch); other rows and untouched partitions stay as they are.
+
+    ``keys_may_move``: an older version of a key may sit in another partition (its
+    partition value changed). Finding it reads the key and partition columns of the whole
+    table (column-pruned). Pass False when the partition value is a function of immutable
+    key attributes (e.g. local date of the event time) — then only the batch's own
+    partitions are read.
+    """
     keys = list(keys)
     batch_d = keep_last(batch, keys, list(order_cols))
     if not _exists(spark, path):
@@ -38,22 +45,25 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
         return
     existing = spark.read.parquet(path)
     batch_keys = batch_d.select(*keys)
-    old_parts = existing.join(batch_keys, keys, "left_semi").select(partition_col)
-    touched = batch_d.select(partition_col).union(old_parts).distinct()
-    affected = existing.join(touched, partition_col, "left_semi")
+    touched_df = batch_d.select(partition_col)
+    if keys_may_move:
+        touched_df = touched_df.union(existing.join(batch_keys, keys, "left_semi").select(partition_col))
+    # Partition values only (a handful per batch), used as a literal filter so the scan of
+    # the stored table is pruned to the touched partitions.
+    touched = [r[0] for r in touched_df.distinct().collect()]
+    affected = existing.filter(F.col(partition_col).isin(touched))
     merged = affected.join(batch_keys, keys, "left_anti").unionByName(batch_d.select(*existing.columns))
     stage = scratch_path(spark, "upsert-stage")
     # REBALANCE: one writer group per partition value, but AQE splits a hot value
     # across tasks instead of funnelling it into one.
     merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(stage)
     staged = spark.read.parquet(stage)
-    # Dynamic overwrite replaces only partitions present in the output; a touched partition
-    # whose every row moved elsewhere must be cleared explicitly. Found before the swap,
-    # while the old files are still readable (a handful of partition values at most).
-    emptied = [r[0] for r in touched.join(staged.select(partition_col).distinct(), partition_col,
-                                           "left_anti").toLocalIterator()]
+    staged_parts = {r[0] for r in staged.select(partition_col).distinct().collect()}
     (staged.select(*existing.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    # Dynamic overwrite replaces only partitions present in the output; a touched partition
+    # whose every row moved elsewhere must be cleared explicitly.
+    emptied = [v for v in touched if v not in staged_parts]
     if emptied:
         _clear_partitions(spark, path, partition_col, emptied)
 

@@ -44,7 +44,9 @@ def ingest(batch_rows: DataFrame, table_path: str, checkpoint: str, keys=("usage
     spark = batch_rows.sparkSession
 
     def merge_batch(df: DataFrame, batch_id: int) -> None:
-        upsert_into_table(spark, table_path, df, list(keys), list(order_cols), partition_col)
+        # the local date is a function of the immutable event time: keys never move
+        upsert_into_table(spark, table_path, df, list(keys), list(order_cols), partition_col,
+                          keys_may_move=False)
 
     writer = batch_rows.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="1 minute")
