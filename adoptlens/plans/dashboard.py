@@ -139,16 +139,27 @@ def top_tools_with_other(usage: DataFrame, k: int = TOP_TOOLS) -> DataFrame:
 
 
 def top_users(usage: DataFrame, limit: int | None = TOP_USERS) -> DataFrame:
-    """Leaderboard: per user max name/designation/location, actions, files; top ``limit``."""
-    out = (
+    """Leaderboard: per user max name/designation/location, actions, files; top ``limit``.
+
+    Two-level aggregation: first by (user, name, designation, location) — string *keys* keep
+    it a hash aggregate with map-side combining over the big table — then per user over that
+    small frame (usually one attribute combination per user). Taking max of each attribute
+    over the combinations equals taking it over all rows.
+    """
+    attrs = ["workforce_name", "designation", "location"]
+    combos = (
         usage.filter(F.col("user_email").isNotNull())
-        .groupBy(F.col("user_email").alias("user"))
+        .groupBy("user_email", *attrs)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("file_count").alias("f"))
+    )
+    out = (
+        combos.groupBy(F.col("user_email").alias("user"))
         .agg(
             F.coalesce(F.max("workforce_name"), F.lit(DASH)).alias("name"),
             F.coalesce(F.max("designation"), F.lit(DASH)).alias("designation"),
             F.coalesce(F.max("location"), F.lit(DASH)).alias("location"),
-            F.count(F.lit(1)).alias("actions"),
-            F.coalesce(F.sum("file_count"), F.lit(0)).cast("bigint").alias("files"),
+            F.sum("n").cast("bigint").alias("actions"),
+            F.coalesce(F.sum("f"), F.lit(0)).cast("bigint").alias("files"),
         )
         .orderBy(F.desc("actions"), F.asc("user"))
     )

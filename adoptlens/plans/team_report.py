@@ -178,7 +178,8 @@ def report_meta(spark: SparkSession, usage_f: DataFrame, practice: str, team: st
     )
     if generated_at:
         meta = meta.withColumn("generated_at", F.concat(
-            F.date_format(F.convert_timezone(F.lit("UTC"), F.lit("Asia/Kolkata"), F.current_timestamp().cast("timestamp_ntz")),
+            F.date_format(F.convert_timezone(F.lit(spark.conf.get("spark.sql.session.timeZone")), F.lit("Asia/Kolkata"),
+                                        F.current_timestamp().cast("timestamp_ntz")),
                           "yyyy-MM-dd HH:mm:ss"), F.lit(" IST")))
     return meta.crossJoin(F.broadcast(unm))
 

@@ -41,7 +41,7 @@ def file_stats(df: DataFrame, col: str = "file_ids") -> DataFrame:
     """Nested id list -> count (NULL list counts 0) and ';'-joined text."""
     return df.select(
         *[c for c in df.columns if c != col],
-        F.coalesce(F.size(col), F.lit(0)).cast("int").alias("file_count"),
+        F.when(F.col(col).isNull(), F.lit(0)).otherwise(F.size(col)).cast("int").alias("file_count"),
         F.array_join(col, ";").alias("file_ids_text"),
     )
 
@@ -57,7 +57,8 @@ def flatten(events: DataFrame, tz: str = DEFAULT_TZ, keep_file_ids: bool = True)
         local_date(ts, tz).alias("usage_date"),
         local_hour(ts, tz).alias("usage_hour"),
         *[F.col(f) for f in EVENT_FIELDS if f != "utc_time"],
-        F.coalesce(F.size("file_ids"), F.lit(0)).cast("int").alias("file_count"),
+        # explicit NULL guard: size(NULL) is -1 when ANSI mode is off
+        F.when(F.col("file_ids").isNull(), F.lit(0)).otherwise(F.size("file_ids")).cast("int").alias("file_count"),
     ]
     if keep_file_ids:
         cols.append(F.array_join("file_ids", ";").alias("file_ids"))

@@ -28,7 +28,8 @@ def event_instant(spark: SparkSession, ntz_utc: Column | str) -> Column:
     """UTC wall time (TIMESTAMP_NTZ) -> TIMESTAMP instant, whatever the session zone."""
     c = F.col(ntz_utc) if isinstance(ntz_utc, str) else ntz_utc
     session_tz = spark.conf.get("spark.sql.session.timeZone")
-    return F.to_utc_timestamp(c.cast("timestamp"), session_tz)
+    # UTC wall clock -> session-zone wall clock, which the cast reads back as the instant
+    return F.convert_timezone(F.lit("UTC"), F.lit(session_tz), c.cast("timestamp_ntz")).cast("timestamp")
 
 
 def local_midnight_offset(tz: str = DEFAULT_TZ) -> str:
@@ -62,7 +63,9 @@ def daily_counts(events: DataFrame, time_col: str, tz: str = DEFAULT_TZ, delay:
     """Events per local calendar day as a running aggregate."""
     w = F.window(time_col, "1 day", "1 day", local_midnight_offset(tz))
     g = events.withWatermark(time_col, delay).groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("events"))
-    local_start = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col("w.start").cast("timestamp_ntz"))
+    # instant -> wall clock of the session zone -> wall clock of the local zone
+    session_tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
+    local_start = F.convert_timezone(F.lit(session_tz), F.lit(tz), F.col("w.start").cast("timestamp_ntz"))
     return g.select(F.to_date(local_start).alias("usage_date"), "events")
 
 

@@ -61,6 +61,11 @@ def main():
     keys = [a for a in args if not a.startswith("/")]
     load_all()
     spark = build_session("local[8]", 8)
+    # optional: mimic a driver session configured differently from ours
+    if os.environ.get("CHECK_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["CHECK_TZ"])
+    if os.environ.get("CHECK_ANSI"):
+        spark.conf.set("spark.sql.ansi.enabled", os.environ["CHECK_ANSI"])
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
