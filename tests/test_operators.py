@@ -134,3 +134,19 @@ def test_roster_file_import(spark):
     assert recs[1]["workforce_name"] is None and recs[1]["access_state"] == "revoked"
     nostatus = R.records_from_file(raw.drop("Status")).select("access_state").distinct().collect()
     assert [r[0] for r in nostatus] == ["granted"]
+
+
+def test_discrepancy_outputs_only_when_non_empty(spark, scratch):
+    left = spark.createDataFrame([("1", "a"), ("2", "b")], "unique_usage_id string, user string")
+    right = spark.createDataFrame([("1", "a"), ("2", "B")], "unique_usage_id string, user string")
+    written = RC.write_discrepancies(left, right, scratch)
+    assert written == {"only_in_left": False, "only_in_right": False, "field_mismatches": True}
+    assert spark.read.option("header", True).csv(f"{scratch}/field_mismatches").count() == 1
+
+
+def test_teams_by_practice_map(spark):
+    from adoptlens.plans.dashboard import teams_by_practice_map
+
+    df = spark.createDataFrame([("P", "t2"), ("P", "t1"), ("Q", "t"), ("", "x"), ("P", None)], "practice string, team string")
+    m = teams_by_practice_map(df).collect()[0][0]
+    assert m == {"P": ["t1", "t2"], "Q": ["t"]}
