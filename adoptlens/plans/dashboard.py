@@ -45,6 +45,38 @@ def count_by(usage: DataFrame, col: str, limit: int | None = None, default: str
     return out.limit(limit) if limit else out
 
 
+CHART_DIMS = ["practice", "team", "location", "designation", "access_point"]
+
+
+def dimension_counts(usage: DataFrame, dims: list[str] = CHART_DIMS, default: str = UNKNOWN) -> DataFrame:
+    """All dimension charts from ONE scan: (dimension, label, value) via GROUPING SETS.
+
+    Each row is expanded once per dimension inside the same stage and partially aggregated
+    before the single shuffle; per-chart caps (top 7 etc.) are applied to this small result.
+    """
+    cols = [F.coalesce(F.col(d), F.lit(default)).alias(d) for d in dims]
+    g = usage.select(*cols).groupingSets([[d] for d in dims], *dims).agg(
+        F.count(F.lit(1)).alias("value"), F.grouping_id().alias("_gid"))
+    n = len(dims)
+    # grouping_id bit for dimension i (0-based, leftmost = most significant) is 0 when grouped
+    dim_name = F.lit(None).cast("string")
+    label = F.lit(None).cast("string")
+    for i, d in enumerate(dims):
+        only_d = (1 << n) - 1 - (1 << (n - 1 - i))
+        dim_name = F.when(F.col("_gid") == only_d, F.lit(d)).otherwise(dim_name)
+        label = F.when(F.col("_gid") == only_d, F.col(d)).otherwise(label)
+    return g.select(dim_name.alias("dimension"), label.alias("label"), "value")
+
+
+def charts_from_counts(counts: DataFrame, caps: dict[str, int | None]) -> dict[str, DataFrame]:
+    """Split one-scan dimension counts into per-chart frames, applying each chart's cap."""
+    out = {}
+    for dim, cap in caps.items():
+        c = counts.filter(F.col("dimension") == dim).select("label", "value").orderBy(F.desc("value"), F.asc("label"))
+        out[dim] = c.limit(cap) if cap else c
+    return out
+
+
 def daily_counts(usage: DataFrame, date_col: str = "usage_date") -> DataFrame:
     """Rows per non-NULL date: the only pass over the large input a timeline needs."""
     return usage.filter(F.col(date_col).isNotNull()).groupBy(F.col(date_col).alias("day")).agg(

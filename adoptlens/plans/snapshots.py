@@ -22,8 +22,14 @@ from adoptlens.operators.filters import Filters
 from adoptlens.plans import adoption, dashboard
 
 
-def unfiltered_sections(spark: SparkSession, usage: DataFrame, roster: DataFrame) -> dict[str, DataFrame]:
+def unfiltered_sections(spark: SparkSession, usage: DataFrame, roster: DataFrame,
+                        counts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every section of the unfiltered reports. With ``counts`` (one-scan dimension counts),
+    the dimension charts are cut from it instead of scanning usage once per chart."""
     sections = {f"dashboard.{k}": v for k, v in dashboard.bundle(usage).items()}
+    if counts is not None:
+        caps = {"practice": dashboard.TOP_DIM, "team": dashboard.TOP_DIM, "location": None, "designation": None}
+        sections.update({f"dashboard.{k}": v for k, v in dashboard.charts_from_counts(counts, caps).items()})
     sections["top_users"] = dashboard.top_users(usage)
     sections["filter_options"] = dashboard.filter_options(usage)
     sections["filter_options.products"] = dashboard.product_options(usage)
@@ -39,8 +45,12 @@ def refresh(spark: SparkSession, usage: DataFrame, roster: DataFrame, root: str,
     The usage table is persisted for the duration (every section reads it) and released.
     """
     usage = usage.persist()
+    counts = None
     try:
-        sections = sections or unfiltered_sections(spark, usage, roster)
+        if sections is None:
+            # one GROUPING SETS scan for all dimension charts; tiny, kept in memory while used
+            counts = dashboard.dimension_counts(usage).persist()
+            sections = unfiltered_sections(spark, usage, roster, counts)
         version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
         base = f"{root.rstrip('/')}/version={version}"
         # Sections are small, independent jobs: submit them concurrently so the cluster runs
@@ -59,6 +69,8 @@ def refresh(spark: SparkSession, usage: DataFrame, roster: DataFrame, root: str,
         return version
     finally:
         usage.unpersist()
+        if counts is not None:
+            counts.unpersist()
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
