@@ -39,5 +39,6 @@ def load_all() -> None:
         merge_q,
         reconcile_q,
         report_q,
+        rollup_q,
         stream_q,
     )

@@ -47,10 +47,12 @@ def enrich_usage(events: DataFrame, roster: DataFrame) -> DataFrame:
 
 def match_audit(usage: DataFrame) -> DataFrame:
     """Matched / unmatched counts (by NULL workforce name) and the extract's date range."""
+    from adoptlens.plans.rollup import rows, rows_if
+
     return usage.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("workforce_name").alias("matched"),
-        F.count_if(F.col("workforce_name").isNull()).alias("unmatched"),
+        rows(usage).alias("rows"),
+        rows_if(usage, F.col("workforce_name").isNotNull()).alias("matched"),
+        rows_if(usage, F.col("workforce_name").isNull()).alias("unmatched"),
         F.min("usage_date").alias("min_date"),
         F.max("usage_date").alias("max_date"),
     )

@@ -15,6 +15,7 @@ from adoptlens.functions.access import GRANTED, PENDING, RESIGNED, REVOKED
 from adoptlens.functions.numeric import pct, ratio
 from adoptlens.operators.filters import ROSTER_DIMS, Filters, _as_date, non_blank
 from adoptlens.plans.dashboard import DASH
+from adoptlens.plans.rollup import rows, rows_if
 
 # List caps and funnel labels of the reference.
 TOP_GROUPS = 15
@@ -42,8 +43,8 @@ def user_activity(usage: DataFrame, filters: Filters | None = None) -> DataFrame
     return (
         usage.filter(F.col("user_email").isNotNull())
         .groupBy("user_email")
-        .agg(F.count_if(F.coalesce(in_period, F.lit(False))).alias("period_events"),
-             F.count(F.lit(1)).alias("events"))
+        .agg(rows_if(usage, F.coalesce(in_period, F.lit(False))).alias("period_events"),
+             rows(usage).alias("events"))
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from adoptlens.functions.features import tool_array
 from adoptlens.operators.filters import Filters, non_blank
+from adoptlens.plans.rollup import files, rows, weight
 
 UNKNOWN = "Unknown"
 DASH = "—"  # '—' placeholder for missing people attributes
@@ -28,7 +29,7 @@ def kpis(usage: DataFrame) -> DataFrame:
     """Distinct users, rows and distinct non-blank practices (one row)."""
     return usage.agg(
         F.count_distinct("user_email").alias("active_users"),
-        F.count(F.lit(1)).alias("total_actions"),
+        rows(usage).alias("total_actions"),
         F.count_distinct(F.when(non_blank("practice"), F.col("practice"))).alias("practice_areas"),
     )
 
@@ -38,9 +39,7 @@ def count_by(usage: DataFrame, col: str, limit: int | None = None, default: str
 
     With ``limit`` the plan is a TakeOrderedAndProject over the partially aggregated counts.
     """
-    out = usage.groupBy(F.coalesce(F.col(col), F.lit(default)).alias("label")).agg(
-        F.count(F.lit(1)).alias("value")
-    )
+    out = usage.groupBy(F.coalesce(F.col(col), F.lit(default)).alias("label")).agg(rows(usage).alias("value"))
     out = out.orderBy(F.desc("value"), F.asc("label"))
     return out.limit(limit) if limit else out
 
@@ -55,8 +54,8 @@ def dimension_counts(usage: DataFrame, dims: list[str] = CHART_DIMS, default: st
     before the single shuffle; per-chart caps (top 7 etc.) are applied to this small result.
     """
     cols = [F.coalesce(F.col(d), F.lit(default)).alias(d) for d in dims]
-    g = usage.select(*cols).groupingSets([[d] for d in dims], *dims).agg(
-        F.count(F.lit(1)).alias("value"), F.grouping_id().alias("_gid"))
+    g = usage.select(*cols, weight(usage).alias("_w")).groupingSets([[d] for d in dims], *dims).agg(
+        F.sum("_w").cast("bigint").alias("value"), F.grouping_id().alias("_gid"))
     n = len(dims)
     # grouping_id bit for dimension i (0-based, leftmost = most significant) is 0 when grouped
     dim_name = F.lit(None).cast("string")
@@ -80,7 +79,7 @@ def charts_from_counts(counts: DataFrame, caps: dict[str, int | None]) -> dict[s
 def daily_counts(usage: DataFrame, date_col: str = "usage_date") -> DataFrame:
     """Rows per non-NULL date: the only pass over the large input a timeline needs."""
     return usage.filter(F.col(date_col).isNotNull()).groupBy(F.col(date_col).alias("day")).agg(
-        F.count(F.lit(1)).alias("cnt")
+        rows(usage).alias("cnt")
     )
 
 
@@ -139,12 +138,13 @@ def hourly_histogram(spark: SparkSession, usage: DataFrame) -> DataFrame:
 
 
 def tools_exploded(usage: DataFrame) -> DataFrame:
-    return usage.select(F.explode(tool_array("product_area")).alias("label"))
+    """(label, _w): one row per tool mention with the row's event multiplicity."""
+    return usage.select(F.explode(tool_array("product_area")).alias("label"), weight(usage).alias("_w"))
 
 
 def tool_counts(usage: DataFrame) -> DataFrame:
     """Mentions per tool (a row listing a tool twice counts twice; blanks dropped)."""
-    return tools_exploded(usage).groupBy("label").agg(F.count(F.lit(1)).alias("value"))
+    return tools_exploded(usage).groupBy("label").agg(F.sum("_w").cast("bigint").alias("value"))
 
 
 def top_tools_with_other(usage: DataFrame, k: int = TOP_TOOLS) -> DataFrame:
@@ -182,7 +182,7 @@ def top_users(usage: DataFrame, limit: int | None = TOP_USERS) -> DataFrame:
     combos = (
         usage.filter(F.col("user_email").isNotNull())
         .groupBy("user_email", *attrs)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("file_count").alias("f"))
+        .agg(rows(usage).alias("n"), files(usage).alias("f"))
     )
     out = (
         combos.groupBy(F.col("user_email").alias("user"))
@@ -234,7 +234,8 @@ def usage_page(usage: DataFrame, filters: Filters | None = None, sort_key: str =
 
 
 def usage_total(usage: DataFrame, filters: Filters | None = None) -> DataFrame:
-    return (filters or Filters()).apply(usage).agg(F.count(F.lit(1)).alias("total"))
+    f = (filters or Filters()).apply(usage)
+    return f.agg(rows(f).alias("total"))
 
 
 # Dimensions offered as filters (document key -> usage column).

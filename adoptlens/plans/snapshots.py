@@ -20,6 +20,7 @@ from pyspark.sql.utils import AnalysisException
 
 from adoptlens.operators.filters import Filters
 from adoptlens.plans import adoption, dashboard
+from adoptlens.plans.rollup import usage_rollup
 
 
 def unfiltered_sections(spark: SparkSession, usage: DataFrame, roster: DataFrame,
@@ -42,35 +43,32 @@ def refresh(spark: SparkSession, usage: DataFrame, roster: DataFrame, root: str,
             sections: dict[str, DataFrame] | None = None, parallel_jobs: int = 8) -> str:
     """Write a new snapshot version and make it current; returns the version id.
 
-    The usage table is persisted for the duration (every section reads it) and released.
+    The usage table is scanned once: its rollup (one row per day x user x attributes x tool
+    list, exact for every unfiltered section) is written into the version as a section of
+    its own, and all other sections are computed from that small table. Nothing is cached
+    in executor memory, so a lost executor only re-runs its tasks.
     """
-    usage = usage.persist()
-    counts = None
-    try:
-        if sections is None:
-            # one GROUPING SETS scan for all dimension charts; tiny, kept in memory while used
-            counts = dashboard.dimension_counts(usage).persist()
-            sections = unfiltered_sections(spark, usage, roster, counts)
-        version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-        base = f"{root.rstrip('/')}/version={version}"
-        # Sections are small, independent jobs: submit them concurrently so the cluster runs
-        # them side by side instead of one after another.
-        from concurrent.futures import ThreadPoolExecutor
-
-        def write(item):
-            name, df = item
-            df.write.mode("overwrite").parquet(f"{base}/section={name}")
-
-        with ThreadPoolExecutor(max_workers=max(1, min(parallel_jobs, len(sections)))) as pool:
-            list(pool.map(write, sections.items()))
-        pointer = spark.createDataFrame([(version, dt.datetime.now(dt.timezone.utc).isoformat())],
-                                        "version string, refreshed_at string")
-        pointer.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
-        return version
-    finally:
-        usage.unpersist()
-        if counts is not None:
-            counts.unpersist()
+    version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    base = f"{root.rstrip('/')}/version={version}"
+    if sections is None:
+        rollup_path = f"{base}/section=usage_rollup"
+        usage_rollup(usage).write.mode("overwrite").parquet(rollup_path)
+        r = spark.read.parquet(rollup_path)
+        sections = unfiltered_sections(spark, r, roster, dashboard.dimension_counts(r))
+    # Sections are small, independent jobs: submit them concurrently so the cluster runs
+    # them side by side instead of one after another.
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(item):
+        name, df = item
+        df.write.mode("overwrite").parquet(f"{base}/section={name}")
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_jobs, len(sections)))) as pool:
+        list(pool.map(write, sections.items()))
+    pointer = spark.createDataFrame([(version, dt.datetime.now(dt.timezone.utc).isoformat())],
+                                    "version string, refreshed_at string")
+    pointer.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
+    return version
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:

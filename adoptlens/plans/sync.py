@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adoptlens.functions.calendar import DEFAULT_TZ, MAX_RANGE_DAYS
+from adoptlens.plans.rollup import rows
 
 
 def _per_day(usage: DataFrame) -> DataFrame:
-    return usage.groupBy(F.col("usage_date").alias("day")).agg(F.count(F.lit(1)).alias("cnt"))
+    return usage.groupBy(F.col("usage_date").alias("day")).agg(rows(usage).alias("cnt"))
 
 
 def sync_metadata(usage: DataFrame, last_sync_rows: int | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from adoptlens.functions.access import GRANTED, PENDING, RESIGNED, REVOKED, stat
 from adoptlens.functions.features import FEATURE_KEYS, FEATURES, feature_class, tool_array
 from adoptlens.functions.numeric import pct, ratio
 from adoptlens.plans.dashboard import DASH
+from adoptlens.plans.rollup import rows, weight
 
 UNMAPPED_CAP = 50
 # Fixed value: the report's disclaimer text.
@@ -70,24 +71,27 @@ def _mentions(feats, key: str):
 def user_features(usage_f: DataFrame) -> DataFrame:
     """Per user: total events and mentions per feature (one partial-aggregated pass)."""
     feats = _feature_array()
-    aggs = [F.count(F.lit(1)).alias("total_activity")]
+    w = weight(usage_f)
+    aggs = [rows(usage_f).alias("total_activity")]
     for key in FEATURE_KEYS:
-        aggs.append(F.sum(_mentions(feats, key)).cast("bigint").alias(key))
+        aggs.append(F.sum(_mentions(feats, key) * w).cast("bigint").alias(key))
     return usage_f.groupBy("user_email").agg(*aggs)
 
 
 def usage_by_feature(usage_f: DataFrame) -> DataFrame:
     """Long form (user, feature_key, cnt), unmapped tools as NULL feature."""
-    ex = usage_f.select("user_email", F.explode(tool_array("product_area")).alias("tool"))
+    ex = usage_f.select("user_email", F.explode(tool_array("product_area")).alias("tool"),
+                        weight(usage_f).alias("_w"))
     return ex.groupBy("user_email", feature_class("tool").alias("feature_key")).agg(
-        F.count(F.lit(1)).alias("cnt"))
+        F.sum("_w").cast("bigint").alias("cnt"))
 
 
 def feature_totals(usage_f: DataFrame) -> DataFrame:
     """(sort_order, key, label, count) in the report's fixed order."""
     feats = _feature_array()
+    w = weight(usage_f)
     one = usage_f.agg(*[
-        F.coalesce(F.sum(_mentions(feats, key)), F.lit(0)).cast("bigint").alias(key)
+        F.coalesce(F.sum(_mentions(feats, key) * w), F.lit(0)).cast("bigint").alias(key)
         for key in FEATURE_KEYS
     ])
     rows = F.explode(F.array(*[
@@ -131,7 +135,7 @@ def report_summary(hr_base: DataFrame, uf: DataFrame, usage_f: DataFrame) -> Dat
         F.count_if(st == RESIGNED).alias("resigned_count"),
         F.count_if(st.isin(GRANTED, PENDING)).alias("workforce"),
     )
-    total = usage_f.agg(F.count(F.lit(1)).alias("total_activity"))
+    total = usage_f.agg(F.coalesce(rows(usage_f), F.lit(0)).cast("bigint").alias("total_activity"))
     s = people.crossJoin(F.broadcast(total))  # both sides are single-row aggregates
     return s.select(
         "total_members", "with_access", "members_active", "not_used", "total_activity",

@@ -70,3 +70,13 @@ def test_entry_contract(spark):
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 70
+
+
+def test_full_refresh_sections_equal_live(spark, scratch):
+    u, r = fx.usage(spark, SF001), fx.roster(spark, SF001)
+    SN.refresh(spark, u, r, scratch)
+    for name, live in [("dashboard.kpis", D.kpis(u)), ("dashboard.location", D.count_by(u, "location")),
+                       ("top_users", D.top_users(u)), ("dashboard.tools", D.top_tools_with_other(u)),
+                       ("adoption.kpis", A.adoption_kpis(A.roster_activity(r, u)))]:
+        snap = SN.read_section(spark, scratch, name)
+        assert sorted(map(tuple, snap.collect())) == sorted(map(tuple, live.collect())), name
