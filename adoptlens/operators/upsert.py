@@ -27,6 +27,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _partition_values(df: DataFrame, partition_col: str) -> set[str]:
+    """Partition values present in a written table, from its file listing (no Spark job)."""
+    from urllib.parse import unquote
+
+    key = f"/{partition_col}="
+    vals = set()
+    for f in df.inputFiles():
+        if key in f:
+            vals.add(unquote(f.split(key, 1)[1].split("/", 1)[0]))
+    return vals
+
+
 def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                       order_cols: Sequence[str], partition_col: str, keys_may_move: bool = True) -> None:
     """Merge ``batch`` into the table at ``path``: per key the batch row wins (last one by
@@ -44,6 +56,11 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
         batch_d.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return
     existing = spark.read.parquet(path)
+    # The de-duplicated batch is written once to the shared checkpoint folder: every later
+    # step reads it instead of recomputing the de-duplication, and its lineage is cut.
+    batch_path = scratch_path(spark, "upsert-batch")
+    batch_d.select(*existing.columns).write.parquet(batch_path)
+    batch_d = spark.read.parquet(batch_path)
     batch_keys = batch_d.select(*keys)
     touched_df = batch_d.select(partition_col)
     if keys_may_move:
@@ -52,18 +69,18 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     # the stored table is pruned to the touched partitions.
     touched = [r[0] for r in touched_df.distinct().collect()]
     affected = existing.filter(F.col(partition_col).isin(touched))
-    merged = affected.join(batch_keys, keys, "left_anti").unionByName(batch_d.select(*existing.columns))
+    merged = affected.join(batch_keys, keys, "left_anti").unionByName(batch_d)
     stage = scratch_path(spark, "upsert-stage")
     # REBALANCE: one writer group per partition value, but AQE splits a hot value
     # across tasks instead of funnelling it into one.
     merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(stage)
     staged = spark.read.parquet(stage)
-    staged_parts = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    staged_parts = _partition_values(staged, partition_col)
     (staged.select(*existing.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     # Dynamic overwrite replaces only partitions present in the output; a touched partition
     # whose every row moved elsewhere must be cleared explicitly.
-    emptied = [v for v in touched if v not in staged_parts]
+    emptied = [v for v in touched if str(v) not in staged_parts]
     if emptied:
         _clear_partitions(spark, path, partition_col, emptied)
 
