@@ -22,7 +22,7 @@ from adoptlens.operators import dedupe, enrich, roster
 from adoptlens.operators.upsert import upsert_into_table
 from adoptlens.plans.dashboard import top_users
 from adoptlens.plans.sync import sync_metadata
-from adoptlens.session import scratch_path
+from adoptlens.session import remove_path, scratch_path
 
 
 def _read_or_none(reader) -> DataFrame | None:
@@ -39,6 +39,7 @@ def _overwrite_via_stage(spark: SparkSession, df: DataFrame, path: str, fmt: str
     for k, v in opts.items():
         out = out.option(k, v)
     out.save(path)
+    remove_path(spark, stage)
 
 
 def window_events(raw: DataFrame, start: str | dt.date, end: str | dt.date, tz: str = DEFAULT_TZ) -> DataFrame:

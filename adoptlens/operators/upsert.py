@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from adoptlens.operators.dedupe import keep_last
-from adoptlens.session import scratch_path
+from adoptlens.session import remove_path, scratch_path
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -83,6 +83,9 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     emptied = [v for v in touched if str(v) not in staged_parts]
     if emptied:
         _clear_partitions(spark, path, partition_col, emptied)
+    # the swap is complete: the staging copies are no longer read by anything
+    remove_path(spark, stage)
+    remove_path(spark, batch_path)
 
 
 def _clear_partitions(spark: SparkSession, path: str, partition_col: str, emptied: list) -> None:
