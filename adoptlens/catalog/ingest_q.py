@@ -199,3 +199,40 @@ SELECT COUNT(*) AS row_count, MIN(usage_date) AS min_date, MAX(usage_date) AS ma
 FROM usage"""))
 def q_sync_metadata(spark, sf):
     return S.sync_metadata(fx.usage(spark, sf))
+
+
+def _extract_text(spark, sf):
+    """The enriched usage rendered as an extract: CSV header names, every value as text,
+    with padding, upper case, '5.0'-style hours and blank ids mixed in."""
+    u = fx.usage(spark, sf)
+    eid = F.col("usage_id").cast("long")
+    return u.select(
+        F.concat(F.date_format("utc_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("utc_time"),
+        F.col("usage_date").cast("string").alias("usage_date"),
+        F.when(eid % 5 == 0, F.concat(F.col("usage_hour").cast("string"), F.lit(".0")))
+        .otherwise(F.col("usage_hour").cast("string")).alias("usage_hour"),
+        F.when(eid % 3 == 0, F.concat(F.lit(" "), F.upper("user_email"), F.lit(" "))).otherwise(F.col("user_email")).alias("user"),
+        F.when(eid % 97 == 1, F.lit("")).when(eid % 2 == 0, F.concat(F.lit(" "), F.col("usage_id"), F.lit(" ")))
+        .otherwise(F.col("usage_id")).alias("unique_usage_id"),
+        "access_point",
+        F.col("product_area").alias("product_surface_area"),
+        F.col("file_count").cast("string").alias("file_count"),
+        F.col("workforce_name").alias("Workforce Name"),
+        F.col("location").alias("Location"),
+        F.col("designation").alias("Designation"),
+        F.col("team").alias("Team"),
+        F.col("practice").alias("Practice/ Function"),
+        F.col("email").alias("Email"),
+    )
+
+
+@register("canonical_extract", W("""
+SELECT usage_id, utc_time, usage_date, usage_hour, user_email, access_point,
+       NULLIF(trim(product_area), '') AS product_area, file_count, workforce_name, location, designation,
+       team, NULLIF(trim(practice), '') AS practice, email
+FROM usage WHERE CAST(usage_id AS BIGINT) % 97 <> 1"""))
+def q_canonical_extract(spark, sf):
+    from adoptlens.operators.extract import canonical_usage
+    c = canonical_usage(_extract_text(spark, sf))
+    return c.select("usage_id", "utc_time", "usage_date", "usage_hour", "user_email", "access_point", "product_area",
+                    "file_count", "workforce_name", "location", "designation", "team", "practice", "email")

@@ -34,8 +34,7 @@ def local_hour(utc_ts: Column | str, tz: str = DEFAULT_TZ) -> Column:
 def parse_utc_text(c: Column | str) -> Column:
     """Lenient parse of ISO-8601 event time text ('...Z', '+00:00', plain) to UTC NTZ."""
     s = F.regexp_replace(F.trim(_col(c)), r"(Z|[+-]00:?00)$", "")
-    s = F.regexp_replace(s, "T", " ")
-    return F.try_to_timestamp(s).cast("timestamp_ntz")
+    return s.try_cast("timestamp_ntz")  # text -> wall clock: independent of the session zone
 
 
 def local_midnight_utc(day: str | dt.date, tz: str = DEFAULT_TZ) -> dt.datetime:

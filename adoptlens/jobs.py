@@ -96,6 +96,22 @@ def import_roster(spark: SparkSession, raw_file: DataFrame, roster_path: str,
     return {"state_counts": roster.state_counts(spark, current), "duplicates": dups, "roster": current}
 
 
+def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = DEFAULT_TZ) -> int:
+    """One-time load of an enriched CSV extract into the date-partitioned usage table.
+
+    The file is read as text with its header, mapped to canonical rows and upserted; a key
+    repeated in the file keeps its last row (file order = scan order, numbered right at the
+    scan, before any shuffle). Returns the number of rows in the table afterwards.
+    """
+    from adoptlens.operators.extract import canonical_usage
+
+    raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(csv_path)
+    rows = canonical_usage(raw.withColumn("_ord", F.monotonically_increasing_id()), tz, keep=["_ord"])
+    rows = dedupe.keep_last(rows, ["usage_id"], ["_ord"]).drop("_ord")
+    upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date")
+    return spark.read.parquet(table_path).count()
+
+
 def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table_path: str, meta_path: str,
                 start: str, end: str, tz: str = DEFAULT_TZ) -> DataFrame:
     """Idempotent load of local days [start, end) into the usage table, then metadata.

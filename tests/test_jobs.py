@@ -54,3 +54,19 @@ def test_import_roster_merges_and_upserts(spark, scratch):
     assert out["duplicates"].count() > 0
     again = jobs.import_roster(spark, raw, path)
     assert again["roster"].count() == n
+
+
+def test_bulk_import_csv_last_row_wins(spark, scratch):
+    from adoptlens.catalog.ingest_q import _extract_text
+
+    ext = _extract_text(spark, SF001)
+    # the same ids appear again at the end of the file with another access point
+    again = ext.filter(F.trim("unique_usage_id").try_cast("long") % 20 == 0).withColumn("access_point", F.lit("changed"))
+    csv = f"{scratch}/extract_csv"
+    ext.unionByName(again).coalesce(1).write.option("header", True).csv(csv)
+    n = jobs.bulk_import(spark, csv, f"{scratch}/usage")
+    table = spark.read.parquet(f"{scratch}/usage")
+    assert n == table.count() == table.select("usage_id").distinct().count()
+    ids = [r[0].strip() for r in again.select("unique_usage_id").collect() if r[0].strip()]
+    changed = table.filter(F.col("usage_id").isin(ids)).select("access_point").distinct().collect()
+    assert [r[0] for r in changed] == ["changed"]
