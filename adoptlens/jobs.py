@@ -84,11 +84,12 @@ def import_roster(spark: SparkSession, raw_file: DataFrame, roster_path: str,
 
     ``raw_file`` must carry a file ordinal column ``ord_col`` (row order of the file).
     """
-    records = roster.records_from_file(raw_file, ord_col)
+    records = roster.records_from_file(raw_file, ord_col).withColumn("updated_at", F.current_timestamp())
     dups = roster.duplicate_emails(records)
     merged = roster.merge_duplicates(records, ord_col, roster.ROSTER_FIELDS + [
         c for c in ["workforce_id", "reporting_manager_name", "phase", "low_usage_warning",
-                    "training_attendance", "cohort_training_attendance", "notes"] if c in records.columns])
+                    "training_attendance", "cohort_training_attendance", "notes", "date_of_joining",
+                    "date_added", "updated_at"] if c in records.columns])
     stored = _read_or_none(lambda: spark.read.parquet(roster_path))
     result = roster.upsert(stored, merged) if stored is not None else merged
     _overwrite_via_stage(spark, result, roster_path)
@@ -120,10 +121,12 @@ def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table
     applies to a Spark job). The metadata step runs even when the window brought nothing.
     """
     events = enrich.normalize_events(window_events(raw, start, end, tz), tz)
-    rows = enrich.enrich_usage(events, roster_df)
+    # synced_at: first time the event was stored; a re-sync keeps it
+    rows = enrich.enrich_usage(events, roster_df).withColumn("synced_at", F.current_timestamp())
     n = rows.count()
     if n:
-        upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", keys_may_move=False)
+        upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", keys_may_move=False,
+                          keep_existing=["synced_at"])
     table = _read_or_none(lambda: spark.read.parquet(table_path))
     if table is None:
         return spark.createDataFrame([], "row_count bigint, min_date date, max_date date, last_sync_rows bigint")

@@ -40,7 +40,8 @@ def _partition_values(df: DataFrame, partition_col: str) -> set[str]:
 
 
 def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      order_cols: Sequence[str], partition_col: str, keys_may_move: bool = True) -> None:
+                      order_cols: Sequence[str], partition_col: str, keys_may_move: bool = True,
+                      keep_existing: Sequence[str] = ()) -> None:
     """Merge ``batch`` into the table at ``path``: per key the batch row wins (last one by
     ``order_cols`` inside the batch); other rows and untouched partitions stay as they are.
 
@@ -49,6 +50,9 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     table (column-pruned). Pass False when the partition value is a function of immutable
     key attributes (e.g. local date of the event time) — then only the batch's own
     partitions are read.
+
+    ``keep_existing``: columns whose stored value survives an update of the row (e.g. the
+    first-insert ``synced_at`` stamp); new keys take the batch's value.
     """
     keys = list(keys)
     batch_d = keep_last(batch, keys, list(order_cols))
@@ -69,7 +73,13 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     # the stored table is pruned to the touched partitions.
     touched = [r[0] for r in touched_df.distinct().collect()]
     affected = existing.filter(F.col(partition_col).isin(touched))
-    merged = affected.join(batch_keys, keys, "left_anti").unionByName(batch_d)
+    incoming = batch_d
+    if keep_existing:
+        old = affected.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep_existing])
+        incoming = batch_d.join(old, keys, "left").select(
+            *[F.coalesce(F.col(f"_old_{c}"), F.col(c)).alias(c) if c in keep_existing else F.col(c)
+              for c in existing.columns])
+    merged = affected.join(batch_keys, keys, "left_anti").unionByName(incoming)
     stage = scratch_path(spark, "upsert-stage")
     # REBALANCE: one writer group per partition value, but AQE splits a hot value
     # across tasks instead of funnelling it into one.

@@ -70,3 +70,14 @@ def test_bulk_import_csv_last_row_wins(spark, scratch):
     ids = [r[0].strip() for r in again.select("unique_usage_id").collect() if r[0].strip()]
     changed = table.filter(F.col("usage_id").isin(ids)).select("access_point").distinct().collect()
     assert [r[0] for r in changed] == ["changed"]
+
+
+def test_resync_keeps_first_synced_at(spark, scratch):
+    raw, roster = fx.raw_events(spark, SF001), fx.roster(spark, SF001)
+    table, meta = f"{scratch}/usage", f"{scratch}/meta"
+    jobs.sync_window(spark, raw, roster, table, meta, "2024-01-05", "2024-01-06")
+    first = {r.usage_id: r.synced_at for r in spark.read.parquet(table).select("usage_id", "synced_at").collect()}
+    jobs.sync_window(spark, raw, roster, table, meta, "2024-01-05", "2024-01-07")
+    after = {r.usage_id: r.synced_at for r in spark.read.parquet(table).select("usage_id", "synced_at").collect()}
+    assert all(after[k] == v for k, v in first.items())
+    assert len(after) > len(first)
