@@ -80,3 +80,22 @@ def test_full_refresh_sections_equal_live(spark, scratch):
                        ("adoption.kpis", A.adoption_kpis(A.roster_activity(r, u)))]:
         snap = SN.read_section(spark, scratch, name)
         assert sorted(map(tuple, snap.collect())) == sorted(map(tuple, live.collect())), name
+
+
+def test_public_api_matches_plans_and_uses_snapshot(spark, scratch):
+    from adoptlens import api
+
+    u, r = fx.usage(spark, SF001), fx.roster(spark, SF001)
+    b = api.get_dashboard_bundle(spark, u, practices=["AUTOMOBILE"], start_date="2024-01-05")
+    assert set(b) >= {"kpis", "timeline", "practice", "team", "location", "tools", "designation"}
+    page = api.get_usage_page(u, search="nation_1", page=2, page_size=10)
+    assert page["rows"].count() == 10 and page["total"].collect()[0][0] > 10
+    text = api.export_top_users_csv(u).collect()[0][0]
+    assert text.startswith("Rank,User Email,Workforce Name,Designation,Location,Actions,Files\n1,")
+    api.refresh_dashboard_cache(spark, u, r, scratch)
+    snap = api.get_top_users(spark, u, snapshot_root=scratch)
+    assert sorted(map(tuple, snap.collect())) == sorted(map(tuple, D.top_users(u).collect()))
+    rep = api.get_team_report_bundle(spark, r, u, "HOUSEHOLD", None, "2024-01-01", "2024-01-31")
+    assert rep["summary"].count() == 1 and rep["features"].count() == 6
+    ad = api.get_adoption_bundle(spark, r, u, snapshot_root=scratch)
+    assert ad["kpis"].collect() == A.adoption_kpis(A.roster_activity(r, u)).collect()
