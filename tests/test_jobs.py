@@ -81,3 +81,28 @@ def test_resync_keeps_first_synced_at(spark, scratch):
     after = {r.usage_id: r.synced_at for r in spark.read.parquet(table).select("usage_id", "synced_at").collect()}
     assert all(after[k] == v for k, v in first.items())
     assert len(after) > len(first)
+
+
+def test_stream_ingest_of_landed_documents(spark, scratch):
+    import json
+    import os
+
+    from adoptlens.streaming.ingest import ingest_documents
+
+    landing = f"{scratch}/landing".replace("file:", "")
+    os.makedirs(landing, exist_ok=True)
+    ev = lambda i, t: {"utc_time": t, "user": f" User{i % 7}@example.com ", "unique_usage_id": f"id{i}",
+                       "access_point": "web", "product_surface_area": "Assistant", "file_ids": ["a"] * (i % 3)}
+    docs = [[ev(i, f"2024-01-0{1 + i % 3}T1{i % 10}:00:00Z") for i in range(0, 20)],
+            [ev(i, f"2024-01-0{1 + i % 3}T1{i % 10}:00:00Z") for i in range(10, 30)]]  # ids 10-19 twice
+    for n, d in enumerate(docs):
+        with open(f"{landing}/doc{n}.json", "w") as fh:
+            json.dump({"events": d}, fh)
+    roster = fx.roster(spark, SF001)
+    q = ingest_documents(spark, landing, roster, f"{scratch}/usage", f"{scratch}/_ckpt")
+    q.awaitTermination()
+    t = spark.read.parquet(f"{scratch}/usage")
+    assert t.count() == 30 and t.select("usage_id").distinct().count() == 30
+    assert t.filter(F.col("user_email") == "user1@example.com").count() > 0
+    assert t.filter(F.col("workforce_name").isNotNull()).count() > 0  # roster matched
+    assert t.agg(F.sum("file_count")).collect()[0][0] == sum(i % 3 for i in range(30))
