@@ -59,12 +59,27 @@ def dedupe_stream(events: DataFrame, id_col: str, time_col: str, delay: str = "1
     return events.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([id_col])
 
 
+def has_fixed_offset(tz: str) -> bool:
+    z = ZoneInfo(tz)
+    return len({dt.datetime(2024, m, 15, tzinfo=z).utcoffset() for m in (1, 4, 7, 10)}) == 1
+
+
 def daily_counts(events: DataFrame, time_col: str, tz: str = DEFAULT_TZ, delay: str = "1 day") -> DataFrame:
-    """Events per local calendar day as a running aggregate."""
+    """Events per local calendar day as a running aggregate.
+
+    Fixed-offset zones use 1-day event-time windows shifted to local midnight (so append
+    mode and watermark state eviction work). Zones with daylight saving have 23/25-hour
+    days that no fixed window matches: they group by the computed local date instead
+    (update/complete mode).
+    """
+    session_tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
+    if not has_fixed_offset(tz):
+        local = F.convert_timezone(F.lit(session_tz), F.lit(tz), F.col(time_col).cast("timestamp_ntz"))
+        return (events.withWatermark(time_col, delay).groupBy(F.to_date(local).alias("usage_date"))
+                .agg(F.count(F.lit(1)).alias("events")))
     w = F.window(time_col, "1 day", "1 day", local_midnight_offset(tz))
     g = events.withWatermark(time_col, delay).groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("events"))
     # instant -> wall clock of the session zone -> wall clock of the local zone
-    session_tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
     local_start = F.convert_timezone(F.lit(session_tz), F.lit(tz), F.col("w.start").cast("timestamp_ntz"))
     return g.select(F.to_date(local_start).alias("usage_date"), "events")
 

@@ -106,3 +106,21 @@ def test_stream_ingest_of_landed_documents(spark, scratch):
     assert t.filter(F.col("user_email") == "user1@example.com").count() > 0
     assert t.filter(F.col("workforce_name").isNotNull()).count() > 0  # roster matched
     assert t.agg(F.sum("file_count")).collect()[0][0] == sum(i % 3 for i in range(30))
+
+
+def test_stream_daily_counts_dst_zone(spark, scratch):
+    from adoptlens.session import scratch_path
+    from adoptlens.streaming import ingest as S
+
+    assert S.has_fixed_offset("Asia/Kolkata") and not S.has_fixed_offset("America/New_York")
+    schema = spark.read.parquet(f"{SF001}/events.parquet").schema
+    src = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SF001)
+    ev = src.select(S.event_instant(spark, "ts").alias("event_ts"))
+    out = scratch_path(spark, "dst")
+    q = S.write_complete(S.daily_counts(ev, "event_ts", tz="America/New_York"), f"{out}/o", f"{out}/c")
+    q.awaitTermination()
+    got = {r.usage_date: r.events for r in spark.read.parquet(f"{out}/o").collect()}
+    e = spark.read.parquet(f"{SF001}/events.parquet")
+    local = F.to_date(F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), F.col("ts")))
+    exp = {r[0]: r[1] for r in e.groupBy(local).count().collect()}
+    assert got == exp
