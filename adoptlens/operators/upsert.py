@@ -41,7 +41,7 @@ def _partition_values(df: DataFrame, partition_col: str) -> set[str]:
 
 def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                       order_cols: Sequence[str], partition_col: str, keys_may_move: bool = True,
-                      keep_existing: Sequence[str] = ()) -> None:
+                      keep_existing: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
     """Merge ``batch`` into the table at ``path``: per key the batch row wins (last one by
     ``order_cols`` inside the batch); other rows and untouched partitions stay as they are.
 
@@ -53,11 +53,20 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
 
     ``keep_existing``: columns whose stored value survives an update of the row (e.g. the
     first-insert ``synced_at`` stamp); new keys take the batch's value.
+
+    ``cluster_by``: sort order inside each written file, so Parquet row-group statistics on
+    these columns let later filters skip row groups.
     """
     keys = list(keys)
     batch_d = keep_last(batch, keys, list(order_cols))
+    def layout(df: DataFrame) -> DataFrame:
+        # REBALANCE: one writer group per partition value, but AQE splits a hot value across
+        # tasks instead of funnelling it into one; then cluster rows inside each file.
+        df = df.hint("rebalance", partition_col)
+        return df.sortWithinPartitions(partition_col, *cluster_by) if cluster_by else df
+
     if not _exists(spark, path):
-        batch_d.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        layout(batch_d).write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return
     existing = spark.read.parquet(path)
     # The de-duplicated batch is written once to the shared checkpoint folder: every later
@@ -81,9 +90,7 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
               for c in existing.columns])
     merged = affected.join(batch_keys, keys, "left_anti").unionByName(incoming)
     stage = scratch_path(spark, "upsert-stage")
-    # REBALANCE: one writer group per partition value, but AQE splits a hot value
-    # across tasks instead of funnelling it into one.
-    merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(stage)
+    layout(merged).write.partitionBy(partition_col).parquet(stage)
     staged = spark.read.parquet(stage)
     staged_parts = _partition_values(staged, partition_col)
     (staged.select(*existing.columns).write.mode("overwrite")
