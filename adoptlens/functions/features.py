@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,17 +36,28 @@ def has_any_tool(product_area: Column | str, tools: list[str]) -> Column:
     return F.exists(parts, lambda t: F.array_contains(wanted, F.trim(t)))
 
 
-def feature_class(tool: Column | str) -> Column:
-    """Tool name -> feature key; first match wins; NULL when unmapped.
+# Feature classes in match order; a tool matching any pattern of a class
+# (lower-cased, trimmed, SQL LIKE) belongs to the first such class. The review class also
+# takes '%review%' unless the tool mentions '%workflow%'.
+FEATURE_PATTERNS = [
+    ("followups", ["%follow-up%", "%follow up%", "%followup%"]),
+    ("word_addin", ["%word%", "%add-in%", "%add in%"]),
+    ("workflow_runs", ["%workflow%"]),
+    ("playbook_runs", ["%playbook%"]),
+    ("review_table_columns", ["%review table%"]),
+    ("assistant_threads", ["%assistant%", "%thread%"]),
+]
 
-    Priority: follow-ups > word add-in > workflow > playbook > review table > assistant/thread.
-    """
+
+def feature_class(tool: Column | str) -> Column:
+    """Tool name -> feature key (first matching class in ``FEATURE_PATTERNS``); NULL when
+    unmapped. Pure JVM expression (CASE WHEN over LIKE), usable inside higher-order
+    functions."""
     t = F.lower(F.trim(_col(tool)))
-    return (
-        F.when(t.like("%follow-up%") | t.like("%follow up%") | t.like("%followup%"), F.lit("followups"))
-        .when(t.like("%word%") | t.like("%add-in%") | t.like("%add in%"), F.lit("word_addin"))
-        .when(t.like("%workflow%"), F.lit("workflow_runs"))
-        .when(t.like("%playbook%"), F.lit("playbook_runs"))
-        .when(t.like("%review table%") | (t.like("%review%") & ~t.like("%workflow%")), F.lit("review_table_columns"))
-        .when(t.like("%assistant%") | t.like("%thread%"), F.lit("assistant_threads"))
-    )
+    expr = None
+    for key, patterns in FEATURE_PATTERNS:
+        cond = reduce(lambda a, b: a | b, [t.like(p) for p in patterns])
+        if key == "review_table_columns":
+            cond = cond | (t.like("%review%") & ~t.like("%workflow%"))
+        expr = F.when(cond, F.lit(key)) if expr is None else expr.when(cond, F.lit(key))
+    return expr

@@ -14,8 +14,9 @@ from adoptlens.functions.features import tool_array
 from adoptlens.operators.filters import Filters, non_blank
 from adoptlens.plans.rollup import files, rows, weight
 
+# Labels for missing chart values and missing people attributes.
 UNKNOWN = "Unknown"
-DASH = "—"  # '—' placeholder for missing people attributes
+DASH = "—"
 
 # Chart caps of the reference.
 TOP_DIM = 7
