@@ -23,6 +23,7 @@ from adoptlens.operators.upsert import upsert_into_table
 from adoptlens.plans.dashboard import top_users
 from adoptlens.plans.sync import sync_metadata
 from adoptlens.session import remove_path, scratch_path
+from adoptlens.sources.tables import require_rows
 
 # Row order inside usage files: dashboard filters on practice/team skip row groups.
 USAGE_CLUSTER = ("practice", "team", "user_email")
@@ -60,6 +61,7 @@ def export_extract(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, ou
     (rows of the final extract whose user matched no roster name). Returns the audit, the
     extract's date range and the top-10 users as DataFrames.
     """
+    require_rows(roster_df, "roster")  # enrichment without a roster is an error, as in the reference
     base = out_dir.rstrip("/")
     chunk = window_events(raw, start, end, tz)
     events = enrich.normalize_events(chunk, tz)
@@ -123,6 +125,7 @@ def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table
     The daily run uses one day; a back-fill passes a longer window (no fetch-size limit
     applies to a Spark job). The metadata step runs even when the window brought nothing.
     """
+    require_rows(roster_df, "roster")
     events = enrich.normalize_events(window_events(raw, start, end, tz), tz)
     # synced_at: first time the event was stored; a re-sync keeps it
     rows = enrich.enrich_usage(events, roster_df).withColumn("synced_at", F.current_timestamp())
