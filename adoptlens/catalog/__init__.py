@@ -36,6 +36,7 @@ def load_all() -> None:
         adoption_q,
         dashboard_q,
         ingest_q,
+        jobs_q,
         merge_q,
         reconcile_q,
         report_q,

@@ -20,7 +20,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from adoptlens.catalog import QUERIES, load_all  # noqa: E402
 from adoptlens.session import build_session  # noqa: E402
 
-EXECUTES_ON_CALL = {"upsert_usage", "stream_ingest", "stream_dedupe", "stream_daily_counts"}
+EXECUTES_ON_CALL = {"upsert_usage", "stream_ingest", "stream_dedupe", "stream_daily_counts", "snapshot_top_users",
+                    "bulk_import_extract", "sync_backfill"}
 
 
 def shape(plan: str) -> dict[str, object]:
