@@ -49,14 +49,15 @@ def main() -> None:
     load_all()
     spark = build_session("local[8]", 16)
     cols = ["shuffles", "broadcasts", "smj", "bhj", "bnlj", "hash_agg", "sort_agg", "partial_agg", "window",
-            "group_limit", "topk", "pushed"]
+            "group_limit", "topk", "pushed", "aqe_smj", "aqe_bhj"]
     lines = [
         "# Physical plan shapes",
         "",
         f"Generated by `scripts/plan_report.py` on `{sf}` (pre-execution plans; AQE may still turn",
         "a sort-merge join into a broadcast join at run time when the measured side is small).",
         "`partial_agg` counts map-side partial aggregate functions; `group_limit` counts partial",
-        "WindowGroupLimit nodes (per-key top-1 before the shuffle).",
+        "WindowGroupLimit nodes (per-key top-1 before the shuffle). `aqe_smj` / `aqe_bhj` are the",
+        "join strategies of the final adaptive plan after the query ran (size-checked at run time).",
         "",
         "| key | " + " | ".join(cols) + " |",
         "|---|" + "---|" * len(cols),
@@ -68,6 +69,9 @@ def main() -> None:
         df = QUERIES[key](spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = shape(plan)
+        df.collect()  # same QueryExecution: its adaptive plan is final afterwards
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        s["aqe_smj"], s["aqe_bhj"] = len(re.findall(r"SortMergeJoin", final)), len(re.findall(r"BroadcastHashJoin", final))
         lines.append(f"| {key} | " + " | ".join(str(s[c]) for c in cols) + " |")
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(out, "w") as fh:
