@@ -3,7 +3,6 @@ results pass through the same oracle comparison as the pure queries."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from adoptlens import jobs
 from adoptlens.catalog import ORACLES, register

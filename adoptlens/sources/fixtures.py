@@ -19,6 +19,15 @@ def _email(key: Column) -> Column:
     return F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com"))
 
 
+def _designation(acctbal: Column) -> Column:
+    return F.when(acctbal < 0, "Trainee").when(acctbal < 5000, "Associate").otherwise("Partner")
+
+
+def _raw_status(k8: Column) -> Column:
+    return (F.when(k8 == 4, "Revoked - low usage").when(k8 == 5, "User Resigned")
+            .when(k8 == 6, F.lit(None).cast("string")).when(k8 == 7, "Requested").otherwise("Added"))
+
+
 def roster_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roster rows as they arrive from the master file (raw status, no derived state)."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -34,11 +43,8 @@ def roster_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("c_mktsegment")).alias("practice"),
         F.when(k % 19 == 5, F.lit(None).cast("string"))
         .otherwise(F.concat(F.col("c_mktsegment"), F.lit("-"), (k % 4).cast("string"))).alias("team"),
-        F.when(F.col("c_acctbal") < 0, "Trainee").when(F.col("c_acctbal") < 5000, "Associate")
-        .otherwise("Partner").alias("designation"),
-        F.when(k % 8 == 4, "Revoked - low usage").when(k % 8 == 5, "User Resigned")
-        .when(k % 8 == 6, F.lit(None).cast("string")).when(k % 8 == 7, "Requested")
-        .otherwise("Added").alias("raw_status"),
+        _designation(F.col("c_acctbal")).alias("designation"),
+        _raw_status(k % 8).alias("raw_status"),
         k.alias("src_ord"),
     )
 
@@ -148,11 +154,8 @@ def roster_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("location"),
         F.col("c_mktsegment").alias("practice"),
         F.lit("").alias("team"),
-        F.when(F.col("c_acctbal") < 0, "Trainee").when(F.col("c_acctbal") < 5000, "Associate")
-        .otherwise("Partner").alias("designation"),
-        F.when(shifted == 4, "Revoked - low usage").when(shifted == 5, "User Resigned")
-        .when(shifted == 6, F.lit(None).cast("string")).when(shifted == 7, "Requested")
-        .otherwise("Added").alias("raw_status"),
+        _designation(F.col("c_acctbal")).alias("designation"),
+        _raw_status(shifted).alias("raw_status"),
         (k * 2 + 1).alias("src_ord"),
     )
     return orig.unionByName(copies).withColumn("access_state", access_state("raw_status"))

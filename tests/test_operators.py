@@ -3,7 +3,6 @@
 import json
 import random
 
-from pyspark.sql import functions as F
 
 from adoptlens.functions.access import STATE_RANK
 from adoptlens.operators import dedupe as DD
