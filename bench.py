@@ -91,6 +91,15 @@ def main() -> None:
     }
     for name, fn in reports.items():
         run(name, fn)
+
+    # read paths: unfiltered sections from the snapshot, filtered reports from the rollup
+    run("snapshot_read_dashboard.kpis", lambda: SN.read_section(spark, snap_root, "dashboard.kpis"))
+    for section in ["dashboard.timeline", "dashboard.tools", "top_users", "adoption.kpis"]:
+        run(f"snapshot_read_{section}", lambda s=section: SN.read_section(spark, snap_root, s))
+    rollup = spark.read.parquet(f"{snap_root}/version={SN.current_version(spark, snap_root)}/section=usage_rollup")
+    run("rollup_dashboard_kpis_filtered", lambda: D.kpis(filt.apply(rollup)))
+    run("rollup_top_users_filtered", lambda: D.top_users(filt.apply(rollup)))
+    run("rollup_adoption_kpis", lambda: A.adoption_kpis(A.roster_activity(roster, rollup)))
     for key in ["dedupe_last", "merge_extract", "roster_merge", "reconcile_summary", "reconcile_fields",
                 "export_usage_lines", "sync_metadata", "upsert_usage", "stream_ingest"]:
         run(key, lambda k=key: QUERIES[k](spark, sf_dir))
