@@ -49,6 +49,22 @@ def norm(v):
     return str(v)
 
 
+SPARK_KIND = {"IntegerType": "int32", "LongType": "int64", "ShortType": "int16", "ByteType": "int8",
+              "DoubleType": "float64", "FloatType": "float32", "StringType": "string", "BooleanType": "bool",
+              "DateType": "date", "TimestampNTZType": "timestamp", "TimestampType": "timestamptz"}
+DUCK_KIND = {"INTEGER": "int32", "BIGINT": "int64", "SMALLINT": "int16", "TINYINT": "int8", "DOUBLE": "float64",
+             "FLOAT": "float32", "VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date", "TIMESTAMP": "timestamp",
+             "TIMESTAMP WITH TIME ZONE": "timestamptz", "HUGEINT": "int128"}
+
+
+def spark_kinds(schema):
+    return {f.name: SPARK_KIND.get(type(f.dataType).__name__, type(f.dataType).__name__) for f in schema.fields}
+
+
+def duck_kinds(rel):
+    return {d[0]: DUCK_KIND.get(str(d[1]), str(d[1])) for d in rel.description}
+
+
 def digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted("|".join(norm(r[i]) for i in order) for r in rows)
@@ -88,6 +104,7 @@ def main():
             continue
         try:
             rel = con.execute(ORACLES[k])
+            dkinds = duck_kinds(rel)
             dcols = [d[0] for d in rel.description]
             drows = rel.fetchall()
         except Exception as e:  # noqa: BLE001
@@ -108,7 +125,10 @@ def main():
                 print("   duck  only:", x[:200])
             bad += 1
         else:
-            print(f"ok   {k}: {len(srows)} rows {ts:.1f}s")
+            skinds = spark_kinds(sdf.schema)
+            diff = {c: (skinds[c], dkinds.get(c)) for c in skinds if skinds[c] != dkinds.get(c)}
+            note = f"  TYPES {diff}" if diff else ""
+            print(f"ok   {k}: {len(srows)} rows {ts:.1f}s{note}")
             ok += 1
     print(f"SUMMARY ok={ok} fail={bad} rows_only={weak} total={len(keys)}")
     spark.stop()
