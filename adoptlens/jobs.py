@@ -46,6 +46,13 @@ def _overwrite_via_stage(spark: SparkSession, df: DataFrame, path: str, fmt: str
     remove_path(spark, stage)
 
 
+def keyed_roster(roster_df: DataFrame) -> DataFrame:
+    """One row per e-mail before any join, so duplicated roster rows can never fan out
+    events (the first row by its other columns wins; use ``roster.merge_duplicates`` with a
+    file ordinal for the full precedence rules)."""
+    return dedupe.keep_first(roster_df.filter(F.col("email").isNotNull()), ["email"], [])
+
+
 def window_events(raw: DataFrame, start: str | dt.date, end: str | dt.date, tz: str = DEFAULT_TZ) -> DataFrame:
     """Raw events of local days [start, end): predicate on the stored instant (pushed down)."""
     return raw.filter(window_predicate("utc_time", start, end, tz))
@@ -67,7 +74,7 @@ def export_extract(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, ou
     events = enrich.normalize_events(chunk, tz)
     # overlapping fetches: first occurrence of an id wins
     events = dedupe.keep_first(events, ["usage_id"], [order_col])
-    new = enrich.enrich_usage(events, roster_df)
+    new = enrich.enrich_usage(events, keyed_roster(roster_df))
     final = new
     if append:
         stored = _read_or_none(lambda: spark.read.parquet(f"{base}/extract"))
@@ -128,7 +135,7 @@ def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table
     require_rows(roster_df, "roster")
     events = enrich.normalize_events(window_events(raw, start, end, tz), tz)
     # synced_at: first time the event was stored; a re-sync keeps it
-    rows = enrich.enrich_usage(events, roster_df).withColumn("synced_at", F.current_timestamp())
+    rows = enrich.enrich_usage(events, keyed_roster(roster_df)).withColumn("synced_at", F.current_timestamp())
     n = rows.count()
     if n:
         upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", keys_may_move=False,

@@ -124,3 +124,10 @@ def test_stream_daily_counts_dst_zone(spark, scratch):
     local = F.to_date(F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), F.col("ts")))
     exp = {r[0]: r[1] for r in e.groupBy(local).count().collect()}
     assert got == exp
+
+
+def test_duplicated_roster_rows_do_not_fan_out(spark, scratch):
+    raw, roster = fx.raw_events(spark, SF001), fx.roster(spark, SF001)
+    doubled = roster.unionByName(roster)
+    out = jobs.export_extract(spark, raw, doubled, scratch, "2024-01-01", "2024-02-01", append=False, archive=False)
+    assert out["extract"].count() == out["extract"].select("usage_id").distinct().count()
