@@ -77,3 +77,17 @@ def test_rollup_reports_equal_raw_under_skew(spark):
     assert D.kpis(r).collect() == D.kpis(u).collect()
     assert sorted(map(tuple, D.top_tools_with_other(r).collect())) == \
         sorted(map(tuple, D.top_tools_with_other(u).collect()))
+
+
+def test_roster_broadcast_only_behind_size_check(spark):
+    from adoptlens.operators.enrich import enrich_usage, normalize_events
+    from adoptlens.operators.joins import checked_broadcast
+
+    roster = fx.roster(spark, SF001)
+    _, ok = checked_broadcast(roster, max_rows=10)
+    assert not ok  # more than 10 people: no broadcast
+    side, ok = checked_broadcast(roster)
+    assert ok
+    events = normalize_events(fx.raw_events(spark, SF001))
+    plan = _plan(enrich_usage(events, roster))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
