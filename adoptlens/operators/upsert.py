@@ -74,7 +74,12 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     batch_path = scratch_path(spark, "upsert-batch")
     batch_d.select(*existing.columns).write.parquet(batch_path)
     batch_d = spark.read.parquet(batch_path)
-    batch_keys = batch_d.select(*keys)
+    # The batch's keys are usually far smaller than the stored table: broadcast them (after
+    # a bounded size check) so neither the key scan of the table nor the touched
+    # partitions are shuffled; a huge batch falls back to shuffled joins.
+    from adoptlens.operators.joins import checked_broadcast
+
+    batch_keys, _ = checked_broadcast(batch_d.select(*keys), max_rows=20_000_000, max_bytes=1024 * 1024 * 1024)
     touched_df = batch_d.select(partition_col)
     if keys_may_move:
         touched_df = touched_df.union(existing.join(batch_keys, keys, "left_semi").select(partition_col))
