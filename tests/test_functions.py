@@ -109,3 +109,26 @@ def test_coercion(spark):
 def test_compare_value(spark):
     df = spark.createDataFrame([(" a ",), ("2024-01-01 00:00:00+00:00",), (None,)], "s string")
     assert [r[0] for r in df.select(compare_value("s")).collect()] == ["a", "2024-01-01 00:00:00", ""]
+
+
+def test_local_month_window_boundaries(spark):
+    from adoptlens.functions.calendar import window_predicate
+
+    times = ["2026-03-31 18:29:59", "2026-03-31 18:30:00", "2026-04-30 18:29:59", "2026-04-30 18:30:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
+    start, end = month_window("2026-04")
+    inside = [str(r[0]) for r in df.filter(window_predicate("ts", start, end)).orderBy("ts").collect()]
+    # local April = [2026-03-31 18:30 UTC, 2026-04-30 18:30 UTC)
+    assert inside == ["2026-03-31 18:30:00", "2026-04-30 18:29:59"]
+
+
+def test_search_wildcards_on_literal_frame(spark):
+    from adoptlens.operators.filters import Filters
+
+    df = spark.createDataFrame(
+        [("a@x", "NATION_1"), ("b@x", "nation 1"), ("c@x", "NATION_10"), ("d@x", "other"), ("e@x", None)],
+        "user_email string, location string")
+    hits = lambda s: sorted(r[0] for r in Filters(search=s).apply(df, instant_col=None).collect())
+    assert hits("  NaTion_1 ") == ["a@x", "b@x", "c@x"]   # '_' matches any one character
+    assert hits("nation\\_1") == ["a@x", "c@x"]           # escaped: a literal underscore
+    assert hits("") == ["a@x", "b@x", "c@x", "d@x", "e@x"]

@@ -99,3 +99,21 @@ def test_public_api_matches_plans_and_uses_snapshot(spark, scratch):
     assert rep["summary"].count() == 1 and rep["features"].count() == 6
     ad = api.get_adoption_bundle(spark, r, u, snapshot_root=scratch)
     assert ad["kpis"].collect() == A.adoption_kpis(A.roster_activity(r, u)).collect()
+
+
+def test_tool_named_other_is_not_merged(spark):
+    rows = [("u1", "Other")] * 3 + [(f"u{i}", f"T{i}") for i in range(12)]
+    df = spark.createDataFrame(rows, "user_email string, product_area string")
+    top = D.top_tools_with_other(df).collect()
+    labels = [(r.label, r.is_other) for r in top]
+    assert ("Other", False) in labels and ("Other", True) in labels
+    assert top[-1].is_other and sum(r.value for r in top) == 15
+
+
+def test_stream_result_equals_batch_result(spark):
+    from adoptlens.catalog import QUERIES, load_all
+
+    load_all()
+    streamed = QUERIES["stream_ingest"](spark, SF001)
+    batch = fx.usage(spark, SF001).select(*streamed.columns)
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
