@@ -26,7 +26,8 @@ def is_rollup(df: DataFrame) -> bool:
 
 def rows(df: DataFrame) -> Column:
     """Aggregate expression: number of underlying events."""
-    return F.sum(WEIGHT).cast("bigint") if is_rollup(df) else F.count(F.lit(1))
+    # coalesce: over no rows count(*) is 0 while sum() is NULL
+    return F.coalesce(F.sum(WEIGHT), F.lit(0)).cast("bigint") if is_rollup(df) else F.count(F.lit(1))
 
 
 def rows_if(df: DataFrame, cond: Column) -> Column:

@@ -50,6 +50,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def scale_settings(input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024,
+                   max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of input.
+
+    AQE coalesces small shuffle partitions after each stage, so the initial number only has
+    to be large enough that no partition of the largest shuffle exceeds the target size
+    (spill-free sorts and aggregations); it is derived from the input volume.
+    """
+    n = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster; set a local one only when unset."""
     current = spark.conf.get("spark.checkpoint.dir", None)

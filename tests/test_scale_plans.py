@@ -91,3 +91,29 @@ def test_roster_broadcast_only_behind_size_check(spark):
     events = normalize_events(fx.raw_events(spark, SF001))
     plan = _plan(enrich_usage(events, roster))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_rollup_equals_raw_for_random_filters(spark):
+    import random
+
+    from adoptlens.plans import adoption as A
+
+    u = fx.usage(spark, SF001).persist()
+    r = usage_rollup(u).persist()
+    rnd = random.Random(11)
+    dims = {"practices": ["AUTOMOBILE", "BUILDING", "HOUSEHOLD", ""], "accesses": ["click", "view", "error"],
+            "designations": ["Associate", "Partner", "Trainee"], "products": ["Vault", "Assistant", "Thread"]}
+    roster = fx.roster(spark, SF001)
+    for _ in range(5):
+        kw = {k: rnd.sample(v, rnd.randint(1, 2)) for k, v in dims.items() if rnd.random() < 0.5}
+        day = rnd.randint(1, 20)
+        f = Filters(start_date=f"2024-01-{day:02d}", end_date=f"2024-01-{day + rnd.randint(0, 9):02d}",
+                    search=rnd.choice([None, "nation_1", "user1"]), **kw)
+        fr, fu = f.apply(r), f.apply(u)
+        assert D.kpis(fr).collect() == D.kpis(fu).collect(), f
+        assert sorted(map(tuple, D.top_users(fr).collect())) == sorted(map(tuple, D.top_users(fu).collect())), f
+        assert sorted(map(tuple, D.tool_counts(fr).collect())) == sorted(map(tuple, D.tool_counts(fu).collect())), f
+        assert sorted(map(tuple, D.timeline(fr).collect())) == sorted(map(tuple, D.timeline(fu).collect())), f
+    assert A.adoption_kpis(A.roster_activity(roster, r)).collect() == A.adoption_kpis(A.roster_activity(roster, u)).collect()
+    u.unpersist()
+    r.unpersist()
