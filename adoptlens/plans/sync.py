@@ -23,7 +23,7 @@ def sync_metadata(usage: DataFrame, last_sync_rows: int | None = None) -> DataFr
     The true maximum date is used (NULL dates never win).
     """
     d = _per_day(usage)
-    b = d.agg(F.sum("cnt").cast("bigint").alias("row_count"), F.min("day").alias("min_date"),
+    b = d.agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("row_count"), F.min("day").alias("min_date"),
               F.max("day").alias("max_date"))
     if last_sync_rows is not None:
         return b.withColumn("last_sync_rows", F.lit(int(last_sync_rows)).cast("bigint"))

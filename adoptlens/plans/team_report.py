@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adoptlens.functions.calendar import DEFAULT_TZ
 from adoptlens.functions.access import GRANTED, PENDING, RESIGNED, REVOKED, status_note
 from adoptlens.functions.features import FEATURE_KEYS, FEATURES, feature_class, tool_array
 from adoptlens.functions.numeric import pct, ratio
@@ -47,7 +48,7 @@ def roster_scope(roster: DataFrame, practice: str, team: str | None = None) -> D
     return r.filter(F.col("team") == team) if _team_set(team) else r
 
 
-def usage_scope(usage: DataFrame, practice: str, team: str | None, start, end) -> DataFrame:
+def usage_scope(usage: DataFrame, practice: str, team: str | None, start, end, tz: str = DEFAULT_TZ) -> DataFrame:
     u = usage.filter((F.col("practice") == practice) & F.col("user_email").isNotNull())
     if _team_set(team):
         u = u.filter(F.col("team") == team)
@@ -55,7 +56,7 @@ def usage_scope(usage: DataFrame, practice: str, team: str | None, start, end) -
     u = u.filter((F.col("usage_date") >= F.lit(s)) & (F.col("usage_date") <= F.lit(e)))
     if "utc_time" in usage.columns:  # same bounds on the stored instant (Parquet pushdown)
         from adoptlens.functions.calendar import window_predicate
-        u = u.filter(window_predicate("utc_time", s, e + dt.timedelta(days=1)))
+        u = u.filter(window_predicate("utc_time", s, e + dt.timedelta(days=1), tz))
     return u
 
 
@@ -189,11 +190,11 @@ def report_meta(spark: SparkSession, usage_f: DataFrame, practice: str, team: st
 
 
 def build(spark: SparkSession, roster: DataFrame, usage: DataFrame, practice: str, team: str | None,
-          start, end) -> dict[str, DataFrame]:
-    """All sections of the report; the usage scope is cached when several are requested."""
+          start, end, tz: str = DEFAULT_TZ) -> dict[str, DataFrame]:
+    """All sections of the report (each a lazy DataFrame over the same scoped inputs)."""
     validate(practice, start, end)
     hr = roster_scope(roster, practice, team)
-    uf_scope = usage_scope(usage, practice, team, start, end)
+    uf_scope = usage_scope(usage, practice, team, start, end, tz)
     uf = user_features(uf_scope)
     return {
         "meta": report_meta(spark, uf_scope, practice, team, start, end, generated_at=True),

@@ -117,3 +117,19 @@ def test_stream_result_equals_batch_result(spark):
     streamed = QUERIES["stream_ingest"](spark, SF001)
     batch = fx.usage(spark, SF001).select(*streamed.columns)
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_empty_inputs_give_zero_counts(spark):
+    from adoptlens.plans import sync as S
+    from adoptlens.plans import team_report as T
+    from adoptlens.plans.rollup import usage_rollup
+
+    u = fx.usage(spark, SF001).filter(F.lit(False))
+    for frame in (u, usage_rollup(u)):
+        m = S.sync_metadata(frame).collect()[0]
+        assert m.row_count == 0 and m.last_sync_rows == 0 and m.max_date is None
+        k = D.kpis(frame).collect()[0]
+        assert (k.active_users, k.total_actions, k.practice_areas) == (0, 0, 0)
+        assert D.timeline(frame).count() == 0 and D.top_tools_with_other(frame).count() == 0
+    s = T.report_summary(fx.roster(spark, SF001).filter(F.lit(False)), T.user_features(u), u).collect()[0]
+    assert s.top_user_name == "—" and s.top_user_actions == 0 and s.adoption_rate == 0.0
