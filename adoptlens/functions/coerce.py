@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from adoptlens.functions.text import clean_text
 
@@ -29,12 +28,6 @@ def lenient_int(c: Column | str, default: int | None = None, numeric_input: bool
     return F.coalesce(out, F.lit(default).cast("int")) if default is not None else out
 
 
-def lenient_int_for(df_schema, name: str, default: int | None = None) -> Column:
-    """``lenient_int`` choosing the numeric path from the column's type."""
-    numeric = isinstance(df_schema[name].dataType, NumericType)
-    return lenient_int(name, default, numeric_input=numeric)
-
-
 def lenient_date(c: Column | str, formats: list[str] = DATE_FORMATS) -> Column:
     """First format that parses the stripped text; NULL when none does."""
     s = clean_text(c)

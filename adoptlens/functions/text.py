@@ -30,11 +30,6 @@ def normalize_email(c: Column | str) -> Column:
     return F.lower(clean_text(c))
 
 
-def first_non_blank(*cols: Column | str) -> Column:
-    """First alternative that is non-NULL and non-blank after cleaning."""
-    return F.coalesce(*[clean_text(c) for c in cols])
-
-
 def compare_value(c: Column | str) -> Column:
     """Normalise a value for extract reconciliation.
 

@@ -133,3 +133,24 @@ def test_empty_inputs_give_zero_counts(spark):
         assert D.timeline(frame).count() == 0 and D.top_tools_with_other(frame).count() == 0
     s = T.report_summary(fx.roster(spark, SF001).filter(F.lit(False)), T.user_features(u), u).collect()[0]
     assert s.top_user_name == "—" and s.top_user_actions == 0 and s.adoption_rate == 0.0
+
+
+def test_remaining_api_functions(spark, scratch):
+    from adoptlens import api
+    from adoptlens.session import scale_settings
+    from adoptlens.streaming.ingest import refresh_metadata
+
+    u, r = fx.usage(spark, SF001), fx.roster(spark, SF001)
+    lines = api.export_usage_csv(u, accesses=["click"])
+    assert lines.filter("sort_key = 0").count() == 1
+    assert lines.count() == 1 + u.filter(F.col("access_point") == "click").count()
+    opts = api.get_filter_options(spark, u)
+    assert set(opts) == {"values", "products", "teams_by_practice"} and opts["products"].count() > 0
+    assert api.get_adoption_filter_options(r).filter("dimension = 'teams'").count() > 0
+    u.write.parquet(f"{scratch}/usage")
+    refresh_metadata(spark, f"{scratch}/usage", f"{scratch}/meta", last_sync_rows=7)
+    info = api.get_sync_info(spark, f"{scratch}/meta").collect()[0]
+    assert info.row_count == u.count() and info.last_sync_rows == 7
+    conf = scale_settings(100 * 1024 ** 4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(scale_settings(10 * 1024 ** 3)["spark.sql.shuffle.partitions"]) == 200
