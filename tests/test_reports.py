@@ -154,3 +154,20 @@ def test_remaining_api_functions(spark, scratch):
     conf = scale_settings(100 * 1024 ** 4)
     assert int(conf["spark.sql.shuffle.partitions"]) == 200_000
     assert int(scale_settings(10 * 1024 ** 3)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_earliest_equals_sorted_limit(spark):
+    from adoptlens.plans.export import earliest
+
+    u = fx.usage(spark, SF001).select("usage_id", "utc_time")
+    with_nulls = u.withColumn("utc_time", F.when(F.col("usage_id").cast("int") % 50 == 0, F.lit(None))
+                              .otherwise(F.col("utc_time")))
+    for df in (u, with_nulls):
+        n = df.count()
+        for k in (1, 7, 333, n - 5, n, n + 3):
+            exp = df.orderBy(F.asc_nulls_last("utc_time"), "usage_id").limit(k).collect()
+            assert sorted(map(tuple, earliest(df, k).collect()), key=str) == sorted(map(tuple, exp), key=str), k
+    sparse = with_nulls.filter(F.col("utc_time").isNull() | (F.col("usage_id").cast("int") < 40))
+    m = sparse.filter(F.col("utc_time").isNotNull()).count()
+    got = earliest(sparse, m + 3).collect()
+    assert len(got) == m + 3 and sum(r.utc_time is None for r in got) == 3
