@@ -126,11 +126,13 @@ def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = D
 
 
 def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table_path: str, meta_path: str,
-                start: str, end: str, tz: str = DEFAULT_TZ) -> DataFrame:
+                start: str, end: str, tz: str = DEFAULT_TZ, snapshot_root: str | None = None) -> DataFrame:
     """Idempotent load of local days [start, end) into the usage table, then metadata.
 
     The daily run uses one day; a back-fill passes a longer window (no fetch-size limit
     applies to a Spark job). The metadata step runs even when the window brought nothing.
+    With ``snapshot_root`` the dashboard snapshot is refreshed incrementally: only the local
+    days this sync touched are re-aggregated.
     """
     require_rows(roster_df, "roster")
     events = enrich.normalize_events(window_events(raw, start, end, tz), tz)
@@ -145,4 +147,9 @@ def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table
         return spark.createDataFrame([], "row_count bigint, min_date date, max_date date, last_sync_rows bigint")
     meta = sync_metadata(table, n).withColumn("last_sync", F.current_timestamp())
     _overwrite_via_stage(spark, meta, meta_path)
+    if snapshot_root and n:
+        from adoptlens.plans import snapshots
+
+        touched = [r[0] for r in rows.select("usage_date").distinct().collect()]  # a few dates
+        snapshots.refresh_incremental(spark, table, keyed_roster(roster_df), snapshot_root, touched)
     return spark.read.parquet(meta_path)

@@ -39,6 +39,26 @@ def unfiltered_sections(spark: SparkSession, usage: DataFrame, roster: DataFrame
     return sections
 
 
+def _write_sections(spark: SparkSession, base: str, sections: dict[str, DataFrame], parallel_jobs: int) -> None:
+    """Sections are small, independent jobs: submit them concurrently so the cluster runs
+    them side by side instead of one after another."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(item):
+        name, df = item
+        df.write.mode("overwrite").parquet(f"{base}/section={name}")
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_jobs, len(sections)))) as pool:
+        list(pool.map(write, sections.items()))
+
+
+def _publish(spark: SparkSession, root: str, version: str) -> None:
+    """Make ``version`` current by replacing the one-line pointer (written last)."""
+    pointer = spark.createDataFrame([(version, dt.datetime.now(dt.timezone.utc).isoformat())],
+                                    "version string, refreshed_at string")
+    pointer.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
+
+
 def refresh(spark: SparkSession, usage: DataFrame, roster: DataFrame, root: str,
             sections: dict[str, DataFrame] | None = None, parallel_jobs: int = 8) -> str:
     """Write a new snapshot version and make it current; returns the version id.
@@ -55,19 +75,35 @@ def refresh(spark: SparkSession, usage: DataFrame, roster: DataFrame, root: str,
         usage_rollup(usage).write.mode("overwrite").parquet(rollup_path)
         r = spark.read.parquet(rollup_path)
         sections = unfiltered_sections(spark, r, roster, dashboard.dimension_counts(r))
-    # Sections are small, independent jobs: submit them concurrently so the cluster runs
-    # them side by side instead of one after another.
-    from concurrent.futures import ThreadPoolExecutor
+    _write_sections(spark, base, sections, parallel_jobs)
+    _publish(spark, root, version)
+    return version
 
-    def write(item):
-        name, df = item
-        df.write.mode("overwrite").parquet(f"{base}/section={name}")
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel_jobs, len(sections)))) as pool:
-        list(pool.map(write, sections.items()))
-    pointer = spark.createDataFrame([(version, dt.datetime.now(dt.timezone.utc).isoformat())],
-                                    "version string, refreshed_at string")
-    pointer.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
+def refresh_incremental(spark: SparkSession, usage: DataFrame, roster: DataFrame, root: str,
+                        touched_dates: list, parallel_jobs: int = 8) -> str:
+    """New snapshot version after a sync that changed only ``touched_dates``.
+
+    The previous version's rollup keeps its rows for every other date; the touched dates
+    are re-aggregated from usage (a partition-pruned read of those days only). All sections
+    are then rebuilt from the new rollup, so the cost is O(touched days + rollup), not
+    O(usage). Falls back to a full refresh when there is no previous version.
+    """
+    previous = read_section(spark, root, "usage_rollup")
+    if previous is None:
+        return refresh(spark, usage, roster, root, parallel_jobs=parallel_jobs)
+    dates = [d for d in touched_dates if d is not None]
+    keep = previous.filter(~F.col("usage_date").isin(dates) if dates else F.lit(True))
+    fresh = usage_rollup(usage.filter(F.col("usage_date").isin(dates))) if dates else None
+    version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    base = f"{root.rstrip('/')}/version={version}"
+    rollup_path = f"{base}/section=usage_rollup"
+    merged = keep.unionByName(fresh.select(*keep.columns)) if fresh is not None else keep
+    merged.write.mode("overwrite").parquet(rollup_path)
+    r = spark.read.parquet(rollup_path)
+    sections = unfiltered_sections(spark, r, roster, dashboard.dimension_counts(r))
+    _write_sections(spark, base, sections, parallel_jobs)
+    _publish(spark, root, version)
     return version
 
 

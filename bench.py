@@ -34,6 +34,7 @@ def main() -> None:
     from adoptlens.plans import team_report as T
     from adoptlens.session import build_session, scratch_path
     from adoptlens.sources import fixtures as fx
+    from pyspark.sql import functions as F
 
     spark = build_session(f"local[{cpus}]", int(cpus) * 2, app_name="adoptlens-bench")
     load_all()
@@ -71,6 +72,13 @@ def main() -> None:
     roster = fx.roster(spark, sf_dir)
     run("snapshot_refresh", lambda: SN.refresh(spark, usage, roster, snap_root) and None)
 
+    # nightly refresh after a one-day sync: only that day is re-aggregated
+    import datetime as _dt
+
+    last_day = usage.agg(F.max("usage_date")).first()[0] or _dt.date(2024, 1, 1)
+    run("snapshot_refresh_incremental",
+        lambda: SN.refresh_incremental(spark, usage, roster, snap_root, [last_day]) and None)
+
     filt = Filters(practices=["AUTOMOBILE", "BUILDING"], accesses=["click", "view"],
                    start_date="2024-01-10", end_date="2024-01-20")
     reports = {

@@ -131,3 +131,17 @@ def test_duplicated_roster_rows_do_not_fan_out(spark, scratch):
     doubled = roster.unionByName(roster)
     out = jobs.export_extract(spark, raw, doubled, scratch, "2024-01-01", "2024-02-01", append=False, archive=False)
     assert out["extract"].count() == out["extract"].select("usage_id").distinct().count()
+
+
+def test_sync_refreshes_snapshot_incrementally(spark, scratch):
+    from adoptlens.plans import dashboard as D
+    from adoptlens.plans import snapshots as SN
+
+    raw, roster = fx.raw_events(spark, SF001), fx.roster(spark, SF001)
+    table, meta, snap = f"{scratch}/usage", f"{scratch}/meta", f"{scratch}/snap"
+    jobs.sync_window(spark, raw, roster, table, meta, "2024-01-01", "2024-01-10", snapshot_root=snap)
+    jobs.sync_window(spark, raw, roster, table, meta, "2024-01-10", "2024-01-12", snapshot_root=snap)
+    t = spark.read.parquet(table)
+    assert SN.read_section(spark, snap, "dashboard.kpis").collect() == D.kpis(t).collect()
+    assert sorted(map(tuple, SN.read_section(spark, snap, "top_users").collect())) == \
+        sorted(map(tuple, D.top_users(t).collect()))

@@ -171,3 +171,21 @@ def test_earliest_equals_sorted_limit(spark):
     m = sparse.filter(F.col("utc_time").isNotNull()).count()
     got = earliest(sparse, m + 3).collect()
     assert len(got) == m + 3 and sum(r.utc_time is None for r in got) == 3
+
+
+def test_incremental_refresh_equals_full_refresh(spark, scratch):
+    import datetime as dt
+
+    u1, r = fx.usage(spark, SF001), fx.roster(spark, SF001)
+    SN.refresh(spark, u1, r, f"{scratch}/inc")
+    d5, d6 = dt.date(2024, 1, 5), dt.date(2024, 1, 6)
+    # a later sync removed day 5's events and re-labelled day 6's access points
+    u2 = (u1.filter(F.col("usage_date") != d5)
+          .withColumn("access_point", F.when(F.col("usage_date") == d6, F.lit("resynced")).otherwise(F.col("access_point"))))
+    SN.refresh_incremental(spark, u2, r, f"{scratch}/inc", [d5, d6])
+    SN.refresh(spark, u2, r, f"{scratch}/full")
+    for name in ["usage_rollup", "dashboard.kpis", "dashboard.timeline", "dashboard.location", "top_users",
+                 "filter_options", "adoption.kpis", "dashboard.tools"]:
+        inc = SN.read_section(spark, f"{scratch}/inc", name)
+        full = SN.read_section(spark, f"{scratch}/full", name)
+        assert sorted(map(tuple, inc.collect()), key=str) == sorted(map(tuple, full.collect()), key=str), name
