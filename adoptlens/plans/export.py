@@ -33,8 +33,7 @@ def earliest(df: DataFrame, k: int, time_col: str = "utc_time", tie_col: str = "
     cutoff with ``percentile_approx`` (one scalar aggregate), widen it until the rows at or
     before it cover k, and take the exact top-k from those candidates only (about k rows).
     """
-    n_timed = df.filter(F.col(time_col).isNotNull()).count()
-    total = df.count()
+    total, n_timed = df.agg(F.count(F.lit(1)), F.count(time_col)).first()  # one pass
     if total <= k:
         return df
     order = [F.asc_nulls_last(time_col), F.asc(tie_col)]
