@@ -209,6 +209,7 @@ SORT_KEYS = {
     "product_surface_area": "product_area",
     "file_count": "file_count",
 }
+DEEP_PAGE_ROWS = 50_000  # beyond this many leading rows, time-sorted pages cut by percentile first
 PAGE_COLUMNS = ["utc_time", "user_email", "workforce_name", "practice", "location", "access_point",
                 "product_area", "file_count"]
 
@@ -228,6 +229,11 @@ def usage_page(usage: DataFrame, filters: Filters | None = None, sort_key: str =
         order.append(F.desc_nulls_last("utc_time"))
     order.append(F.asc("usage_id"))
     offset = max(page - 1, 0) * page_size
+    if col == "utc_time" and offset + page_size > DEEP_PAGE_ROWS:
+        # deep page on the time sort: cut the first offset+size rows without a single-task top-k
+        from adoptlens.plans.export import first_k
+
+        df = first_k(df, offset + page_size, "utc_time", "usage_id", ascending=ascending)
     ordered = df.orderBy(*order).select(*PAGE_COLUMNS, "usage_id")
     if offset:
         ordered = ordered.offset(offset)

@@ -22,34 +22,41 @@ USAGE_LINE_CAP = 100_000  # lines including the header
 TOP_USERS_CAP = 2_000
 
 
-def earliest(df: DataFrame, k: int, time_col: str = "utc_time", tie_col: str = "usage_id",
-             max_rounds: int = 6) -> DataFrame:
-    """Exactly the k first rows by (time, tie) — ascending, NULL times last — without a
-    single-task top-k over the whole input.
+def first_k(df: DataFrame, k: int, time_col: str = "utc_time", tie_col: str = "usage_id",
+            ascending: bool = True, max_rounds: int = 6) -> DataFrame:
+    """Exactly the first k rows by time (ascending or descending, NULL times last), then
+    ``tie_col`` ascending — without a single-task top-k over the whole input.
 
     A plain ``orderBy().limit(k)`` plans as TakeOrderedAndProject: every input partition
     sends its local top-k to one task (partitions x k rows — billions for a 100k cap on a
     large table). Instead: count; if at most k rows, nothing is cut. Otherwise find a time
-    cutoff with ``percentile_approx`` (one scalar aggregate), widen it until the rows at or
-    before it cover k, and take the exact top-k from those candidates only (about k rows).
+    cutoff with ``percentile_approx`` (one scalar aggregate), widen it until the rows on the
+    near side of it cover k, and take the exact top-k from those candidates only (~k rows).
     """
     total, n_timed = df.agg(F.count(F.lit(1)), F.count(time_col)).first()  # one pass
     if total <= k:
         return df
-    order = [F.asc_nulls_last(time_col), F.asc(tie_col)]
+    t = F.col(time_col)
+    order = [F.asc_nulls_last(time_col) if ascending else F.desc_nulls_last(time_col), F.asc(tie_col)]
     if n_timed < k:  # every timed row, then the earliest-id rows without a time
-        rest = df.filter(F.col(time_col).isNull()).orderBy(F.asc(tie_col)).limit(k - n_timed)
-        return df.filter(F.col(time_col).isNotNull()).unionByName(rest)
+        rest = df.filter(t.isNull()).orderBy(F.asc(tie_col)).limit(k - n_timed)
+        return df.filter(t.isNotNull()).unionByName(rest)
     frac = min(1.0, 1.25 * k / n_timed)
     for _ in range(max_rounds):
-        cutoff = df.agg(F.percentile_approx(time_col, F.lit(frac), F.lit(10000))).first()[0]
-        cand = df.filter(F.col(time_col) <= F.lit(cutoff))
+        q = frac if ascending else 1.0 - frac
+        cutoff = df.agg(F.percentile_approx(time_col, F.lit(q), F.lit(10000))).first()[0]
+        cand = df.filter(t <= F.lit(cutoff) if ascending else t >= F.lit(cutoff))
         if frac >= 1.0 or cand.count() >= k:
             return cand.orderBy(*order).limit(k)
         frac = min(1.0, frac * 2)
     return df.orderBy(*order).limit(k)
 
 
+def earliest(df: DataFrame, k: int, time_col: str = "utc_time", tie_col: str = "usage_id") -> DataFrame:
+    """The k earliest rows (see ``first_k``)."""
+    return first_k(df, k, time_col, tie_col, ascending=True)
+
+
 def _opt(df: DataFrame, name: str):
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 

@@ -189,3 +189,18 @@ def test_incremental_refresh_equals_full_refresh(spark, scratch):
         inc = SN.read_section(spark, f"{scratch}/inc", name)
         full = SN.read_section(spark, f"{scratch}/full", name)
         assert sorted(map(tuple, inc.collect()), key=str) == sorted(map(tuple, full.collect()), key=str), name
+
+
+def test_deep_time_pages_equal_plain_offsets(spark, monkeypatch):
+    from adoptlens.plans import dashboard as Dm
+
+    u = fx.usage(spark, SF001)
+    n = u.count()
+    expected = {}
+    for asc in (False, True):
+        for page in (1, 7, n // 20):
+            expected[(asc, page)] = [r.usage_id for r in Dm.usage_page(u, ascending=asc, page=page, page_size=20).collect()]
+    monkeypatch.setattr(Dm, "DEEP_PAGE_ROWS", 10)  # force the percentile path
+    for (asc, page), ids in expected.items():
+        got = [r.usage_id for r in Dm.usage_page(u, ascending=asc, page=page, page_size=20).collect()]
+        assert got == ids, (asc, page)
