@@ -49,11 +49,13 @@ def get_top_users(spark: SparkSession, usage: DataFrame, practices=None, locatio
 def get_usage_page(usage: DataFrame, practices=None, locations=None, accesses=None, designations=None,
                    teams=None, products=None, search: str = "", sort_key: str = "utc_time",
                    sort_asc: bool = False, page: int = 1, page_size: int = 20, start_date=None,
-                   end_date=None) -> dict[str, DataFrame]:
-    """{'total': one-row count, 'rows': the page}."""
+                   end_date=None, after: tuple | None = None) -> dict[str, DataFrame]:
+    """{'total': one-row count, 'rows': the page}. ``after`` = (sort value, usage_id) of the
+    previous page's last row selects the next page by cursor instead of by page number."""
     f = _filters(practices, locations, accesses, designations, teams, products, start_date, end_date, search)
-    return {"total": dashboard.usage_total(usage, f),
-            "rows": dashboard.usage_page(usage, f, sort_key, sort_asc, page, page_size)}
+    rows = (dashboard.usage_page_after(usage, f, sort_key, sort_asc, after, page_size) if after is not None
+            else dashboard.usage_page(usage, f, sort_key, sort_asc, page, page_size))
+    return {"total": dashboard.usage_total(usage, f), "rows": rows}
 
 
 def export_usage_csv(usage: DataFrame, practices=None, locations=None, accesses=None, designations=None,

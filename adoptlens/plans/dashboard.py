@@ -240,6 +240,28 @@ def usage_page(usage: DataFrame, filters: Filters | None = None, sort_key: str =
     return ordered.limit(page_size)
 
 
+def usage_page_after(usage: DataFrame, filters: Filters | None = None, sort_key: str = "utc_time",
+                     ascending: bool = False, after: tuple | None = None, page_size: int = 20) -> DataFrame:
+    """Next page after a cursor ``(sort value, usage_id)`` of the previous page's last row.
+
+    Same order as ``usage_page`` (NULLS LAST both ways, then usage_id); the filter skips
+    everything up to the cursor, so any page is a top-(page_size) however deep it is.
+    """
+    df = (filters or Filters()).apply(usage)
+    col = SORT_KEYS.get(sort_key, "utc_time")
+    c, uid = F.col(col), F.col("usage_id")
+    if after is not None:
+        value, last_id = after
+        if value is None:  # already inside the NULL tail
+            df = df.filter(c.isNull() & (uid > F.lit(last_id)))
+        else:
+            v = F.lit(value)
+            beyond = (c > v) if ascending else (c < v)
+            df = df.filter(beyond | ((c == v) & (uid > F.lit(last_id))) | c.isNull())
+    order = [F.asc_nulls_last(col) if ascending else F.desc_nulls_last(col), F.asc("usage_id")]
+    return df.orderBy(*order).limit(page_size).select(*PAGE_COLUMNS, "usage_id")
+
+
 def usage_total(usage: DataFrame, filters: Filters | None = None) -> DataFrame:
     f = (filters or Filters()).apply(usage)
     return f.agg(rows(f).alias("total"))

@@ -204,3 +204,20 @@ def test_deep_time_pages_equal_plain_offsets(spark, monkeypatch):
     for (asc, page), ids in expected.items():
         got = [r.usage_id for r in Dm.usage_page(u, ascending=asc, page=page, page_size=20).collect()]
         assert got == ids, (asc, page)
+
+
+def test_cursor_pages_walk_equals_offset_pages(spark):
+    from adoptlens.plans import dashboard as Dm
+
+    u = fx.usage(spark, SF001)
+    for key, asc in (("utc_time", False), ("Location", True), ("Location", False)):
+        col = Dm.SORT_KEYS.get(key, "utc_time")
+        expected = [r.usage_id for r in Dm.usage_page(u, sort_key=key, ascending=asc, page=1, page_size=10_000).collect()]
+        got, cursor = [], None
+        while True:
+            page = Dm.usage_page_after(u, sort_key=key, ascending=asc, after=cursor, page_size=97).collect()
+            if not page:
+                break
+            got += [r.usage_id for r in page]
+            cursor = (page[-1][col], page[-1].usage_id)
+        assert got == expected, key
