@@ -2,7 +2,7 @@
 
 The engine never hard-codes a scratch location: lineage is cut with ``checkpoint()``
 into the shared folder named by ``spark.checkpoint.dir``. A local default is set only
-when the session has none (tests, laptops).
+when a local session has none (tests, laptops).
 """
 
 from __future__ import annotations
@@ -68,14 +68,21 @@ def scale_settings(input_bytes: int, target_partition_bytes: int = 128 * 1024 *
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder of the cluster; set a local one only when unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a session whose master is ``local`` (tests, laptops) may do without the setting and
+    gets a folder of its own; anywhere else each executor would write to its own disk, so a
+    missing setting raises.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="adoptlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
