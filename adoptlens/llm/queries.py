@@ -7,8 +7,9 @@ those that SQL expresses fast enough on whole tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adoptlens.llm import packing
+from adoptlens.llm import decontaminate, packing, quality, url_filter
 from adoptlens.llm.tables import read
 
 QUERIES: dict = {}
@@ -26,6 +27,64 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and items of every document."""
+    found = decontaminate.hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=13, share=20)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+ORACLES["op4_benchmark_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT item_id, w, least(13, len(w)) AS k FROM b WHERE len(w) > 0),
+gram AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM bw, range(1, len(w) - k + 2) AS t(i)),
+ks AS (SELECT DISTINCT k FROM gram),
+hit AS (
+  SELECT r, i, k, g FROM (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+                          FROM d, ks, range(1, len(w) - k + 2) AS t(i)) SEMI JOIN gram USING (k, g)),
+word AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY r),
+item AS (SELECT r, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS l FROM hit JOIN gram USING (k, g) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, CAST(coalesce(len(l), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256,
+       coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN word USING (r) LEFT JOIN item USING (r)
+"""
+
+
+@query
+def op5_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, learned outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality.train(docs, read(spark, sf_dir, "labels"), sample=3000)
+    scored = quality.score(docs.select("doc_id", "text"), model, threshold=0.3)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+URL_RULES = [
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+]
+
+
+@query
+def op6_gbt_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every url: the longest rule's, else the trees'."""
+    return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES, sample=20_000)
+
+
 @query
 def op10_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
