@@ -27,17 +27,18 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component): of every node with links but the smallest of its component.
+    """(node, component) of every node with links to others.
 
     ``links`` has long columns ``a`` and ``b`` in any order; null ends, loops and repeats are
     ignored. ``component`` is the smallest node reachable.
     """
-    ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), (F.col("a") + F.col("b")).alias("ok"))
-    links = stored(ordered.where("a > b and ok is not null").select("a", "b").distinct(), "links")
+    ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = stored(ordered.distinct(), "links")
     mark = None
     while True:
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == mark or not state[0]:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            hung = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            return hung.union(hung.select(F.col("component").alias("node"), "component").distinct())
         mark = tuple(state)
         links = stored(_small_star(_large_star(links)), "links")

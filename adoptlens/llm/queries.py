@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adoptlens.llm import decontaminate, packing, quality, url_filter
+from adoptlens.llm import decontaminate, jaccard_join, lz_dedup, packing, quality, suffix_dedup, url_filter
 from adoptlens.llm.tables import read
 
 QUERIES: dict = {}
@@ -27,6 +27,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a window of 13 repeats from a smaller one."""
+    found = lz_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), window=13)
+    return found.select("doc_id", F.col("n_symbols").alias("n_words"), "n_removed", "kept_sha256")
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document."""
@@ -85,6 +92,21 @@ def op6_gbt_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES, sample=20_000)
 
 
+@query
+def op8_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of every document by 4-word shingles of at least 85 in 100."""
+    found = jaccard_join.classes(read(spark, sf_dir, "documents"), size=4, percent=85)
+    shown = jaccard_join.visible_id
+    return found.select(shown("doc").alias("doc_id"), F.col("n").alias("n_shingles"), shown("component").alias("component_id"))
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a string of 50 repeats from a smaller one."""
+    found = suffix_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), window=50)
+    return found.select("doc_id", F.col("n_symbols").alias("n_bytes"), "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op10_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
