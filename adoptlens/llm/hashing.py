@@ -91,7 +91,7 @@ def word_codes(buf: np.ndarray, is_separator: np.ndarray = IS_SPACE) -> tuple[np
 
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     """Index of the leftmost smallest value in each window of ``width`` values."""
-    low, at, a = values, np.arange(len(values), dtype=np.int64), 1
+    low, at, a = values, np.arange(len(values), dtype=np.int32), 1
 
     def merged(shift: int):
         n = len(low) - shift

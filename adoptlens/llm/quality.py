@@ -163,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> AttentionMo
 
 
 def score(docs: DataFrame, model: AttentionModel, threshold: float = 0.3) -> DataFrame:
-    """``docs`` with ``score`` (1: good) and ``predicted``; every other column is kept."""
+    """``docs`` with ``score`` (1: good) and ``predicted``; columns of these names are replaced, all others kept."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
     schema = docs.select(*[c for c in docs.columns if c not in ("score", "predicted")]).schema
 
@@ -176,3 +176,15 @@ def score(docs: DataFrame, model: AttentionModel, threshold: float = 0.3) -> Dat
     from pyspark.sql.types import DoubleType, IntegerType
 
     return docs.select(*schema.names).mapInArrow(apply, schema.add("score", DoubleType()).add("predicted", IntegerType()))
+
+
+def keep(docs: DataFrame, model: AttentionModel, threshold: float = 0.3) -> DataFrame:
+    """``docs`` without those that score below ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
+
+    def apply(batches):
+        for block in text_blocks(batches):
+            x, first = features(block.column("text").to_pylist())
+            yield block.filter(pa.array(shared.value.score(x, first) >= threshold))
+
+    return docs.mapInArrow(apply, docs.schema)

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adoptlens.llm import decontaminate, jaccard_join, lz_dedup, packing, quality, suffix_dedup, url_filter
-from adoptlens.llm.tables import read
+from adoptlens.llm import chat_format, decontaminate, jaccard_join, lz_dedup, packing, quality, separator_scan, suffix_dedup, url_filter, vector_join
+from adoptlens.llm.tables import read, stored
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,50 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+TOOL_SCHEMAS = {
+    "search": {"text": ("STRING", True), "turn": ("BIGINT", True)},
+    "summarise": {"text": ("STRING", True), "length": ("BIGINT", False)},
+    "translate": {"text": ("STRING", True), "turn": ("BIGINT", True), "language": ("STRING", False)},
+}
+
+
+@query
+def op1_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn as a tool call that follows the one before, linked with the answer to it.
+
+    The tables hold no tool calls, so they are derived: the tool from the text's length, the
+    turn as text instead of a number in every tenth length.
+    """
+    turns = read(spark, sf_dir, "conversations")
+    length = F.length("text")
+    tool = F.element_at(F.array(*map(F.lit, sorted(TOOL_SCHEMAS))), (length % 3 + 1).cast("int"))
+    right = F.to_json(F.struct("turn", "text"), {"ignoreNullFields": "false"})
+    wrong = F.to_json(F.struct(F.col("turn").cast("string").alias("turn"), "text"), {"ignoreNullFields": "false"})
+    calls = turns.where("role = 'user'").select(
+        "conv_id", F.concat(F.lit("call_"), "turn").alias("call_id"), tool.alias("name"),
+        F.when(length % 10 == 0, wrong).otherwise(right).alias("arguments"), F.concat(F.lit("call_"), F.col("turn") - 2).alias("after"))
+    results = turns.where("role = 'assistant'").select("conv_id", F.concat(F.lit("call_"), F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    return chat_format.link_calls(calls, results, TOOL_SCHEMAS)
+
+
+ORACLES["op1_tool_call_linking"] = """
+WITH RECURSIVE u AS (
+  SELECT conv_id, turn, ['search', 'summarise', 'translate'][length(text) % 3 + 1] AS name, length(text) % 10 = 0 AS odd, text
+  FROM conversations WHERE role = 'user'),
+d AS (
+  SELECT conv_id, turn, 0 AS depth FROM u WHERE NOT EXISTS (SELECT 1 FROM u p WHERE p.conv_id = u.conv_id AND p.turn = u.turn - 2)
+  UNION ALL
+  SELECT u.conv_id, u.turn, d.depth + 1 FROM u JOIN d ON u.conv_id = d.conv_id AND u.turn = d.turn + 2),
+r AS (SELECT conv_id, turn - 1 AS turn, text AS content FROM conversations WHERE role = 'assistant')
+SELECT u.conv_id, 'call_' || u.turn AS call_id, name, CAST(depth AS BIGINT) AS depth,
+       CASE WHEN odd AND name <> 'summarise' THEN 'turn is not BIGINT' END AS error,
+       r.turn IS NOT NULL AS has_result,
+       '{"arguments":{"text":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || CASE WHEN odd THEN '"' || u.turn || '"' ELSE CAST(u.turn AS VARCHAR) END
+       || '},"content":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || ',"id":"call_' || u.turn || '","name":"' || name || '"}' AS message
+FROM u JOIN d USING (conv_id, turn) LEFT JOIN r ON r.conv_id = u.conv_id AND r.turn = u.turn
+"""
+
+
 @query
 def op2_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a window of 13 repeats from a smaller one."""
@@ -34,6 +78,14 @@ def op2_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("n_symbols").alias("n_words"), "n_removed", "kept_sha256")
 
 
+@query
+def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document, read off flat files of all documents' ids."""
+    end_id = 49407
+    files = separator_scan.write_tokens(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id)
+    return separator_scan.scan(stored(files, "token-files", compression="zstd"), end_id)
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document."""
@@ -92,6 +144,14 @@ def op6_gbt_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES, sample=20_000)
 
 
+@query
+def op7_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and group of every vector by a cosine of at least 0.98 within its label."""
+    found = vector_join.join(read(spark, sf_dir, "embeddings"), least=0.98)
+    shown = vector_join.shown
+    return found.withColumns({"vec_id": shown("vec"), "component_id": shown("component"), "kept": F.col("vec") == F.col("component")}).select("vec_id", "n_links", "component_id", "kept")
+
+
 @query
 def op8_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of every document by 4-word shingles of at least 85 in 100."""

@@ -22,6 +22,7 @@ Rows that share an id are told apart by a check sum of their text; they never co
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -37,9 +38,9 @@ from adoptlens.llm.tables import id_or_last, stored
 from adoptlens.llm.tokens import text_blocks
 
 #: Bytes of a text, symbols and rows that a task works on at once.
-TEXT_STEP, SYMBOL_STEP, ROW_STEP = 4 << 20, 1 << 21, 1 << 20
+TEXT_STEP, SYMBOL_STEP, ROW_STEP = 2 << 20, 1 << 18, 1 << 19
 #: Distinct surroundings of an anchor within a task, and rows of one in all, beyond which it is split by window.
-CROWD, SPLIT = 16, 4096
+CROWD, SPLIT = 64, 4096
 #: Bytes of segments compared at once.
 BLOCK = 16 << 20
 REMOVED, BY_ANCHOR, BY_WINDOW = 0, 1, 2
@@ -52,8 +53,8 @@ class Scheme:
     words: bool
 
 
-#: Columns that ``apply`` adds or needs; columns of these names in the input give way.
-RESULTS = ("n_symbols", "n_removed", "spans", "kept_sha256", "kept", "places", "_doc")
+#: Columns that ``apply`` adds.
+RESULTS = ("n_symbols", "n_removed", "spans", "kept_sha256", "kept")
 
 #: resolve(symbols, first symbol of each segment and the end, document of each segment, window)
 #: gives a flag per symbol position: the window there starts in a smaller document.
@@ -101,9 +102,12 @@ def segments(held: np.ndarray, begin: np.ndarray, end: np.ndarray, scheme: Schem
         codes = _codes(held[a : a + SYMBOL_STEP + size - 1], scheme.words)
         hashes = gram_hash(codes, scheme.gram)
         at = sliding_argmin(hashes, size - scheme.gram + 1)
-        windows = np.arange(len(at)) + a
-        text = np.searchsorted(begin, windows, side="right") - 1
-        at = np.where(windows + size <= end[text], at, -1)
+        # texts that meet this step, and the last window of each
+        t0, t1 = np.searchsorted(begin, [a, a + len(at) - 1], side="right") - 1
+        near = np.arange(t0, t1 + 1)
+        edges = np.clip(np.append(begin[t0 : t1 + 1], a + len(at)) - a, 0, len(at))
+        text = np.repeat(near, np.diff(edges))
+        at[np.repeat(end[near] - size - a, np.diff(edges)) < np.arange(len(at))] = -1
         first = np.flatnonzero(np.diff(at, prepend=-2) != 0)
         count = np.diff(np.append(first, len(at)))
         inside = at[first] >= 0
@@ -124,13 +128,24 @@ def _tag(raw: bytes) -> int:
 
 
 def _settled(key: np.ndarray, seg: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by key and segment, where groups of equal (key, segment) start, and which rows a smaller document settles."""
-    order = np.lexsort((doc, seg, key))
-    k, s, d = key[order], seg[order], doc[order]
-    fresh = np.append(True, (k[1:] != k[:-1]) | (s[1:] != s[:-1]))
+    """Order by key, where groups of equal (key, segment) start, and which rows a smaller document settles."""
+    order = np.argsort(key)
+    k = key[order]
+    same = np.append(False, k[1:] == k[:-1])
+    several = np.flatnonzero(same | np.append(same[1:], False))
+    order[several] = order[several][np.lexsort((doc[order[several]], seg[order[several]], k[several]))]
+    s, d = seg[order], doc[order]
+    fresh = ~same | np.append(True, s[1:] != s[:-1])
     return order, fresh, d > d[np.maximum.accumulate(np.where(fresh, np.arange(len(d)), 0))]
 
 
+def _gathered(held: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
+    """Binary values: the symbols of each range, without a Python object per range."""
+    ends = np.concatenate([[0], np.cumsum(length)])
+    data = held[np.repeat(start - ends[:-1], length) + np.arange(ends[-1])]
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer((ends * held.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def _anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """One row per segment; ``state`` 1: its anchor is crowded, 2: settled within the task."""
 
@@ -170,10 +185,11 @@ def _anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
 def _marks(anchors: DataFrame) -> DataFrame:
     """Segments that are removed as a whole, and those to be compared window by window."""
     by_key, by_seg = Window.partitionBy("key"), Window.partitionBy("key", "seg")
-    seen = anchors.withColumns({"owner": F.min("doc").over(by_seg)}).withColumns({
+    anchors = anchors.repartition("key").sortWithinPartitions("key", "seg")  # serves both windows
+    seen = anchors.withColumns({
         "low": F.min("doc").over(by_key), "high": F.max("doc").over(by_key), "crowded": F.max(F.col("state") % 2).over(by_key),
         "seg_low": F.min(F.when(F.col("state") == 0, F.col("seg"))).over(by_key), "seg_high": F.max(F.when(F.col("state") == 0, F.col("seg"))).over(by_key),
-        "rows": F.count("*").over(by_key)})
+        "rows": F.count("*").over(by_key)}).withColumn("owner", F.min("doc").over(by_seg))
     alone = (F.col("low") == F.col("high")) | (F.col("seg_low") == F.col("seg_high"))
     kind = (
         F.when(F.col("state") == 2, REMOVED).when(F.col("doc") > F.col("owner"), REMOVED)
@@ -192,46 +208,55 @@ def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolv
 
     def cut(batches):
         for block in text_blocks(batches, TEXT_STEP):
-            ids, out, single = block.column("doc").to_numpy(), [], []
-            raws, opens = _raw(block), block.column("open")
-            for i, raw in enumerate(raws):
-                entry = opens[i].values
-                place, key, kind = (entry.field(n).to_numpy(zero_copy_only=False) for n in ("place", "key", "kind"))
-                tag = _tag(raw)
-                own = np.unique(np.stack([place, key, kind.astype(np.int64)], axis=1)[(place >> 40) == tag], axis=0)
-                if not len(own):
-                    continue
-                held, begin, end = symbols([raw], scheme.words)
-                whole = bytes(held[begin[0] : end[0]]) if not scheme.words else held
-                for p, k, what in own.tolist():
-                    first, count = (p >> 8) & 0xFFFFFFFF, p & 0xFF
-                    if what == BY_ANCHOR:
-                        part = whole[first : first + count + size - 1]
-                        out.append((k, ids[i], p, part if not scheme.words else part.tobytes()))
-                    else:
-                        hashes = gram_hash(_codes(held[first : first + count + size - 1], scheme.words), size)
-                        for j in range(count):
-                            part = whole[first + j : first + j + size]
-                            single.append((int(hashes[j].view(np.int64)), ids[i], int(_place(tag, first + j, 1)), part if not scheme.words else part.tobytes()))
-            if single:
-                key, doc, place, part = zip(*single)
-                key, doc = np.array(key, np.int64), np.array(doc, np.int64)
-                order, _, settled = _settled(key.view(np.uint64), np.zeros(len(key), np.uint64), doc)
-                for i, done in zip(order.tolist(), settled.tolist()):
-                    out.append((int(mix(np.array([place[i]], np.uint64))[0].view(np.int64)), doc[i], place[i], None) if done else single[i])
-            for a in range(0, len(out), ROW_STEP // 8):
-                yield pa.record_batch([pa.array(c, t.type) for c, t in zip(zip(*out[a : a + ROW_STEP // 8]), schema)], schema=schema)
+            raw = _raw(block)
+            tags = np.array([_tag(x) for x in raw], np.int64)
+            held, begin, _ = symbols(raw, scheme.words)
+            lists = block.column("open")
+            row = np.repeat(np.arange(len(raw)), lists.value_lengths().to_numpy())
+            place, key, kind = (lists.flatten().field(n).to_numpy(zero_copy_only=False) for n in ("place", "key", "kind"))
+            own = (place >> 40) == tags[row]
+            row, place, key, kind = row[own], place[own], key[own], kind[own]
+            doc = block.column("doc").to_numpy()[row]
+            start, count = begin[row] + ((place >> 8) & 0xFFFFFFFF), place & 0xFF
+            whole = kind == BY_ANCHOR
+            for a in range(0, int(whole.sum()), ROW_STEP // 16):
+                some = np.flatnonzero(whole)[a : a + ROW_STEP // 16]
+                yield pa.record_batch([pa.array(key[some]), pa.array(doc[some]), pa.array(place[some]), _gathered(held, start[some], count[some] + size - 1)], schema=schema)
+            # one row per window; repeats within the block are settled here
+            apart = np.flatnonzero(~whole)
+            if not len(apart):
+                continue
+            n = count[apart]
+            of = np.repeat(apart, n)
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at, doc = start[of] + step, doc[of]
+            where = _place(place[of] >> 40, ((place[of] >> 8) & 0xFFFFFFFF) + step, 1)
+            for a in range(0, len(at), ROW_STEP // 4):
+                part = slice(a, a + ROW_STEP // 4)
+                yield from single(held, at[part], doc[part], where[part])
+
+    def single(held, at, doc, where):
+        sums = prefix_sums(_codes(held, scheme.words))
+        key = range_hash(sums, at, at + size)
+        order, _, done = _settled(key, np.zeros(len(key), np.uint64), doc)
+        gone, rest = order[done], order[~done]
+        spread = mix(where[gone].view(np.uint64)).view(np.int64)
+        yield pa.record_batch([pa.array(spread), pa.array(doc[gone]), pa.array(where[gone]), pa.nulls(len(gone), pa.binary())], schema=schema)
+        yield pa.record_batch([pa.array(key[rest].view(np.int64)), pa.array(doc[rest]), pa.array(where[rest]), _gathered(held, at[rest], np.full(len(rest), size))], schema=schema)
 
     def settle(rows: list[pa.RecordBatch]):
-        table = pa.concat_tables([pa.Table.from_batches([r]) for r in rows]).combine_chunks()
+        table = pa.Table.from_batches(rows).combine_chunks()
         done = table.column("held").is_null().to_numpy(zero_copy_only=False)
         doc, place = table.column("doc").to_numpy(), table.column("place").to_numpy()
         out = [(doc[done], place[done])]
         if not done.all():
             doc, place = doc[~done], place[~done]
-            parts = table.column("held").drop_null().to_pylist()
-            held = np.frombuffer(b"".join(parts), np.uint64 if scheme.words else np.uint8)
-            first = np.concatenate([[0], np.cumsum([len(p) // held.itemsize for p in parts])])
+            parts = table.column("held").combine_chunks().drop_null()
+            parts = parts.chunk(0) if isinstance(parts, pa.ChunkedArray) else parts
+            width = 8 if scheme.words else 1
+            offsets = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset : parts.offset + len(parts) + 1].astype(np.int64)
+            held = np.frombuffer(parts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.uint64 if scheme.words else np.uint8)
+            first = (offsets - offsets[0]) // width
             removed = np.append(resolve(held, first, doc, size), False)
             removed[first[1:] - 1] = False
             edge = np.diff(removed.astype(np.int8), prepend=0)
@@ -284,44 +309,70 @@ def _covered(places: np.ndarray, n: int, size: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
-def apply(docs: DataFrame, places: DataFrame, scheme: Scheme, kept: Callable[[bytes, np.ndarray, np.ndarray], bytes], keep_text: bool) -> DataFrame:
+def _gone(raw: bytes, own: pa.Scalar, scheme: Scheme):
+    """Which symbols of a text are removed, and the words' bounds."""
+    begin, end = (None, None)
+    if scheme.words:
+        _, begin, end = word_bytes(np.frombuffer(raw, np.uint8))
+    n = len(begin) if scheme.words else len(raw)
+    if not own.is_valid:
+        return np.zeros(n, bool), (begin, end)
+    own = own.values.to_numpy(zero_copy_only=False)
+    return _covered(own[(own >> 40) == _tag(raw)], n, scheme.window), (begin, end)
+
+
+def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
+    places = places.select(F.col("doc").alias("__doc"), F.col("places").alias("__places"))
+    return docs.withColumn("__doc", id_or_last()).join(places, "__doc", "left").select(*docs.columns, "__places")
+
+
+def apply(docs: DataFrame, places: DataFrame, scheme: Scheme, kept: Callable[[bytes, np.ndarray, tuple], bytes], keep_text: bool) -> DataFrame:
     """``docs`` with n_symbols, n_removed, spans (start, end in symbols) and kept_sha256.
 
-    ``keep_text``: also ``kept``, the remaining text as bytes.
+    ``keep_text``: also ``kept``, the remaining text as bytes. Columns of these names in the
+    input give way.
     """
-    import hashlib
-
-    names = [c for c in docs.columns if c.lower() not in RESULTS]
-    docs = docs.select(*names)
-    base = docs.withColumn("_doc", id_or_last())
-    joined = base.join(places.withColumnRenamed("doc", "_doc"), "_doc", "left").select(*names, "places")
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in RESULTS])
     span = StructType([StructField("start", LongType()), StructField("end", LongType())])
     schema = StructType([*docs.schema.fields, StructField("n_symbols", LongType()), StructField("n_removed", LongType()), StructField("spans", ArrayType(span)), StructField("kept_sha256", StringType())])
     if keep_text:
         schema = schema.add("kept", BinaryType())
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    names = docs.columns
 
-    def cut(batches):
+    def measure(batches):
         for block in text_blocks(batches, TEXT_STEP):
-            n_symbols, n_removed, spans, digests, texts = [], [], [], [], []
-            for raw, own in zip(_raw(block), block.column("places")):
-                begin, end = (None, None)
-                if scheme.words:
-                    _, begin, end = word_bytes(np.frombuffer(raw, np.uint8))
-                n = len(begin) if scheme.words else len(raw)
-                gone = np.zeros(n, bool)
-                if own.is_valid:
-                    own = own.values.to_numpy(zero_copy_only=False)
-                    gone = _covered(own[(own >> 40) == _tag(raw)], n, scheme.window)
+            out = []
+            for raw, own in zip(_raw(block), block.column("__places")):
+                gone, bounds = _gone(raw, own, scheme)
                 edge = np.diff(gone.astype(np.int8), prepend=0, append=0)
-                spans.append([{"start": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())])
-                rest = kept(raw, gone, (begin, end))
-                n_symbols.append(n)
-                n_removed.append(int(gone.sum()))
-                digests.append(hashlib.sha256(rest).hexdigest())
-                texts.append(rest)
-            columns = [block.column(c) for c in names] + [pa.array(n_symbols, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, spans_type), pa.array(digests, pa.string())]
-            columns += [pa.array(texts, pa.binary())] if keep_text else []
-            yield pa.record_batch(columns, names=schema.names)
-
-    return joined.mapInArrow(cut, schema)
+                spans = [{"start": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())]
+                rest = kept(raw, gone, bounds)
+                out.append((len(gone), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest(), rest))
+            kinds = (pa.int64(), pa.int64(), spans_type, pa.string(), pa.binary())
+            columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)][: len(schema) - len(names)]
+            yield pa.record_batch([block.column(c) for c in names] + columns, names=schema.names)
+
+    return _with_places(docs, places).mapInArrow(measure, schema)
+
+
+def cut_text(docs: DataFrame, places: DataFrame, scheme: Scheme, kept: Callable[[bytes, np.ndarray, tuple], bytes]) -> DataFrame:
+    """``docs`` with ``text`` cut and ``n_chars`` set anew, without those left blank by a cut."""
+    schema, names = docs.schema, docs.columns
+
+    def cut(batches):
+        for block in text_blocks(batches, TEXT_STEP):
+            texts, stay = block.column("text").to_pylist(), []
+            for i, (raw, own) in enumerate(zip(_raw(block), block.column("__places"))):
+                gone, bounds = _gone(raw, own, scheme)
+                if gone.any():
+                    texts[i] = kept(raw, gone, bounds).decode("utf-8", "ignore")
+                stay.append(not gone.any() or bool(texts[i].strip()))
+            new = {"text": pa.array(texts, block.schema.field("text").type)}
+            if "n_chars" in names:
+                n = pa.array([None if t is None else len(t) for t in texts], pa.int64())
+                new["n_chars"] = n.cast(block.schema.field("n_chars").type, safe=False)
+            columns = [new.get(c, block.column(c)) for c in names]
+            yield pa.record_batch(columns, names=names).filter(pa.array(stay))
+
+    return _with_places(docs, places).mapInArrow(cut, schema)

@@ -72,3 +72,13 @@ def dedup(docs: DataFrame, window: int = 50, keep_text: bool = False) -> DataFra
     """``docs`` with bytes, removed bytes, spans in bytes and the digest of the kept bytes."""
     scheme = repeats.Scheme(window, max(1, window // 3), False)
     return repeats.apply(docs, repeats.repeated(docs, scheme, _resolve), scheme, _kept, keep_text)
+
+
+def cut(docs: DataFrame, window: int = 50) -> DataFrame:
+    """``docs`` with the repeated bytes cut out of ``text`` and ``n_chars`` set anew.
+
+    What is left of a character that a cut divides goes too; documents of which nothing but
+    white space is left are dropped, those that nothing was cut from stay as they are.
+    """
+    scheme = repeats.Scheme(window, max(1, window // 3), False)
+    return repeats.cut_text(docs, repeats.repeated(docs, scheme, _resolve), scheme, _kept)

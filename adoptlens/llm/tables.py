@@ -17,14 +17,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back (lineage ends there)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     before = spark.conf.get(FREE_SHUFFLES, None)
     spark.conf.set(FREE_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(FREE_SHUFFLES)
