@@ -41,8 +41,8 @@ from adoptlens.llm.tokens import text_blocks
 TEXT_STEP, SYMBOL_STEP, ROW_STEP = 2 << 20, 1 << 18, 1 << 19
 #: Distinct surroundings of an anchor within a task, and rows of one in all, beyond which it is split by window.
 CROWD, SPLIT = 64, 4096
-#: Bytes of segments compared at once.
-BLOCK = 16 << 20
+#: Symbols of segments compared at once.
+BLOCK = 1 << 21
 REMOVED, BY_ANCHOR, BY_WINDOW = 0, 1, 2
 
 
@@ -282,7 +282,7 @@ def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolv
                 else:
                     continue
             rows.append(batch)
-            held += batch.nbytes
+            held += batch.column("held").nbytes // (8 if scheme.words else 1)
         if rows:
             yield from settle(rows)
 

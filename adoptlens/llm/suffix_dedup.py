@@ -22,6 +22,15 @@ from adoptlens.llm import repeats
 Q = 8
 
 
+def _ranks(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """Rank of each value among the distinct ones, and how many those are."""
+    order = np.argsort(values)
+    sorted_ = values[order]
+    ids = np.empty(len(values), np.int64)
+    ids[order] = np.cumsum(np.append(False, sorted_[1:] != sorted_[:-1])[: len(values)])
+    return ids, int(ids.max(initial=-1)) + 1
+
+
 def buckets(held: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes that reach ``window`` symbols, and a bucket identifier for each.
 
@@ -35,20 +44,17 @@ def buckets(held: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarra
     for j in range(q):
         code[: n - j] = (code[: n - j] << np.uint64(8)) | held[j:]
     live = np.flatnonzero(room >= q)
-    _, ids = np.unique(code[live], return_inverse=True)
     pointer = np.full(n, -1, np.int64)
-    pointer[live] = ids
-    depth, top = q, len(live)
+    pointer[live], top = _ranks(code[live])
+    depth = q
     while depth < window:
         step = min(depth, window - depth)
-        live = np.flatnonzero(room >= depth + step)
+        live = live[room[live] >= depth + step]
         live = live[np.bincount(pointer[live], minlength=top)[pointer[live]] > 1]
-        pair = pointer[live] * np.int64(top) + pointer[live + step]
-        _, ids = np.unique(pair, return_inverse=True)
-        # fresh identifiers above all earlier ones; single suffixes keep theirs
-        pointer[live] = top + ids
-        _, pointer = np.unique(pointer, return_inverse=True)
-        depth, top = depth + step, int(pointer.max(initial=0)) + 1
+        ids, new = _ranks((pointer[live] * np.int64(top) + pointer[live + step]).view(np.uint64))
+        # fresh identifiers above all earlier ones; a suffix alone in its bucket keeps its own
+        pointer[live] = ids + top
+        depth, top = depth + step, top + new
     live = np.flatnonzero(room >= window)
     return live, pointer[live]
 
@@ -70,7 +76,7 @@ def _kept(raw: bytes, gone: np.ndarray, _) -> bytes:
 
 def dedup(docs: DataFrame, window: int = 50, keep_text: bool = False) -> DataFrame:
     """``docs`` with bytes, removed bytes, spans in bytes and the digest of the kept bytes."""
-    scheme = repeats.Scheme(window, max(1, window // 3), False)
+    scheme = repeats.Scheme(window, max(1, window * 2 // 5), False)
     return repeats.apply(docs, repeats.repeated(docs, scheme, _resolve), scheme, _kept, keep_text)
 
 
@@ -80,5 +86,5 @@ def cut(docs: DataFrame, window: int = 50) -> DataFrame:
     What is left of a character that a cut divides goes too; documents of which nothing but
     white space is left are dropped, those that nothing was cut from stay as they are.
     """
-    scheme = repeats.Scheme(window, max(1, window // 3), False)
+    scheme = repeats.Scheme(window, max(1, window * 2 // 5), False)
     return repeats.cut_text(docs, repeats.repeated(docs, scheme, _resolve), scheme, _kept)
