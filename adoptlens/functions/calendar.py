@@ -32,9 +32,19 @@ def local_hour(utc_ts: Column | str, tz: str = DEFAULT_TZ) -> Column:
 
 
 def parse_utc_text(c: Column | str) -> Column:
-    """Lenient parse of ISO-8601 event time text ('...Z', '+00:00', plain) to UTC NTZ."""
-    s = F.regexp_replace(F.trim(_col(c)), r"(Z|[+-]00:?00)$", "")
-    return s.try_cast("timestamp_ntz")  # text -> wall clock: independent of the session zone
+    """Lenient parse of ISO-8601 event time text to UTC NTZ; text without an offset is UTC.
+
+    The wall clock and the offset ('Z', '+05:30', '-0800', '+05') are read apart, so the
+    result does not depend on the session zone. An offset counts only after a time of day.
+    """
+    s = F.trim(_col(c))
+    pattern = r"^(.*:\d{2}(?:\.\d*)?|.*[T ]\d{1,2})\s*([+-])(\d{2}):?(\d{2})?$"
+    plain = F.regexp_replace(s, r"\s*[Zz]$", "")
+    wall = F.when(plain.rlike(pattern), F.regexp_extract(plain, pattern, 1)).otherwise(plain)
+    part = lambda i: F.coalesce(F.regexp_extract(plain, pattern, i).try_cast("int"), F.lit(0))
+    minutes = F.when(F.regexp_extract(plain, pattern, 2) == "-", -1).otherwise(1) * (part(3) * 60 + part(4))
+    utc = wall.try_cast("timestamp_ntz")
+    return F.timestamp_add("MINUTE", -minutes, utc).cast("timestamp_ntz")
 
 
 def local_midnight_utc(day: str | dt.date, tz: str = DEFAULT_TZ) -> dt.datetime:

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from adoptlens.functions.text import clean_text
 
-# Accepted date layouts, in trial order.
-DATE_FORMATS = ["yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy"]          # month-first default
-DAY_FIRST_FORMATS = ["dd/MM/yyyy", "yyyy-MM-dd", "dd-MM-yyyy"]       # 'Date Added' column
+# Accepted date layouts, in trial order; one letter takes one or two digits. The first list
+# reads the month first, the second ('Date Added' column) the day.
+DATE_FORMATS = ["yyyy-M-d", "M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "d-MMM-yyyy", "MMM d yyyy", "d MMMM yyyy", "MMMM d yyyy", "yyyy/M/d"]
+DAY_FIRST_FORMATS = ["d/M/yyyy", "yyyy-M-d", "d-M-yyyy", "d MMM yyyy", "d-MMM-yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy", "yyyy/M/d"]
+# A time of day after the date, with an offset or without; the date is the one written.
+_TIME_RE = r"[T ]+\d{1,2}:\d{2}(:\d{2}(\.\d*)?)?\s*([AaPp][Mm])?\s*([Zz]|[+-]\d{2}:?\d{2})?$"
 _INT_RE = r"^[+-]?[0-9]+$"
 
 
@@ -29,8 +32,8 @@ def lenient_int(c: Column | str, default: int | None = None, numeric_input: bool
 
 
 def lenient_date(c: Column | str, formats: list[str] = DATE_FORMATS) -> Column:
-    """First format that parses the stripped text; NULL when none does."""
-    s = clean_text(c)
+    """First format that parses the text without its time of day; NULL when none does."""
+    s = F.regexp_replace(F.regexp_replace(clean_text(c), _TIME_RE, ""), ", *", " ")
     return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(fmt))) for fmt in formats])
 
 

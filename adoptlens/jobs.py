@@ -15,25 +15,23 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from adoptlens.functions.calendar import DEFAULT_TZ, archive_label, window_predicate
 from adoptlens.operators import dedupe, enrich, roster
 from adoptlens.operators.upsert import upsert_into_table
 from adoptlens.plans.dashboard import top_users
 from adoptlens.plans.sync import sync_metadata
-from adoptlens.session import remove_path, scratch_path
+from adoptlens.session import path_exists, remove_path, scratch_path
+from adoptlens.sources.events_json import read_extract_csv
 from adoptlens.sources.tables import require_rows
 
 # Row order inside usage files: dashboard filters on practice/team skip row groups.
 USAGE_CLUSTER = ("practice", "team", "user_email")
 
 
-def _read_or_none(reader) -> DataFrame | None:
-    try:
-        return reader()
-    except AnalysisException:
-        return None
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, or None where there is nothing yet; an unreadable one raises."""
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def _overwrite_via_stage(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet", **opts) -> None:
@@ -77,7 +75,7 @@ def export_extract(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, ou
     new = enrich.enrich_usage(events, keyed_roster(roster_df))
     final = new
     if append:
-        stored = _read_or_none(lambda: spark.read.parquet(f"{base}/extract"))
+        stored = _read_or_none(spark, f"{base}/extract")
         if stored is not None:
             final = dedupe.merge_newer(stored, new, ["usage_id"], [order_col])
     final = final.orderBy(order_col, "usage_id")
@@ -102,7 +100,7 @@ def import_roster(spark: SparkSession, raw_file: DataFrame, roster_path: str,
         c for c in ["workforce_id", "reporting_manager_name", "phase", "low_usage_warning",
                     "training_attendance", "cohort_training_attendance", "notes", "date_of_joining",
                     "date_added", "updated_at"] if c in records.columns])
-    stored = _read_or_none(lambda: spark.read.parquet(roster_path))
+    stored = _read_or_none(spark, roster_path)
     result = roster.upsert(stored, merged) if stored is not None else merged
     _overwrite_via_stage(spark, result, roster_path)
     current = spark.read.parquet(roster_path)
@@ -113,13 +111,16 @@ def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = D
     """One-time load of an enriched CSV extract into the date-partitioned usage table.
 
     The file is read as text with its header, mapped to canonical rows and upserted; a key
-    repeated in the file keeps its last row (file order = scan order, numbered right at the
-    scan, before any shuffle). Returns the number of rows in the table afterwards.
+    repeated keeps its last row, in the order of file names and of the rows within a file.
+    Quoted cells may hold commas, quotes and line breaks. Returns the number of rows in the
+    table afterwards.
     """
     from adoptlens.operators.extract import canonical_usage
 
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(csv_path)
-    rows = canonical_usage(raw.withColumn("_ord", F.monotonically_increasing_id()), tz, keep=["_ord"])
+    raw = read_extract_csv(spark, csv_path)
+    # within a file, ids grow from one split to the next; files are told apart by name
+    order = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
+    rows = canonical_usage(raw.withColumn("_ord", order), tz, keep=["_ord"])
     rows = dedupe.keep_last(rows, ["usage_id"], ["_ord"]).drop("_ord")
     upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", cluster_by=USAGE_CLUSTER)
     return spark.read.parquet(table_path).count()
@@ -138,11 +139,17 @@ def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table
     events = enrich.normalize_events(window_events(raw, start, end, tz), tz)
     # synced_at: first time the event was stored; a re-sync keeps it
     rows = enrich.enrich_usage(events, keyed_roster(roster_df)).withColumn("synced_at", F.current_timestamp())
-    n = rows.count()
+    # overlapping fetches: the first occurrence of an id counts, once
+    rows = dedupe.keep_first(rows, ["usage_id"], ["utc_time"])
+    staged = scratch_path(spark, "sync")
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    n, touched = rows.count(), []
     if n:
-        upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", keys_may_move=False,
-                          keep_existing=["synced_at"], cluster_by=USAGE_CLUSTER)
-    table = _read_or_none(lambda: spark.read.parquet(table_path))
+        touched = upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date",
+                                    keep_existing=["synced_at"], cluster_by=USAGE_CLUSTER)
+    remove_path(spark, staged)
+    table = _read_or_none(spark, table_path)
     if table is None:
         return spark.createDataFrame([], "row_count bigint, min_date date, max_date date, last_sync_rows bigint")
     meta = sync_metadata(table, n).withColumn("last_sync", F.current_timestamp())
@@ -150,6 +157,5 @@ def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table
     if snapshot_root and n:
         from adoptlens.plans import snapshots
 
-        touched = [r[0] for r in rows.select("usage_date").distinct().collect()]  # a few dates
         snapshots.refresh_incremental(spark, table, keyed_roster(roster_df), snapshot_root, touched)
     return spark.read.parquet(meta_path)

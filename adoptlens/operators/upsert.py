@@ -1,10 +1,10 @@
 """Keyed upsert into a date-partitioned Parquet table (Parquet has no MERGE).
 
-Only the touched partitions are rewritten: the partitions the batch writes to plus the
-partitions still holding an older version of a batch key (an event whose date changed
-must leave its old partition). The merged partitions are first written to a staging
-table in the shared checkpoint folder — never overwritten while being read — and then
-swapped in with dynamic partition overwrite. Re-running a batch gives the same table.
+Only the touched partitions are rewritten: those the batch writes to plus those that still
+hold an older version of a batch key (a corrected event whose day changed leaves its old
+partition). The merged partitions are staged in the shared checkpoint folder, never written
+while being read, and then swapped in by dynamic partition overwrite. Re-running a batch
+gives the same table. A null partition value is a partition like any other.
 """
 
 from __future__ import annotations
@@ -13,43 +13,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructField, StructType
 
 from adoptlens.operators.dedupe import keep_last
-from adoptlens.session import remove_path, scratch_path
+from adoptlens.session import path_exists, remove_path, scratch_path
 
+# Fixed value: the folder name of a null partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _one_of(column: str, values: Sequence):
+    """Null-safe membership, as a predicate on a partition column that prunes the scan."""
+    known = [v for v in values if v is not None]
+    found = F.coalesce(F.col(column).isin(known), F.lit(False)) if known else F.lit(False)
+    return found | F.col(column).isNull() if len(known) < len(values) else found
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
 
+def _schema_with(stored: StructType, incoming: StructType, partition_col: str) -> StructType:
+    """The stored columns, with the partition column in the batch's type (folder names have none)."""
+    return StructType([StructField(f.name, incoming[f.name].dataType if f.name == partition_col else f.dataType)
+                       for f in stored.fields])
 
-def _partition_values(df: DataFrame, partition_col: str) -> set[str]:
-    """Partition values present in a written table, from its file listing (no Spark job)."""
-    from urllib.parse import unquote
 
-    key = f"/{partition_col}="
-    vals = set()
-    for f in df.inputFiles():
-        if key in f:
-            vals.add(unquote(f.split(key, 1)[1].split("/", 1)[0]))
-    return vals
+def _values(df: DataFrame, column: str) -> list:
+    """Distinct partition values: as many as the table has folders to rewrite."""
+    return [r[0] for r in df.select(column).distinct().collect()]
 
 
 def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      order_cols: Sequence[str], partition_col: str, keys_may_move: bool = True,
-                      keep_existing: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
+                      order_cols: Sequence[str], partition_col: str,
+                      keep_existing: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> list:
     """Merge ``batch`` into the table at ``path``: per key the batch row wins (last one by
     ``order_cols`` inside the batch); other rows and untouched partitions stay as they are.
+    Returns the partition values that changed.
 
-    ``keys_may_move``: an older version of a key may sit in another partition (its
-    partition value changed). Finding it reads the key and partition columns of the whole
-    table (column-pruned). Pass False when the partition value is a function of immutable
-    key attributes (e.g. local date of the event time) — then only the batch's own
-    partitions are read.
+    An older version of a key is found by the key alone, in whatever partition it lies; that
+    reads the key and partition columns of the table. A table that exists but cannot be read
+    raises; only a path without anything starts a new one.
 
     ``keep_existing``: columns whose stored value survives an update of the row (e.g. the
     first-insert ``synced_at`` stamp); new keys take the batch's value.
@@ -58,65 +58,51 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     these columns let later filters skip row groups.
     """
     keys = list(keys)
-    batch_d = keep_last(batch, keys, list(order_cols))
+
     def layout(df: DataFrame) -> DataFrame:
         # REBALANCE: one writer group per partition value, but AQE splits a hot value across
         # tasks instead of funnelling it into one; then cluster rows inside each file.
         df = df.hint("rebalance", partition_col)
-        return df.sortWithinPartitions(partition_col, *cluster_by) if cluster_by else df
-
-    if not _exists(spark, path):
-        layout(batch_d).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return
-    existing = spark.read.parquet(path)
-    # The de-duplicated batch is written once to the shared checkpoint folder: every later
-    # step reads it instead of recomputing the de-duplication, and its lineage is cut.
+        inner = [c for c in cluster_by if c in df.columns]
+        return df.sortWithinPartitions(partition_col, *inner) if inner else df
+
+    newest = keep_last(batch, keys, list(order_cols))
+    # the de-duplicated batch is written once; every later step reads it
     batch_path = scratch_path(spark, "upsert-batch")
-    batch_d.select(*existing.columns).write.parquet(batch_path)
-    batch_d = spark.read.parquet(batch_path)
-    # The batch's keys are usually far smaller than the stored table: broadcast them (after
-    # a bounded size check) so neither the key scan of the table nor the touched
-    # partitions are shuffled; a huge batch falls back to shuffled joins.
-    from adoptlens.operators.joins import checked_broadcast
-
-    batch_keys, _ = checked_broadcast(batch_d.select(*keys), max_rows=20_000_000, max_bytes=1024 * 1024 * 1024)
-    touched_df = batch_d.select(partition_col)
-    if keys_may_move:
-        touched_df = touched_df.union(existing.join(batch_keys, keys, "left_semi").select(partition_col))
-    # Partition values only (a handful per batch), used as a literal filter so the scan of
-    # the stored table is pruned to the touched partitions.
-    touched = [r[0] for r in touched_df.distinct().collect()]
-    affected = existing.filter(F.col(partition_col).isin(touched))
-    incoming = batch_d
-    if keep_existing:
-        old = affected.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep_existing])
-        incoming = batch_d.join(old, keys, "left").select(
-            *[F.coalesce(F.col(f"_old_{c}"), F.col(c)).alias(c) if c in keep_existing else F.col(c)
-              for c in existing.columns])
-    merged = affected.join(batch_keys, keys, "left_anti").unionByName(incoming)
+    newest.write.parquet(batch_path)
+    batch_d = spark.read.schema(newest.schema).parquet(batch_path)
     stage = scratch_path(spark, "upsert-stage")
-    layout(merged).write.partitionBy(partition_col).parquet(stage)
-    staged = spark.read.parquet(stage)
-    staged_parts = _partition_values(staged, partition_col)
-    (staged.select(*existing.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    # Dynamic overwrite replaces only partitions present in the output; a touched partition
-    # whose every row moved elsewhere must be cleared explicitly.
-    emptied = [v for v in touched if str(v) not in staged_parts]
-    if emptied:
-        _clear_partitions(spark, path, partition_col, emptied)
-    # the swap is complete: the staging copies are no longer read by anything
-    remove_path(spark, stage)
-    remove_path(spark, batch_path)
-
-
-def _clear_partitions(spark: SparkSession, path: str, partition_col: str, emptied: list) -> None:
-    """Remove partitions whose every row moved elsewhere (bounded: touched partitions only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for value in emptied:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={value}")
-        p.getFileSystem(conf).delete(p, True)
+    try:
+        if not path_exists(spark, path):
+            layout(batch_d).write.partitionBy(partition_col).parquet(path)
+            return _values(batch_d, partition_col)
+        schema = _schema_with(spark.read.parquet(path).schema, batch_d.schema, partition_col)
+        existing = spark.read.schema(schema).parquet(path)
+        batch_d = batch_d.select(*existing.columns)
+        batch_keys = batch_d.select(*keys)
+        older = existing.select(*keys, partition_col).join(batch_keys, keys, "left_semi")
+        touched = _values(batch_d.select(partition_col).union(older.select(partition_col)), partition_col)
+        affected = existing.filter(_one_of(partition_col, touched))
+        incoming = batch_d
+        if keep_existing:
+            old = affected.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep_existing])
+            incoming = batch_d.join(old, keys, "left").select(
+                *[F.coalesce(F.col(f"_old_{c}"), F.col(c)).alias(c) if c in keep_existing else F.col(c)
+                  for c in existing.columns])
+        merged = affected.join(batch_keys, keys, "left_anti").unionByName(incoming)
+        merged.write.partitionBy(partition_col).parquet(stage)
+        staged = spark.read.schema(schema).parquet(stage)
+        remaining = _values(staged, partition_col)
+        (layout(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
+        # dynamic overwrite replaces only partitions in its output; one whose every row moved
+        # elsewhere goes explicitly
+        for value in set(touched) - set(remaining):
+            remove_path(spark, f"{path.rstrip('/')}/{partition_col}={NULL_FOLDER if value is None else value}")
+        return touched
+    finally:
+        remove_path(spark, stage)
+        remove_path(spark, batch_path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

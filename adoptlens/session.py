@@ -50,15 +50,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def scale_settings(input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024,
-                   max_partitions: int = 200_000) -> dict[str, str]:
+def scale_settings(input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
     """Shuffle sizing for a cluster run over ``input_bytes`` of input.
 
     AQE coalesces small shuffle partitions after each stage, so the initial number only has
     to be large enough that no partition of the largest shuffle exceeds the target size
     (spill-free sorts and aggregations); it is derived from the input volume.
     """
-    n = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    n = max(200, -(-int(input_bytes) // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
@@ -102,3 +101,32 @@ def remove_path(spark: SparkSession, path: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
     except Exception:  # noqa: BLE001 - cleanup must never fail the job
         pass
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``; a table that cannot be read is no reason to say no."""
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a file with ``text`` at ``path`` by renaming a finished one over it."""
+    import uuid
+
+    jvm = spark.sparkContext._jvm
+    new = f"{path}.{uuid.uuid4().hex[:8]}"
+    p, _ = _file_system(spark, new)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    _, fs = _file_system(spark, new)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files.rename(p, jvm.org.apache.hadoop.fs.Path(path), options)

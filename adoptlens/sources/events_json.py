@@ -73,7 +73,10 @@ def to_usage_events(flat: DataFrame) -> DataFrame:
 
 def read_extract_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """UTF-8 CSV extract with header (a BOM on the first header cell is dropped by Spark);
-    header names are trimmed; without a schema every column is read as text."""
-    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", False)
+    header names are trimmed; without a schema every column is read as text. Quoting is that of
+    RFC 4180: a quoted cell may hold commas, doubled quotes and line breaks, so a file is one
+    split; a large extract comes as many files."""
+    reader = (spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", True)
+              .option("quote", '"').option("escape", '"'))
     df = reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
     return df.toDF(*[c.strip().lstrip("﻿") for c in df.columns])

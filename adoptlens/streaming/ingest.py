@@ -45,9 +45,7 @@ def ingest(batch_rows: DataFrame, table_path: str, checkpoint: str, keys=("usage
     spark = batch_rows.sparkSession
 
     def merge_batch(df: DataFrame, batch_id: int) -> None:
-        # the local date is a function of the immutable event time: keys never move
         upsert_into_table(spark, table_path, df, list(keys), list(order_cols), partition_col,
-                          keys_may_move=False,
                           cluster_by=[c for c in ("practice", "team", "user_email") if c in df.columns])
 
     writer = batch_rows.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)

@@ -132,3 +132,44 @@ def test_search_wildcards_on_literal_frame(spark):
     assert hits("  NaTion_1 ") == ["a@x", "b@x", "c@x"]   # '_' matches any one character
     assert hits("nation\\_1") == ["a@x", "c@x"]           # escaped: a literal underscore
     assert hits("") == ["a@x", "b@x", "c@x", "d@x", "e@x"]
+
+
+def test_event_times_with_offsets_become_utc(spark):
+    from adoptlens.functions.calendar import parse_utc_text
+
+    want = {
+        "2024-01-01T00:00:00+05:30": "2023-12-31 18:30:00", "2024-01-01T00:00:00-08:00": "2024-01-01 08:00:00",
+        "2024-01-01T00:00:00Z": "2024-01-01 00:00:00", "2024-01-01 12:30:15.5+0530": "2024-01-01 07:00:15.5",
+        "2024-01-01T00:00:00+00:00": "2024-01-01 00:00:00", "2024-01-01 10:00:00": "2024-01-01 10:00:00",
+        "2024-01-01": "2024-01-01 00:00:00", "junk": None, "2024-01-01T05:00+05": "2024-01-01 00:00:00",
+    }
+    df = spark.createDataFrame([(k,) for k in want], "t string")
+    got = {r.t: r.u for r in df.select("t", parse_utc_text("t").cast("string").alias("u")).collect()}
+    assert got == want
+
+
+def test_dates_with_times_single_digits_and_month_names(spark):
+    from adoptlens.functions.coerce import day_first_date, lenient_date
+
+    want = {
+        "2025-12-25 00:00:00": ("2025-12-25", "2025-12-25"), "2025-12-25T08:00:00": ("2025-12-25", "2025-12-25"),
+        "1/5/2025": ("2025-01-05", "2025-05-01"), "25/12/2025": ("2025-12-25", "2025-12-25"),
+        "5 Jan 2025": ("2025-01-05", "2025-01-05"), "January 5, 2025": ("2025-01-05", "2025-01-05"),
+        "12/25/2025 9:30 PM": ("2025-12-25", None), "3.7": (None, None), "": (None, None),
+    }
+    df = spark.createDataFrame([(k,) for k in want], "t string")
+    rows = df.select("t", lenient_date("t").cast("string").alias("a"), day_first_date("t").cast("string").alias("b")).collect()
+    assert {r.t: (r.a, r.b) for r in rows} == want
+
+
+def test_cluster_sessions_must_name_the_checkpoint_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from adoptlens.session import checkpoint_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://head:7077")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context)
+    with pytest.raises(ValueError):
+        checkpoint_dir(session)

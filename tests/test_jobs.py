@@ -145,3 +145,38 @@ def test_sync_refreshes_snapshot_incrementally(spark, scratch):
     assert SN.read_section(spark, snap, "dashboard.kpis").collect() == D.kpis(t).collect()
     assert sorted(map(tuple, SN.read_section(spark, snap, "top_users").collect())) == \
         sorted(map(tuple, D.top_users(t).collect()))
+
+
+def test_bulk_import_reads_quoted_cells(spark, scratch):
+    import os
+
+    from adoptlens import jobs
+
+    os.makedirs(f"{scratch}/csv")
+    head = "utc_time,user,unique_usage_id,access_point,product_surface_area,file_count\n"
+    with open(f"{scratch}/csv/a.csv", "w") as f:
+        f.write(head + '2024-01-01T00:00:00+05:30,u@x.com,1,web,"say ""hi"", you",2\n')
+        f.write('2024-01-01 10:00:00,u@x.com,2,web,"two\nlines",1\n')
+    with open(f"{scratch}/csv/b.csv", "w") as f:
+        f.write(head + "2024-01-02 10:00:00,u@x.com,2,app,later file,3\n")
+    assert jobs.bulk_import(spark, f"{scratch}/csv", f"{scratch}/t") == 2
+    rows = {r.usage_id: r for r in spark.read.parquet(f"{scratch}/t").collect()}
+    assert rows["1"].product_area == 'say "hi", you' and rows["1"].file_count == 2
+    assert str(rows["1"].utc_time) == "2023-12-31 18:30:00"
+    assert rows["2"].access_point == "app" and rows["2"].file_count == 3
+
+
+def test_corrected_event_is_stored_once(spark, scratch):
+    from adoptlens import jobs
+
+    roster = spark.createDataFrame([("u@x.com", "U")], "email string, workforce_name string")
+
+    def sync(rows, start, end):
+        raw = spark.createDataFrame(rows, "usage_id string, utc_time string, user string").withColumn("utc_time", F.col("utc_time").cast("timestamp_ntz"))
+        return jobs.sync_window(spark, raw, roster, f"{scratch}/t", f"{scratch}/m", start, end).collect()[0]
+
+    meta = sync([("a", "2024-01-05 10:00:00", "u@x.com"), ("a", "2024-01-05 10:00:00", "u@x.com"), ("b", "2024-01-05 11:00:00", "u@x.com")], "2024-01-05", "2024-01-06")
+    assert (meta.row_count, meta.last_sync_rows) == (2, 2)
+    sync([("a", "2024-01-07 10:00:00", "u@x.com")], "2024-01-07", "2024-01-08")
+    got = sorted((r.usage_id, str(r.usage_date)) for r in spark.read.parquet(f"{scratch}/t").collect())
+    assert got == [("a", "2024-01-07"), ("b", "2024-01-05")]

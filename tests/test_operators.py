@@ -1,5 +1,6 @@
 """Operators: roster merge vs. the sequential fold, de-dup, upsert, reconciliation, sources."""
 
+import datetime as dt
 import json
 import random
 
@@ -149,3 +150,51 @@ def test_teams_by_practice_map(spark):
     df = spark.createDataFrame([("P", "t2"), ("P", "t1"), ("Q", "t"), ("", "x"), ("P", None)], "practice string, team string")
     m = teams_by_practice_map(df).collect()[0][0]
     assert m == {"P": ["t1", "t2"], "Q": ["t"]}
+
+
+def _table(spark, path, schema):
+    return sorted((tuple(r) for r in spark.read.schema(schema).parquet(path).collect()), key=str)
+
+
+def test_upsert_keeps_rows_without_a_partition_value(spark, scratch):
+    from adoptlens.operators.upsert import upsert_into_table
+
+    schema = "id string, day date, v int"
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+
+    def up(rows):
+        return upsert_into_table(spark, f"{scratch}/t", spark.createDataFrame(rows, schema), ["id"], ["v"], "day")
+
+    up([("a", None, 1), ("b", None, 2), ("c", d1, 3)])
+    assert set(up([("d", None, 4), ("e", d2, 5)])) == {None, d2}
+    order = "id string, v int, day date"
+    assert [r[0] for r in _table(spark, f"{scratch}/t", order)] == ["a", "b", "c", "d", "e"]
+    up([("a", d1, 9)])  # from no day to a day
+    assert [r for r in _table(spark, f"{scratch}/t", order) if r[0] == "a"] == [("a", 9, d1)]
+    up([("f", None, 6)])  # nothing but a null day
+    assert len(_table(spark, f"{scratch}/t", order)) == 6
+    up([("b", d2, 7), ("d", d2, 7), ("f", d2, 7)])  # the null day empties
+    assert all(r[2] is not None for r in _table(spark, f"{scratch}/t", order))
+
+
+def test_upsert_keeps_text_partition_values(spark, scratch):
+    from adoptlens.operators.upsert import upsert_into_table
+
+    def up(rows):
+        upsert_into_table(spark, f"{scratch}/t", spark.createDataFrame(rows, "id string, m string, v int"), ["id"], ["v"], "m")
+
+    up([("a", "01", 1), ("b", "02", 2)])
+    up([("a", "01", 3)])
+    assert _table(spark, f"{scratch}/t", "id string, v int, m string") == [("a", 3, "01"), ("b", 2, "02")]
+
+
+def test_upsert_raises_on_an_unreadable_table(spark, scratch):
+    import pytest
+
+    from adoptlens.operators.upsert import upsert_into_table
+
+    spark.range(1).selectExpr("'x' AS value").write.text(f"{scratch}/t")
+    batch = spark.createDataFrame([("a", "1", 1)], "id string, m string, v int")
+    with pytest.raises(Exception):  # noqa: B017
+        upsert_into_table(spark, f"{scratch}/t", batch, ["id"], ["v"], "m")
+    assert spark.read.text(f"{scratch}/t").count() == 1
