@@ -26,7 +26,8 @@ def _filters(practices=None, locations=None, accesses=None, designations=None, t
 def _sectioned(spark, snapshot_root, prefix, filters, live: dict[str, DataFrame]) -> dict[str, DataFrame]:
     if not snapshot_root:
         return live
-    return {k: snapshots.read_or_compute(spark, snapshot_root, f"{prefix}{k}", filters, lambda v=v: v)
+    version = snapshots.current_version(spark, snapshot_root)  # one version for the whole bundle
+    return {k: snapshots.read_or_compute(spark, snapshot_root, f"{prefix}{k}", filters, lambda v=v: v, version)
             for k, v in live.items()}
 
 
@@ -67,7 +68,7 @@ def export_usage_csv(usage: DataFrame, practices=None, locations=None, accesses=
 def export_top_users_csv(usage: DataFrame, practices=None, locations=None, accesses=None, designations=None,
                          teams=None, products=None, start_date=None, end_date=None) -> DataFrame:
     f = _filters(practices, locations, accesses, designations, teams, products, start_date, end_date)
-    return export.lines_as_text(export.top_user_lines(usage, f), "rank_val")
+    return export.top_user_lines(usage, f)
 
 
 def get_filter_options(spark: SparkSession, usage: DataFrame, snapshot_root: str | None = None) -> dict[str, DataFrame]:
@@ -77,7 +78,9 @@ def get_filter_options(spark: SparkSession, usage: DataFrame, snapshot_root: str
              "teams_by_practice": "filter_options.teams_by_practice"}
     if not snapshot_root:
         return live
-    return {k: snapshots.read_or_compute(spark, snapshot_root, names[k], None, lambda v=v: v) for k, v in live.items()}
+    version = snapshots.current_version(spark, snapshot_root)
+    return {k: snapshots.read_or_compute(spark, snapshot_root, names[k], None, lambda v=v: v, version)
+            for k, v in live.items()}
 
 
 def get_adoption_bundle(spark: SparkSession, roster: DataFrame, usage: DataFrame, practices=None, teams=None,

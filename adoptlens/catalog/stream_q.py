@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adoptlens.catalog import register
 from adoptlens.operators.enrich import normalize_events
 from adoptlens.session import scratch_path
-from adoptlens.sources.fixtures import product_area_expr
+from adoptlens.sources.fixtures import event_user, product_area_expr
 from adoptlens.sources.tables import table
 from adoptlens.streaming import ingest as S
 
@@ -25,7 +25,7 @@ def _as_raw(df):
     return df.select(
         eid.cast("string").alias("usage_id"),
         F.col("ts").alias("utc_time"),
-        F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.com")).alias("user"),
+        event_user(F.col("user_id")).alias("user"),
         F.col("event_type").alias("access_point"),
         product_area_expr(eid).alias("product_area"),
         (eid % 4).cast("int").alias("file_count"),
@@ -36,7 +36,7 @@ INGEST_COLS = ["usage_id", "utc_time", "user_email", "access_point", "product_ar
 
 
 @register("stream_ingest", """
-SELECT CAST(event_id AS VARCHAR) AS usage_id, ts AS utc_time, 'user' || CAST(user_id AS VARCHAR) || '@example.com' AS user_email,
+SELECT CAST(event_id AS VARCHAR) AS usage_id, ts AS utc_time, 'user' || CAST(user_id AS VARCHAR) || CASE WHEN user_id % 13 = 6 THEN '@partner.example' ELSE '@example.com' END AS user_email,
        event_type AS access_point,
        CASE event_id % 12 WHEN 0 THEN 'Assistant' WHEN 1 THEN 'Assistant, Follow-up' WHEN 2 THEN 'Word Add-In'
             WHEN 3 THEN 'Workflow Builder,Review Table' WHEN 4 THEN 'Playbook' WHEN 5 THEN 'Vault'

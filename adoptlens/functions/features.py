@@ -37,14 +37,13 @@ def has_any_tool(product_area: Column | str, tools: list[str]) -> Column:
 
 
 # Feature classes in match order; a tool matching any pattern of a class
-# (lower-cased, trimmed, SQL LIKE) belongs to the first such class. The review class also
-# takes '%review%' unless the tool mentions '%workflow%'.
+# (lower-cased, trimmed, SQL LIKE) belongs to the first such class.
 FEATURE_PATTERNS = [
     ("followups", ["%follow-up%", "%follow up%", "%followup%"]),
     ("word_addin", ["%word%", "%add-in%", "%add in%"]),
     ("workflow_runs", ["%workflow%"]),
     ("playbook_runs", ["%playbook%"]),
-    ("review_table_columns", ["%review table%"]),
+    ("review_table_columns", ["%review%"]),
     ("assistant_threads", ["%assistant%", "%thread%"]),
 ]
 
@@ -57,7 +56,5 @@ def feature_class(tool: Column | str) -> Column:
     expr = None
     for key, patterns in FEATURE_PATTERNS:
         cond = reduce(lambda a, b: a | b, [t.like(p) for p in patterns])
-        if key == "review_table_columns":
-            cond = cond | (t.like("%review%") & ~t.like("%workflow%"))
         expr = F.when(cond, F.lit(key)) if expr is None else expr.when(cond, F.lit(key))
     return expr

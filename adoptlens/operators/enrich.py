@@ -30,21 +30,15 @@ def normalize_events(raw: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
     )
 
 
-def enrich_usage(events: DataFrame, roster: DataFrame, broadcast_check: bool = True) -> DataFrame:
+def enrich_usage(events: DataFrame, roster: DataFrame) -> DataFrame:
     """Left join events to the (e-mail keyed, de-duplicated) roster.
 
     ``email`` is the matched roster e-mail only (NULL when unmatched), as in the reference.
-    The roster is broadcast only after a bounded size check (``checked_broadcast``): then
-    the event side is never shuffled for the join. Beyond the bound — or with the check
-    off — the planner decides (statistics, then AQE's measured sizes) and a sort-merge
-    join has its skewed partitions split by AQE.
+    No hint: a roster under the session's broadcast threshold is broadcast, by statistics or
+    by the size AQE measures; beyond it a sort-merge join has its skewed users split.
     """
-    from adoptlens.operators.joins import checked_broadcast
-
     attrs = [c for c in ROSTER_ATTRS if c in roster.columns]
     r = roster.select(F.col("email").alias("_r_email"), *attrs)
-    if broadcast_check:
-        r, _ = checked_broadcast(r)
     ev_cols = [c for c in events.columns if c not in attrs and c != "email"]
     joined = events.select(*ev_cols).join(r, F.col("user_email") == F.col("_r_email"), "left")
     return joined.withColumnRenamed("_r_email", "email")

@@ -17,11 +17,7 @@ from adoptlens.operators.filters import ROSTER_DIMS, Filters, _as_date, non_blan
 from adoptlens.plans.dashboard import DASH
 from adoptlens.plans.rollup import rows, rows_if
 
-# List caps and funnel labels of the reference.
-TOP_GROUPS = 15
-INACTIVE_CAP = 500
-PENDING_CAP = 500
-REVOKED_CAP = 200
+# Funnel labels.
 FUNNEL = [
     (1, "Access Pending"),
     (2, "Active (with access)"),
@@ -88,28 +84,30 @@ def adoption_kpis(enriched: DataFrame) -> DataFrame:
     ).drop("period_actions")
 
 
-def _top(df: DataFrame, k: int = TOP_GROUPS) -> DataFrame:
-    return df.orderBy(F.desc("value"), F.asc("label")).limit(k)
+def _ranked(df: DataFrame, k: int | None) -> DataFrame:
+    """All groups, highest value first; the first ``k`` of them where a caller asks for it."""
+    out = df.orderBy(F.desc("value"), F.asc("label"))
+    return out if k is None else out.limit(k)
 
 
-def team_access_coverage(enriched: DataFrame) -> DataFrame:
+def team_access_coverage(enriched: DataFrame, k: int | None = None) -> DataFrame:
     g = enriched.filter(non_blank("team")).groupBy(F.col("team").alias("label")).agg(
         F.count_if(_st(GRANTED)).alias("granted"),
         F.count_if(F.col("access_state").isin(GRANTED, PENDING)).alias("workforce"),
     )
     g = g.filter(F.col("workforce") > 0)
-    return _top(g.select("label", pct(F.col("granted"), F.col("workforce"), zero_when_empty=False).alias("value")))
+    return _ranked(g.select("label", pct(F.col("granted"), F.col("workforce"), zero_when_empty=False).alias("value")), k)
 
 
-def team_adoption_rate(enriched: DataFrame) -> DataFrame:
+def team_adoption_rate(enriched: DataFrame, k: int | None = None) -> DataFrame:
     g = enriched.filter(_st(GRANTED) & non_blank("team")).groupBy(F.col("team").alias("label")).agg(
         F.count_if(F.col("is_active")).alias("active"), F.count(F.lit(1)).alias("granted")
     )
     g = g.filter(F.col("granted") > 0)
-    return _top(g.select("label", pct(F.col("active"), F.col("granted"), zero_when_empty=False).alias("value")))
+    return _ranked(g.select("label", pct(F.col("active"), F.col("granted"), zero_when_empty=False).alias("value")), k)
 
 
-def practice_access_coverage(enriched: DataFrame) -> DataFrame:
+def practice_access_coverage(enriched: DataFrame, k: int | None = None) -> DataFrame:
     """Like team coverage, plus groups whose rounded value is 0 are dropped."""
     g = (
         enriched.filter(F.col("access_state").isin(GRANTED, PENDING) & non_blank("practice"))
@@ -118,7 +116,7 @@ def practice_access_coverage(enriched: DataFrame) -> DataFrame:
     )
     v = g.filter(F.col("workforce") > 0).select(
         "label", pct(F.col("granted"), F.col("workforce"), zero_when_empty=False).alias("value"))
-    return _top(v.filter(F.col("value") > 0))
+    return _ranked(v.filter(F.col("value") > 0), k)
 
 
 def access_funnel(enriched: DataFrame) -> DataFrame:
@@ -138,11 +136,12 @@ def access_funnel(enriched: DataFrame) -> DataFrame:
     return one.select(stages).select("s.stage", "s.label", "s.value").filter(F.col("value") > 0).orderBy("stage")
 
 
-def _people(df: DataFrame, cols, cap: int) -> DataFrame:
-    return df.orderBy(F.asc_nulls_last("workforce_name"), F.asc("email")).limit(cap).select(*cols)
+def _people(df: DataFrame, cols, k: int | None) -> DataFrame:
+    out = df.orderBy(F.asc_nulls_last("workforce_name"), F.asc("email"))
+    return (out if k is None else out.limit(k)).select(*cols)
 
 
-def inactive_members(enriched: DataFrame) -> DataFrame:
+def inactive_members(enriched: DataFrame, k: int | None = None) -> DataFrame:
     cols = [F.coalesce("workforce_name", F.lit(DASH)).alias("name"), "email",
             F.coalesce("team", F.lit(DASH)).alias("team"),
             F.coalesce("designation", F.lit(DASH)).alias("designation"),
@@ -150,22 +149,22 @@ def inactive_members(enriched: DataFrame) -> DataFrame:
     for opt in ("date_added", "low_usage_warning"):
         if opt in enriched.columns:
             cols.append(opt)
-    return _people(enriched.filter(_st(GRANTED) & ~F.col("is_active")), cols, INACTIVE_CAP)
+    return _people(enriched.filter(_st(GRANTED) & ~F.col("is_active")), cols, k)
 
 
-def pending_members(enriched: DataFrame) -> DataFrame:
+def pending_members(enriched: DataFrame, k: int | None = None) -> DataFrame:
     cols = [F.coalesce("workforce_name", F.lit(DASH)).alias("name"), "email",
             F.coalesce("team", F.lit(DASH)).alias("team"),
             F.coalesce("practice", F.lit(DASH)).alias("practice"),
             F.coalesce("designation", F.lit(DASH)).alias("designation")]
-    return _people(enriched.filter(_st(PENDING)), cols, PENDING_CAP)
+    return _people(enriched.filter(_st(PENDING)), cols, k)
 
 
-def revoked_members(enriched: DataFrame) -> DataFrame:
+def revoked_members(enriched: DataFrame, k: int | None = None) -> DataFrame:
     cols = [F.coalesce("workforce_name", F.lit(DASH)).alias("name"), "email",
             F.coalesce("team", F.lit(DASH)).alias("team"),
             F.coalesce("raw_status", F.lit(DASH)).alias("status")]
-    return _people(enriched.filter(_st(REVOKED)), cols, REVOKED_CAP)
+    return _people(enriched.filter(_st(REVOKED)), cols, k)
 
 
 def adoption_filter_options(roster: DataFrame) -> DataFrame:

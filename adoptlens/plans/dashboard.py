@@ -18,19 +18,22 @@ from adoptlens.plans.rollup import files, rows, weight
 UNKNOWN = "Unknown"
 DASH = "—"
 
-# Chart caps of the reference.
-TOP_DIM = 7
+# Tools named before 'Other', and the spans of the timeline's steps.
 TOP_TOOLS = 8
-TOP_USERS = 2000
 DAILY_MAX_SPAN = 60
 MONTHLY_MAX_SPAN = 730
 
 
 def kpis(usage: DataFrame) -> DataFrame:
-    """Distinct users, rows and distinct non-blank practices (one row)."""
-    return usage.agg(
+    """Distinct users, rows and distinct non-blank practices (one row).
+
+    Rows are counted per (user, practice) first, so the two distinct counts work on that
+    small frame and never multiply the raw rows.
+    """
+    pairs = usage.groupBy("user_email", "practice").agg(rows(usage).alias("n"))
+    return pairs.agg(
         F.count_distinct("user_email").alias("active_users"),
-        rows(usage).alias("total_actions"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_actions"),
         F.count_distinct(F.when(non_blank("practice"), F.col("practice"))).alias("practice_areas"),
     )
 
@@ -52,7 +55,7 @@ def dimension_counts(usage: DataFrame, dims: list[str] = CHART_DIMS, default: st
     """All dimension charts from ONE scan: (dimension, label, value) via GROUPING SETS.
 
     Each row is expanded once per dimension inside the same stage and partially aggregated
-    before the single shuffle; per-chart caps (top 7 etc.) are applied to this small result.
+    before the single shuffle.
     """
     cols = [F.coalesce(F.col(d), F.lit(default)).alias(d) for d in dims]
     g = usage.select(*cols, weight(usage).alias("_w")).groupingSets([[d] for d in dims], *dims).agg(
@@ -68,13 +71,10 @@ def dimension_counts(usage: DataFrame, dims: list[str] = CHART_DIMS, default: st
     return g.select(dim_name.alias("dimension"), label.alias("label"), "value")
 
 
-def charts_from_counts(counts: DataFrame, caps: dict[str, int | None]) -> dict[str, DataFrame]:
-    """Split one-scan dimension counts into per-chart frames, applying each chart's cap."""
-    out = {}
-    for dim, cap in caps.items():
-        c = counts.filter(F.col("dimension") == dim).select("label", "value").orderBy(F.desc("value"), F.asc("label"))
-        out[dim] = c.limit(cap) if cap else c
-    return out
+def charts_from_counts(counts: DataFrame, dims: list[str]) -> dict[str, DataFrame]:
+    """Split one-scan dimension counts into one frame per chart."""
+    return {d: counts.filter(F.col("dimension") == d).select("label", "value").orderBy(F.desc("value"), F.asc("label"))
+            for d in dims}
 
 
 def daily_counts(usage: DataFrame, date_col: str = "usage_date") -> DataFrame:
@@ -132,8 +132,9 @@ def hourly_histogram(spark: SparkSession, usage: DataFrame) -> DataFrame:
     counts = usage.filter(F.col("usage_hour").isNotNull()).groupBy(F.col("usage_hour").alias("hour")).agg(
         F.count(F.lit(1)).alias("cnt")
     )
-    spine = F.broadcast(spark.range(24).select(F.col("id").cast("int").alias("hour")))
-    return spine.join(counts, "hour", "left").select(
+    spine = spark.range(24).select(F.col("id").cast("int").alias("hour"))
+    # at most one row per hour of the day
+    return spine.join(F.broadcast(counts), "hour", "left").select(
         "hour", F.coalesce(F.col("cnt"), F.lit(0)).cast("bigint").alias("cnt")
     ).orderBy("hour")
 
@@ -171,8 +172,9 @@ def top_tools_with_other(usage: DataFrame, k: int = TOP_TOOLS) -> DataFrame:
     )
 
 
-def top_users(usage: DataFrame, limit: int | None = TOP_USERS) -> DataFrame:
-    """Leaderboard: per user max name/designation/location, actions, files; top ``limit``.
+def top_users(usage: DataFrame, limit: int | None = None) -> DataFrame:
+    """Leaderboard: per user max name/designation/location, actions, files; all users, or
+    the first ``limit``.
 
     Two-level aggregation: first by (user, name, designation, location) — string *keys* keep
     it a hash aggregate with map-side combining over the big table — then per user over that
@@ -209,7 +211,6 @@ SORT_KEYS = {
     "product_surface_area": "product_area",
     "file_count": "file_count",
 }
-DEEP_PAGE_ROWS = 50_000  # beyond this many leading rows, time-sorted pages cut by percentile first
 PAGE_COLUMNS = ["utc_time", "user_email", "workforce_name", "practice", "location", "access_point",
                 "product_area", "file_count"]
 
@@ -220,7 +221,8 @@ def usage_page(usage: DataFrame, filters: Filters | None = None, sort_key: str =
     """One page of detail rows: allow-listed sort, NULLS LAST both ways, usage_id tie-break.
 
     ``offset(n).limit(m)`` after the sort plans as a top-(n+m) TakeOrderedAndProject, so a
-    page never sorts the whole table into one partition.
+    page never sorts the whole table into one partition; callers that walk through many
+    pages use ``usage_page_after``, whose cost does not grow with depth.
     """
     df = (filters or Filters()).apply(usage)
     col = SORT_KEYS.get(sort_key, "utc_time")
@@ -229,11 +231,6 @@ def usage_page(usage: DataFrame, filters: Filters | None = None, sort_key: str =
         order.append(F.desc_nulls_last("utc_time"))
     order.append(F.asc("usage_id"))
     offset = max(page - 1, 0) * page_size
-    if col == "utc_time" and offset + page_size > DEEP_PAGE_ROWS:
-        # deep page on the time sort: cut the first offset+size rows without a single-task top-k
-        from adoptlens.plans.export import first_k
-
-        df = first_k(df, offset + page_size, "utc_time", "usage_id", ascending=ascending)
     ordered = df.orderBy(*order).select(*PAGE_COLUMNS, "usage_id")
     if offset:
         ordered = ordered.offset(offset)
@@ -315,8 +312,8 @@ def bundle(usage: DataFrame, filters: Filters | None = None) -> dict[str, DataFr
         "kpis": kpis(f),
         "timeline": timeline(f),
         "timeline_granularity": timeline_granularity(f),
-        "practice": count_by(f, "practice", TOP_DIM),
-        "team": count_by(f, "team", TOP_DIM),
+        "practice": count_by(f, "practice"),
+        "team": count_by(f, "team"),
         "location": count_by(f, "location"),
         "tools": top_tools_with_other(f),
         "designation": count_by(f, "designation"),
@@ -325,4 +322,4 @@ def bundle(usage: DataFrame, filters: Filters | None = None) -> dict[str, DataFr
 
 def team_facet(usage: DataFrame, filters: Filters) -> DataFrame:
     """Legacy self-excluding facet: team counts under every filter except the team one."""
-    return count_by(filters.without("teams").apply(usage), "team", TOP_DIM)
+    return count_by(filters.without("teams").apply(usage), "team")

@@ -7,62 +7,29 @@ the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adoptlens.functions.text import csv_safe
 from adoptlens.operators.filters import Filters
+from adoptlens.operators.ranking import numbered
 from adoptlens.plans.dashboard import top_users
 
-# Header texts and line caps of the reference exports.
+# Header texts.
 USAGE_HEADER = ("utc_time,user_email,workforce_name,practice_function,location,access_point,"
                 "product_surface_area,file_count,action,usage_date")
 TOP_USERS_HEADER = "Rank,User Email,Workforce Name,Designation,Location,Actions,Files"
-USAGE_LINE_CAP = 100_000  # lines including the header
-TOP_USERS_CAP = 2_000
-
-
-def first_k(df: DataFrame, k: int, time_col: str = "utc_time", tie_col: str = "usage_id",
-            ascending: bool = True, max_rounds: int = 6) -> DataFrame:
-    """Exactly the first k rows by time (ascending or descending, NULL times last), then
-    ``tie_col`` ascending — without a single-task top-k over the whole input.
-
-    A plain ``orderBy().limit(k)`` plans as TakeOrderedAndProject: every input partition
-    sends its local top-k to one task (partitions x k rows — billions for a 100k cap on a
-    large table). Instead: count; if at most k rows, nothing is cut. Otherwise find a time
-    cutoff with ``percentile_approx`` (one scalar aggregate), widen it until the rows on the
-    near side of it cover k, and take the exact top-k from those candidates only (~k rows).
-    """
-    total, n_timed = df.agg(F.count(F.lit(1)), F.count(time_col)).first()  # one pass
-    if total <= k:
-        return df
-    t = F.col(time_col)
-    order = [F.asc_nulls_last(time_col) if ascending else F.desc_nulls_last(time_col), F.asc(tie_col)]
-    if n_timed < k:  # every timed row, then the earliest-id rows without a time
-        rest = df.filter(t.isNull()).orderBy(F.asc(tie_col)).limit(k - n_timed)
-        return df.filter(t.isNotNull()).unionByName(rest)
-    frac = min(1.0, 1.25 * k / n_timed)
-    for _ in range(max_rounds):
-        q = frac if ascending else 1.0 - frac
-        cutoff = df.agg(F.percentile_approx(time_col, F.lit(q), F.lit(10000))).first()[0]
-        cand = df.filter(t <= F.lit(cutoff) if ascending else t >= F.lit(cutoff))
-        if frac >= 1.0 or cand.count() >= k:
-            return cand.orderBy(*order).limit(k)
-        frac = min(1.0, frac * 2)
-    return df.orderBy(*order).limit(k)
-
-
-def earliest(df: DataFrame, k: int, time_col: str = "utc_time", tie_col: str = "usage_id") -> DataFrame:
-    """The k earliest rows (see ``first_k``)."""
-    return first_k(df, k, time_col, tie_col, ascending=True)
 
 
 def _opt(df: DataFrame, name: str):
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
-def usage_lines(usage: DataFrame, filters: Filters | None = None, cap: int = USAGE_LINE_CAP) -> DataFrame:
-    """(sort_key, line): header (0) and up to cap-1 detail lines (1), earliest events first."""
+def usage_lines(usage: DataFrame, filters: Filters | None = None, ordered: bool = False) -> DataFrame:
+    """(sort_key, line): header (0) and one detail line (1) per event.
+
+    ``ordered``: with the event's time and id, by which ``write_lines`` sorts.
+    """
     df = (filters or Filters()).apply(usage)
     line = F.concat_ws(
         ",",
@@ -77,18 +44,16 @@ def usage_lines(usage: DataFrame, filters: Filters | None = None, cap: int = USA
         F.coalesce(_opt(df, "action"), F.lit("")),
         F.coalesce(F.date_format("usage_date", "yyyy-MM-dd"), F.lit("")),
     )
-    rows = earliest(df, cap - 1).select(F.lit(1).alias("sort_key"), line.alias("line"))
+    order = ["utc_time", "usage_id"] if ordered else []
+    rows = df.select(F.lit(1).alias("sort_key"), line.alias("line"), *order)
     header = df.sparkSession.range(1).select(F.lit(0).alias("sort_key"), F.lit(USAGE_HEADER).alias("line"))
-    return header.unionByName(rows)
+    return header.unionByName(rows, allowMissingColumns=True)
 
 
-def top_user_lines(usage: DataFrame, filters: Filters | None = None, cap: int = TOP_USERS_CAP) -> DataFrame:
-    """(rank_val, line): header (0) then ranked leaderboard lines.
-
-    The rank is numbered after the top-k, so the window sees at most ``cap`` rows.
-    """
-    top = top_users((filters or Filters()).apply(usage), cap)
-    ranked = top.withColumn("rank_val", F.row_number().over(Window.orderBy(F.desc("actions"), F.asc("user"))))
+def top_user_lines(usage: DataFrame, filters: Filters | None = None, k: int | None = None) -> DataFrame:
+    """(rank_val, line): header (0), then a ranked line per user, or the first ``k`` users."""
+    top = top_users((filters or Filters()).apply(usage), k)
+    ranked = numbered(top, [F.desc("actions"), F.asc("user")], "rank_val")
     line = F.concat_ws(
         ",",
         F.col("rank_val").cast("string"),
@@ -106,10 +71,10 @@ def top_user_lines(usage: DataFrame, filters: Filters | None = None, cap: int =
 
 
 def lines_as_text(lines: DataFrame, order_col: str) -> DataFrame:
-    """Single ordered text (one row) for small, capped exports such as the leaderboard."""
+    """Ordered text of a top-k export in one row; everything else is written by ``write_lines``."""
     return lines.agg(F.expr(f"listagg(line, '\\n') WITHIN GROUP (ORDER BY {order_col}, line)").alias("csv_text"))
 
 
-def write_lines(lines: DataFrame, path: str, order_col: str = "sort_key") -> None:
-    """Write export lines as text part files (header first), distributed across tasks."""
-    lines.orderBy(order_col, "line").select("line").write.mode("overwrite").text(path)
+def write_lines(lines: DataFrame, path: str, order: list[str]) -> None:
+    """Write export lines as text part files in order, header first, by a range-partitioned sort."""
+    lines.orderBy(*[F.asc_nulls_first(c) if c == "sort_key" else F.asc_nulls_last(c) for c in order]).select("line").write.mode("overwrite").text(path)

@@ -16,11 +16,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from adoptlens.operators.filters import Filters
 from adoptlens.plans import adoption, dashboard
 from adoptlens.plans.rollup import usage_rollup
+from adoptlens.session import path_exists, replace_text
 
 
 def unfiltered_sections(spark: SparkSession, usage: DataFrame, roster: DataFrame,
@@ -29,8 +29,8 @@ def unfiltered_sections(spark: SparkSession, usage: DataFrame, roster: DataFrame
     the dimension charts are cut from it instead of scanning usage once per chart."""
     sections = {f"dashboard.{k}": v for k, v in dashboard.bundle(usage).items()}
     if counts is not None:
-        caps = {"practice": dashboard.TOP_DIM, "team": dashboard.TOP_DIM, "location": None, "designation": None}
-        sections.update({f"dashboard.{k}": v for k, v in dashboard.charts_from_counts(counts, caps).items()})
+        charts = dashboard.charts_from_counts(counts, ["practice", "team", "location", "designation"])
+        sections.update({f"dashboard.{k}": v for k, v in charts.items()})
     sections["top_users"] = dashboard.top_users(usage)
     sections["filter_options"] = dashboard.filter_options(usage)
     sections["filter_options.products"] = dashboard.product_options(usage)
@@ -53,10 +53,8 @@ def _write_sections(spark: SparkSession, base: str, sections: dict[str, DataFram
 
 
 def _publish(spark: SparkSession, root: str, version: str) -> None:
-    """Make ``version`` current by replacing the one-line pointer (written last)."""
-    pointer = spark.createDataFrame([(version, dt.datetime.now(dt.timezone.utc).isoformat())],
-                                    "version string, refreshed_at string")
-    pointer.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
+    """Make ``version`` current: the pointer, a file of one line, is replaced by a rename."""
+    replace_text(spark, f"{root.rstrip('/')}/CURRENT", version)
 
 
 def refresh(spark: SparkSession, usage: DataFrame, roster: DataFrame, root: str,
@@ -93,8 +91,12 @@ def refresh_incremental(spark: SparkSession, usage: DataFrame, roster: DataFrame
     if previous is None:
         return refresh(spark, usage, roster, root, parallel_jobs=parallel_jobs)
     dates = [d for d in touched_dates if d is not None]
-    keep = previous.filter(~F.col("usage_date").isin(dates) if dates else F.lit(True))
-    fresh = usage_rollup(usage.filter(F.col("usage_date").isin(dates))) if dates else None
+    day = F.col("usage_date")
+    touched = F.coalesce(day.isin(dates), F.lit(False)) if dates else F.lit(False)
+    if len(dates) < len(touched_dates):  # events without a day changed too
+        touched = touched | day.isNull()
+    keep = previous.filter(~touched)
+    fresh = usage_rollup(usage.filter(touched)) if touched_dates else None
     version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     base = f"{root.rstrip('/')}/version={version}"
     rollup_path = f"{base}/section=usage_rollup"
@@ -108,28 +110,30 @@ def refresh_incremental(spark: SparkSession, usage: DataFrame, roster: DataFrame
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    try:
-        rows = spark.read.json(f"{root.rstrip('/')}/_current").select("version").take(1)
-    except AnalysisException:
+    path = f"{root.rstrip('/')}/CURRENT"
+    if not path_exists(spark, path):
         return None
+    rows = spark.read.text(path).take(1)
     return rows[0][0] if rows else None
 
 
-def read_section(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    version = current_version(spark, root)
+def read_section(spark: SparkSession, root: str, name: str, version: str | None = None) -> DataFrame | None:
+    """A section of ``version``, by default of the current one."""
+    version = version or current_version(spark, root)
     if version is None:
         return None
-    try:
-        return spark.read.parquet(f"{root.rstrip('/')}/version={version}/section={name}")
-    except AnalysisException:
-        return None
+    path = f"{root.rstrip('/')}/version={version}/section={name}"
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def read_or_compute(spark: SparkSession, root: str, name: str, filters: Filters | None,
-                    compute: Callable[[], DataFrame]) -> DataFrame:
-    """Snapshot when every filter is empty and the section exists, else the live plan."""
+                    compute: Callable[[], DataFrame], version: str | None = None) -> DataFrame:
+    """Snapshot when every filter is empty and the section exists, else the live plan.
+
+    A caller that reads several sections resolves ``version`` once, so they belong together.
+    """
     if filters is None or filters.is_empty():
-        snap = read_section(spark, root, name)
+        snap = read_section(spark, root, name, version)
         if snap is not None:
             return snap
     return compute()

@@ -21,11 +21,9 @@ from adoptlens.functions.numeric import pct, ratio
 from adoptlens.plans.dashboard import DASH
 from adoptlens.plans.rollup import rows, weight
 
-UNMAPPED_CAP = 50
-# Fixed value: the report's disclaimer text.
-DISCLAIMER = ("Note: Total Activity as per the usage data may also include a combination of multiple "
-              "activities which are counted only once. Hence, there can be a discrepancy in the total "
-              "of Threads, Add-Ins etc. and Total Activity.")
+# Shown with every report.
+DISCLAIMER = ("An event that names several tools is one event in the total but counts once for each "
+              "feature, so the feature counts need not add up to the total.")
 
 
 def validate(practice: str | None, start, end) -> None:
@@ -161,9 +159,10 @@ def report_without_access(hr_base: DataFrame) -> DataFrame:
     )
 
 
-def unmapped_tools(usage_f: DataFrame, cap: int = UNMAPPED_CAP) -> DataFrame:
+def unmapped_tools(usage_f: DataFrame) -> DataFrame:
+    """Distinct tools that no feature class takes."""
     ex = usage_f.select(F.explode(tool_array("product_area")).alias("tool"))
-    return ex.filter(feature_class("tool").isNull()).distinct().orderBy("tool").limit(cap)
+    return ex.filter(feature_class("tool").isNull()).distinct().orderBy("tool")
 
 
 def report_meta(spark: SparkSession, usage_f: DataFrame, practice: str, team: str | None, start, end,
@@ -180,6 +179,7 @@ def report_meta(spark: SparkSession, usage_f: DataFrame, practice: str, team: st
         F.lit(e).alias("end_date"),
         F.concat(F.date_format(F.lit(s), "dd MMM yyyy"), F.lit(" – "), F.date_format(F.lit(e), "dd MMM yyyy")).alias("period_label"),
         F.lit(title).alias("title"),
+        F.lit(DISCLAIMER).alias("disclaimer"),
     )
     if generated_at:
         meta = meta.withColumn("generated_at", F.concat(

@@ -19,6 +19,12 @@ def _email(key: Column) -> Column:
     return F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com"))
 
 
+def event_user(key: Column) -> Column:
+    """The user of an event; some come from a domain that no roster row has."""
+    domain = F.when(key % 13 == 6, "@partner.example").otherwise("@example.com")
+    return F.concat(F.lit("user"), key.cast("string"), domain)
+
+
 def _designation(acctbal: Column) -> Column:
     return F.when(acctbal < 0, "Trainee").when(acctbal < 5000, "Associate").otherwise("Partner")
 
@@ -34,7 +40,7 @@ def roster_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation is a fixed 25-row dimension: a proven size bound, safe to broadcast.
     n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     k = F.col("c_custkey")
-    df = c.filter(k % 13 != 6).join(n, F.col("n_nationkey") == F.col("c_nationkey"))
+    df = c.join(n, F.col("n_nationkey") == F.col("c_nationkey"))
     return df.select(
         _email(k).alias("email"),
         F.col("c_name").alias("workforce_name"),
@@ -72,7 +78,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         eid.cast("string").alias("usage_id"),
         F.col("ts").alias("utc_time"),
-        _email(F.col("user_id")).alias("user"),
+        event_user(F.col("user_id")).alias("user"),
         F.col("event_type").alias("access_point"),
         product_area_expr(eid).alias("product_area"),
         (eid % 4).cast("int").alias("file_count"),
@@ -102,7 +108,6 @@ roster_src AS (
               WHEN 7 THEN 'pending' ELSE 'granted' END AS access_state,
          c.c_custkey AS src_ord
   FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-  WHERE c.c_custkey % 13 <> 6
 ),
 roster AS (
   SELECT email, workforce_name, location, practice, team, designation, raw_status, access_state FROM roster_src
@@ -114,7 +119,7 @@ usage AS (
          e.ts AS utc_time,
          CAST(e.ts + INTERVAL '330' MINUTE AS DATE) AS usage_date,
          CAST(EXTRACT(HOUR FROM e.ts + INTERVAL '330' MINUTE) AS INT) AS usage_hour,
-         'user' || CAST(e.user_id AS VARCHAR) || '@example.com' AS user_email,
+         'user' || CAST(e.user_id AS VARCHAR) || CASE WHEN e.user_id % 13 = 6 THEN '@partner.example' ELSE '@example.com' END AS user_email,
          e.event_type AS access_point,
          CASE e.event_id % 12 WHEN 0 THEN 'Assistant' WHEN 1 THEN 'Assistant, Follow-up' WHEN 2 THEN 'Word Add-In'
               WHEN 3 THEN 'Workflow Builder,Review Table' WHEN 4 THEN 'Playbook' WHEN 5 THEN 'Vault'
@@ -122,7 +127,8 @@ usage AS (
               WHEN 10 THEN 'Knowledge,History,Thread' ELSE 'Research,Translate' END AS product_area,
          CAST(e.event_id % 4 AS INT) AS file_count,
          r.email, r.workforce_name, r.location, r.practice, r.team, r.designation
-  FROM events e LEFT JOIN roster r ON r.email = 'user' || CAST(e.user_id AS VARCHAR) || '@example.com'
+  FROM events e LEFT JOIN roster r
+    ON r.email = 'user' || CAST(e.user_id AS VARCHAR) || CASE WHEN e.user_id % 13 = 6 THEN '@partner.example' ELSE '@example.com' END
 )"""
 
 
@@ -148,7 +154,7 @@ def roster_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     k = F.col("c_custkey")
     shifted = (k + 3) % 8
-    copies = c.filter((k % 13 != 6) & (k % 5 == 0)).join(n, F.col("n_nationkey") == F.col("c_nationkey")).select(
+    copies = c.filter(k % 5 == 0).join(n, F.col("n_nationkey") == F.col("c_nationkey")).select(
         _email(k).alias("email"),
         F.col("c_name").alias("workforce_name"),
         F.col("n_name").alias("location"),
@@ -174,5 +180,5 @@ roster_copies AS (
               WHEN 7 THEN 'pending' ELSE 'granted' END,
          c.c_custkey * 2 + 1
   FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-  WHERE c.c_custkey % 13 <> 6 AND c.c_custkey % 5 = 0
+  WHERE c.c_custkey % 5 = 0
 )"""

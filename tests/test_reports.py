@@ -90,8 +90,9 @@ def test_public_api_matches_plans_and_uses_snapshot(spark, scratch):
     assert set(b) >= {"kpis", "timeline", "practice", "team", "location", "tools", "designation"}
     page = api.get_usage_page(u, search="nation_1", page=2, page_size=10)
     assert page["rows"].count() == 10 and page["total"].collect()[0][0] > 10
-    text = api.export_top_users_csv(u).collect()[0][0]
-    assert text.startswith("Rank,User Email,Workforce Name,Designation,Location,Actions,Files\n1,")
+    lines = [r.line for r in api.export_top_users_csv(u).orderBy("rank_val").collect()]
+    assert lines[0] == "Rank,User Email,Workforce Name,Designation,Location,Actions,Files" and lines[1].startswith("1,")
+    assert len(lines) == D.top_users(u).count() + 1
     api.refresh_dashboard_cache(spark, u, r, scratch)
     snap = api.get_top_users(spark, u, snapshot_root=scratch)
     assert sorted(map(tuple, snap.collect())) == sorted(map(tuple, D.top_users(u).collect()))
@@ -152,25 +153,27 @@ def test_remaining_api_functions(spark, scratch):
     info = api.get_sync_info(spark, f"{scratch}/meta").collect()[0]
     assert info.row_count == u.count() and info.last_sync_rows == 7
     conf = scale_settings(100 * 1024 ** 4)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(conf["spark.sql.shuffle.partitions"]) == 819_200
     assert int(scale_settings(10 * 1024 ** 3)["spark.sql.shuffle.partitions"]) == 200
 
 
-def test_earliest_equals_sorted_limit(spark):
-    from adoptlens.plans.export import earliest
+def test_numbered_equals_sorted_positions(spark):
+    from adoptlens.operators.ranking import numbered
 
-    u = fx.usage(spark, SF001).select("usage_id", "utc_time")
-    with_nulls = u.withColumn("utc_time", F.when(F.col("usage_id").cast("int") % 50 == 0, F.lit(None))
-                              .otherwise(F.col("utc_time")))
-    for df in (u, with_nulls):
-        n = df.count()
-        for k in (1, 7, 333, n - 5, n, n + 3):
-            exp = df.orderBy(F.asc_nulls_last("utc_time"), "usage_id").limit(k).collect()
-            assert sorted(map(tuple, earliest(df, k).collect()), key=str) == sorted(map(tuple, exp), key=str), k
-    sparse = with_nulls.filter(F.col("utc_time").isNull() | (F.col("usage_id").cast("int") < 40))
-    m = sparse.filter(F.col("utc_time").isNotNull()).count()
-    got = earliest(sparse, m + 3).collect()
-    assert len(got) == m + 3 and sum(r.utc_time is None for r in got) == 3
+    u = fx.usage(spark, SF001).select("usage_id", "user_email")
+    got = numbered(u, [F.asc("user_email"), F.asc("usage_id")], "n").orderBy("n").collect()
+    want = u.orderBy("user_email", "usage_id").collect()
+    assert [(r.usage_id, r.n) for r in got] == [(r.usage_id, i + 1) for i, r in enumerate(want)]
+
+
+def test_write_lines_keeps_every_line_in_order(spark, scratch):
+    from adoptlens.plans import export as X
+
+    u = fx.usage(spark, SF001)
+    X.write_lines(X.usage_lines(u, ordered=True), f"{scratch}/out", ["sort_key", "utc_time", "usage_id"])
+    lines = [r.value for r in spark.read.text(f"{scratch}/out").collect()]
+    assert lines[0] == X.USAGE_HEADER and len(lines) == u.count() + 1
+    assert lines[1:] == sorted(lines[1:], key=lambda x: x[:19])
 
 
 def test_incremental_refresh_equals_full_refresh(spark, scratch):
@@ -191,19 +194,23 @@ def test_incremental_refresh_equals_full_refresh(spark, scratch):
         assert sorted(map(tuple, inc.collect()), key=str) == sorted(map(tuple, full.collect()), key=str), name
 
 
-def test_deep_time_pages_equal_plain_offsets(spark, monkeypatch):
-    from adoptlens.plans import dashboard as Dm
+def test_incremental_refresh_keeps_and_renews_events_without_a_day(spark, scratch):
+    import datetime as dt
 
-    u = fx.usage(spark, SF001)
-    n = u.count()
-    expected = {}
-    for asc in (False, True):
-        for page in (1, 7, n // 20):
-            expected[(asc, page)] = [r.usage_id for r in Dm.usage_page(u, ascending=asc, page=page, page_size=20).collect()]
-    monkeypatch.setattr(Dm, "DEEP_PAGE_ROWS", 10)  # force the percentile path
-    for (asc, page), ids in expected.items():
-        got = [r.usage_id for r in Dm.usage_page(u, ascending=asc, page=page, page_size=20).collect()]
-        assert got == ids, (asc, page)
+    d5 = dt.date(2024, 1, 5)
+    r = fx.roster(spark, SF001)
+    lost = F.when(F.col("usage_id").cast("int") % 10 == 0, F.lit(None)).otherwise(F.col("usage_date"))
+    u1 = fx.usage(spark, SF001).withColumn("usage_date", lost)
+    SN.refresh(spark, u1, r, f"{scratch}/a")
+    u2 = u1.filter(~F.col("usage_date").eqNullSafe(F.lit(d5)))
+    SN.refresh_incremental(spark, u2, r, f"{scratch}/a", [d5])
+    u3 = u2.withColumn("access_point", F.when(F.col("usage_date").isNull(), F.lit("new")).otherwise(F.col("access_point")))
+    for u, touched in ((u2, [d5]), (u3, [None])):
+        SN.refresh_incremental(spark, u, r, f"{scratch}/a", touched)
+        SN.refresh(spark, u, r, f"{scratch}/full")
+        for name in ["usage_rollup", "dashboard.kpis", "top_users"]:
+            inc, full = (SN.read_section(spark, f"{scratch}/{x}", name) for x in ("a", "full"))
+            assert sorted(map(tuple, inc.collect()), key=str) == sorted(map(tuple, full.collect()), key=str), name
 
 
 def test_cursor_pages_walk_equals_offset_pages(spark):

@@ -79,18 +79,18 @@ def test_rollup_reports_equal_raw_under_skew(spark):
         sorted(map(tuple, D.top_tools_with_other(u).collect()))
 
 
-def test_roster_broadcast_only_behind_size_check(spark):
+def test_roster_join_is_left_to_the_planner(spark):
     from adoptlens.operators.enrich import enrich_usage, normalize_events
-    from adoptlens.operators.joins import checked_broadcast
 
-    roster = fx.roster(spark, SF001)
-    _, ok = checked_broadcast(roster, max_rows=10)
-    assert not ok  # more than 10 people: no broadcast
-    side, ok = checked_broadcast(roster)
-    assert ok
     events = normalize_events(fx.raw_events(spark, SF001))
-    plan = _plan(enrich_usage(events, roster))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    plan = _plan(enrich_usage(events, fx.roster(spark, SF001)))
+    assert "BroadcastHashJoin" in plan  # a small roster, by the planner's own threshold
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in _plan(enrich_usage(events, fx.roster(spark, SF001)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_rollup_equals_raw_for_random_filters(spark):
