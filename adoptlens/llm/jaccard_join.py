@@ -122,7 +122,8 @@ def _full(docs: DataFrame, undecided: DataFrame, size: int) -> DataFrame:
             mask = pa.array(right)
             yield pa.record_batch([block.column("sig").filter(mask), block.column("n").filter(mask), pa.array(held, pa.binary())], names=["sig", "n", "shingles"])
 
-    texts = docs.select(id_or_last().alias("doc"), "text").join(undecided, "doc").select("sig", "n", "text")
+    # a merge join at every size: the undecided classes grow with the documents
+    texts = docs.select(id_or_last().alias("doc"), "text").join(undecided.hint("merge"), "doc").select("sig", "n", "text")
     return texts.mapInArrow(scan, "sig long, n long, shingles binary")
 
 
@@ -167,10 +168,11 @@ def _clusters(full: DataFrame, percent: int) -> DataFrame:
 def _tasks(full: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """Sets by task: a cluster's pair of blocks. Sizes that may link lie in one band or the next."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + F.lit(1e-9)).cast("int")
-    sets = full.join(clusters, "sig").withColumn("band", band)
-    counts = sets.groupBy("cluster", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    whole = counts.groupBy("cluster").agg(F.sum("blocks").alias("total"), F.sum(F.when(F.col("blocks") == 1, 0).otherwise(1)).alias("large"), F.count("*").alias("bands"), F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("of"))
-    sets = sets.join(whole, "cluster")
+    members = full.select("sig", band.alias("band")).join(clusters, "sig")
+    counts = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    whole = counts.groupBy("cluster").agg(F.sum(F.when(F.col("blocks") == 1, 0).otherwise(1)).alias("large"), F.count("*").alias("bands"), F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("of"))
+    # the sets themselves move once to their place in a cluster, and once to their tasks
+    sets = full.join(members.join(whole, "cluster").hint("merge"), "sig")
     # few sets in all: one task; else each block meets its band's and both neighbours' blocks
     small = (F.col("large") == 0) & (F.col("bands") <= 4)
     own = F.pmod(F.xxhash64("sig"), F.coalesce(F.try_element_at("of", F.col("band")), F.lit(1))).cast("int")
