@@ -34,6 +34,7 @@ def load_all() -> None:
     """Import every catalog module so their registrations run."""
     from adoptlens.catalog import (  # noqa: F401
         adoption_q,
+        bundle_q,
         dashboard_q,
         ingest_q,
         jobs_q,

@@ -16,6 +16,7 @@ from adoptlens.functions.numeric import pct, ratio
 from adoptlens.operators.filters import ROSTER_DIMS, Filters, _as_date, non_blank
 from adoptlens.plans.dashboard import DASH
 from adoptlens.plans.rollup import rows, rows_if
+from adoptlens.session import scratch_path
 
 # Funnel labels.
 FUNNEL = [
@@ -183,7 +184,11 @@ def adoption_filter_options(roster: DataFrame) -> DataFrame:
 
 
 def bundle(roster: DataFrame, usage: DataFrame, filters: Filters | None = None) -> dict[str, DataFrame]:
-    e = roster_activity(roster, usage, filters)
+    """All sections; usage is scanned and joined once, into one stored row per person."""
+    people = roster_activity(roster, usage, filters)
+    path = scratch_path(roster.sparkSession, "people")
+    people.write.parquet(path)
+    e = roster.sparkSession.read.schema(people.schema).parquet(path)
     return {
         "kpis": adoption_kpis(e),
         "team_access_coverage": team_access_coverage(e),

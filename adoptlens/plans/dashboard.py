@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from adoptlens.functions.features import tool_array
 from adoptlens.operators.filters import Filters, non_blank
-from adoptlens.plans.rollup import files, rows, weight
+from adoptlens.plans.rollup import files, rows, stored_rollup, weight
 
 # Labels for missing chart values and missing people attributes.
 UNKNOWN = "Unknown"
@@ -304,10 +304,10 @@ def teams_by_practice_map(table: DataFrame) -> DataFrame:
 def bundle(usage: DataFrame, filters: Filters | None = None) -> dict[str, DataFrame]:
     """All sections of the dashboard for one filter set.
 
-    Practice and team charts use the fully filtered frame (all filters), like the live
-    reference definition.
+    Practice and team charts use the fully filtered frame (all filters). The filtered events
+    are scanned once, into a rollup that every section reads.
     """
-    f = (filters or Filters()).apply(usage)
+    f = stored_rollup((filters or Filters()).apply(usage))
     return {
         "kpis": kpis(f),
         "timeline": timeline(f),

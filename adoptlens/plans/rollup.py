@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adoptlens.session import scratch_path
+
 WEIGHT = "_n"
 FILES = "_files"
 ROLLUP_KEYS = ["usage_date", "user_email", "email", "workforce_name", "practice", "team", "location",
@@ -47,6 +49,17 @@ def files(df: DataFrame) -> Column:
     return F.sum(FILES) if is_rollup(df) else F.sum("file_count")
 
 
+def stored_rollup(usage: DataFrame) -> DataFrame:
+    """The rollup of ``usage`` as a table in the shared folder: the one scan of the raw events
+    from which all sections of a report are read. A rollup is taken as it is."""
+    if is_rollup(usage):
+        return usage
+    path = scratch_path(usage.sparkSession, "rollup")
+    rolled = usage_rollup(usage)
+    rolled.write.parquet(path)
+    return usage.sparkSession.read.schema(rolled.schema).parquet(path)
+
+
 def usage_rollup(usage: DataFrame) -> DataFrame:
     keys = [k for k in ROLLUP_KEYS if k in usage.columns]
     return usage.groupBy(*keys).agg(F.count(F.lit(1)).alias(WEIGHT),

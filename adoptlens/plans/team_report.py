@@ -19,7 +19,7 @@ from adoptlens.functions.access import GRANTED, PENDING, RESIGNED, REVOKED, stat
 from adoptlens.functions.features import FEATURE_KEYS, FEATURES, feature_class, tool_array
 from adoptlens.functions.numeric import pct, ratio
 from adoptlens.plans.dashboard import DASH
-from adoptlens.plans.rollup import rows, weight
+from adoptlens.plans.rollup import rows, stored_rollup, weight
 
 # Shown with every report.
 DISCLAIMER = ("An event that names several tools is one event in the total but counts once for each "
@@ -191,10 +191,10 @@ def report_meta(spark: SparkSession, usage_f: DataFrame, practice: str, team: st
 
 def build(spark: SparkSession, roster: DataFrame, usage: DataFrame, practice: str, team: str | None,
           start, end, tz: str = DEFAULT_TZ) -> dict[str, DataFrame]:
-    """All sections of the report (each a lazy DataFrame over the same scoped inputs)."""
+    """All sections of the report; the events in scope are scanned once, into a rollup."""
     validate(practice, start, end)
     hr = roster_scope(roster, practice, team)
-    uf_scope = usage_scope(usage, practice, team, start, end, tz)
+    uf_scope = stored_rollup(usage_scope(usage, practice, team, start, end, tz))
     uf = user_features(uf_scope)
     return {
         "meta": report_meta(spark, uf_scope, practice, team, start, end, generated_at=True),

@@ -85,7 +85,7 @@ def main() -> None:
         "dashboard_kpis": lambda: D.kpis(usage),
         "dashboard_kpis_filtered": lambda: D.kpis(filt.apply(usage)),
         "timeline": lambda: D.timeline(usage),
-        "count_by_practice": lambda: D.count_by(usage, "practice", 7),
+        "count_by_practice": lambda: D.count_by(usage, "practice"),
         "count_by_location": lambda: D.count_by(usage, "location"),
         "top_tools_with_other": lambda: D.top_tools_with_other(usage),
         "top_users": lambda: D.top_users(usage),

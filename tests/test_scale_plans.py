@@ -117,3 +117,15 @@ def test_rollup_equals_raw_for_random_filters(spark):
     assert A.adoption_kpis(A.roster_activity(roster, r)).collect() == A.adoption_kpis(A.roster_activity(roster, u)).collect()
     u.unpersist()
     r.unpersist()
+
+
+def test_bundles_scan_raw_events_once(spark):
+    from adoptlens.plans import adoption as A
+
+    u, r = fx.usage(spark, SF001), fx.roster(spark, SF001)
+    bundles = [D.bundle(u, Filters(accesses=["click"])), A.bundle(r, u),
+               T.build(spark, r, u, "HOUSEHOLD", None, "2024-01-01", "2024-01-31")]
+    for bundle in bundles:  # the sections read what the one scan left
+        for name, section in bundle.items():
+            files = section.inputFiles()
+            assert not any("events.parquet" in f for f in files), name
