@@ -3,6 +3,7 @@
 * ``export_extract``  window -> clean -> first-wins per id -> roster join -> audit ->
                       append-merge with the stored extract -> extract + archive + rejects
 * ``import_roster``   roster file -> records -> duplicate merge -> keyed upsert -> counts
+* ``reconcile_extracts``  two CSV extracts -> discrepancies and a pass/fail summary
 * ``sync_window``     one local day (or any window, i.e. a back-fill) -> upsert into the
                       date-partitioned usage table -> metadata, also when nothing arrived
 Every write of a table that is also read goes through a staging copy in the shared
@@ -17,12 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adoptlens.functions.calendar import DEFAULT_TZ, archive_label, window_predicate
-from adoptlens.operators import dedupe, enrich, roster
+from adoptlens.operators import dedupe, enrich, reconcile, roster
 from adoptlens.operators.upsert import upsert_into_table
 from adoptlens.plans.dashboard import top_users
 from adoptlens.plans.sync import sync_metadata
 from adoptlens.session import path_exists, remove_path, scratch_path
-from adoptlens.sources.events_json import read_extract_csv
+from adoptlens.sources.events_json import read_ordered_csv, write_extract_csv
 from adoptlens.sources.tables import require_rows
 
 # Row order inside usage files: dashboard filters on practice/team skip row groups.
@@ -58,13 +59,14 @@ def window_events(raw: DataFrame, start: str | dt.date, end: str | dt.date, tz:
 
 def export_extract(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, out_dir: str,
                    start: str, end: str, append: bool = True, archive: bool = True,
-                   order_col: str = "utc_time", tz: str = DEFAULT_TZ) -> dict[str, DataFrame]:
+                   order_col: str = "utc_time", tz: str = DEFAULT_TZ, csv: bool = False) -> dict[str, DataFrame]:
     """Enriched extract for local days [start, end) (raw needs usage_id, user, utc_time, ...).
 
     Writes ``extract`` (Parquet; merged with the stored one in append mode: new rows win per
     id, result ordered by time), ``archive/<label>`` (the new chunk only) and ``unmatched``
     (rows of the final extract whose user matched no roster name). Returns the audit, the
-    extract's date range and the top-10 users as DataFrames.
+    extract's date range and the top-10 users as DataFrames. ``csv``: the three tables are
+    written as CSV part files too, under ``csv/``.
     """
     require_rows(roster_df, "roster")  # enrichment without a roster is an error, as in the reference
     base = out_dir.rstrip("/")
@@ -85,6 +87,10 @@ def export_extract(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, ou
     written = spark.read.parquet(f"{base}/extract")
     rejects = enrich.unmatched_events(written)
     rejects.write.mode("overwrite").parquet(f"{base}/unmatched")
+    if csv:
+        write_extract_csv(written.orderBy(order_col, "usage_id"), f"{base}/csv/extract")
+        write_extract_csv(new.orderBy(order_col, "usage_id"), f"{base}/csv/archive/{archive_label(start, end)}")
+        write_extract_csv(rejects.orderBy(order_col, "usage_id"), f"{base}/csv/unmatched")
     return {"audit": enrich.match_audit(new), "top_10_users": top_users(new, 10), "extract": written}
 
 
@@ -117,10 +123,7 @@ def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = D
     """
     from adoptlens.operators.extract import canonical_usage
 
-    raw = read_extract_csv(spark, csv_path)
-    # within a file, ids grow from one split to the next; files are told apart by name
-    order = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
-    rows = canonical_usage(raw.withColumn("_ord", order), tz, keep=["_ord"])
+    rows = canonical_usage(read_ordered_csv(spark, csv_path, "_ord"), tz, keep=["_ord"])
     rows = dedupe.keep_last(rows, ["usage_id"], ["_ord"]).drop("_ord")
     upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", cluster_by=USAGE_CLUSTER)
     return spark.read.parquet(table_path).count()
@@ -159,3 +162,13 @@ def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table
 
         snapshots.refresh_incremental(spark, table, keyed_roster(roster_df), snapshot_root, touched)
     return spark.read.parquet(meta_path)
+
+
+def reconcile_extracts(spark: SparkSession, left_csv: str, right_csv: str, out_dir: str) -> DataFrame:
+    """Compare two CSV extracts of the same events: one-row summary; discrepancies as CSV files."""
+    left, right = (read_ordered_csv(spark, p, "src_ord") for p in (left_csv, right_csv))
+    reconcile.write_discrepancies(left, right, out_dir, "src_ord")
+    result = reconcile.summary(reconcile.clean_ids(left), reconcile.clean_ids(right), "src_ord")
+    path = f"{out_dir.rstrip('/')}/summary"
+    result.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

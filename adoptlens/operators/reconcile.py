@@ -41,12 +41,10 @@ def shared_fields(left: DataFrame, right: DataFrame, fields: Sequence[str] = COM
     return [f for f in fields if f in left.columns and f in right.columns]
 
 
-def first_per_id(df: DataFrame, fields: Sequence[str], id_col: str = ID_COL, ord_col: str | None = None) -> DataFrame:
-    """Normalised compared values of the first row per id (by ``ord_col`` when given)."""
-    cols = [F.col(id_col)] + [_norm(df, f).alias(f) for f in fields]
-    order = [ord_col] if ord_col else list(fields)
-    src = df.select(*cols, *([F.col(ord_col)] if ord_col else []))
-    return keep_first(src, [id_col], order).select(id_col, *fields)
+def first_per_id(df: DataFrame, fields: Sequence[str], ord_col: str, id_col: str = ID_COL) -> DataFrame:
+    """Normalised compared values of the first row per id in file order, which ``ord_col`` tells."""
+    src = df.select(id_col, ord_col, *[_norm(df, f).alias(f) for f in fields])
+    return keep_first(src, [id_col], [ord_col]).select(id_col, *fields)
 
 
 def only_in(a: DataFrame, b: DataFrame, id_col: str = ID_COL) -> DataFrame:
@@ -54,12 +52,12 @@ def only_in(a: DataFrame, b: DataFrame, id_col: str = ID_COL) -> DataFrame:
     return a.join(b.select(id_col).distinct(), id_col, "left_anti")
 
 
-def field_mismatches(left: DataFrame, right: DataFrame, fields: Sequence[str] | None = None,
-                     id_col: str = ID_COL, ord_col: str | None = None) -> DataFrame:
+def field_mismatches(left: DataFrame, right: DataFrame, ord_col: str, fields: Sequence[str] | None = None,
+                     id_col: str = ID_COL) -> DataFrame:
     """One row per (id, field) whose normalised values differ on the two sides."""
     fields = list(fields) if fields is not None else shared_fields(left, right)
-    lf = first_per_id(left, fields, id_col, ord_col)
-    rf = first_per_id(right, fields, id_col, ord_col)
+    lf = first_per_id(left, fields, ord_col, id_col)
+    rf = first_per_id(right, fields, ord_col, id_col)
     j = lf.alias("l").join(rf.alias("r"), id_col)
     pairs = F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f"l.{f}").alias("left_value"), F.col(f"r.{f}").alias("right_value"))
@@ -69,8 +67,8 @@ def field_mismatches(left: DataFrame, right: DataFrame, fields: Sequence[str] |
         F.col("left_value") != F.col("right_value"))
 
 
-def summary(left: DataFrame, right: DataFrame, fields: Sequence[str] | None = None,
-            id_col: str = ID_COL, ord_col: str | None = None) -> DataFrame:
+def summary(left: DataFrame, right: DataFrame, ord_col: str, fields: Sequence[str] | None = None,
+            id_col: str = ID_COL) -> DataFrame:
     """rows, unique ids, only-left, only-right, shared, field mismatches and pass/fail.
 
     One full outer join of the two first-row-per-id frames gives every id count and the
@@ -78,8 +76,8 @@ def summary(left: DataFrame, right: DataFrame, fields: Sequence[str] | None = No
     de-duplication, so the join adds no further exchange of the inputs.
     """
     fields = list(fields) if fields is not None else shared_fields(left, right)
-    lf = first_per_id(left, fields, id_col, ord_col).withColumn("_l", F.lit(1))
-    rf = first_per_id(right, fields, id_col, ord_col).withColumn("_r", F.lit(1))
+    lf = first_per_id(left, fields, ord_col, id_col).withColumn("_l", F.lit(1))
+    rf = first_per_id(right, fields, ord_col, id_col).withColumn("_r", F.lit(1))
     j = lf.alias("l").join(rf.alias("r"), id_col, "full")
     both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
     diffs = F.lit(0)
@@ -100,17 +98,21 @@ def summary(left: DataFrame, right: DataFrame, fields: Sequence[str] | None = No
         "passed", (F.col("only_left") == 0) & (F.col("only_right") == 0) & (F.col("field_mismatches") == 0))
 
 
-def write_discrepancies(left: DataFrame, right: DataFrame, out_dir: str, id_col: str = ID_COL) -> dict[str, bool]:
-    """Write the three discrepancy outputs, each only when it has rows (CSV with header)."""
+def write_discrepancies(left: DataFrame, right: DataFrame, out_dir: str, ord_col: str, id_col: str = ID_COL) -> dict[str, bool]:
+    """Write the three discrepancy outputs, each only when it has rows (CSV with header).
+
+    Ids are cleaned here, as for every comparison.
+    """
+    left, right = clean_ids(left, id_col), clean_ids(right, id_col)
     outputs = {
-        "only_in_left": only_in(left, right, id_col),
-        "only_in_right": only_in(right, left, id_col),
-        "field_mismatches": field_mismatches(left, right, id_col=id_col),
+        "only_in_left": only_in(left, right, id_col).drop(ord_col),
+        "only_in_right": only_in(right, left, id_col).drop(ord_col),
+        "field_mismatches": field_mismatches(left, right, ord_col, id_col=id_col),
     }
     written = {}
     for name, df in outputs.items():
         has_rows = not df.isEmpty()
         if has_rows:
-            df.write.mode("overwrite").option("header", True).csv(f"{out_dir.rstrip('/')}/{name}")
+            df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{out_dir.rstrip('/')}/{name}")
         written[name] = has_rows
     return written

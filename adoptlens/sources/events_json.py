@@ -71,6 +71,17 @@ def to_usage_events(flat: DataFrame) -> DataFrame:
         "product_surface_area", "product_area").drop("file_ids")
 
 
+def read_ordered_csv(spark: SparkSession, path: str, ord_col: str = "src_ord") -> DataFrame:
+    """``read_extract_csv`` with the rows' order over the file set: file name, then row."""
+    order = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
+    return read_extract_csv(spark, path).withColumn(ord_col, order)
+
+
+def write_extract_csv(df: DataFrame, path: str) -> None:
+    """CSV part files with header and RFC 4180 quoting, in the order ``df`` has."""
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
 def read_extract_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """UTF-8 CSV extract with header (a BOM on the first header cell is dropped by Spark);
     header names are trimmed; without a schema every column is read as text. Quoting is that of
