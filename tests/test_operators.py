@@ -86,13 +86,13 @@ def test_upsert_idempotent_and_moves_rows(spark, scratch):
 
 
 def test_reconcile_self_passes_and_detects(spark):
-    left = spark.createDataFrame([("1", "a", "x"), ("2", "b", "y"), (" 3 ", "c", "z")],
-                                 "unique_usage_id string, user string, access_point string")
-    s = RC.summary(RC.clean_ids(left), RC.clean_ids(left)).collect()[0]
+    left = spark.createDataFrame([("1", "a", "x", 1), ("2", "b", "y", 2), (" 3 ", "c", "z", 3)],
+                                 "unique_usage_id string, user string, access_point string, src_ord int")
+    s = RC.summary(RC.clean_ids(left), RC.clean_ids(left), "src_ord").collect()[0]
     assert s.passed and s.shared == 3 and s.field_mismatches == 0
-    right = spark.createDataFrame([("1", "a", "x"), ("2", "b", "Y"), ("4", "d", "w")],
-                                  "unique_usage_id string, user string, access_point string")
-    s = RC.summary(RC.clean_ids(left), RC.clean_ids(right)).collect()[0]
+    right = spark.createDataFrame([("1", "a", "x", 1), ("2", "b", "Y", 2), ("4", "d", "w", 3)],
+                                  left.schema)
+    s = RC.summary(RC.clean_ids(left), RC.clean_ids(right), "src_ord").collect()[0]
     assert (s.only_left, s.only_right, s.shared, s.field_mismatches, s.passed) == (1, 1, 2, 1, False)
 
 
@@ -137,11 +137,12 @@ def test_roster_file_import(spark):
 
 
 def test_discrepancy_outputs_only_when_non_empty(spark, scratch):
-    left = spark.createDataFrame([("1", "a"), ("2", "b")], "unique_usage_id string, user string")
-    right = spark.createDataFrame([("1", "a"), ("2", "B")], "unique_usage_id string, user string")
-    written = RC.write_discrepancies(left, right, scratch)
+    left = spark.createDataFrame([("1", "a", 1), (" 2 ", "zeta", 2), ("2", "alpha", 3)], "unique_usage_id string, user string, src_ord int")
+    right = spark.createDataFrame([("1", "a", 1), ("2", "Z", 2), (None, "x", 3)], left.schema)
+    written = RC.write_discrepancies(left, right, scratch, "src_ord")
     assert written == {"only_in_left": False, "only_in_right": False, "field_mismatches": True}
-    assert spark.read.option("header", True).csv(f"{scratch}/field_mismatches").count() == 1
+    rows = spark.read.option("header", True).csv(f"{scratch}/field_mismatches").collect()
+    assert [(r.unique_usage_id, r.left_value, r.right_value) for r in rows] == [("2", "zeta", "Z")]
 
 
 def test_teams_by_practice_map(spark):
