@@ -65,6 +65,16 @@ def export_usage_csv(usage: DataFrame, practices=None, locations=None, accesses=
     return export.usage_lines(usage, f)
 
 
+def write_usage_csv(usage: DataFrame, path: str, **filters) -> None:
+    """Every detail line as ordered text part files; ``filters`` as for ``export_usage_csv``."""
+    export.write_lines(export.usage_lines(usage, _filters(**filters), ordered=True), path, ["sort_key", "utc_time", "usage_id"])
+
+
+def write_top_users_csv(usage: DataFrame, path: str, **filters) -> None:
+    """Every leaderboard line as ordered text part files; ``filters`` as for ``export_top_users_csv``."""
+    export.write_lines(export.top_user_lines(usage, _filters(**filters)), path, ["rank_val"])
+
+
 def export_top_users_csv(usage: DataFrame, practices=None, locations=None, accesses=None, designations=None,
                          teams=None, products=None, start_date=None, end_date=None) -> DataFrame:
     f = _filters(practices, locations, accesses, designations, teams, products, start_date, end_date)
@@ -100,6 +110,14 @@ def get_team_report_bundle(spark: SparkSession, roster: DataFrame, usage: DataFr
     return team_report.build(spark, roster, usage, practice, team, start_date, end_date)
 
 
+def get_team_report_document(spark: SparkSession, roster: DataFrame, usage: DataFrame, practice: str,
+                             team: str | None = None, start_date=None, end_date=None) -> DataFrame:
+    """The team report as one JSON document (one row)."""
+    sections = team_report.build(spark, roster, usage, practice, team, start_date, end_date)
+    order = {"features": ["sort_order"], "members_with_access": ["name", "user_email"], "members_without_access": ["name", "email"]}
+    return snapshots.to_document(sections, order)
+
+
 def get_sync_info(spark: SparkSession, meta_path: str) -> DataFrame:
     return spark.read.parquet(meta_path)
 

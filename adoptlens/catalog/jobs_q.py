@@ -3,9 +3,11 @@ results pass through the same oracle comparison as the pure queries."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from adoptlens import jobs
+from adoptlens import api, jobs
 from adoptlens.catalog import ORACLES, register
 from adoptlens.catalog import dashboard_q, ingest_q  # noqa: F401  (oracles registered first)
 from adoptlens.plans import snapshots as SN
@@ -145,3 +147,46 @@ def q_import_roster_job(spark, sf):
     raw = read_extract_csv(spark, f"{base}/csv").withColumn("src_ord", F.col("src_ord").cast("long"))
     out = jobs.import_roster(spark, raw, f"{base}/roster")["roster"]
     return out.select("email", "workforce_name", "location", "practice", "team", "designation", "raw_status", "access_state")
+
+
+@register("sync_one_day", W("""
+SELECT usage_id, usage_date FROM usage WHERE usage_date = DATE '2024-01-12'"""))
+def q_sync_one_day(spark, sf):
+    """The daily mode of the sync."""
+    base = scratch_path(spark, "sync")
+    jobs.sync(spark, fx.raw_events(spark, sf), fx.roster(spark, sf), f"{base}/usage", f"{base}/meta", day="2024-01-12")
+    return spark.read.parquet(f"{base}/usage").select("usage_id", "usage_date")
+
+
+@register("export_usage_files", f"SELECT line FROM ({ORACLES['export_usage_lines']})")
+def q_export_usage_files(spark, sf):
+    """The complete detail export written as text files and read back."""
+    path = scratch_path(spark, "export")
+    api.write_usage_csv(fx.usage(spark, sf), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@register("incremental_snapshot", W("""
+SELECT 'practice' AS section, COALESCE(practice, 'Unknown') AS label, COUNT(*) AS value FROM moved GROUP BY 2
+UNION ALL
+SELECT 'timeline', strftime(usage_date, '%Y-%m-%d'), COUNT(*) FROM moved WHERE usage_date IS NOT NULL GROUP BY 2
+UNION ALL
+SELECT 'total', 'total', COUNT(*) FROM moved""", extra=("""
+moved AS (
+  SELECT * REPLACE (CASE WHEN usage_date = DATE '2024-01-05' THEN DATE '2024-01-06'
+                         WHEN CAST(usage_id AS BIGINT) % 10 = 0 THEN NULL ELSE usage_date END AS usage_date) FROM usage
+)""",)))
+def q_incremental_snapshot(spark, sf):
+    """A snapshot renewed after the events of a day moved to the next; every tenth event has no day."""
+    root = scratch_path(spark, "snapshots")
+    day, usage = F.col("usage_date"), fx.usage(spark, sf)
+    none = F.when(F.col("usage_id").cast("long") % 10 == 0, F.lit(None))
+    before = usage.withColumn("usage_date", none.otherwise(day))
+    fifth = day == F.lit("2024-01-05").cast("date")
+    after = usage.withColumn("usage_date", F.when(fifth, F.lit("2024-01-06").cast("date")).otherwise(none.otherwise(day)))
+    roster = fx.roster(spark, sf)
+    SN.refresh(spark, before, roster, root)
+    SN.refresh_incremental(spark, after, roster, root, [dt.date(2024, 1, 5), dt.date(2024, 1, 6), None])
+    parts = [SN.read_section(spark, root, f"dashboard.{s}").select(F.lit(s).alias("section"), "label", "value") for s in ("practice", "timeline")]
+    total = SN.read_section(spark, root, "dashboard.kpis").select(F.lit("total").alias("section"), F.lit("total").alias("label"), F.col("total_actions").alias("value"))
+    return parts[0].unionByName(parts[1]).unionByName(total)

@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adoptlens.functions.calendar import DEFAULT_TZ, archive_label, window_predicate
+from adoptlens.functions.calendar import DEFAULT_TZ, archive_label, resolve_window, window_predicate
 from adoptlens.operators import dedupe, enrich, reconcile, roster
 from adoptlens.operators.upsert import upsert_into_table
 from adoptlens.plans.dashboard import top_users
@@ -129,8 +129,17 @@ def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = D
     return spark.read.parquet(table_path).count()
 
 
+def sync(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table_path: str, meta_path: str, *,
+         month: str | None = None, day: str | None = None, start: str | None = None, end: str | None = None,
+         tz: str = DEFAULT_TZ, snapshot_root: str | None = None) -> DataFrame:
+    """``sync_window`` over a month, a day, a range, or (nothing given) yesterday."""
+    first, last = resolve_window(month=month, day=day, start=start, end=end, tz=tz)
+    return sync_window(spark, raw, roster_df, table_path, meta_path, first, last, tz, snapshot_root)
+
+
 def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table_path: str, meta_path: str,
-                start: str, end: str, tz: str = DEFAULT_TZ, snapshot_root: str | None = None) -> DataFrame:
+                start: str | dt.date, end: str | dt.date, tz: str = DEFAULT_TZ,
+                snapshot_root: str | None = None) -> DataFrame:
     """Idempotent load of local days [start, end) into the usage table, then metadata.
 
     The daily run uses one day; a back-fill passes a longer window (no fetch-size limit

@@ -228,3 +228,16 @@ def test_cursor_pages_walk_equals_offset_pages(spark):
             got += [r.usage_id for r in page]
             cursor = (page[-1][col], page[-1].usage_id)
         assert got == expected, key
+
+
+def test_team_report_document_holds_every_section(spark):
+    import json
+
+    from adoptlens import api
+    from adoptlens.plans import team_report as T
+
+    doc = json.loads(api.get_team_report_document(spark, fx.roster(spark, SF001), fx.usage(spark, SF001), "HOUSEHOLD", None,
+                                                  "2024-01-01", "2024-01-31").collect()[0][0])
+    assert set(doc) == {"meta", "summary", "features", "members_with_access", "members_without_access"}
+    assert doc["meta"][0]["disclaimer"] == T.DISCLAIMER and len(doc["features"]) == 6
+    assert doc["summary"][0]["with_access"] == len(doc["members_with_access"])
