@@ -111,6 +111,45 @@ def q_local_month_window(spark, sf):
     return e.groupBy(local_date("ts").alias("usage_date")).agg(F.count(F.lit(1)).alias("events"))
 
 
+@register("local_range_window", """
+SELECT event_id, CAST(ts + INTERVAL '330' MINUTE AS DATE) AS usage_date
+FROM events WHERE ts >= TIMESTAMP '2024-01-09 18:30:00' AND ts < TIMESTAMP '2024-01-19 18:30:00'""")
+def q_local_range_window(spark, sf):
+    """Local days that cut the events on both sides, at 18:30 UTC."""
+    from adoptlens.functions.calendar import resolve_window
+    start, end = resolve_window(start="2024-01-10", end="2024-01-20")
+    e = table(spark, sf, "events").select("event_id", "ts").filter(window_predicate("ts", start, end))
+    return e.select("event_id", local_date("ts").alias("usage_date"))
+
+
+@register("parse_offset_times", """
+SELECT event_id, ts AS utc_time FROM events""")
+def q_parse_offset_times(spark, sf):
+    """Event times as text in seven notations, read back to UTC."""
+    from adoptlens.functions.calendar import parse_utc_text
+    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    notations = [(0, "'Z'"), (330, "'+05:30'"), (-480, "'-08:00'"), (60, "'+0100'"), (-180, "'-03'"), (0, "'+00:00'"), (0, "''")]
+    text = F.lit(None).cast("string")
+    for i, (minutes, mark) in enumerate(notations):
+        wall = F.date_format(F.timestamp_add("MINUTE", F.lit(minutes), F.col("ts")), f"yyyy-MM-dd{chr(39)}T{chr(39)}HH:mm:ss.SSSSSS{mark}" if mark != "''" else "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        text = F.when(F.col("event_id") % 7 == i, wall).otherwise(text)
+    return e.select("event_id", parse_utc_text(text).alias("utc_time"))
+
+
+@register("coerce_dates_general", """
+WITH d AS (SELECT event_id, CAST(ts AS DATE) AS day FROM events WHERE ts IS NOT NULL)
+SELECT event_id, day AS as_date,
+       CASE WHEN event_id % 6 = 3 AND day(day) > 12 THEN NULL
+            WHEN event_id % 6 = 3 THEN make_date(year(day), day(day), month(day)) ELSE day END AS as_day_first_date FROM d""")
+def q_coerce_dates_general(spark, sf):
+    """Dates with times, without leading zeros and with month names."""
+    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts")).filter("ts IS NOT NULL")
+    text = F.lit(None).cast("string")
+    for i, layout in enumerate(["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-M-d", "M/d/yyyy", "d MMM yyyy", "MMMM d, yyyy"]):
+        text = F.when(F.col("event_id") % 6 == i, F.date_format("ts", layout)).otherwise(text)
+    return e.select("event_id", lenient_date(text).alias("as_date"), day_first_date(text).alias("as_day_first_date"))
+
+
 @register("backfill_chunks", """
 WITH d AS (SELECT CAST(ts + INTERVAL '330' MINUTE AS DATE) AS day FROM events WHERE ts IS NOT NULL),
 b AS (SELECT MIN(day) AS s, MAX(day) + 1 AS e FROM d),
