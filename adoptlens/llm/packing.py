@@ -28,7 +28,7 @@ from adoptlens.llm.tokens import text_blocks, worker_tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, place long"
 #: Steps of the projected gradient for the least squares, and triples and fours tried per length.
-STEPS, DEEPER = 400, 24
+STEPS, DEEPER = 300, 16
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int, end_id: int) -> DataFrame:
@@ -61,22 +61,23 @@ def combinations(counts: np.ndarray, window: int) -> np.ndarray:
     All pairs; threes and fours around the ``DEEPER`` most common partners of each length.
     """
     have = np.flatnonzero(counts)
-    if not len(have):
-        return np.zeros((0, 4), np.int64)
     common = have[np.argsort(-counts[have], kind="stable")][:DEEPER]
+    i, j = np.triu_indices(len(common))
+    # what is combined with each length: nothing, a common one, two common ones
+    first = np.concatenate([[0], common, common[i]])
+    second = np.concatenate([[0], np.zeros(len(common), int), common[j]])
     found = []
-    two = np.stack([have, window - have], axis=1)
-    found.append(np.pad(two, ((0, 0), (0, 2))))
-    a, b = np.meshgrid(have, common, indexing="ij")
-    three = np.stack([a.ravel(), b.ravel(), window - a.ravel() - b.ravel()], axis=1)
-    found.append(np.pad(three, ((0, 0), (0, 1))))
-    a, b, c = np.meshgrid(have, common, common, indexing="ij")
-    found.append(np.stack([x.ravel() for x in (a, b, c)] + [window - (a + b + c).ravel()], axis=1))
+    for a, b in zip(first, second):
+        last = window - have - a - b
+        fits = (last > 0) & (last < len(counts))
+        fits[fits] = counts[last[fits]] > 0
+        rows = np.stack([have[fits], last[fits], np.full(fits.sum(), a), np.full(fits.sum(), b)], axis=1)
+        found.append(-np.sort(-rows, axis=1))
     every = np.concatenate(found)
-    last = np.where(every[:, 2] == 0, every[:, 1], np.where(every[:, 3] == 0, every[:, 2], every[:, 3]))
-    every = every[(last > 0) & (every >= 0).all(axis=1)]
-    every = every[((counts[every] > 0) | (every == 0)).all(axis=1)]
-    return np.unique(-np.sort(-every, axis=1), axis=0)
+    # one number per row, so that equal rows are found by a plain sort
+    weights = (window + 1) ** np.arange(3, -1, -1, dtype=np.int64)
+    _, at = np.unique(every @ weights, return_index=True)
+    return every[at]
 
 
 def repeats(combos: np.ndarray, counts: np.ndarray) -> np.ndarray:

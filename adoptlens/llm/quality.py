@@ -25,6 +25,8 @@ from adoptlens.llm.tokens import text_blocks
 PASSAGE, BAG, HASHED = 64, 32, 64
 HIDDEN, GATE = 24, 12
 FOLDS = 5
+#: Characters that a task encodes at once.
+STEP = 1 << 20
 
 
 def _class(chars: str) -> np.ndarray:
@@ -146,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> AttentionMo
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def encode(batches):
-        for block in text_blocks(batches):
+        for block in text_blocks(batches, STEP):
             x, first = features(block.column("text").to_pylist())
             bags = [x[a:b][np.linspace(0, b - a - 1, min(BAG, b - a)).astype(int)].tobytes() for a, b in zip(first[:-1], first[1:])]
             yield pa.record_batch([block.column("doc_id"), block.column("y"), pa.array(bags, pa.binary())], names=["doc_id", "y", "bag"])
@@ -168,7 +170,7 @@ def score(docs: DataFrame, model: AttentionModel, threshold: float = 0.3) -> Dat
     schema = docs.select(*[c for c in docs.columns if c not in ("score", "predicted")]).schema
 
     def apply(batches):
-        for block in text_blocks(batches):
+        for block in text_blocks(batches, STEP):
             x, first = features(block.column("text").to_pylist())
             s = shared.value.score(x, first)
             yield pa.record_batch(block.columns + [pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=[*block.schema.names, "score", "predicted"])
@@ -183,7 +185,7 @@ def keep(docs: DataFrame, model: AttentionModel, threshold: float = 0.3) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
 
     def apply(batches):
-        for block in text_blocks(batches):
+        for block in text_blocks(batches, STEP):
             x, first = features(block.column("text").to_pylist())
             yield block.filter(pa.array(shared.value.score(x, first) >= threshold))
 

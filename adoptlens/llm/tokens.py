@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct parts kept by a worker; beyond it the store starts anew.
-STORE_PARTS = 1_000_000
+STORE_PARTS = 400_000
 CLOSING = ".,!?;:|*$%&#"
 #: A run of its own between parts that are encoded together; parts that hold it go alone.
 BETWEEN = "\x02"
@@ -102,7 +102,7 @@ class BlockTokenizer:
         return ids, before[split.offsets.to_numpy() * 2]
 
 
-def text_blocks(batches, size: int = 8 << 20):
+def text_blocks(batches, size: int = 4 << 20):
     """Rows of Arrow batches in runs of about ``size`` characters: one batch slice each."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
