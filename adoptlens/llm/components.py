@@ -11,15 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adoptlens.llm.tables import stored
+from adoptlens.llm.tables import discard, stored
 
 
-def _large_star(links: DataFrame) -> DataFrame:
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+def _large_star(links: DataFrame, least: DataFrame) -> DataFrame:
+    both = _both(links)
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
+def _both(links: DataFrame) -> DataFrame:
+    return links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
 def _small_star(links: DataFrame) -> DataFrame:
     least = links.groupBy("a").agg(F.min("b").alias("m"))
     others = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -41,4 +44,8 @@ def components(links: DataFrame) -> DataFrame:
             hung = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
             return hung.union(hung.select(F.col("component").alias("node"), "component").distinct())
         mark = tuple(state)
-        links = stored(_small_star(_large_star(links)), "links")
+        # stored, so that the join deals out both its sides itself and can split a hot node
+        least = _both(links).groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = stored(least, "least")
+        before, links = links, stored(_small_star(_large_star(links, least)), "links")
+        discard(before, least)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from adoptlens.llm.components import components
 from adoptlens.llm.hashing import LOWER, gram_hash, mix
 from adoptlens.llm.repeats import TEXT_STEP, word_bytes
-from adoptlens.llm.tables import NO_ID, id_or_last, stored
+from adoptlens.llm.tables import NO_ID, discard, id_or_last, stored
 from adoptlens.llm.tokens import text_blocks
 
 #: Shingles with a hash below this are looked at first: a quarter.
@@ -162,7 +162,9 @@ def _clusters(full: DataFrame, percent: int) -> DataFrame:
     prefixes = stored(ranked.where("rank <= wanted and (often is null or often > 1)").select("sig", "shingle"), "prefixes")
     shared = prefixes.groupBy("shingle").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low <> high").select("shingle", "low")
     links = prefixes.join(shared, "shingle").select(F.col("sig").alias("a"), F.col("low").alias("b"))
-    return components(links).select(F.col("node").alias("sig"), F.col("component").alias("cluster"))
+    clusters = components(links).select(F.col("node").alias("sig"), F.col("component").alias("cluster"))
+    discard(rows, prefixes)
+    return clusters
 
 
 def _tasks(full: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
@@ -296,12 +298,16 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
 
     ``doc`` and ``component`` as in ``id_or_last``.
     """
-    sets = stored(_sets(docs, size), "shingle-sets")
-    undecided = stored(_undecided(sets, percent), "undecided")
+    shown = stored(_sets(docs, size), "shingle-sets")
+    undecided = stored(_undecided(shown, percent), "undecided")
+    sets = stored(shown.drop("region"), "sets")
+    discard(shown)
     full = stored(_full(docs, undecided, size), "full-sets")
     clusters = stored(_clusters(full, percent), "clusters")
     links = stored(_links(_tasks(full, clusters, percent), percent), "set-links")
+    discard(full, clusters)
     joined = components(links)
+    discard(links)
     heads = joined.join(undecided.withColumnRenamed("sig", "node"), "node").select("node", "component", "doc")
     least = heads.groupBy("component").agg(F.min("doc").alias("least"))
     heads = heads.select("node", "component").join(least, "component").select(F.col("node").alias("sig"), "least")

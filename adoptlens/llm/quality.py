@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adoptlens.llm.hashing import word_codes
+from adoptlens.llm.repeats import cuts_of
 from adoptlens.llm.tables import stored
 from adoptlens.llm.tokens import text_blocks
 
@@ -43,13 +44,29 @@ _BYTE_KINDS = [
 FEATURES = len(_BYTE_KINDS) + 8 + HASHED
 
 
+def _words(buf: np.ndarray):
+    """Hash, start, length and signs of each kind of every word, a step of the buffer at a time."""
+    codes, starts, widths, kinds = [], [], [], [[] for _ in _BYTE_KINDS]
+    cuts = cuts_of(buf)
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        part = buf[a:b]
+        code, start, end = word_codes(part)
+        codes.append(code)
+        starts.append(start + a)
+        widths.append((end - start).astype(np.float32))
+        for kind, own in zip(_BYTE_KINDS, kinds):
+            sums = np.concatenate([[0], np.cumsum(kind[part], dtype=np.float64)])
+            own.append((sums[end] - sums[start]).astype(np.float32))
+    return np.concatenate(codes), np.concatenate(starts), np.concatenate(widths), [np.concatenate(k) for k in kinds]
+
+
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """A row per passage, and the first passage of each text (one more at the end)."""
     raw = [(t or "").encode() for t in texts]
     lengths = np.array([len(x) + 1 for x in raw], np.int64)
     buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     begin = np.cumsum(lengths) - lengths
-    codes, start, end = word_codes(buf)
+    codes, start, width, kinds = _words(buf)
     first_word = np.append(np.searchsorted(start, begin), len(start))
     count = np.diff(first_word)
     bags = np.maximum(1, -(-count // PASSAGE))
@@ -57,18 +74,13 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     n = int(first[-1])
     doc = np.repeat(np.arange(len(raw)), count)
     own = first[doc] + (np.arange(len(codes)) - first_word[doc]) // PASSAGE
-    width = (end - start).astype(np.float32)
 
     def total(values):
         return np.bincount(own, weights=values, minlength=n).astype(np.float32)
 
     words = np.bincount(own, minlength=n).astype(np.float32)
     size = np.maximum(1, total(width))
-    columns, kinds = [], []
-    for kind in _BYTE_KINDS:
-        sums = np.concatenate([[0], np.cumsum(kind[buf], dtype=np.float64)])
-        kinds.append((sums[end] - sums[start]).astype(np.float32))
-        columns.append(total(kinds[-1]) / size)
+    columns = [total(k) / size for k in kinds]
     per = np.maximum(1, words)
     upper, digit, mark, point, other, _ = kinds
     columns += [total(x) / per for x in (mark + point + other == width, other > 0, (upper == width - mark - point - other) & (upper > 1))]

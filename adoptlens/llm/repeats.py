@@ -61,7 +61,7 @@ RESULTS = ("n_symbols", "n_removed", "spans", "kept_sha256", "kept")
 Resolve = Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray]
 
 
-def _cuts(buf: np.ndarray) -> list[int]:
+def cuts_of(buf: np.ndarray) -> list[int]:
     """Places at white space that cut a buffer into steps."""
     cuts, at = [0], 0
     while len(buf) - at > TEXT_STEP:
@@ -73,7 +73,7 @@ def _cuts(buf: np.ndarray) -> list[int]:
 
 def word_bytes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes, start and end of a buffer's words, step by step."""
-    cuts = _cuts(buf)
+    cuts = cuts_of(buf)
     parts = [word_codes(buf[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adoptlens.session import scratch_path
+from adoptlens.session import remove_path, scratch_path
 
 #: Frees the shuffle files of a stored table's query as soon as the table is written.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -30,7 +30,15 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
             spark.conf.unset(FREE_SHUFFLES)
         else:
             spark.conf.set(FREE_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that no later step reads; what was made of them is stored itself."""
+    for table in tables:
+        remove_path(table.sparkSession, table.stored_at)
 
 
 def id_or_last(name: str = "doc_id") -> Column:

@@ -9,17 +9,21 @@ is put together from the parts' ids.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct parts kept by a worker; beyond it the store starts anew.
-STORE_PARTS = 400_000
+STORE_PARTS = 600_000
 CLOSING = ".,!?;:|*$%&#"
 #: A run of its own between parts that are encoded together; parts that hold it go alone.
 BETWEEN = "\x02"
 TOGETHER = 500
+#: Texts of more characters are encoded in pieces, cut at white space.
+LONG = 4 << 20
+SPACE = re.compile(r"[ \t\n\v\f\r]")
 
 _OF_WORKER: dict[tuple[str, bool], "BlockTokenizer"] = {}
 
@@ -31,6 +35,15 @@ def worker_tokenizer(path: str, ordinary: bool = False) -> "BlockTokenizer":
     return _OF_WORKER[path, ordinary]
 
 
+def pieces(text: str) -> list[str]:
+    """A text, or its pieces of about ``LONG`` characters if it is longer."""
+    out, at = [], 0
+    while len(text) - at > LONG and (space := SPACE.search(text, at + LONG)):
+        out.append(text[at : space.start()])
+        at = space.start()
+    return [*out, text[at:]] if out else [text]
+
+
 def parts(run: str) -> tuple[str, str]:
     """Core and closing signs; both encode as they do within the run, in lower case too."""
     if "<|" in run or BETWEEN in run:
@@ -86,7 +99,15 @@ class BlockTokenizer:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text's ids start (one more at the end)."""
-        split = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
+        cut = [pieces(t or "") for t in texts]
+        if len(texts) == sum(map(len, cut)):
+            return self._encode([p[0] for p in cut])
+        got = [[self._encode([piece])[0] for piece in own] for own in cut]
+        counts = [sum(map(len, own)) for own in got]
+        return np.concatenate([x for own in got for x in own]), np.concatenate([[0], np.cumsum(counts)])
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         runs = split.values.dictionary_encode()
         if len(self.place) > STORE_PARTS:
             self._clear()
@@ -102,7 +123,7 @@ class BlockTokenizer:
         return ids, before[split.offsets.to_numpy() * 2]
 
 
-def text_blocks(batches, size: int = 4 << 20):
+def text_blocks(batches, size: int = 8 << 20):
     """Rows of Arrow batches in runs of about ``size`` characters: one batch slice each."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
@@ -113,3 +134,4 @@ def text_blocks(batches, size: int = 4 << 20):
             to = max(at + 1, int(np.searchsorted(ends, base + size, side="right")))
             yield batch.slice(at, to - at)
             at = to
+        pa.default_memory_pool().release_unused()

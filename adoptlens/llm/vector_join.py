@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adoptlens.llm.components import components
-from adoptlens.llm.tables import NO_ID, id_or_last, stored
+from adoptlens.llm.tables import NO_ID, discard, id_or_last, stored
 
 #: Pivots of a large label; labels that may be large; vectors in a block.
 PIVOTS, LARGE_LABELS, BLOCK = 8, 256, 2048
@@ -179,6 +179,7 @@ def join(embeddings: DataFrame, least: float = 0.98) -> DataFrame:
     radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
     cells = stored(_cells(classes, _pivots(classes), radius), "vector-cells")
     found = stored(_links(_tasks(cells), least), "vector-links")
+    discard(cells)
     counts = found.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "hash")
     joined = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "hash")
     heads = classes.select("hash", "weight", "vec").join(counts, "hash", "left").join(joined, "hash", "left")
