@@ -105,6 +105,16 @@ def test_quality_of_odd_rows(spark):
     assert quality.score(frame(spark, []), model).collect() == []
 
 
+def test_features_of_a_long_text_in_steps(monkeypatch):
+    from adoptlens.llm import repeats
+
+    texts = [t for _, t, *_ in odd_rows()]
+    whole = quality.features(texts)
+    monkeypatch.setattr(repeats, "TEXT_STEP", 50)
+    for a, b in zip(whole, quality.features(texts)):
+        assert np.allclose(a, b)
+
+
 def test_attention_gradient():
     rng = np.random.default_rng(0)
     bags = [rng.normal(size=(rng.integers(1, 6), quality.FEATURES)) for _ in range(60)]
@@ -172,6 +182,7 @@ ODD_TEXTS = [None, "", " \n\t\x0b\x0c\r x", "Hello  World's 123 <|endoftext|> a<
 def test_block_tokenizer_equals_the_tokenizer(ordinary, monkeypatch):
     monkeypatch.setattr(tokens, "STORE_PARTS", 5)
     t = tokens.BlockTokenizer(BPE, ordinary)
+    monkeypatch.setattr(tokens, "LONG", 9)
     for texts in (ODD_TEXTS, ODD_TEXTS[::-1], ["plain"]):
         ids, starts = t.encode(texts)
         assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [raw_ids(x, ordinary) for x in texts]
