@@ -38,11 +38,11 @@ from adoptlens.llm.tables import id_or_last, stored
 from adoptlens.llm.tokens import text_blocks
 
 #: Bytes of a text, symbols and rows that a task works on at once.
-TEXT_STEP, SYMBOL_STEP, ROW_STEP = 2 << 20, 1 << 18, 1 << 19
+TEXT_STEP, SYMBOL_STEP, ROW_STEP = 1 << 20, 1 << 18, 1 << 18
 #: Distinct surroundings of an anchor within a task, and rows of one in all, beyond which it is split by window.
 CROWD, SPLIT = 64, 4096
 #: Symbols of segments compared at once.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 REMOVED, BY_ANCHOR, BY_WINDOW = 0, 1, 2
 
 
