@@ -39,6 +39,8 @@ REGION = np.uint64(1 << 62)
 NARROW = 100
 #: Sets in a block, and in a leaf of a tree; children of a node; bits of a node's bitmap.
 BLOCK, LEAF, CHILDREN, BITS = 1024, 8, 8, 2048
+#: Shingles whose holders are compared at once.
+VERIFY = 1 << 20
 
 
 def shingle_sets(raw: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -193,12 +195,18 @@ def _tasks(full: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     return sets.withColumns({"low": F.least("me", "partner"), "high": F.greatest("me", "partner")}).select("cluster", "low", "high", (F.col("me") == F.col("low")).alias("left"), "sig", "n", "shingles")
 
 
+def _bitmap(held: np.ndarray) -> np.ndarray:
+    """Elements per bit, whole: a clipped count would bound overlaps too low. As narrow as the largest allows."""
+    counts = np.bincount((held % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+    return counts.astype(np.min_scalar_type(int(counts.max())))
+
+
 class Tree:
     """Sets in order of size and smallest element; each level's nodes span ``CHILDREN`` below."""
 
     def __init__(self, sets: list[np.ndarray]):
         self.order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), int(sets[i][0])))
-        counts = [np.minimum(np.bincount((sets[i] % np.uint64(BITS)).astype(np.int64), minlength=BITS), 255).astype(np.uint8) for i in self.order]
+        counts = [_bitmap(sets[i]) for i in self.order]
         sizes = np.array([len(sets[i]) for i in self.order])
         starts = np.arange(0, len(sets), LEAF)
         bits = np.stack(counts)
@@ -211,12 +219,16 @@ class Tree:
 
 
 def _verified(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which pairs of sets of two leaves link, by their exact overlap."""
+    """Which pairs of sets of two leaves link, by their exact overlap, counted in steps."""
     every, at = np.unique(np.concatenate(a + b), return_inverse=True)
-    member = np.zeros((len(a) + len(b), len(every)), np.float32)
     sizes = np.array([len(x) for x in a + b])
-    member[np.repeat(np.arange(len(sizes)), sizes), at] = 1
-    both = np.rint(member[: len(a)] @ member[len(a) :].T).astype(np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    both = np.zeros((len(a), len(b)), np.int64)
+    for start in range(0, len(every), VERIFY):
+        inside = (at >= start) & (at < start + VERIFY)
+        member = np.zeros((len(sizes), min(VERIFY, len(every) - start)), np.float32)
+        member[owner[inside], at[inside] - start] = 1
+        both += np.rint(member[: len(a)] @ member[len(a) :].T).astype(np.int64)
     union = sizes[: len(a), None] + sizes[None, len(a) :] - both
     return 100 * both >= percent * union
 

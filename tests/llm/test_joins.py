@@ -56,6 +56,16 @@ def test_trees_find_what_pairs_show():
     assert [[label[i] == label[j] for i in range(60)] for j in range(60)] == [[root[i] == root[j] for i in range(60)] for j in range(60)]
 
 
+def test_large_near_copies_are_not_pruned():
+    rng = np.random.default_rng(5)
+    held = np.unique(rng.integers(0, 1 << 63, 720_000).astype(np.uint64))
+    sets = [held[:700_000], held[10_000:710_000]]
+    for percent in (85, 80):
+        assert jaccard_join.linked(sets, None, percent).tolist() == [0, 0]
+        assert jaccard_join.linked(sets[:1], sets[1:], percent).tolist() == [0, 0]
+        assert jaccard_join.linked([sets[0], held[300_000:]], None, percent).tolist() == [0, 1]
+
+
 def test_keep_one_keeps_the_smallest_of_each_group(spark):
     docs = frame(spark).selectExpr("*", "'x' AS sig", "0 AS component")
     rows = [(r[0], r[1]) for r in odd_rows()]
