@@ -16,14 +16,14 @@ Skew: tasks settle repeats among their own rows before the shuffle, so a passage
 of all documents share sends one row per task. An anchor with many different surroundings
 (within a task or in all) is split by window, whose equal copies are again settled per task.
 
-Rows that share an id are told apart by a check sum of their text; they never count as
-"smaller" than each other; a null id is larger than every other. Null text has no symbols.
+Rows that share an id are told apart by a 64-bit hash of their text (``tag``), so marks are
+gathered per distinct text; they never count as "smaller" than each other; a null id is larger
+than every other. Null text has no symbols.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -115,16 +115,21 @@ def segments(held: np.ndarray, begin: np.ndarray, end: np.ndarray, scheme: Schem
         yield hashes[at[first]], range_hash(prefix_sums(codes), first, first + count + size - 1), text[first], first + a - begin[text[first]], count
 
 
-def _place(tag, first, count):
-    return (np.asarray(tag, np.int64) << 40) | (np.asarray(first, np.int64) << 8) | np.asarray(count, np.int64)
+def _place(first, count):
+    return (np.asarray(first, np.int64) << 8) | np.asarray(count, np.int64)
 
 
-def _raw(block: pa.RecordBatch) -> list[bytes]:
-    return [x or b"" for x in block.column("text").cast(pa.binary()).to_pylist()]
+def _spread(doc, tag, place):
+    """A key of its own for a row that meets no other."""
+    return mix(mix(doc.view(np.uint64)) ^ tag.view(np.uint64) ^ place.view(np.uint64))
+
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(id_or_last().alias("doc"), F.xxhash64("text").alias("tag"), "text")
 
-def _tag(raw: bytes) -> int:
-    return zlib.crc32(raw) & 0x7FFFFF
+
+def _raw(block: pa.RecordBatch) -> list[bytes]:
+    return [x or b"" for x in block.column("text").cast(pa.binary()).to_pylist()]
 
 
 def _settled(key: np.ndarray, seg: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,28 +155,28 @@ def _anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """One row per segment; ``state`` 1: its anchor is crowded, 2: settled within the task."""
 
     def combined(rows: list[tuple]):
-        key, seg, doc, place = (np.concatenate(x) for x in zip(*rows))
+        key, seg, doc, tag, place = (np.concatenate(x) for x in zip(*rows))
         order, fresh, settled = _settled(key, seg, doc)
-        key, seg, doc, place = key[order], seg[order], doc[order], place[order]
+        key, seg, doc, tag, place = key[order], seg[order], doc[order], tag[order], place[order]
         anchor = np.cumsum(np.append(True, key[1:] != key[:-1])[: len(key)]) - 1 if len(key) else np.zeros(0, int)
         crowded = (np.bincount(anchor, weights=fresh) > CROWD)[anchor]
         marks = np.unique(key[crowded])
         state = np.where(settled, 2, crowded.astype(np.int64))
-        key = np.where(settled, mix(place.view(np.uint64)), np.where(crowded, mix(key ^ seg), key))
+        key = np.where(settled, _spread(doc, tag, place), np.where(crowded, mix(key ^ seg), key))
         key = np.concatenate([key, marks]).view(np.int64)
         none, n = np.zeros(len(marks), np.int64), len(marks)
         yield pa.record_batch(
             [pa.array(key), pa.array(np.concatenate([seg.view(np.int64), none])), pa.array(np.concatenate([doc, none]), mask=np.arange(len(key)) >= len(key) - n),
-             pa.array(np.concatenate([place, none])), pa.array(np.concatenate([state, none + 1]).astype(np.int32))],
-            names=["key", "seg", "doc", "place", "state"])
+             pa.array(np.concatenate([tag, none])), pa.array(np.concatenate([place, none])), pa.array(np.concatenate([state, none + 1]).astype(np.int32))],
+            names=["key", "seg", "doc", "tag", "place", "state"])
 
     def scan(batches):
         rows, held = [], 0
         for block in text_blocks(batches, TEXT_STEP):
             raw = _raw(block)
-            ids, tags = block.column("doc").to_numpy(), np.array([_tag(x) for x in raw], np.int64)
+            ids, tags = block.column("doc").to_numpy(), block.column("tag").to_numpy()
             for anchor, seg, text, first, count in segments(*symbols(raw, scheme.words), scheme):
-                rows.append((anchor, seg, ids[text], _place(tags[text], first, count)))
+                rows.append((anchor, seg, ids[text], tags[text], _place(first, count)))
                 held += len(anchor)
             if held >= ROW_STEP:
                 yield from combined(rows)
@@ -179,7 +184,7 @@ def _anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
         if held:
             yield from combined(rows)
 
-    return docs.select(id_or_last().alias("doc"), "text").mapInArrow(scan, "key long, seg long, doc long, place long, state int")
+    return _rows(docs).mapInArrow(scan, "key long, seg long, doc long, tag long, place long, state int")
 
 
 def _marks(anchors: DataFrame) -> DataFrame:
@@ -196,32 +201,29 @@ def _marks(anchors: DataFrame) -> DataFrame:
         .when(F.col("crowded") == 1, BY_WINDOW).when(alone, None)
         .when(F.col("rows") > SPLIT, BY_WINDOW).otherwise(BY_ANCHOR)
     )
-    return seen.where("doc is not null").withColumn("kind", kind).where("kind is not null").select("doc", "place", "key", "kind")
+    return seen.where("doc is not null").withColumn("kind", kind).where("kind is not null").select("doc", "tag", "place", "key", "kind")
 
 
 def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolve) -> DataFrame:
-    """(doc, place) of what ``resolve`` finds removed among the undecided segments."""
+    """(doc, tag, place) of what ``resolve`` finds removed among the undecided segments."""
     size = scheme.window
-    open_ = marks.where(F.col("kind") > 0).groupBy("doc").agg(F.collect_list(F.struct("place", "key", "kind")).alias("open"))
-    texts = docs.select(id_or_last().alias("doc"), "text").join(open_, "doc")
-    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("held", pa.binary())])
+    open_ = marks.where(F.col("kind") > 0).groupBy("doc", "tag").agg(F.collect_set(F.struct("place", "key", "kind")).alias("open"))
+    texts = _rows(docs).join(open_, ["doc", "tag"])
+    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("place", pa.int64()), ("held", pa.binary())])
 
     def cut(batches):
         for block in text_blocks(batches, TEXT_STEP):
             raw = _raw(block)
-            tags = np.array([_tag(x) for x in raw], np.int64)
             held, begin, _ = symbols(raw, scheme.words)
             lists = block.column("open")
             row = np.repeat(np.arange(len(raw)), lists.value_lengths().to_numpy())
             place, key, kind = (lists.flatten().field(n).to_numpy(zero_copy_only=False) for n in ("place", "key", "kind"))
-            own = (place >> 40) == tags[row]
-            row, place, key, kind = row[own], place[own], key[own], kind[own]
-            doc = block.column("doc").to_numpy()[row]
-            start, count = begin[row] + ((place >> 8) & 0xFFFFFFFF), place & 0xFF
+            doc, tag = (block.column(n).to_numpy()[row] for n in ("doc", "tag"))
+            start, count = begin[row] + (place >> 8), place & 0xFF
             whole = kind == BY_ANCHOR
             for a in range(0, int(whole.sum()), ROW_STEP // 16):
                 some = np.flatnonzero(whole)[a : a + ROW_STEP // 16]
-                yield pa.record_batch([pa.array(key[some]), pa.array(doc[some]), pa.array(place[some]), _gathered(held, start[some], count[some] + size - 1)], schema=schema)
+                yield pa.record_batch([pa.array(key[some]), pa.array(doc[some]), pa.array(tag[some]), pa.array(place[some]), _gathered(held, start[some], count[some] + size - 1)], schema=schema)
             # one row per window; repeats within the block are settled here
             apart = np.flatnonzero(~whole)
             if not len(apart):
@@ -229,28 +231,28 @@ def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolv
             n = count[apart]
             of = np.repeat(apart, n)
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at, doc = start[of] + step, doc[of]
-            where = _place(place[of] >> 40, ((place[of] >> 8) & 0xFFFFFFFF) + step, 1)
+            at, doc, tag = start[of] + step, doc[of], tag[of]
+            where = _place((place[of] >> 8) + step, 1)
             for a in range(0, len(at), ROW_STEP // 4):
                 part = slice(a, a + ROW_STEP // 4)
-                yield from single(held, at[part], doc[part], where[part])
+                yield from single(held, at[part], doc[part], tag[part], where[part])
 
-    def single(held, at, doc, where):
+    def single(held, at, doc, tag, where):
         sums = prefix_sums(_codes(held, scheme.words))
         key = range_hash(sums, at, at + size)
         order, _, done = _settled(key, np.zeros(len(key), np.uint64), doc)
         gone, rest = order[done], order[~done]
-        spread = mix(where[gone].view(np.uint64)).view(np.int64)
-        yield pa.record_batch([pa.array(spread), pa.array(doc[gone]), pa.array(where[gone]), pa.nulls(len(gone), pa.binary())], schema=schema)
-        yield pa.record_batch([pa.array(key[rest].view(np.int64)), pa.array(doc[rest]), pa.array(where[rest]), _gathered(held, at[rest], np.full(len(rest), size))], schema=schema)
+        spread = _spread(doc[gone], tag[gone], where[gone]).view(np.int64)
+        yield pa.record_batch([pa.array(spread), pa.array(doc[gone]), pa.array(tag[gone]), pa.array(where[gone]), pa.nulls(len(gone), pa.binary())], schema=schema)
+        yield pa.record_batch([pa.array(key[rest].view(np.int64)), pa.array(doc[rest]), pa.array(tag[rest]), pa.array(where[rest]), _gathered(held, at[rest], np.full(len(rest), size))], schema=schema)
 
     def settle(rows: list[pa.RecordBatch]):
         table = pa.Table.from_batches(rows).combine_chunks()
         done = table.column("held").is_null().to_numpy(zero_copy_only=False)
-        doc, place = table.column("doc").to_numpy(), table.column("place").to_numpy()
-        out = [(doc[done], place[done])]
+        doc, tag, place = (table.column(n).to_numpy() for n in ("doc", "tag", "place"))
+        out = [(doc[done], tag[done], place[done])]
         if not done.all():
-            doc, place = doc[~done], place[~done]
+            doc, tag, place = doc[~done], tag[~done], place[~done]
             parts = table.column("held").combine_chunks().drop_null()
             parts = parts.chunk(0) if isinstance(parts, pa.ChunkedArray) else parts
             width = 8 if scheme.words else 1
@@ -263,9 +265,8 @@ def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolv
             start = np.flatnonzero(edge == 1)
             count = np.flatnonzero(edge == -1) - start
             seg = np.searchsorted(first, start, side="right") - 1
-            p = place[seg]
-            out.append((doc[seg], _place(p >> 40, ((p >> 8) & 0xFFFFFFFF) + start - first[seg], count)))
-        yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names=["doc", "place"])
+            out.append((doc[seg], tag[seg], _place((place[seg] >> 8) + start - first[seg], count)))
+        yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names=["doc", "tag", "place"])
 
     def meet(batches):
         rows, held = [], 0
@@ -286,24 +287,24 @@ def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolv
         if rows:
             yield from settle(rows)
 
-    cuts = texts.mapInArrow(cut, "key long, doc long, place long, held binary")
-    return cuts.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "doc long, place long")
+    cuts = texts.mapInArrow(cut, "key long, doc long, tag long, place long, held binary")
+    return cuts.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "doc long, tag long, place long")
 
 
 def repeated(docs: DataFrame, scheme: Scheme, resolve: Resolve) -> DataFrame:
-    """(doc, places) of every window that also starts in a smaller document.
+    """(doc, tag, places) of every window that also starts in a smaller document.
 
-    ``doc`` is the id as in ``id_or_last``; ``apply`` puts the places back on the rows.
+    ``doc`` is the id as in ``id_or_last``, ``tag`` the text's hash; ``apply`` puts the places back on the rows.
     """
     marks = stored(_marks(_anchors(docs, scheme)), "marks")
     found = stored(_compared(docs, marks, scheme, resolve), "compared")
-    removed = marks.where(F.col("kind") == REMOVED).select("doc", "place").union(found)
-    return removed.groupBy("doc").agg(F.collect_list("place").alias("places"))
+    removed = marks.where(F.col("kind") == REMOVED).select("doc", "tag", "place").union(found)
+    return removed.groupBy("doc", "tag").agg(F.collect_set("place").alias("places"))
 
 
 def _covered(places: np.ndarray, n: int, size: int) -> np.ndarray:
     step = np.zeros(n + 1, np.int64)
-    first, count = (places >> 8) & 0xFFFFFFFF, places & 0xFF
+    first, count = places >> 8, places & 0xFF
     np.add.at(step, first, 1)
     np.add.at(step, first + count + size - 1, -1)
     return np.cumsum(step)[:n] > 0
@@ -317,13 +318,12 @@ def _gone(raw: bytes, own: pa.Scalar, scheme: Scheme):
     n = len(begin) if scheme.words else len(raw)
     if not own.is_valid:
         return np.zeros(n, bool), (begin, end)
-    own = own.values.to_numpy(zero_copy_only=False)
-    return _covered(own[(own >> 40) == _tag(raw)], n, scheme.window), (begin, end)
+    return _covered(own.values.to_numpy(zero_copy_only=False), n, scheme.window), (begin, end)
 
 
 def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
-    places = places.select(F.col("doc").alias("__doc"), F.col("places").alias("__places"))
-    return docs.withColumn("__doc", id_or_last()).join(places, "__doc", "left").select(*docs.columns, "__places")
+    places = places.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("places").alias("__places"))
+    return docs.withColumns({"__doc": id_or_last(), "__tag": F.xxhash64("text")}).join(places, ["__doc", "__tag"], "left").select(*docs.columns, "__places")
 
 
 def apply(docs: DataFrame, places: DataFrame, scheme: Scheme, kept: Callable[[bytes, np.ndarray, tuple], bytes], keep_text: bool) -> DataFrame:

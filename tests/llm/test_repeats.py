@@ -1,6 +1,7 @@
 """Operators 2 and 9 against brute force, with ordinary and with tiny limits."""
 
 import hashlib
+import zlib
 
 import numpy as np
 import pytest
@@ -53,6 +54,19 @@ def test_empty_table_and_clashing_columns(spark, kind):
     assert run(docs, window).count() == len(odd_rows())
 
 
+@pytest.mark.parametrize("kind", KINDS)
+def test_rows_of_one_id_keep_their_own_marks(spark, kind):
+    passage = " ".join(f"common{i}" for i in range(20))
+    with_it = {zlib.crc32(t.encode()) & 0x7FFFFF: t for t in (f"a{k} {passage}" for k in range(20_000))}
+    without = (f"b{k} " + " ".join(f"other{i}" for i in range(20)) for k in range(20_000))
+    # equal in 23 bits of a check sum
+    other = next(t for t in without if zlib.crc32(t.encode()) & 0x7FFFFF in with_it)
+    texts = [with_it[zlib.crc32(other.encode()) & 0x7FFFFF], other, other]
+    rows = [(1, passage)] + [(i, t) for i in (None, 8) for t in texts]
+    compare(frame(spark, [(i, t, "en", "s", 1) for i, t in rows[:4]]), kind, KINDS[kind][1])
+    compare(frame(spark, [(i, t, "en", "s", 1) for i, t in rows]), kind, KINDS[kind][1])
+
+
 def test_long_text_in_steps(monkeypatch):
     rng = np.random.default_rng(3)
     text = " ".join(map(str, rng.integers(0, 50, 4000))).encode()
