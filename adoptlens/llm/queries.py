@@ -50,7 +50,7 @@ def op1_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.concat(F.lit("call_"), "turn").alias("call_id"), tool.alias("name"),
         F.when(length % 10 == 0, wrong).otherwise(right).alias("arguments"), F.concat(F.lit("call_"), F.col("turn") - 2).alias("after"))
     results = turns.where("role = 'assistant'").select("conv_id", F.concat(F.lit("call_"), F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
-    return chat_format.link_calls(calls, results, TOOL_SCHEMAS)
+    return chat_format.link_every(calls, results, TOOL_SCHEMAS)
 
 
 ORACLES["op1_tool_call_linking"] = """

@@ -290,3 +290,23 @@ def test_chat_calls(spark):
     assert [got[2, c].error for c in "pq"] == ["circle"] * 2 and got[3, "s"].error == "circle" and got[2, "p"].depth is None
     assert chat_format.link_calls(calls.limit(0), results, queries.TOOL_SCHEMAS).collect() == []
     assert chat_format.link_calls(calls, results.limit(0), queries.TOOL_SCHEMAS).count() == 59
+
+
+def test_every_call_and_result_is_kept(spark, tmp_path):
+    rows = [
+        (1, 0, "user", "ask"), (1, 0, "user", "ask otherwise"), (1, 0, "user", "ask"), (1, 1, "assistant", "one"), (1, 1, "assistant", "two"), (1, 1, "assistant", None),
+        (1, 2, "user", "more"), (1, 3, "assistant", "more of it"), (2, 5, "assistant", "to nobody"), (3, 0, "user", "open"),
+    ]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op1_tool_call_linking(spark, str(tmp_path)).collect()
+    shown = sorted([(r.conv_id, r.call_id, json.loads(r.message)["arguments"].get("text"), json.loads(r.message)["content"], r.depth, r.has_result) for r in got], key=str)
+    assert shown == sorted([
+        (1, "call_0", "ask", "one", 0, True), (1, "call_0", "ask otherwise", "one", 0, True), (1, "call_0", None, "two", None, True), (1, "call_0", None, None, None, True),
+        (1, "call_2", "more", "more of it", 1, True), (2, "call_4", None, "to nobody", None, True), (3, "call_0", "open", None, 0, False)], key=str)
+    assert {r.error for r in got if (r.conv_id, r.call_id) == (1, "call_0")} == {"repeated id"}
+    assert [r.error for r in got if r.conv_id == 2] == ["result without a call"]
+    assert not {r.error for r in got if r.conv_id == 3 or r.call_id == "call_2"} & {"repeated id", "result without a call"}
+    calls = spark.createDataFrame([(1, None, "search", "{}", None), (1, "", "search", "{}", None)], "conv_id long, call_id string, name string, arguments string, after string")
+    results = spark.createDataFrame([(1, None, "of null"), (1, "", "of empty")], "conv_id long, call_id string, content string")
+    got = chat_format.link_every(calls, results, queries.TOOL_SCHEMAS).collect()
+    assert {(r.call_id, json.loads(r.message)["content"]) for r in got} == {(None, "of null"), ("", "of empty")}
