@@ -113,7 +113,7 @@ def import_roster(spark: SparkSession, raw_file: DataFrame, roster_path: str,
     return {"state_counts": roster.state_counts(spark, current), "duplicates": dups, "roster": current}
 
 
-def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = DEFAULT_TZ) -> int:
+def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = DEFAULT_TZ, multi_line: bool = True) -> int:
     """One-time load of an enriched CSV extract into the date-partitioned usage table.
 
     The file is read as text with its header, mapped to canonical rows and upserted; a key
@@ -123,7 +123,7 @@ def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = D
     """
     from adoptlens.operators.extract import canonical_usage
 
-    rows = canonical_usage(read_ordered_csv(spark, csv_path, "_ord"), tz, keep=["_ord"])
+    rows = canonical_usage(read_ordered_csv(spark, csv_path, "_ord", multi_line), tz, keep=["_ord"])
     rows = dedupe.keep_last(rows, ["usage_id"], ["_ord"]).drop("_ord")
     upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", cluster_by=USAGE_CLUSTER)
     return spark.read.parquet(table_path).count()
@@ -173,9 +173,9 @@ def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table
     return spark.read.parquet(meta_path)
 
 
-def reconcile_extracts(spark: SparkSession, left_csv: str, right_csv: str, out_dir: str) -> DataFrame:
+def reconcile_extracts(spark: SparkSession, left_csv: str, right_csv: str, out_dir: str, multi_line: bool = True) -> DataFrame:
     """Compare two CSV extracts of the same events: one-row summary; discrepancies as CSV files."""
-    left, right = (read_ordered_csv(spark, p, "src_ord") for p in (left_csv, right_csv))
+    left, right = (read_ordered_csv(spark, p, "src_ord", multi_line) for p in (left_csv, right_csv))
     reconcile.write_discrepancies(left, right, out_dir, "src_ord")
     result = reconcile.summary(reconcile.clean_ids(left), reconcile.clean_ids(right), "src_ord")
     path = f"{out_dir.rstrip('/')}/summary"

@@ -71,10 +71,10 @@ def to_usage_events(flat: DataFrame) -> DataFrame:
         "product_surface_area", "product_area").drop("file_ids")
 
 
-def read_ordered_csv(spark: SparkSession, path: str, ord_col: str = "src_ord") -> DataFrame:
-    """``read_extract_csv`` with the rows' order over the file set: file name, then row."""
-    order = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
-    return read_extract_csv(spark, path).withColumn(ord_col, order)
+def read_ordered_csv(spark: SparkSession, path: str, ord_col: str = "src_ord", multi_line: bool = True) -> DataFrame:
+    """``read_extract_csv`` with the rows' order over the file set: file name, split, then row."""
+    order = F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("split"), F.monotonically_increasing_id().alias("row"))
+    return read_extract_csv(spark, path, multi_line=multi_line).withColumn(ord_col, order)
 
 
 def write_extract_csv(df: DataFrame, path: str) -> None:
@@ -82,12 +82,12 @@ def write_extract_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def read_extract_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_extract_csv(spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = True) -> DataFrame:
     """UTF-8 CSV extract with header (a BOM on the first header cell is dropped by Spark);
     header names are trimmed; without a schema every column is read as text. Quoting is that of
     RFC 4180: a quoted cell may hold commas, doubled quotes and line breaks, so a file is one
-    split; a large extract comes as many files."""
-    reader = (spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", True)
+    split. ``multi_line`` False is for files without line breaks inside cells, which are split."""
+    reader = (spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", multi_line)
               .option("quote", '"').option("escape", '"'))
     df = reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
     return df.toDF(*[c.strip().lstrip("﻿") for c in df.columns])

@@ -123,6 +123,23 @@ def test_csv_extract_with_bom(spark, scratch):
     assert df.columns == ["unique_usage_id", "user"]
 
 
+def test_csv_extract_without_line_breaks_is_split(spark, scratch):
+    import os
+    path = scratch.replace("file:", "")
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/x.csv", "w") as fh:
+        fh.write("id,text\n" + "".join(f'{i},"a, ""{i}"""\n' for i in range(5000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        whole, parts = (EJ.read_ordered_csv(spark, f"{path}/x.csv", multi_line=m) for m in (True, False))
+        assert whole.rdd.getNumPartitions() == 1 and parts.rdd.getNumPartitions() > 4
+        for df in (whole, parts):
+            assert [tuple(r) for r in df.orderBy("src_ord").select("id", "text").collect()] == [(str(i), f'a, "{i}"') for i in range(5000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_roster_file_import(spark):
     raw = spark.createDataFrame(
         [(" A@X.COM ", "Ann", "Added", "25/12/2025", "2025-12-25"), ("a@x.com", " ", "Revoked", "", ""),
