@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adoptlens import jobs
 from adoptlens.sources import fixtures as fx
 
-from conftest import SF001
+from paths import SF001
 
 
 def test_export_extract_append_is_idempotent(spark, scratch):

@@ -8,7 +8,7 @@ from adoptlens.plans import dashboard as D
 from adoptlens.plans import snapshots as SN
 from adoptlens.sources import fixtures as fx
 
-from conftest import SF001
+from paths import SF001
 
 
 def test_top8_plus_other_equals_all_tools(spark):

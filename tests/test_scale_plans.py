@@ -9,7 +9,7 @@ from adoptlens.plans import team_report as T
 from adoptlens.plans.rollup import usage_rollup
 from adoptlens.sources import fixtures as fx
 
-from conftest import SF001
+from paths import SF001
 
 
 def _plan(df) -> str:
