@@ -9,7 +9,7 @@ table or its rollup for every report except the detail page and the detail expor
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,18 +17,22 @@ from adoptlens.operators.filters import Filters
 from adoptlens.plans import adoption, dashboard, export, snapshots, sync, team_report
 
 
+#: Order of the rows in the team report's document.
+REPORT_ORDER = {"features": ["sort_order"], "members_with_access": ["name", "user_email"], "members_without_access": ["name", "email"]}
+
+
 def _filters(practices=None, locations=None, accesses=None, designations=None, teams=None, products=None,
              start_date=None, end_date=None, search=None) -> Filters:
     return Filters(practices=practices, locations=locations, accesses=accesses, designations=designations,
                    teams=teams, products=products, start_date=start_date, end_date=end_date, search=search)
 
 
-def _sectioned(spark, snapshot_root, prefix, filters, live: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _sectioned(spark, snapshot_root, names: dict[str, str], filters, live: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """``live`` sections, or those of the snapshot under their ``names`` there; nothing is computed for the latter."""
     if not snapshot_root:
-        return live
-    version = snapshots.current_version(spark, snapshot_root)  # one version for the whole bundle
-    return {k: snapshots.read_or_compute(spark, snapshot_root, f"{prefix}{k}", filters, lambda v=v: v, version)
-            for k, v in live.items()}
+        return live()
+    found = snapshots.read_sections(spark, snapshot_root, list(names.values()), filters, lambda: {names[k]: v for k, v in live().items()})
+    return {k: found[n] for k, n in names.items()}
 
 
 def get_dashboard_bundle(spark: SparkSession, usage: DataFrame, practices: Sequence[str] | None = None,
@@ -36,15 +40,15 @@ def get_dashboard_bundle(spark: SparkSession, usage: DataFrame, practices: Seque
                          start_date: dt.date | str | None = None, end_date=None,
                          snapshot_root: str | None = None) -> dict[str, DataFrame]:
     f = _filters(practices, locations, accesses, designations, teams, products, start_date, end_date)
-    return _sectioned(spark, snapshot_root, "dashboard.", f, dashboard.bundle(usage, f))
+    names = {k: f"dashboard.{k}" for k in dashboard.SECTIONS}
+    return _sectioned(spark, snapshot_root, names, f, lambda: dashboard.bundle(usage, f))
 
 
 def get_top_users(spark: SparkSession, usage: DataFrame, practices=None, locations=None, accesses=None,
                   designations=None, teams=None, products=None, start_date=None, end_date=None,
                   snapshot_root: str | None = None) -> DataFrame:
     f = _filters(practices, locations, accesses, designations, teams, products, start_date, end_date)
-    live = dashboard.top_users(f.apply(usage))
-    return snapshots.read_or_compute(spark, snapshot_root, "top_users", f, lambda: live) if snapshot_root else live
+    return _sectioned(spark, snapshot_root, {"users": "top_users"}, f, lambda: {"users": dashboard.top_users(f.apply(usage))})["users"]
 
 
 def get_usage_page(usage: DataFrame, practices=None, locations=None, accesses=None, designations=None,
@@ -82,15 +86,10 @@ def export_top_users_csv(usage: DataFrame, practices=None, locations=None, acces
 
 
 def get_filter_options(spark: SparkSession, usage: DataFrame, snapshot_root: str | None = None) -> dict[str, DataFrame]:
-    live = {"values": dashboard.filter_options(usage), "products": dashboard.product_options(usage),
-            "teams_by_practice": dashboard.teams_by_practice(usage)}
     names = {"values": "filter_options", "products": "filter_options.products",
              "teams_by_practice": "filter_options.teams_by_practice"}
-    if not snapshot_root:
-        return live
-    version = snapshots.current_version(spark, snapshot_root)
-    return {k: snapshots.read_or_compute(spark, snapshot_root, names[k], None, lambda v=v: v, version)
-            for k, v in live.items()}
+    return _sectioned(spark, snapshot_root, names, None, lambda: {
+        "values": dashboard.filter_options(usage), "products": dashboard.product_options(usage), "teams_by_practice": dashboard.teams_by_practice(usage)})
 
 
 def get_adoption_bundle(spark: SparkSession, roster: DataFrame, usage: DataFrame, practices=None, teams=None,
@@ -98,7 +97,8 @@ def get_adoption_bundle(spark: SparkSession, roster: DataFrame, usage: DataFrame
                         snapshot_root: str | None = None) -> dict[str, DataFrame]:
     f = Filters(practices=practices, teams=teams, locations=locations, designations=designations,
                 start_date=start_date, end_date=end_date)
-    return _sectioned(spark, snapshot_root, "adoption.", f, adoption.bundle(roster, usage, f))
+    names = {k: f"adoption.{k}" for k in adoption.SECTIONS}
+    return _sectioned(spark, snapshot_root, names, f, lambda: adoption.bundle(roster, usage, f))
 
 
 def get_adoption_filter_options(roster: DataFrame) -> DataFrame:
@@ -111,11 +111,15 @@ def get_team_report_bundle(spark: SparkSession, roster: DataFrame, usage: DataFr
 
 
 def get_team_report_document(spark: SparkSession, roster: DataFrame, usage: DataFrame, practice: str,
-                             team: str | None = None, start_date=None, end_date=None) -> DataFrame:
-    """The team report as one JSON document (one row)."""
+                             team: str | None = None, start_date=None, end_date=None, path: str | None = None) -> DataFrame:
+    """The team report as one JSON document of any length: (section, number, line) in order.
+
+    With ``path`` it is written there as text files as well (``export.write_document``).
+    """
     sections = team_report.build(spark, roster, usage, practice, team, start_date, end_date)
-    order = {"features": ["sort_order"], "members_with_access": ["name", "user_email"], "members_without_access": ["name", "email"]}
-    return snapshots.to_document(sections, order)
+    if path is not None:
+        export.write_document(sections, path, REPORT_ORDER)
+    return export.document_lines(sections, REPORT_ORDER)
 
 
 def get_sync_info(spark: SparkSession, meta_path: str) -> DataFrame:

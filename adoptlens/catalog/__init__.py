@@ -41,6 +41,8 @@ def load_all() -> None:
         merge_q,
         reconcile_q,
         report_q,
+        reports_q,
         rollup_q,
         stream_q,
+        tables_q,
     )

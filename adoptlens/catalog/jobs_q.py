@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from adoptlens import api, jobs
 from adoptlens.catalog import ORACLES, register
 from adoptlens.catalog import dashboard_q, ingest_q  # noqa: F401  (oracles registered first)
+from adoptlens.operators.versions import read_table
 from adoptlens.plans import snapshots as SN
 from adoptlens.session import scratch_path
 from adoptlens.sources.events_json import flatten, read_documents, read_extract_csv, to_usage_events
@@ -34,7 +35,7 @@ def q_bulk_import_extract(spark, sf):
     base = scratch_path(spark, "bulk")
     ingest_q._extract_text(spark, sf).write.option("header", True).csv(f"{base}/csv")
     jobs.bulk_import(spark, f"{base}/csv", f"{base}/usage")
-    t = spark.read.parquet(f"{base}/usage")
+    t = read_table(spark, f"{base}/usage")
     return t.select("usage_id", "utc_time", "usage_date", "usage_hour", "user_email", "access_point", "product_area",
                     "file_count", "workforce_name", "location", "designation", "team", "practice", "email")
 
@@ -48,7 +49,7 @@ def q_sync_backfill(spark, sf):
     raw, roster = fx.raw_events(spark, sf), fx.roster(spark, sf)
     jobs.sync_window(spark, raw, roster, f"{base}/usage", f"{base}/meta", "2024-01-15", "2024-01-16")
     jobs.sync_window(spark, raw, roster, f"{base}/usage", f"{base}/meta", "2024-01-01", "2024-02-01")
-    t = spark.read.parquet(f"{base}/usage")
+    t = read_table(spark, f"{base}/usage")
     return t.select("usage_id", "usage_date", "user_email", "workforce_name", "practice")
 
 
@@ -105,7 +106,7 @@ def q_sync_cut_window(spark, sf):
     """A window that cuts the events at local midnight on both sides."""
     base = scratch_path(spark, "sync")
     jobs.sync_window(spark, fx.raw_events(spark, sf), fx.roster(spark, sf), f"{base}/usage", f"{base}/meta", "2024-01-10", "2024-01-20")
-    return spark.read.parquet(f"{base}/usage").select("usage_id", "usage_date", "user_email", "workforce_name", "practice")
+    return read_table(spark, f"{base}/usage").select("usage_id", "usage_date", "user_email", "workforce_name", "practice")
 
 
 @register("sync_without_rows", W("""
@@ -130,7 +131,7 @@ def q_sync_corrected_event(spark, sf):
     again = jobs.window_events(raw, "2024-01-10", "2024-01-12").filter(F.col("usage_id").cast("long") % 5 == 0)
     moved = again.withColumn("utc_time", F.timestamp_add("DAY", F.lit(3), F.col("utc_time")).cast("timestamp_ntz"))
     jobs.sync_window(spark, moved, roster, f"{base}/usage", f"{base}/meta", "2024-01-13", "2024-01-15")
-    return spark.read.parquet(f"{base}/usage").select("usage_id", "usage_date")
+    return read_table(spark, f"{base}/usage").select("usage_id", "usage_date")
 
 
 @register("import_roster_job", W("""
@@ -155,7 +156,7 @@ def q_sync_one_day(spark, sf):
     """The daily mode of the sync."""
     base = scratch_path(spark, "sync")
     jobs.sync(spark, fx.raw_events(spark, sf), fx.roster(spark, sf), f"{base}/usage", f"{base}/meta", day="2024-01-12")
-    return spark.read.parquet(f"{base}/usage").select("usage_id", "usage_date")
+    return read_table(spark, f"{base}/usage").select("usage_id", "usage_date")
 
 
 @register("export_usage_files", f"SELECT line FROM ({ORACLES['export_usage_lines']})")

@@ -93,6 +93,12 @@ def q_reconcile_fields(spark, sf):
     return RC.field_mismatches(RC.clean_ids(_left(spark, sf)), RC.clean_ids(_right(spark, sf)), "src_ord")
 
 
+@register("reconcile_by_digest", PAIR_SQL + "SELECT * FROM diffs")
+def q_reconcile_by_digest(spark, sf):
+    """The differing fields, with whole rows moved only for ids whose digests differ."""
+    return RC.field_mismatches_by_digest(RC.clean_ids(_left(spark, sf)), RC.clean_ids(_right(spark, sf)), "src_ord")
+
+
 @register("reconcile_summary", PAIR_SQL + """
 SELECT (SELECT COUNT(*) FROM l) AS left_rows, (SELECT COUNT(*) FROM r) AS right_rows,
        (SELECT COUNT(DISTINCT unique_usage_id) FROM l) AS left_ids,

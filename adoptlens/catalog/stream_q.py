@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adoptlens.catalog import register
 from adoptlens.operators.enrich import normalize_events
+from adoptlens.operators.versions import read_table
 from adoptlens.session import scratch_path
 from adoptlens.sources.fixtures import event_user, product_area_expr
 from adoptlens.sources.tables import table
@@ -51,7 +52,7 @@ def q_stream_ingest(spark, sf):
     rows = normalize_events(_as_raw(_event_stream(spark, sf)).unionByName(_as_raw(_event_stream(spark, sf))))
     q = S.ingest(rows.select(*INGEST_COLS), f"{base}/table", f"{base}/_checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/table").select(*INGEST_COLS)
+    return read_table(spark, f"{base}/table").select(*INGEST_COLS)
 
 
 @register("stream_dedupe", """

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from adoptlens.functions.calendar import DEFAULT_TZ, archive_label, resolve_window, window_predicate
 from adoptlens.operators import dedupe, enrich, reconcile, roster
-from adoptlens.operators.upsert import upsert_into_table
+from adoptlens.operators.upsert import read_table, upsert_into_table
 from adoptlens.plans.dashboard import top_users
 from adoptlens.plans.sync import sync_metadata
 from adoptlens.session import path_exists, remove_path, scratch_path
@@ -32,7 +32,7 @@ USAGE_CLUSTER = ("practice", "team", "user_email")
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, or None where there is nothing yet; an unreadable one raises."""
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    return read_table(spark, path) if path_exists(spark, path) else None
 
 
 def _overwrite_via_stage(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet", **opts) -> None:
@@ -126,7 +126,7 @@ def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = D
     rows = canonical_usage(read_ordered_csv(spark, csv_path, "_ord", multi_line), tz, keep=["_ord"])
     rows = dedupe.keep_last(rows, ["usage_id"], ["_ord"]).drop("_ord")
     upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", cluster_by=USAGE_CLUSTER)
-    return spark.read.parquet(table_path).count()
+    return read_table(spark, table_path).count()
 
 
 def sync(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table_path: str, meta_path: str, *,

@@ -183,6 +183,11 @@ def adoption_filter_options(roster: DataFrame) -> DataFrame:
     return flat.filter(non_blank("value")).distinct().orderBy("dimension", "parent", "value")
 
 
+#: Sections of ``bundle``.
+SECTIONS = ("kpis", "team_access_coverage", "team_adoption_rate", "practice_access_coverage", "access_funnel", "inactive_users",
+            "pending_access", "revoked_users")
+
+
 def bundle(roster: DataFrame, usage: DataFrame, filters: Filters | None = None) -> dict[str, DataFrame]:
     """All sections; usage is scanned and joined once, into one stored row per person."""
     people = roster_activity(roster, usage, filters)

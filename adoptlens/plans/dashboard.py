@@ -156,7 +156,11 @@ def top_tools_with_other(usage: DataFrame, k: int = TOP_TOOLS) -> DataFrame:
     The top-k is a distributed TakeOrderedAndProject; the remainder is total minus top-k,
     so no single-partition window is needed whatever the number of tools.
     """
-    counts = tool_counts(usage)
+    return top_of_counts(tool_counts(usage), k)
+
+
+def top_of_counts(counts: DataFrame, k: int = TOP_TOOLS) -> DataFrame:
+    """``top_tools_with_other`` from the mentions (label, value) of every tool."""
     top = counts.orderBy(F.desc("value"), F.asc("label")).limit(k)
     top_sum = top.agg(F.coalesce(F.sum("value"), F.lit(0)).alias("top_sum"))
     total = counts.agg(F.coalesce(F.sum("value"), F.lit(0)).alias("total"))
@@ -320,6 +324,10 @@ def bundle(usage: DataFrame, filters: Filters | None = None) -> dict[str, DataFr
     }
 
 
+#: Sections of ``bundle``.
+SECTIONS = ("kpis", "timeline", "timeline_granularity", "practice", "team", "location", "tools", "designation")
+
+
 def team_facet(usage: DataFrame, filters: Filters) -> DataFrame:
     """Legacy self-excluding facet: team counts under every filter except the team one."""
     return count_by(filters.without("teams").apply(usage), "team")

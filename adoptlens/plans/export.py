@@ -75,6 +75,44 @@ def lines_as_text(lines: DataFrame, order_col: str) -> DataFrame:
     return lines.agg(F.expr(f"listagg(line, '\\n') WITHIN GROUP (ORDER BY {order_col}, line)").alias("csv_text"))
 
 
+def document_lines(sections: dict[str, DataFrame], order: dict[str, list[str]] | None = None) -> DataFrame:
+    """(section, number, line): a JSON document {section: [rows...]} of any length, a line per row.
+
+    ``line`` in (section, number) order is the document: an opening line per section, its rows
+    in ``order`` (then by their other columns), and a closing line. Rows are numbered over range
+    partitions, so no task sees a whole section.
+    """
+    order, spark, out = order or {}, next(iter(sections.values())).sparkSession, None
+    for k, (name, df) in enumerate(sections.items()):
+        by = [*order.get(name, []), *[c for c in df.columns if c not in order.get(name, [])]]
+        rows = numbered(df, [F.asc_nulls_last(c) for c in by], "__number")
+        row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        lines = rows.select(F.lit(k).alias("section"), F.col("__number").alias("number"),
+                            F.concat(F.when(F.col("__number") > 1, ",").otherwise(""), row).alias("line"))
+        opening = ("{" if k == 0 else "],") + f'"{name}":['
+        opened = spark.range(1).select(F.lit(k).alias("section"), F.lit(0).cast("long").alias("number"), F.lit(opening).alias("line"))
+        lines = opened.unionByName(lines)
+        out = lines if out is None else out.unionByName(lines)
+    end = spark.range(1).select(F.lit(len(sections)).alias("section"), F.lit(0).cast("long").alias("number"), F.lit("]}").alias("line"))
+    return out.unionByName(end)
+
+
+def write_document(sections: dict[str, DataFrame], path: str, order: dict[str, list[str]] | None = None) -> None:
+    """The document of ``document_lines`` as text files ``section=<k>/part-*``: end to end, in the
+    order of their names, they are the document; a section's folder holds its rows alone."""
+    lines = document_lines(sections, order)
+    dealt = lines.repartitionByRange("section", "number").sortWithinPartitions("section", "number")
+    dealt.write.mode("overwrite").partitionBy("section").text(path)
+
+
+def read_document(spark, path: str, names: list[str]) -> DataFrame:
+    """(section, row): the rows of a written document as JSON texts, with their section's name."""
+    lines = spark.read.schema("line string, section int").text(path)
+    named = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("section") + 1)
+    rows = lines.where((F.col("section") < len(names)) & ~F.col("line").rlike('^(\\{|\\],)?"[^"]*":\\[$'))
+    return rows.select(named.alias("section"), F.regexp_replace("line", "^,", "").alias("row"))
+
+
 def write_lines(lines: DataFrame, path: str, order: list[str]) -> None:
     """Write export lines as text part files in order, header first, by a range-partitioned sort."""
     lines.orderBy(*[F.asc_nulls_first(c) if c == "sort_key" else F.asc_nulls_last(c) for c in order]).select("line").write.mode("overwrite").text(path)

@@ -1,14 +1,15 @@
 """SparkSession construction and cluster-level settings.
 
-The engine never hard-codes a scratch location: lineage is cut with ``checkpoint()``
-into the shared folder named by ``spark.checkpoint.dir``. A local default is set only
-when a local session has none (tests, laptops).
+The engine never hard-codes a scratch location: lineage is cut by tables written into the
+shared folder named by ``spark.checkpoint.dir``. A local default is set only when a local
+session has none (tests, laptops). Tables written inside a ``scratch_scope`` go when it ends.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -90,7 +91,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes, at its end, every intermediate table that was started inside it.
+
+    A report's sections read such tables lazily, so write or collect them before the end.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            remove_path(spark, path)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

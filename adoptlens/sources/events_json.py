@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from adoptlens.functions.calendar import DEFAULT_TZ, local_date, local_hour, parse_utc_text
+from adoptlens.sources.csv_split import read_quoted_csv
 
 # The raw event fields, in payload order.
 EVENT_FIELDS = [
@@ -18,12 +19,6 @@ EVENT_SCHEMA = StructType([StructField(f, StringType()) for f in EVENT_FIELDS]
                           + [StructField("file_ids", ArrayType(StringType()))])
 DOCUMENT_SCHEMA = StructType([StructField("events", ArrayType(EVENT_SCHEMA))])
 
-# Flattened extract column order: 17 event fields + derived date and hour.
-EXTRACT_COLUMNS = ["utc_time", "usage_date", "usage_hour", "user", "unique_usage_id", "access_point",
-                   "action", "product_surface_area", "workflow_name", "source", "subsurface", "cm_id",
-                   "parent_thread_id", "space_name", "playbook_name", "vault_project_name",
-                   "review_table_name", "file_count", "file_ids"]
-
 
 def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Event documents -> one row per event (missing fields are NULL)."""
@@ -72,7 +67,12 @@ def to_usage_events(flat: DataFrame) -> DataFrame:
 
 
 def read_ordered_csv(spark: SparkSession, path: str, ord_col: str = "src_ord", multi_line: bool = True) -> DataFrame:
-    """``read_extract_csv`` with the rows' order over the file set: file name, split, then row."""
+    """``read_extract_csv`` with the rows' order over the file set: file name, split, then row.
+
+    With ``multi_line`` cells may hold line breaks; the files are split all the same.
+    """
+    if multi_line:
+        return read_quoted_csv(spark, path, ord_col)
     order = F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("split"), F.monotonically_increasing_id().alias("row"))
     return read_extract_csv(spark, path, multi_line=multi_line).withColumn(ord_col, order)
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adoptlens.functions.calendar import DEFAULT_TZ
-from adoptlens.operators.upsert import upsert_into_table
+from adoptlens.operators.upsert import read_table, upsert_into_table
 from adoptlens.plans.sync import sync_metadata
 
 
@@ -95,7 +95,7 @@ def write_complete(agg: DataFrame, out_path: str, checkpoint: str):
 
 def refresh_metadata(spark: SparkSession, table_path: str, meta_path: str, last_sync_rows: int | None = None) -> None:
     """Metadata step run after the stream, also when it brought no new rows."""
-    sync_metadata(spark.read.parquet(table_path), last_sync_rows).write.mode("overwrite").parquet(meta_path)
+    sync_metadata(read_table(spark, table_path), last_sync_rows).write.mode("overwrite").parquet(meta_path)
 
 
 def ingest_documents(spark: SparkSession, landing_dir: str, roster: DataFrame, table_path: str,

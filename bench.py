@@ -28,6 +28,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from adoptlens.catalog import QUERIES, load_all
     from adoptlens.operators.filters import Filters
+    from adoptlens.operators.versions import read_table
     from adoptlens.plans import adoption as A
     from adoptlens.plans import dashboard as D
     from adoptlens.plans import snapshots as SN
@@ -67,7 +68,7 @@ def main() -> None:
     csv_path = f"{base}/extract_csv"
     _extract_text(spark, sf_dir).write.option("header", True).csv(csv_path)
     run("load", lambda: jobs.bulk_import(spark, csv_path, usage_path) and None)
-    usage = spark.read.parquet(usage_path)
+    usage = read_table(spark, usage_path)
     rows = usage.count()
     roster = fx.roster(spark, sf_dir)
     run("snapshot_refresh", lambda: SN.refresh(spark, usage, roster, snap_root) and None)
@@ -110,7 +111,7 @@ def main() -> None:
     run("snapshot_read_dashboard.kpis", lambda: SN.read_section(spark, snap_root, "dashboard.kpis"))
     for section in ["dashboard.timeline", "dashboard.tools", "top_users", "adoption.kpis"]:
         run(f"snapshot_read_{section}", lambda s=section: SN.read_section(spark, snap_root, s), repeat=2)
-    rollup = spark.read.parquet(f"{snap_root}/version={SN.current_version(spark, snap_root)}/section=usage_rollup")
+    rollup = SN.read_section(spark, snap_root, "usage_rollup")
     run("rollup_dashboard_kpis_filtered", lambda: D.kpis(filt.apply(rollup)), repeat=2)
     run("rollup_top_users_filtered", lambda: D.top_users(filt.apply(rollup)), repeat=2)
     run("rollup_adoption_kpis", lambda: A.adoption_kpis(A.roster_activity(roster, rollup)), repeat=2)

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from adoptlens import jobs
+from adoptlens.operators.versions import read_table
 from adoptlens.sources import fixtures as fx
 
 from paths import SF001
@@ -65,7 +66,7 @@ def test_bulk_import_csv_last_row_wins(spark, scratch):
     csv = f"{scratch}/extract_csv"
     ext.unionByName(again).coalesce(1).write.option("header", True).csv(csv)
     n = jobs.bulk_import(spark, csv, f"{scratch}/usage")
-    table = spark.read.parquet(f"{scratch}/usage")
+    table = read_table(spark, f"{scratch}/usage")
     assert n == table.count() == table.select("usage_id").distinct().count()
     ids = [r[0].strip() for r in again.select("unique_usage_id").collect() if r[0].strip()]
     changed = table.filter(F.col("usage_id").isin(ids)).select("access_point").distinct().collect()
@@ -76,9 +77,9 @@ def test_resync_keeps_first_synced_at(spark, scratch):
     raw, roster = fx.raw_events(spark, SF001), fx.roster(spark, SF001)
     table, meta = f"{scratch}/usage", f"{scratch}/meta"
     jobs.sync_window(spark, raw, roster, table, meta, "2024-01-05", "2024-01-06")
-    first = {r.usage_id: r.synced_at for r in spark.read.parquet(table).select("usage_id", "synced_at").collect()}
+    first = {r.usage_id: r.synced_at for r in read_table(spark, table).select("usage_id", "synced_at").collect()}
     jobs.sync_window(spark, raw, roster, table, meta, "2024-01-05", "2024-01-07")
-    after = {r.usage_id: r.synced_at for r in spark.read.parquet(table).select("usage_id", "synced_at").collect()}
+    after = {r.usage_id: r.synced_at for r in read_table(spark, table).select("usage_id", "synced_at").collect()}
     assert all(after[k] == v for k, v in first.items())
     assert len(after) > len(first)
 
@@ -101,7 +102,7 @@ def test_stream_ingest_of_landed_documents(spark, scratch):
     roster = fx.roster(spark, SF001)
     q = ingest_documents(spark, landing, roster, f"{scratch}/usage", f"{scratch}/_ckpt")
     q.awaitTermination()
-    t = spark.read.parquet(f"{scratch}/usage")
+    t = read_table(spark, f"{scratch}/usage")
     assert t.count() == 30 and t.select("usage_id").distinct().count() == 30
     assert t.filter(F.col("user_email") == "user1@example.com").count() > 0
     assert t.filter(F.col("workforce_name").isNotNull()).count() > 0  # roster matched
@@ -141,7 +142,7 @@ def test_sync_refreshes_snapshot_incrementally(spark, scratch):
     table, meta, snap = f"{scratch}/usage", f"{scratch}/meta", f"{scratch}/snap"
     jobs.sync_window(spark, raw, roster, table, meta, "2024-01-01", "2024-01-10", snapshot_root=snap)
     jobs.sync_window(spark, raw, roster, table, meta, "2024-01-10", "2024-01-12", snapshot_root=snap)
-    t = spark.read.parquet(table)
+    t = read_table(spark, table)
     assert SN.read_section(spark, snap, "dashboard.kpis").collect() == D.kpis(t).collect()
     assert sorted(map(tuple, SN.read_section(spark, snap, "top_users").collect())) == \
         sorted(map(tuple, D.top_users(t).collect()))
@@ -160,7 +161,7 @@ def test_bulk_import_reads_quoted_cells(spark, scratch):
     with open(f"{scratch}/csv/b.csv", "w") as f:
         f.write(head + "2024-01-02 10:00:00,u@x.com,2,app,later file,3\n")
     assert jobs.bulk_import(spark, f"{scratch}/csv", f"{scratch}/t") == 2
-    rows = {r.usage_id: r for r in spark.read.parquet(f"{scratch}/t").collect()}
+    rows = {r.usage_id: r for r in read_table(spark, f"{scratch}/t").collect()}
     assert rows["1"].product_area == 'say "hi", you' and rows["1"].file_count == 2
     assert str(rows["1"].utc_time) == "2023-12-31 18:30:00"
     assert rows["2"].access_point == "app" and rows["2"].file_count == 3
@@ -178,5 +179,5 @@ def test_corrected_event_is_stored_once(spark, scratch):
     meta = sync([("a", "2024-01-05 10:00:00", "u@x.com"), ("a", "2024-01-05 10:00:00", "u@x.com"), ("b", "2024-01-05 11:00:00", "u@x.com")], "2024-01-05", "2024-01-06")
     assert (meta.row_count, meta.last_sync_rows) == (2, 2)
     sync([("a", "2024-01-07 10:00:00", "u@x.com")], "2024-01-07", "2024-01-08")
-    got = sorted((r.usage_id, str(r.usage_date)) for r in spark.read.parquet(f"{scratch}/t").collect())
+    got = sorted((r.usage_id, str(r.usage_date)) for r in read_table(spark, f"{scratch}/t").collect())
     assert got == [("a", "2024-01-07"), ("b", "2024-01-05")]

@@ -1,5 +1,6 @@
 """Report invariants on the sf0.001 fixture, snapshot reads and the driver contract."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from adoptlens.operators.filters import Filters
@@ -230,14 +231,77 @@ def test_cursor_pages_walk_equals_offset_pages(spark):
         assert got == expected, key
 
 
-def test_team_report_document_holds_every_section(spark):
+def test_team_report_document_holds_every_section(spark, scratch):
     import json
+    import pathlib
 
     from adoptlens import api
     from adoptlens.plans import team_report as T
 
-    doc = json.loads(api.get_team_report_document(spark, fx.roster(spark, SF001), fx.usage(spark, SF001), "HOUSEHOLD", None,
-                                                  "2024-01-01", "2024-01-31").collect()[0][0])
+    lines = api.get_team_report_document(spark, fx.roster(spark, SF001), fx.usage(spark, SF001), "HOUSEHOLD", None,
+                                         "2024-01-01", "2024-01-31", path=f"{scratch}/document")
+    doc = json.loads("".join(r.line for r in lines.orderBy("section", "number").collect()))
+    files = sorted(str(p) for p in pathlib.Path(scratch.replace("file:", ""), "document").glob("section=*/part-*"))
+    assert json.loads("".join(open(f).read() for f in files)).keys() == doc.keys()
     assert set(doc) == {"meta", "summary", "features", "members_with_access", "members_without_access"}
     assert doc["meta"][0]["disclaimer"] == T.DISCLAIMER and len(doc["features"]) == 6
     assert doc["summary"][0]["with_access"] == len(doc["members_with_access"])
+
+
+def test_a_snapshot_read_scans_no_events_and_leaves_no_files(spark, scratch):
+    import os
+
+    from adoptlens import api
+    from adoptlens.session import checkpoint_dir, remove_path
+
+    fx.usage(spark, SF001).write.parquet(f"{scratch}/events")
+    usage, r = spark.read.parquet(f"{scratch}/events"), fx.roster(spark, SF001)
+    api.refresh_dashboard_cache(spark, usage, r, f"{scratch}/snap")
+    want = {k: sorted(map(tuple, v.collect())) for k, v in D.bundle(usage).items()}
+    people = {k: sorted(map(tuple, v.collect()), key=str) for k, v in A.bundle(r, usage).items()}
+    remove_path(spark, f"{scratch}/events")  # whoever reads an event from here on fails
+    held = sorted(os.listdir(checkpoint_dir(spark).replace("file:", "")))
+    got = api.get_dashboard_bundle(spark, usage, snapshot_root=f"{scratch}/snap")
+    assert {k: sorted(map(tuple, v.collect())) for k, v in got.items()} == want
+    got = api.get_adoption_bundle(spark, r, usage, snapshot_root=f"{scratch}/snap")
+    assert {k: sorted(map(tuple, v.collect()), key=str) for k, v in got.items()} == people
+    assert api.get_top_users(spark, usage, snapshot_root=f"{scratch}/snap").count() > 0
+    assert all(v.count() for v in api.get_filter_options(spark, usage, snapshot_root=f"{scratch}/snap").values())
+    assert sorted(os.listdir(checkpoint_dir(spark).replace("file:", ""))) == held
+    with pytest.raises(Exception):  # noqa: B017
+        api.get_dashboard_bundle(spark, usage, practices=["BUILDING"], snapshot_root=f"{scratch}/snap")
+
+
+def test_incremental_refresh_keeps_what_did_not_change(spark, scratch):
+    import datetime as dt
+
+    from adoptlens.operators import versions
+
+    d6 = dt.date(2024, 1, 6)
+    usage, r = fx.usage(spark, SF001), fx.roster(spark, SF001)
+    first = SN._manifest(spark, scratch, SN.refresh(spark, usage, r, scratch))
+    days = versions.current(spark, f"{scratch}/rollup").folders
+    tools = usage.withColumn("product_area", F.when(F.col("usage_date") == d6, F.lit("Vault,New")).otherwise(F.col("product_area")))
+    second = SN._manifest(spark, scratch, SN.refresh_incremental(spark, tools, r, scratch, [d6]))
+    assert {n for n in second["sections"] if second["sections"][n] != first["sections"][n]} == {"dashboard.tools", "filter_options.products"}
+    assert {n for n in second["states"] if second["states"][n] != first["states"][n]} == {"tools"}
+    now = versions.current(spark, f"{scratch}/rollup").folders
+    assert {d for d in days if now[d] != days[d]} == {"2024-01-06"}
+    third = SN._manifest(spark, scratch, SN.refresh_incremental(spark, tools, r.limit(30), scratch, [d6]))
+    assert {n for n in third["sections"] if third["sections"][n] != second["sections"][n]} == {f"adoption.{s}" for s in A.SECTIONS}
+    full = f"{scratch}/full"
+    SN.refresh(spark, tools, r.limit(30), full)
+    for name in first["sections"]:
+        inc, want = (sorted(map(tuple, SN.read_section(spark, x, name).collect()), key=str) for x in (scratch, full))
+        assert inc == want, name
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from adoptlens.session import path_exists, scratch_path, scratch_scope
+
+    kept = scratch_path(spark, "kept")
+    spark.range(1).write.parquet(kept)
+    with scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        spark.range(1).write.parquet(inner)
+    assert path_exists(spark, kept) and not path_exists(spark, inner)
