@@ -1,15 +1,20 @@
 """Operator 2, substring dedup by relative Lempel-Ziv parsing.
 
-The texts that may repeat meet in reference blocks. A block's windows are indexed by hash, the
-smallest document first; each document's part is parsed greedily into factors, copies of a run
-of reference words. A factor goes on as long as the next window stands next to the last one's
-in the reference; where it ends, the window at the boundary is looked up again, so a longer
-stretch that no single reference holds is still found. Factors of at least ``window`` words
-are duplicate spans; a look-up counts only if the words agree.
+Every document is parsed into factors, copies of runs of words of documents with smaller ids.
+The texts that may repeat meet in reference blocks, whose windows are indexed by hash, the
+smallest document first; every window of a document that the index holds comes back with the
+document and the place it was found at (``repeats``, ``sources``). The document is then parsed
+from left to right: a factor follows its reference for as long as the next window was found
+right behind the last one, however many blocks it crosses; where it ends, the window at the
+boundary begins a factor with its own reference, so a longer stretch that no single document
+holds is covered too. Factors have ``window`` words at least, and the union of the factors is
+what is removed. Of several holders of a window the smallest is taken: which one is followed
+does not change the union.
 
 Words are runs of bytes without white space. Null text has no words and keeps none; empty
 tables give no rows; repeated rows and rows that share an id are not each other's reference.
-See ``repeats`` for null ids and for how texts meet.
+Windows that meet in differing surroundings are compared word code by word code, others by two
+independent 64-bit hashes. See ``repeats`` for null ids and for how texts meet.
 """
 
 from __future__ import annotations
@@ -21,11 +26,12 @@ from adoptlens.llm import repeats
 from adoptlens.llm.hashing import gram_hash
 
 
-def factors(held: np.ndarray, first: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number of windows and reference start of each factor of a block's parts."""
+def references(held: np.ndarray, first: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
+    """For each window of a block its place in the smallest document's part, or -1 if that is its own."""
+    found = np.full(len(held), -1, np.int64)
     n = len(held) - window + 1
     if n <= 0:
-        return (np.zeros(0, np.int64),) * 3
+        return found
     at = np.arange(n)
     part = np.searchsorted(first, at, side="right") - 1
     at = at[at + window <= first[part + 1]]
@@ -39,17 +45,8 @@ def factors(held: np.ndarray, first: np.ndarray, doc: np.ndarray, window: int) -
     smaller = doc[part] > doc[np.searchsorted(first, source, side="right") - 1]
     for j in range(window):
         smaller &= held[at + j] == held[source + j]
-    at, source = at[smaller], source[smaller]
-    new = np.append(True, (at[1:] != at[:-1] + 1) | (source[1:] != source[:-1] + 1))[: len(at)]
-    start = np.flatnonzero(new)
-    return at[start], np.diff(np.append(start, len(at))), source[start]
-
-
-def _resolve(held, first, doc, window):
-    start, count, _ = factors(held, first, doc, window)
-    removed = np.zeros(len(held), bool)
-    removed[np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())] = True
-    return removed
+    found[at[smaller]] = source[smaller]
+    return found
 
 
 def _kept(raw: bytes, gone: np.ndarray, bounds) -> bytes:
@@ -59,6 +56,7 @@ def _kept(raw: bytes, gone: np.ndarray, bounds) -> bytes:
 
 
 def dedup(docs: DataFrame, window: int = 13, keep_text: bool = False) -> DataFrame:
-    """``docs`` with words, removed words, spans in words and the digest of the kept words."""
-    scheme = repeats.Scheme(window, max(1, window * 2 // 5), True)
-    return repeats.apply(docs, repeats.repeated(docs, scheme, _resolve), scheme, _kept, keep_text)
+    """``docs`` with words, removed words, spans in words, the digest of the kept words, and the
+    factors (start, end, reference document, start there) whose union the spans are."""
+    scheme = repeats.Scheme(window, max(1, window * 2 // 5), True, sources=True)
+    return repeats.apply(docs, repeats.repeated(docs, scheme, references), scheme, _kept, keep_text)

@@ -16,6 +16,9 @@ Skew: tasks settle repeats among their own rows before the shuffle, so a passage
 of all documents share sends one row per task. An anchor with many different surroundings
 (within a task or in all) is split by window, whose equal copies are again settled per task.
 
+With ``sources`` every mark also names the place in the smaller document that its first window
+was found at, so that the caller can follow a copy through its reference.
+
 Rows that share an id are told apart by a 64-bit hash of their text (``tag``), so marks are
 gathered per distinct text; they never count as "smaller" than each other; a null id is larger
 than every other. Null text has no symbols.
@@ -51,13 +54,17 @@ class Scheme:
     window: int
     gram: int
     words: bool
+    sources: bool = False
 
 
 #: Columns that ``apply`` adds.
-RESULTS = ("n_symbols", "n_removed", "spans", "kept_sha256", "kept")
+RESULTS = ("n_symbols", "n_removed", "spans", "kept_sha256", "kept", "factors")
+#: Where a mark's first window was found: document and place.
+SOURCE = ("odoc", "oplace")
 
 #: resolve(symbols, first symbol of each segment and the end, document of each segment, window)
-#: gives a flag per symbol position: the window there starts in a smaller document.
+#: gives a flag per symbol position: the window there starts in a smaller document; with
+#: ``sources`` the position where it does, or -1.
 Resolve = Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray]
 
 
@@ -132,8 +139,8 @@ def _raw(block: pa.RecordBatch) -> list[bytes]:
     return [x or b"" for x in block.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _settled(key: np.ndarray, seg: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by key, where groups of equal (key, segment) start, and which rows a smaller document settles."""
+def _settled(key: np.ndarray, seg: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key, where groups of equal (key, segment) start, which rows a smaller document settles, and the row of its group that does."""
     order = np.argsort(key)
     k = key[order]
     same = np.append(False, k[1:] == k[:-1])
@@ -141,7 +148,8 @@ def _settled(key: np.ndarray, seg: np.ndarray, doc: np.ndarray) -> tuple[np.ndar
     order[several] = order[several][np.lexsort((doc[order[several]], seg[order[several]], k[several]))]
     s, d = seg[order], doc[order]
     fresh = ~same | np.append(True, s[1:] != s[:-1])
-    return order, fresh, d > d[np.maximum.accumulate(np.where(fresh, np.arange(len(d)), 0))]
+    head = np.maximum.accumulate(np.where(fresh, np.arange(len(d)), 0)) if len(d) else np.zeros(0, np.int64)
+    return order, fresh, d > d[head], head
 
 
 def _gathered(held: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
@@ -156,7 +164,7 @@ def _anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
 
     def combined(rows: list[tuple]):
         key, seg, doc, tag, place = (np.concatenate(x) for x in zip(*rows))
-        order, fresh, settled = _settled(key, seg, doc)
+        order, fresh, settled, head = _settled(key, seg, doc)
         key, seg, doc, tag, place = key[order], seg[order], doc[order], tag[order], place[order]
         anchor = np.cumsum(np.append(True, key[1:] != key[:-1])[: len(key)]) - 1 if len(key) else np.zeros(0, int)
         crowded = (np.bincount(anchor, weights=fresh) > CROWD)[anchor]
@@ -165,10 +173,11 @@ def _anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
         key = np.where(settled, _spread(doc, tag, place), np.where(crowded, mix(key ^ seg), key))
         key = np.concatenate([key, marks]).view(np.int64)
         none, n = np.zeros(len(marks), np.int64), len(marks)
+        source = [pa.array(np.concatenate([x[head], none]), mask=np.append(~settled, none == 0)) for x in (doc, place)] if scheme.sources else []
         yield pa.record_batch(
             [pa.array(key), pa.array(np.concatenate([seg.view(np.int64), none])), pa.array(np.concatenate([doc, none]), mask=np.arange(len(key)) >= len(key) - n),
-             pa.array(np.concatenate([tag, none])), pa.array(np.concatenate([place, none])), pa.array(np.concatenate([state, none + 1]).astype(np.int32))],
-            names=["key", "seg", "doc", "tag", "place", "state"])
+             pa.array(np.concatenate([tag, none])), pa.array(np.concatenate([place, none])), pa.array(np.concatenate([state, none + 1]).astype(np.int32)), *source],
+            names=["key", "seg", "doc", "tag", "place", "state", *SOURCE[: len(source)]])
 
     def scan(batches):
         rows, held = [], 0
@@ -184,7 +193,7 @@ def _anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
         if held:
             yield from combined(rows)
 
-    return _rows(docs).mapInArrow(scan, "key long, seg long, doc long, tag long, place long, state int")
+    return _rows(docs).mapInArrow(scan, "key long, seg long, doc long, tag long, place long, state int" + (", odoc long, oplace long" if scheme.sources else ""))
 
 
 def _marks(anchors: DataFrame) -> DataFrame:
@@ -194,22 +203,32 @@ def _marks(anchors: DataFrame) -> DataFrame:
     seen = anchors.withColumns({
         "low": F.min("doc").over(by_key), "high": F.max("doc").over(by_key), "crowded": F.max(F.col("state") % 2).over(by_key),
         "seg_low": F.min(F.when(F.col("state") == 0, F.col("seg"))).over(by_key), "seg_high": F.max(F.when(F.col("state") == 0, F.col("seg"))).over(by_key),
-        "rows": F.count("*").over(by_key)}).withColumn("owner", F.min("doc").over(by_seg))
+        "rows": F.count("*").over(by_key)})
+    found = ()
+    if "odoc" in anchors.columns:
+        seen = seen.withColumn("first", F.min(F.when(F.col("doc").isNotNull(), F.struct("doc", "place"))).over(by_seg)).withColumn("owner", F.col("first.doc"))
+        found = tuple(F.coalesce(c, F.when(F.col("doc") > F.col("owner"), F.col(f"first.{c[1:]}"))).alias(c) for c in SOURCE)
+    else:
+        seen = seen.withColumn("owner", F.min("doc").over(by_seg))
     alone = (F.col("low") == F.col("high")) | (F.col("seg_low") == F.col("seg_high"))
     kind = (
         F.when(F.col("state") == 2, REMOVED).when(F.col("doc") > F.col("owner"), REMOVED)
         .when(F.col("crowded") == 1, BY_WINDOW).when(alone, None)
         .when(F.col("rows") > SPLIT, BY_WINDOW).otherwise(BY_ANCHOR)
     )
-    return seen.where("doc is not null").withColumn("kind", kind).where("kind is not null").select("doc", "tag", "place", "key", "kind")
+    return seen.where("doc is not null").withColumn("kind", kind).where("kind is not null").select("doc", "tag", "place", "key", "kind", *found)
 
 
 def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolve) -> DataFrame:
-    """(doc, tag, place) of what ``resolve`` finds removed among the undecided segments."""
+    """(doc, tag, place) of what ``resolve`` finds removed among the undecided segments, with sources if the scheme has them."""
     size = scheme.window
     open_ = marks.where(F.col("kind") > 0).groupBy("doc", "tag").agg(F.collect_set(F.struct("place", "key", "kind")).alias("open"))
     texts = _rows(docs).join(open_, ["doc", "tag"])
-    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("place", pa.int64()), ("held", pa.binary())])
+    extra = [(c, pa.int64()) for c in SOURCE] if scheme.sources else []
+    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("place", pa.int64()), ("held", pa.binary()), *extra])
+
+    def unknown(n: int) -> list[pa.Array]:
+        return [pa.nulls(n, pa.int64()) for _ in extra]
 
     def cut(batches):
         for block in text_blocks(batches, TEXT_STEP):
@@ -223,7 +242,7 @@ def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolv
             whole = kind == BY_ANCHOR
             for a in range(0, int(whole.sum()), ROW_STEP // 16):
                 some = np.flatnonzero(whole)[a : a + ROW_STEP // 16]
-                yield pa.record_batch([pa.array(key[some]), pa.array(doc[some]), pa.array(tag[some]), pa.array(place[some]), _gathered(held, start[some], count[some] + size - 1)], schema=schema)
+                yield pa.record_batch([pa.array(key[some]), pa.array(doc[some]), pa.array(tag[some]), pa.array(place[some]), _gathered(held, start[some], count[some] + size - 1), *unknown(len(some))], schema=schema)
             # one row per window; repeats within the block are settled here
             apart = np.flatnonzero(~whole)
             if not len(apart):
@@ -240,17 +259,19 @@ def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolv
     def single(held, at, doc, tag, where):
         sums = prefix_sums(_codes(held, scheme.words))
         key = range_hash(sums, at, at + size)
-        order, _, done = _settled(key, np.zeros(len(key), np.uint64), doc)
+        order, _, done, head = _settled(key, np.zeros(len(key), np.uint64), doc)
+        by = order[head[done]]
+        source = [pa.array(doc[by]), pa.array(where[by])] if scheme.sources else []
         gone, rest = order[done], order[~done]
         spread = _spread(doc[gone], tag[gone], where[gone]).view(np.int64)
-        yield pa.record_batch([pa.array(spread), pa.array(doc[gone]), pa.array(tag[gone]), pa.array(where[gone]), pa.nulls(len(gone), pa.binary())], schema=schema)
-        yield pa.record_batch([pa.array(key[rest].view(np.int64)), pa.array(doc[rest]), pa.array(tag[rest]), pa.array(where[rest]), _gathered(held, at[rest], np.full(len(rest), size))], schema=schema)
+        yield pa.record_batch([pa.array(spread), pa.array(doc[gone]), pa.array(tag[gone]), pa.array(where[gone]), pa.nulls(len(gone), pa.binary()), *source], schema=schema)
+        yield pa.record_batch([pa.array(key[rest].view(np.int64)), pa.array(doc[rest]), pa.array(tag[rest]), pa.array(where[rest]), _gathered(held, at[rest], np.full(len(rest), size)), *unknown(len(rest))], schema=schema)
 
     def settle(rows: list[pa.RecordBatch]):
         table = pa.Table.from_batches(rows).combine_chunks()
         done = table.column("held").is_null().to_numpy(zero_copy_only=False)
         doc, tag, place = (table.column(n).to_numpy() for n in ("doc", "tag", "place"))
-        out = [(doc[done], tag[done], place[done])]
+        out = [(doc[done], tag[done], place[done], *(table.column(c).fill_null(0).to_numpy()[done] for c, _ in extra))]
         if not done.all():
             doc, tag, place = doc[~done], tag[~done], place[~done]
             parts = table.column("held").combine_chunks().drop_null()
@@ -259,14 +280,25 @@ def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolv
             offsets = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset : parts.offset + len(parts) + 1].astype(np.int64)
             held = np.frombuffer(parts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.uint64 if scheme.words else np.uint8)
             first = (offsets - offsets[0]) // width
-            removed = np.append(resolve(held, first, doc, size), False)
+            resolved = resolve(held, first, doc, size)
+            removed = np.append(resolved >= 0 if extra else resolved, False)
             removed[first[1:] - 1] = False
             edge = np.diff(removed.astype(np.int8), prepend=0)
-            start = np.flatnonzero(edge == 1)
-            count = np.flatnonzero(edge == -1) - start
+            if extra:  # a run goes on only where its source does
+                goes_on = np.append(False, resolved[1:] == resolved[:-1] + 1)
+                own = np.flatnonzero(removed)
+                begins = own[np.append(True, (own[1:] != own[:-1] + 1) | ~goes_on[own[1:]])[: len(own)]]
+                start, count = begins, np.diff(np.append(np.searchsorted(own, begins), len(own)))
+            else:
+                start = np.flatnonzero(edge == 1)
+                count = np.flatnonzero(edge == -1) - start
             seg = np.searchsorted(first, start, side="right") - 1
-            out.append((doc[seg], tag[seg], _place((place[seg] >> 8) + start - first[seg], count)))
-        yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names=["doc", "tag", "place"])
+            found = [doc[seg], tag[seg], _place((place[seg] >> 8) + start - first[seg], count)]
+            if extra:
+                by = np.searchsorted(first, resolved[start], side="right") - 1
+                found += [doc[by], _place((place[by] >> 8) + resolved[start] - first[by], count)]
+            out.append(tuple(found))
+        yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names=["doc", "tag", "place", *(c for c, _ in extra)])
 
     def meet(batches):
         rows, held = [], 0
@@ -287,8 +319,9 @@ def _compared(docs: DataFrame, marks: DataFrame, scheme: Scheme, resolve: Resolv
         if rows:
             yield from settle(rows)
 
-    cuts = texts.mapInArrow(cut, "key long, doc long, tag long, place long, held binary")
-    return cuts.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "doc long, tag long, place long")
+    more = "".join(f", {c} long" for c, _ in extra)
+    cuts = texts.mapInArrow(cut, "key long, doc long, tag long, place long, held binary" + more)
+    return cuts.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "doc long, tag long, place long" + more)
 
 
 def repeated(docs: DataFrame, scheme: Scheme, resolve: Resolve) -> DataFrame:
@@ -298,8 +331,9 @@ def repeated(docs: DataFrame, scheme: Scheme, resolve: Resolve) -> DataFrame:
     """
     marks = stored(_marks(_anchors(docs, scheme)), "marks")
     found = stored(_compared(docs, marks, scheme, resolve), "compared")
-    removed = marks.where(F.col("kind") == REMOVED).select("doc", "tag", "place").union(found)
-    return removed.groupBy("doc", "tag").agg(F.collect_set("place").alias("places"))
+    mark = ["place", *SOURCE] if scheme.sources else ["place"]
+    removed = marks.where(F.col("kind") == REMOVED).select("doc", "tag", *mark).union(found)
+    return removed.groupBy("doc", "tag").agg(F.collect_set(F.struct(*mark) if scheme.sources else F.col("place")).alias("places"))
 
 
 def _covered(places: np.ndarray, n: int, size: int) -> np.ndarray:
@@ -310,15 +344,41 @@ def _covered(places: np.ndarray, n: int, size: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
+def factors(marks: pa.StructArray, size: int) -> np.ndarray:
+    """Rows (start, end, reference document, start there): the greedy parse of what a text repeats.
+
+    A factor goes on for as long as its reference does, through any number of marks; where it
+    ends, the next window's own reference begins another one.
+    """
+    place, odoc, oplace = (marks.field(c).to_numpy(zero_copy_only=False) for c in ("place", *SOURCE))
+    count = place & 0xFF
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at, by, there = np.repeat(place >> 8, count) + step, np.repeat(odoc, count), np.repeat(oplace >> 8, count) + step
+    order = np.lexsort((there, by, at))
+    at, by, there = at[order], by[order], there[order]
+    one = np.append(True, at[1:] != at[:-1])[: len(at)]
+    at, by, there = at[one], by[one], there[one]
+    new = np.append(True, (at[1:] != at[:-1] + 1) | (by[1:] != by[:-1]) | (there[1:] != there[:-1] + 1))[: len(at)]
+    start = np.flatnonzero(new)
+    end = at[np.append(start[1:], len(at)) - 1] + size if len(at) else at
+    return np.stack([at[start], end, by[start], there[start]], axis=1)
+
+
 def _gone(raw: bytes, own: pa.Scalar, scheme: Scheme):
-    """Which symbols of a text are removed, and the words' bounds."""
+    """Which symbols of a text are removed, the words' bounds, and the factors if the scheme has sources."""
     begin, end = (None, None)
     if scheme.words:
         _, begin, end = word_bytes(np.frombuffer(raw, np.uint8))
     n = len(begin) if scheme.words else len(raw)
     if not own.is_valid:
-        return np.zeros(n, bool), (begin, end)
-    return _covered(own.values.to_numpy(zero_copy_only=False), n, scheme.window), (begin, end)
+        return np.zeros(n, bool), (begin, end), np.zeros((0, 4), np.int64)
+    if not scheme.sources:
+        return _covered(own.values.to_numpy(zero_copy_only=False), n, scheme.window), (begin, end), None
+    found = factors(own.values, scheme.window)
+    step = np.zeros(n + 1, np.int64)
+    np.add.at(step, found[:, 0], 1)
+    np.add.at(step, found[:, 1], -1)
+    return np.cumsum(step)[:n] > 0, (begin, end), found
 
 
 def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -327,7 +387,8 @@ def _with_places(docs: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def apply(docs: DataFrame, places: DataFrame, scheme: Scheme, kept: Callable[[bytes, np.ndarray, tuple], bytes], keep_text: bool) -> DataFrame:
-    """``docs`` with n_symbols, n_removed, spans (start, end in symbols) and kept_sha256.
+    """``docs`` with n_symbols, n_removed, spans (start, end in symbols) and kept_sha256; with
+    sources also ``factors`` (start, end, reference document, start there).
 
     ``keep_text``: also ``kept``, the remaining text as bytes. Columns of these names in the
     input give way.
@@ -337,6 +398,10 @@ def apply(docs: DataFrame, places: DataFrame, scheme: Scheme, kept: Callable[[by
     schema = StructType([*docs.schema.fields, StructField("n_symbols", LongType()), StructField("n_removed", LongType()), StructField("spans", ArrayType(span)), StructField("kept_sha256", StringType())])
     if keep_text:
         schema = schema.add("kept", BinaryType())
+    factor = StructType([StructField(c, LongType()) for c in ("start", "end", "reference", "there")])
+    if scheme.sources:
+        schema = schema.add("factors", ArrayType(factor))
+    factors_type = pa.list_(pa.struct([(f.name, pa.int64()) for f in factor]))
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     names = docs.columns
 
@@ -344,13 +409,16 @@ def apply(docs: DataFrame, places: DataFrame, scheme: Scheme, kept: Callable[[by
         for block in text_blocks(batches, TEXT_STEP):
             out = []
             for raw, own in zip(_raw(block), block.column("__places")):
-                gone, bounds = _gone(raw, own, scheme)
+                gone, bounds, parsed = _gone(raw, own, scheme)
                 edge = np.diff(gone.astype(np.int8), prepend=0, append=0)
                 spans = [{"start": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())]
                 rest = kept(raw, gone, bounds)
-                out.append((len(gone), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest(), rest))
-            kinds = (pa.int64(), pa.int64(), spans_type, pa.string(), pa.binary())
-            columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)][: len(schema) - len(names)]
+                row = [len(gone), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest()]
+                row += [rest] if keep_text else []
+                row += [[dict(zip(factor.names, f)) for f in parsed.tolist()]] if scheme.sources else []
+                out.append(row)
+            kinds = [pa.int64(), pa.int64(), spans_type, pa.string()] + [pa.binary()] * keep_text + [factors_type] * scheme.sources
+            columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
             yield pa.record_batch([block.column(c) for c in names] + columns, names=schema.names)
 
     return _with_places(docs, places).mapInArrow(measure, schema)
@@ -364,7 +432,7 @@ def cut_text(docs: DataFrame, places: DataFrame, scheme: Scheme, kept: Callable[
         for block in text_blocks(batches, TEXT_STEP):
             texts, stay = block.column("text").to_pylist(), []
             for i, (raw, own) in enumerate(zip(_raw(block), block.column("__places"))):
-                gone, bounds = _gone(raw, own, scheme)
+                gone, bounds, _ = _gone(raw, own, scheme)
                 if gone.any():
                     texts[i] = kept(raw, gone, bounds).decode("utf-8", "ignore")
                 stay.append(not gone.any() or bool(texts[i].strip()))

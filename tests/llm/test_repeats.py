@@ -81,13 +81,49 @@ def test_long_text_in_steps(monkeypatch):
     assert (np.sort(covered) == np.arange(4000 - 12)).all()
 
 
-def test_factors_go_on_in_one_reference_and_meet_at_boundaries():
+def test_windows_find_the_smallest_reference():
     a, b = np.arange(1, 41, dtype=np.uint64), np.arange(101, 131, dtype=np.uint64)
     mixed = np.concatenate([a[10:30], b[5:25]])
     held = np.concatenate([a, b, mixed])
-    first, doc = np.array([0, 40, 70, 110]), np.array([1, 2, 3])
-    start, count, source = lz_dedup.factors(held, first, doc, 13)
-    assert list(zip(start, count, source)) == [(70, 8, 10), (90, 8, 45)]
+    found = lz_dedup.references(held, np.array([0, 40, 70, 110]), np.array([1, 2, 3]), 13)
+    want = np.full(110, -1)
+    want[70:78], want[90:98] = np.arange(10, 18), np.arange(45, 53)
+    assert (found == want).all()
+
+
+@pytest.mark.parametrize("limits", [{}, {"CROWD": 1, "SPLIT": 2, "ROW_STEP": 50, "BLOCK": 200, "TEXT_STEP": 600}])
+def test_factors_follow_their_reference_and_meet_at_boundaries(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(repeats, name, value)
+    a, b = ([f"{x}{i}" for i in range(300)] for x in "ab")
+    third = ["start"] + a[20:170] + ["gap"] + a[200:212] + ["gap"] + b[40:140] + b[10:30] + ["end"]
+    fourth = third[:120] + b[:60]
+    rows = [(k + 1, " ".join(w), "en", "s", 1) for k, w in enumerate((a, b, third, fourth))]
+    got = {r.doc_id: r for r in lz_dedup.dedup(frame(spark, rows).repartition(3, "doc_id")).collect()}
+    # 150 and 100 words are more than any segment holds; 12 words are no factor
+    assert [tuple(f) for f in got[3].factors] == [(1, 151, 1, 20), (165, 265, 2, 40), (265, 285, 2, 10)]
+    assert [tuple(s) for s in got[3].spans] == [(1, 151), (165, 285)]
+    assert got[1].factors == got[2].factors == []
+    # the windows around "start" are in the third alone; which of the two is followed from there on is open
+    assert [tuple(s) for s in got[4].spans] == [(0, 180)] and tuple(got[4].factors[-1]) == (120, 180, 2, 0)
+    texts = {1: a, 2: b, 3: third}
+    assert all(fourth[f.start : f.end] == texts[f.reference][f.there : f.there + f.end - f.start] for f in got[4].factors)
+    assert max(f.end - f.start for f in got[4].factors) > 100
+
+
+def test_every_span_is_a_union_of_true_factors(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    texts = {r.doc_id: words(r.text) for r in docs.collect()}
+    longest = 0
+    for r in lz_dedup.dedup(docs).collect():
+        covered = [False] * r.n_symbols
+        for f in r.factors:
+            assert f.reference < r.doc_id and f.end - f.start >= 13
+            assert texts[r.doc_id][f.start : f.end] == texts[f.reference][f.there : f.there + f.end - f.start]
+            covered[f.start : f.end] = [True] * (f.end - f.start)
+            longest = max(longest, f.end - f.start)
+        assert sum(covered) == r.n_removed
+    assert longest > 60
 
 
 def test_buckets_are_equal_strings():
