@@ -1,13 +1,16 @@
 """Operator 7, embedding near-dedup: exact metric range join with pivots.
 
 Vectors of one label link when their cosine is at least ``least``; on unit vectors that is a
-range of r = sqrt(2 - 2 least) in Euclidean distance. Labels with many vectors get pivots;
-each vector's home is the cell of its nearest pivot. It is copied to another cell only if it
-can lie within r of that cell: by the triangle inequality its distance to the cell's pivot may
-exceed that to its own by 2 r at most, and its distance to the plane between both pivots must
-be at most r. So every partner of a vector comes to the vector's home, cells are joined
-independently, and within a cell distances to the pivot that differ by more than r are
-skipped. Cells of many vectors are cut into blocks whose pairs are separate tasks.
+range of r = sqrt(2 - 2 least) in Euclidean distance. A label of n distinct vectors gets about
+sqrt(n) / 2 pivots (all labels together ``MOST_PIVOTS``, in proportion); each vector's home is
+the cell of its nearest pivot. It is copied to another cell only if it can lie within r of that
+cell: by the triangle inequality its distance to the cell's pivot may exceed that to its own by
+2 r at most, and its distance to the plane between both pivots must be at most r. So every
+partner of a vector comes to the vector's home, and cells are joined independently.
+
+A cell is cut into blocks along the distance to its pivot; two blocks whose distances lie
+further apart than r are never brought together, every other pair is a task. A label that is
+too small for two pivots is one cell, with distances to a fixed point.
 
 Equal vectors are one class with a weight, so copies are never paired; classes, not pairs, go
 to the connected components. Vectors that are null, empty, zero or hold null or non-finite
@@ -26,10 +29,8 @@ from pyspark.sql import functions as F
 from adoptlens.llm.components import components
 from adoptlens.llm.tables import NO_ID, discard, id_or_last, stored
 
-#: Pivots of a large label; labels that may be large; vectors in a block.
-PIVOTS, LARGE_LABELS, BLOCK = 8, 256, 2048
-#: Cells are worth while from so many vectors of a label on.
-CELL = 4096
+#: Pivots of all labels together, 512 bytes each in 64 dimensions; vectors in a block.
+MOST_PIVOTS, BLOCK = 16_384, 2048
 #: Room for rounding in the pruning, which may only keep too much.
 ROOM = 1e-6
 
@@ -39,12 +40,16 @@ def _valid(vector: str):
     return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _unit(rows: list[bytes]) -> np.ndarray:
-    x = np.stack([np.frombuffer(r, np.float64) for r in rows])
+def _unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _point(size: int) -> np.ndarray:
+    """A fixed point on the unit sphere for cells without a pivot."""
+    return _unit(np.random.default_rng(size).normal(size=(1, size)))
+
+
 def _classes(vectors: DataFrame) -> DataFrame:
     """(cls, label, size, vector, weight): distinct vectors; ``cls`` is their smallest id's row."""
     good = vectors.where("good")
@@ -53,58 +58,84 @@ def _classes(vectors: DataFrame) -> DataFrame:
 
 
 def _pivots(classes: DataFrame) -> dict[tuple[int, int], np.ndarray]:
-    """Pivots of each large label; at most ``LARGE_LABELS`` times ``PIVOTS`` vectors."""
-    counts = classes.groupBy("label", "size").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    large = counts.where(F.col("n") >= max(CELL, total // LARGE_LABELS)).select("label", "size")
-    first = Window.partitionBy("label", "size").orderBy("hash")
-    chosen = classes.join(F.broadcast(large), ["label", "size"]).select("label", "size", "vector", F.row_number().over(first).alias("rank")).where(F.col("rank") <= PIVOTS)
+    """Pivots of each label that gets two or more, picked by their hash."""
+    counts = classes.groupBy("label", "size").agg(F.count("*").alias("n")).withColumn("k", F.floor(F.sqrt("n") / 2)).where("k > 1")
+    total = counts.agg(F.sum("k")).first()[0] or 0
+    counts = counts.withColumn("k", F.floor(F.col("k") * min(1.0, MOST_PIVOTS / max(1, total)))).where("k > 1")
+    picked = F.pmod(F.xxhash64("hash"), F.col("n")) < F.col("k")  # k of n on average
+    chosen = classes.join(counts, ["label", "size"]).where(picked).select("label", "size", "hash", "vector")
     found: dict[tuple[int, int], list] = {}
-    for r in chosen.orderBy("label", "size", "rank").collect():
-        found.setdefault((r.label, r.size), []).append(np.array(r.vector, np.float64).tobytes())
-    return {k: _unit(v) for k, v in found.items()}
+    for r in chosen.orderBy("label", "size", "hash").collect():
+        found.setdefault((r.label, r.size), []).append(r.vector)
+    return {k: _unit(np.array(v, np.float64)) for k, v in found.items() if len(v) > 1}
+
+
+def _distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0, 2 - 2 * (x @ points.T)))
 
 
 def _cells(classes: DataFrame, pivots: dict, radius: float) -> DataFrame:
-    """A row per class and cell it comes to; ``home``: its own."""
-    shared = classes.sparkSession.sparkContext.broadcast(pivots)  # bounded by LARGE_LABELS * PIVOTS
+    """A row per class and cell it comes to, with its distance to the cell's pivot (``ring``); ``home``: its own cell."""
+    shared = classes.sparkSession.sparkContext.broadcast(pivots)  # about MOST_PIVOTS vectors at most
+    schema = "label long, size int, hash long, weight long, cell int, home boolean, ring double, vector binary"
+
+    def placed(x: np.ndarray, points: np.ndarray | None):
+        """Row, cell, home and ring of every copy."""
+        if points is None:
+            n = np.arange(len(x))
+            return n, np.zeros(len(x), int), np.ones(len(x), bool), _distances(x, _point(x.shape[1]))[:, 0]
+        away = _distances(x, points)
+        home = away.argmin(axis=1)
+        own = away[np.arange(len(x)), home][:, None]
+        apart = _distances(points, points)[home]
+        near = (away - own <= 2 * radius + ROOM) & (away**2 - own**2 <= 2 * radius * apart + ROOM)
+        near[np.arange(len(x)), home] = True
+        row, cell = np.nonzero(near)
+        return row, cell, home[row] == cell, away[row, cell]
 
     def place(batches):
         for batch in batches:
-            labels, sizes = batch.column("label").to_pylist(), batch.column("size").to_numpy()
-            held = batch.column("vector")
-            rows, cells, homes, raw = [], [], [], []
-            for i, label in enumerate(labels):
-                vector = held[i].values.to_numpy(zero_copy_only=False).astype(np.float64)
-                points = shared.value.get((label, int(sizes[i])))
-                if points is None:
-                    rows.append(i), cells.append(0), homes.append(True), raw.append(vector.tobytes())
-                    continue
-                x = vector / np.abs(vector).max()
-                x /= np.sqrt(x @ x)
-                away = ((points - x) ** 2).sum(axis=1)
-                home = int(away.argmin())
-                apart = np.sqrt(((points - points[home]) ** 2).sum(axis=1))
-                near = (np.sqrt(away) - np.sqrt(away[home]) <= 2 * radius + ROOM) & (away - away[home] <= 2 * radius * apart + ROOM)
-                for c in np.flatnonzero(near | (np.arange(len(points)) == home)).tolist():
-                    rows.append(i), cells.append(c), homes.append(c == home), raw.append(vector.tobytes())
-            take = pa.array(rows, pa.int64())
-            columns = [batch.column(c).take(take) for c in ("label", "size", "hash", "weight")]
-            yield pa.record_batch(columns + [pa.array(cells, pa.int32()), pa.array(homes, pa.bool_()), pa.array(raw, pa.binary())], names=["label", "size", "hash", "weight", "cell", "home", "vector"])
-
-    rows = classes.select("label", "size", "hash", "weight", "vector")
-    return rows.mapInArrow(place, "label long, size int, hash long, weight long, cell int, home boolean, vector binary")
-
-
-def _tasks(cells: DataFrame) -> DataFrame:
-    """Every home block of a cell with every block of all that came to it."""
-    by = ["label", "size", "cell"]
-    blocks = cells.groupBy(*by).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = cells.join(blocks, by).withColumn("block", F.pmod(F.xxhash64("hash"), "blocks").cast("int"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    as_home = rows.where("home").select(*by, "block", F.explode(every).alias("other"), F.lit(True).alias("searches"), "hash", "weight", "vector")
-    as_all = rows.select(*by, F.explode(every).alias("block"), F.col("block").alias("other"), F.lit(False).alias("searches"), "hash", "weight", "vector")
-    return as_home.union(as_all)
+            labels, sizes = batch.column("label").to_numpy(), batch.column("size").to_numpy()
+            starts = np.concatenate([[0], np.cumsum(sizes)])
+            values = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            for label, size in np.unique(np.stack([labels, sizes], axis=1), axis=0).tolist():
+                own = np.flatnonzero((labels == label) & (sizes == size))
+                for at in range(0, len(own), 1024):
+                    some = own[at : at + 1024]
+                    raw = values[starts[some][:, None] + np.arange(size)]
+                    row, cell, home, ring = placed(_unit(raw), shared.value.get((label, size)))
+                    columns = [batch.column(c).take(pa.array(some[row])) for c in ("label", "size", "hash", "weight")]
+                    held = [raw[i].tobytes() for i in row.tolist()]
+                    yield pa.record_batch([*columns, pa.array(cell.astype(np.int32)), pa.array(home), pa.array(ring), pa.array(held, pa.binary())],
+                                          names=["label", "size", "hash", "weight", "cell", "home", "ring", "vector"])
+
+    return classes.select("label", "size", "hash", "weight", "vector").mapInArrow(place, schema)
+
+
+CELL = ["label", "size", "cell"]
+
+
+def _blocks(cells: DataFrame) -> DataFrame:
+    """``cells`` with ``block``: at most ``BLOCK`` rows of a cell that are neighbours by ``ring``.
+
+    Rows are dealt by ranges of (cell, ring), so that no task holds a large cell; a block ends
+    with its range.
+    """
+    dealt = cells.repartitionByRange(*CELL, "ring", "hash").withColumn("range", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy("range", *CELL).orderBy("ring", "hash")) - 1
+    return dealt.withColumn("block", F.struct("range", F.floor(place / BLOCK).alias("part")))
+
+
+def _tasks(rows: DataFrame, radius: float) -> DataFrame:
+    """Every block's home rows with every block of their cell whose ring comes within ``radius``."""
+    blocks = rows.groupBy(*CELL, "block").agg(F.min("ring").alias("low"), F.max("ring").alias("high"), F.max("home").alias("searches"))
+    other = blocks.select(*CELL, F.col("block").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    room = radius + ROOM
+    pairs = blocks.where("searches").join(other, CELL).where((F.col("low2") <= F.col("high") + room) & (F.col("high2") >= F.col("low") - room)).select(*CELL, "block", "other")
+    held = ["hash", "weight", "vector"]
+    as_home = rows.where("home").select(*CELL, "block", *held).join(pairs, [*CELL, "block"]).select(*CELL, "block", "other", F.lit(True).alias("searches"), *held)
+    as_other = rows.select(*CELL, F.col("block").alias("other"), *held).join(pairs, [*CELL, "other"]).select(*CELL, "block", "other", F.lit(False).alias("searches"), *held)
+    return as_home.union(as_other)
 
 
 def _links(tasks: DataFrame, least: float) -> DataFrame:
@@ -167,7 +198,7 @@ def _links(tasks: DataFrame, least: float) -> DataFrame:
         if rows:
             yield batch_of(joined(rows))
 
-    named = tasks.withColumn("task", F.concat_ws("/", "label", "size", "cell", "block", "other")).select("task", "searches", "hash", "weight", "vector")
+    named = tasks.withColumn("task", F.concat_ws("/", *CELL, "block.range", "block.part", "other.range", "other.part")).select("task", "searches", "hash", "weight", "vector")
     return named.repartition("task").sortWithinPartitions("task").mapInArrow(meet, "a long, n long, b long")
 
 
@@ -177,8 +208,8 @@ def join(embeddings: DataFrame, least: float = 0.98) -> DataFrame:
     vectors = vectors.withColumn("good", _valid("vector") & F.col("label").isNotNull())
     classes = stored(_classes(vectors), "vector-classes")
     radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
-    cells = stored(_cells(classes, _pivots(classes), radius), "vector-cells")
-    found = stored(_links(_tasks(cells), least), "vector-links")
+    cells = stored(_blocks(_cells(classes, _pivots(classes), radius)), "vector-cells")
+    found = stored(_links(_tasks(cells, radius), least), "vector-links")
     discard(cells)
     counts = found.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "hash")
     joined = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "hash")

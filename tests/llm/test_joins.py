@@ -3,10 +3,13 @@
 import random
 
 import numpy as np
-from helpers import SF001, frame, groups, jaccard_groups, key, odd_rows, shingles
+from helpers import SF001, SF01, frame, groups, jaccard_groups, key, odd_rows, shingles
+
+from pyspark.sql import functions as F
 
 from adoptlens.llm import jaccard_join, vector_join
 from adoptlens.llm.components import components
+from adoptlens.llm.tables import stored
 
 
 def compare_jaccard(docs, size, percent):
@@ -131,12 +134,37 @@ def test_vectors(spark):
 
 
 def test_vectors_in_many_cells_and_blocks(spark, monkeypatch):
-    for name, value in {"CELL": 10, "BLOCK": 7, "PIVOTS": 5}.items():
-        monkeypatch.setattr(vector_join, name, value)
+    monkeypatch.setattr(vector_join, "BLOCK", 7)
     compare_vectors(spark, vectors(1), 0.98)
+    monkeypatch.setattr(vector_join, "MOST_PIVOTS", 3)
     compare_vectors(spark, vectors(2), 0.9)
 
 
+def test_every_label_of_some_size_gets_pivots(spark):
+    def pivots(sf):
+        rows = spark.read.parquet(f"{sf}/embeddings.parquet").selectExpr("vec_id AS vec", "label", "embedding AS vector", "true AS good")
+        return {k: len(v) for k, v in vector_join._pivots(vector_join._classes(rows)).items()}
+
+    assert pivots(SF01)
+    rows = [(k, [float(x) for x in np.random.default_rng(k).normal(size=8)], 0 if k % 10 else 1, True) for k in range(4000)]
+    found = vector_join._pivots(vector_join._classes(spark.createDataFrame(rows, "vec long, vector array<double>, label long, good boolean")))
+    assert 20 <= found[0, 8].shape[0] <= 42 and 4 <= found[1, 8].shape[0] <= 18  # about 30 of 3600, 10 of 400
+
+
+def test_clustered_vectors_are_compared_within_reach_only(spark, monkeypatch):
+    monkeypatch.setattr(vector_join, "BLOCK", 64)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 32))
+    rows = [(k, (centres[k % 40] + rng.normal(size=32) * 0.05).tolist(), 0, True) for k in range(2000)]
+    classes = vector_join._classes(spark.createDataFrame(rows, "vec long, vector array<double>, label long, good boolean"))
+    radius = float(np.sqrt(2 - 2 * 0.98))
+    placed = stored(vector_join._blocks(vector_join._cells(classes, vector_join._pivots(classes), radius)), "cells")
+    by = ["label", "size", "cell", "block", "other"]
+    tasks = vector_join._tasks(placed, radius).groupBy(*by).agg(F.count_if("searches").alias("a"), F.count_if(~F.col("searches")).alias("b"))
+    compared = tasks.agg(F.sum(F.col("a") * F.col("b"))).first()[0]
+    assert compared < 0.35 * 2000 * 2000 and placed.where("home").count() == 2000
+
+
 def test_no_vectors(spark):
     assert vector_join.join(spark.createDataFrame([], VECTORS), 0.98).collect() == []
 
