@@ -1,8 +1,10 @@
 """Operator 4, benchmark decontamination, in DataFrame functions alone.
 
-The benchmark's windows of ``n`` normalised words become a set keyed by hash, broadcast after
-its size is checked (beyond ``BROADCAST_GRAMS`` the same join is left to the planner). Every
-training window is hashed and looked up; a hit counts only if the words themselves agree.
+The benchmark's windows of ``n`` normalised words become a set keyed by hash. Every training
+window is hashed and held against that set, which is broadcast after its size is checked; the
+same join beyond that, shuffled, moves a row number, a place and a hash per window, never a text.
+A hit counts only if the words themselves agree: texts with hits are joined to them once, and
+each hit takes its own words along.
 
 Null text has no words; an item of fewer than ``n`` words is one window, of none has no
 window; an item without an id marks words but is not listed. Every row of ``docs`` is judged
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 
 from adoptlens.llm.tables import stored
 
-#: At most so many windows are broadcast, about 150 bytes each.
-BROADCAST_GRAMS = 1_000_000
+#: At most so many hashes of windows are broadcast, 8 bytes each; beyond it the same join is shuffled.
+BROADCAST_HASHES = 1_000_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -54,16 +56,39 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) ->
     """
     known = stored(grams(benchmark, n), "benchmark-windows")
     lengths = sorted(r[0] for r in known.select("length").distinct().collect())  # 1 to n at most
-    small = known.count() <= BROADCAST_GRAMS
-    known = F.broadcast(known) if small else known
+    seen = stored(_looked_up(docs, known, lengths), "looked-up")
+    # the words of each hit, from the texts that have any
+    some = seen.where(F.size("found") > 0)
+    wanted = some.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("text_hash").eqNullSafe(F.col("__hash"))
+    texts = _rows(docs).select("doc_id", "text_hash", "text").join(wanted, same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    texts = texts.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), words(F.col("text")).alias("w"))
+    told = F.transform("found", lambda h: F.struct(h["start"].alias("start"), h["length"].alias("length"), h["hash"].alias("hash"), F.slice(F.col("w"), h["start"] + 1, h["length"]).alias("gram")))
+    each = some.join(texts, same).select("row", F.explode(told).alias("h")).select("row", "h.*")
+    true_hits = each.join(known.select("hash", "gram", "items"), ["hash", "gram"])
+    by_row = true_hits.groupBy("row").agg(
+        F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("windows"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+    )
+    no_spans = F.array().cast("array<struct<start:int,end:int>>")
+    rows = seen.select("row", "doc_id", "text_hash", "n_words").join(by_row, "row", "left")
+    out = rows.withColumns({"spans": F.aggregate(F.coalesce("windows", no_spans), no_spans, _joined), "items": F.coalesce("items", F.array().cast("array<string>"))})
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + (s["end"] - s["start"]))
+    out = out.withColumns({"n_hit": n_hit, "n_words": F.col("n_words").cast("long")})
+    verdict = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
+    return out.select("doc_id", "text_hash", "n_words", "n_hit", "spans", "items", verdict.alias("contaminated"))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"),
-    ).withColumn("n_words", F.size("w"))
+
+def _looked_up(docs: DataFrame, known: DataFrame, lengths: list[int]) -> DataFrame:
+    """(row, doc_id, text_hash, n_words, found): per row the windows (start, length, hash) that share a benchmark window's hash."""
+    rows = _rows(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash", words(F.col("text")).alias("w")).withColumn("n_words", F.size("w"))
     none = F.array(F.lit(None).cast("long"))  # a last element, so that every document goes on
     every = F.concat(*[_windows(k, F.col("w"), F.col("n_words")) for k in lengths], none)
-    looked = rows.withColumn("hashes", every).select("row", "doc_id", "text_hash", "n_words", "w", F.posexplode_outer("hashes").alias("at", "hash"))
+    looked = rows.withColumn("hashes", every).select("row", "doc_id", "text_hash", "n_words", F.posexplode_outer("hashes").alias("at", "hash"))
     # the hashes of the k-th length follow those of the lengths before it
     begins, total = [], F.lit(0)
     for k in lengths:
@@ -73,22 +98,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) ->
     for k, begin in zip(lengths, begins):
         start = F.when(F.col("at") >= begin, F.col("at") - begin).otherwise(start)
         length = F.when(F.col("at") >= begin, F.lit(k)).otherwise(length)
-    known = known.select("hash", F.col("length").alias("gram_length"), "gram", "items")
-    found = looked.join(known, "hash", "left").withColumns({"start": start, "length": length})
-    true_hit = (F.col("gram_length") == F.col("length")) & (F.col("gram") == F.slice("w", F.col("start") + 1, F.col("length")))
-    found = found.withColumn("hit", F.coalesce(true_hit, F.lit(False))).where("hit or hash is null")
-    span = F.when(F.col("hit"), F.struct("start", (F.col("start") + F.col("length")).alias("end")))
-    by_row = found.groupBy("row", "doc_id", "text_hash", "n_words").agg(
-        F.array_sort(F.collect_set(span)).alias("windows"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("hit"), F.col("items")))))).alias("items"),
-    )
-    no_spans = F.array().cast("array<struct<start:int,end:int>>")
-    spans = F.aggregate("windows", no_spans, _joined)
-    out = by_row.withColumn("spans", spans)
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + (s["end"] - s["start"]))
-    out = out.withColumns({"n_hit": n_hit, "n_words": F.col("n_words").cast("long")})
-    verdict = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
-    return out.select("doc_id", "text_hash", "n_words", "n_hit", "spans", "items", verdict.alias("contaminated"))
+    hashes = known.select("hash", F.lit(True).alias("known")).distinct()
+    hashes = F.broadcast(hashes) if known.count() <= BROADCAST_HASHES else hashes
+    found = looked.join(hashes, "hash", "left").where("known or hash is null")
+    hit = F.when(F.col("known"), F.struct(start.alias("start"), length.alias("length"), "hash"))
+    return found.groupBy("row", "doc_id", "text_hash", "n_words").agg(F.collect_list(hit).alias("found"))
 
 
 def _joined(done: Column, new: Column) -> Column:

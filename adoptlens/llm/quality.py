@@ -4,11 +4,13 @@ A document is a bag of passages of ``PASSAGE`` words. Each passage is encoded (s
 signs, repetition, hashed words, then a learned layer); gated attention, learned from the
 documents' labels alone, weighs the passages; the weighted representation is scored.
 
-Training uses at most ``sample`` labelled documents (those with the smallest hash of their id)
-and at most ``BAG`` evenly spaced passages of each; scoring reads every passage of every text.
-Null and empty texts are a bag of one empty passage. Every row is scored by itself, repeated
-rows and null ids too; rows of ``labels`` with a null or other label are left out; without
-labels of both kinds every score is 0.5; further columns are ignored.
+Training uses at most ``sample`` labelled documents, those with the smallest hash of their id,
+as long as all their passages together are at most ``passages`` (a document that would exceed
+them is passed over), and reads every passage of theirs; scoring reads every passage of every
+text. A score depends on its text alone: sums run in an order of their own, whatever else is in
+the batch. Null and empty texts are a bag of one empty passage. Every row is scored by itself,
+repeated rows and null ids too; rows of ``labels`` with a null or other label are left out;
+without labels of both kinds every score is 0.5; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,14 +22,14 @@ from pyspark.sql import functions as F
 
 from adoptlens.llm.hashing import word_codes
 from adoptlens.llm.repeats import cuts_of
-from adoptlens.llm.tables import stored
+from adoptlens.llm.tables import discard, stored
 from adoptlens.llm.tokens import text_blocks
 
-PASSAGE, BAG, HASHED = 64, 32, 64
+PASSAGE, HASHED = 64, 64
 HIDDEN, GATE = 24, 12
 FOLDS = 5
-#: Characters that a task encodes at once.
-STEP = 1 << 20
+#: Characters that a task encodes at once; passages that are multiplied at once.
+STEP, ROWS = 1 << 20, 4096
 
 
 def _class(chars: str) -> np.ndarray:
@@ -97,6 +99,16 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _product(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x @ w``, each row summed from left to right, whatever the number of rows."""
+    out = np.zeros((len(x), *w.shape[1:]))
+    for at in range(0, len(x), ROWS):
+        part = out[at : at + ROWS]
+        for j, row in enumerate(w):
+            part += np.multiply.outer(x[at : at + ROWS, j], row)
+    return out
+
+
 class AttentionModel:
     """Passage layer, gated attention over a bag, logistic output."""
 
@@ -108,29 +120,29 @@ class AttentionModel:
 
     def _forward(self, x: np.ndarray, first: np.ndarray):
         p = self.p
-        z = np.tanh(x @ p["W"] + p["b"])
-        a, g = np.tanh(z @ p["V"]), _sigmoid(z @ p["U"])
-        e = (a * g) @ p["w"]
+        z = np.tanh(_product(x, p["W"]) + p["b"])
+        a, g = np.tanh(_product(z, p["V"])), _sigmoid(_product(z, p["U"]))
+        e = _product(a * g, p["w"])
         bag = np.repeat(np.arange(len(first) - 1), np.diff(first))
         e = np.exp(e - np.maximum.reduceat(e, first[:-1])[bag])
         alpha = e / np.add.reduceat(e, first[:-1])[bag]
         m = np.add.reduceat(alpha[:, None] * z, first[:-1])
-        return z, a, g, bag, alpha, m, _sigmoid(m @ p["c"] + p["c0"])
+        return z, a, g, bag, alpha, m, _sigmoid(_product(m, p["c"]) + p["c0"])
 
     def score(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
         return self._forward((x - self.mean) / self.scale, first)[-1]
 
     def fit(self, bags: list[np.ndarray], y: np.ndarray, epochs: int = 30, batch: int = 128, rate: float = 0.01, decay: float = 1e-3, seed: int = 7):
         every = np.concatenate(bags)
-        self.mean, self.scale = every.mean(axis=0), every.std(axis=0) + 1e-3
-        bags = [(b - self.mean) / self.scale for b in bags]
+        self.mean, self.scale = every.mean(axis=0, dtype=float), every.std(axis=0, dtype=float) + 1e-3
+        del every
         rng, p, step = np.random.default_rng(seed), self.p, 0
         first_moment, second_moment = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
         for _ in range(epochs):
             order = rng.permutation(len(bags))
             for at in range(0, len(order), batch):
                 take = order[at : at + batch]
-                x = np.concatenate([bags[i] for i in take])
+                x = (np.concatenate([bags[i] for i in take]) - self.mean) / self.scale
                 first = np.concatenate([[0], np.cumsum([len(bags[i]) for i in take])])
                 z, a, g, bag, alpha, m, q = self._forward(x, first)
                 d = (q - y[take]) / len(take)
@@ -153,8 +165,8 @@ def held_out(column="doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> AttentionModel:
-    """Fit on at most ``sample`` labelled documents outside the held-out fold."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = 3000, passages: int = 100_000) -> AttentionModel:
+    """Fit on at most ``sample`` labelled documents outside the held-out fold, of at most ``passages`` passages in all."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("other")).where("y = other").select("doc_id", "y")
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -162,15 +174,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> AttentionMo
     def encode(batches):
         for block in text_blocks(batches, STEP):
             x, first = features(block.column("text").to_pylist())
-            bags = [x[a:b][np.linspace(0, b - a - 1, min(BAG, b - a)).astype(int)].tobytes() for a, b in zip(first[:-1], first[1:])]
-            yield pa.record_batch([block.column("doc_id"), block.column("y"), pa.array(bags, pa.binary())], names=["doc_id", "y", "bag"])
+            bags = [x[a:b].tobytes() if b - a <= passages else None for a, b in zip(first[:-1], first[1:])]
+            yield pa.record_batch([block.column("doc_id"), block.column("y"), pa.array(np.diff(first), pa.int64()), pa.array(bags, pa.binary())], names=["doc_id", "y", "size", "bag"])
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")  # at most ``sample`` rows
-    got = stored(chosen.mapInArrow(encode, "doc_id long, y int, bag binary"), "quality-bags").orderBy("doc_id", "bag").collect()
+    held = stored(chosen.mapInArrow(encode, "doc_id long, y int, size long, bag binary"), "quality-bags")
+    one = F.min_by(F.struct("y", "size", "bag"), F.struct(F.xxhash64("bag"), "size"))  # of rows that share an id
+    bags = held.where("bag is not null").groupBy("doc_id").agg(one.alias("one")).select("doc_id", "one.*")
+    room, taken = passages, []
+    for r in bags.select("doc_id", "size").orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # at most ``sample``
+        if r["size"] <= room:
+            room -= r["size"]
+            taken.append(r.doc_id)
+    got = bags.where(F.col("doc_id").isin(taken)).orderBy("doc_id").collect()
+    discard(held)
     model = AttentionModel()
     y = np.array([r.y for r in got], float)
     if len(set(y)) == 2:
-        model.fit([np.frombuffer(r.bag, np.float32).reshape(-1, FEATURES).astype(float) for r in got], y)
+        model.fit([np.frombuffer(r.bag, np.float32).reshape(-1, FEATURES) for r in got], y)
     else:
         model.p["c"], model.p["c0"] = np.zeros(HIDDEN), np.zeros(1)
     return model

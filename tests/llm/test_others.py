@@ -71,11 +71,24 @@ def test_decontamination_of_nothing(spark):
 
 
 def test_decontamination_without_a_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_GRAMS", 0)
+    """The shuffled plan gives the same, and no exchange carries texts or words."""
     docs, items = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "benchmark"))
     docs = docs.limit(150)
     want = expected_hits([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
-    got = [(r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in decontaminate.hits(docs, items).collect()]
+    monkeypatch.setattr(decontaminate, "BROADCAST_HASHES", 0)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in held:
+        spark.conf.set(k, "-1")
+    try:
+        known = stored(decontaminate.grams(items, 13), "windows")
+        plan = decontaminate._looked_up(spark.read.parquet(f"{SF01}/documents.parquet"), known, [13])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan and "Exchange hashpartitioning(hash" in plan
+        below = plan[plan.index("Exchange hashpartitioning(hash") :]
+        assert re.search(r"Generate posexplode\S*\(hashes#\d+\), \[row#\d+L, doc_id#\d+L, text_hash#\d+L, n_words#\d+\]", below)
+        got = [(r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in decontaminate.hits(docs, items).collect()]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
     assert sorted(got, key=str) == want
 
 
@@ -88,6 +101,8 @@ def test_quality_is_learned_outside_the_held_out_fold(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
     held = [r for r in got if r.held_out]
     assert np.mean([r.predicted == r.quality for r in held]) > 0.93
+    good, bad = ([r.score for r in held if r.quality == q] for q in (1, 0))
+    assert np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad]) > 0.85  # area under the curve
     kept = quality.keep(docs, quality.train(docs, labels), 0.3)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.select("doc_id").collect()} >= {r.doc_id for r in got if r.predicted}
@@ -105,6 +120,16 @@ def test_quality_of_odd_rows(spark):
     assert quality.score(frame(spark, []), model).collect() == []
 
 
+def test_score_depends_on_the_text_alone(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text")
+    model = quality.train(docs, labels)
+    one, many = ({r.doc_id: r.score for r in quality.score(docs.repartition(n, "doc_id"), model).collect()} for n in (1, 37))
+    assert one == many
+    short = quality.train(docs, labels, passages=400)
+    assert short.p["c0"] != model.p["c0"] and len(quality.score(docs, short).collect()) == len(one)
+
+
 def test_features_of_a_long_text_in_steps(monkeypatch):
     from adoptlens.llm import repeats
 
@@ -127,6 +152,30 @@ def test_attention_gradient():
 
 # --- 6: urls -------------------------------------------------------------------------------
 
+def expected_rule(url, rules):
+    """Host, path, longest rule and its verdict, by hand."""
+    host, path = "", ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest, re.DOTALL).group()
+        path = re.match(r"[^?#]*", rest[len(host) :], re.DOTALL).group()
+        host = host.translate(LOW)
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: len(r.host + r.path), default=None)
+    return (host, path, best.host + best.path, best.verdict) if best else (host, path, None, None)
+
+
+def test_rules_on_every_page(spark):
+    pages = spark.read.parquet(f"{SF01}/pages.parquet").select("page_id", "url")
+    got = {r.page_id: (r.host, r.path, r["rule"], r.verdict) for r in queries.op6_gbt_url_filter(spark, SF01).collect()}
+    rows = pages.collect()
+    assert len(got) == len(rows) > 100
+    for r in rows:
+        *known, verdict = expected_rule(r.url, queries.URL_RULES)
+        assert got[r.page_id][:3] == tuple(known) and got[r.page_id][3] in ("allow", "block")
+        assert verdict is None or got[r.page_id][3] == verdict
+
+
 URLS = [
     (1, "http://Example.ORG/es/1", "example.org", "/es/1", "example.org/es/", "block"), (2, "https://a.example.org/en/12?x=1", "a.example.org", "/en/12", "example.org/en/1", "block"),
     (3, "https://badexample.org/es/", "badexample.org", "/es/", "org/", "allow"), (4, "http://x.com/fr/", "x.com", "/fr/", "com/fr/", "allow"),
