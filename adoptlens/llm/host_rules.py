@@ -24,20 +24,22 @@ from pyspark.sql import functions as F
 from adoptlens.llm.tables import stored
 
 SPACE = " \t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]+"
 #: Words of a window; words that a document has at least; share of repeated words in a hundred.
 SPAN, LEAST_WORDS, MOST_REPEATED = 3, 50, 50
+#: Bits of a window's place in its text, which holds below 2^30 words; the rest is hash.
+PLACE_BITS = 30
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _repeated(pairs: str) -> Column:
-    """Of a sorted array of (key, at): the elements whose key a neighbour shares."""
+def _shared(sorted_: str, key: Callable[[Column], Column]) -> Column:
+    """Of a sorted array: the elements whose key a neighbour shares."""
 
     def shares(x: Column, i: Column) -> Column:
-        before, after = F.get(F.col(pairs), i - 1)["key"], F.get(F.col(pairs), i + 1)["key"]
-        return F.coalesce(before == x["key"], F.lit(False)) | F.coalesce(after == x["key"], F.lit(False))
+        own, before, after = key(x), F.get(F.col(sorted_), i - 1), F.get(F.col(sorted_), i + 1)
+        return F.coalesce(key(before) == own, F.lit(False)) | F.coalesce(key(after) == own, F.lit(False))
 
-    return F.filter(pairs, shares)
+    return F.filter(sorted_, shares)
 
 
 def _window(words: str, at: Column) -> list[Column]:
@@ -48,7 +50,8 @@ def measured(docs: DataFrame, host: str) -> DataFrame:
     """(doc_id, text_hash, host, measures) of every row.
 
     Steps that a later expression reads more than once stay columns of their own, so that none
-    is worked out again for each element.
+    is worked out again for each element. Windows are sorted as single integers, hash above
+    place.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col(host).cast("string").alias("host"), text.alias("text"))
@@ -56,23 +59,29 @@ def measured(docs: DataFrame, host: str) -> DataFrame:
     rows = rows.withColumns({"words": F.array_remove(F.split("text", "[\\x20\\x09-\\x0D]+"), ""), "lines": lines})
     rows = rows.withColumns({
         "n_words": F.size("words").cast("long"),
-        "word_chars": F.char_length(F.translate("text", SPACE, "")).cast("long"),
-        "n_symbols": (F.octet_length("text") - F.octet_length(F.translate("text", SYMBOLS, ""))).cast("long"),
+        "word_chars": F.char_length(F.array_join("words", "")).cast("long"),
+        "n_symbols": (F.octet_length("text") - F.octet_length(F.regexp_replace("text", SYMBOLS, ""))).cast("long"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         "codes": F.transform("words", lambda w: F.xxhash64(w)),
     }).drop("text", "lines")
     starts = F.when(F.size("words") >= SPAN, F.sequence(F.lit(0), F.size("words") - SPAN)).otherwise(F.array().cast("array<int>"))
-    hashed = F.transform(starts, lambda i: F.struct(F.xxhash64(*_window("codes", i)).alias("key"), i.alias("at")))
-    rows = rows.withColumn("pairs", F.array_sort(hashed)).drop("codes")
-    told = F.transform(_repeated("pairs"), lambda p: F.struct(F.concat_ws(" ", *_window("words", p["at"])).alias("key"), p["at"].alias("at")))
-    rows = rows.withColumn("pairs", F.array_sort(told)).drop("words")
-    rows = rows.withColumn("at", F.array_sort(F.transform(_repeated("pairs"), lambda p: p["at"])))
+    packed = F.transform(starts, lambda i: F.shiftleft(F.xxhash64(*_window("codes", i)), PLACE_BITS).bitwiseOR(i.cast("long")))
+    rows = rows.withColumn("packed", F.sort_array(packed)).drop("codes")
+    # the few whose hash is shared are compared as text
+    place = _shared("packed", lambda x: F.shiftright(x, PLACE_BITS))
+    told = F.transform(place, lambda x: _told(x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")))
+    rows = rows.withColumn("told", F.sort_array(told)).drop("words", "packed")
+    rows = rows.withColumn("at", F.sort_array(F.transform(_shared("told", lambda x: x["key"]), lambda x: x["at"])))
     # each repeated window covers its words up to where the next one begins
     own = F.transform("at", lambda x, i: F.least(F.lit(SPAN), F.coalesce(F.get(F.col("at"), i + 1) - x, F.lit(SPAN))))
     rows = rows.withColumn("n_repeat_words", F.aggregate(own, F.lit(0).cast("long"), lambda total, x: total + x))
     return rows.select("doc_id", "text_hash", "host", *MEASURES)
 
 
+def _told(at: Column) -> Column:
+    return F.struct(F.concat_ws(" ", *_window("words", at)).alias("key"), at.alias("at"))
+
+
 def base_rules() -> dict[str, Column]:
     """Rules on the measures of one document; true: it fails."""
     return {
