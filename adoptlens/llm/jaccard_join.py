@@ -8,7 +8,7 @@ of the union. The join is exact:
    that is found on the quarter of all shingles with the smallest hash, in one shuffle.
 2. The other classes are grouped: two classes whose prefixes share a shingle fall into one
    cluster (connected components), so no link leaves a cluster. A large cluster is cut by size
-   and hash into blocks, and the pairs of blocks whose sizes fit become separate tasks.
+   and hash into blocks of at most about ``BLOCK`` sets and ``WEIGHT`` shingles, and the pairs of blocks whose sizes fit become separate tasks.
 3. In each task, a tree over the sets holds, per node, the combined shingle bitmap (the most
    that any set below has per bit) and the range of sizes. A dual traversal drops pairs of
    nodes whose largest possible overlap is too small, skips those already connected, and
@@ -39,6 +39,8 @@ REGION = np.uint64(1 << 62)
 NARROW = 100
 #: Sets in a block, and in a leaf of a tree; children of a node; bits of a node's bitmap.
 BLOCK, LEAF, CHILDREN, BITS = 1024, 8, 8, 2048
+#: Shingles in a block, 8 bytes each.
+WEIGHT = 1 << 22
 #: Shingles whose holders are compared at once.
 VERIFY = 1 << 20
 
@@ -172,8 +174,10 @@ def _clusters(full: DataFrame, percent: int) -> DataFrame:
 def _tasks(full: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """Sets by task: a cluster's pair of blocks. Sizes that may link lie in one band or the next."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + F.lit(1e-9)).cast("int")
-    members = full.select("sig", band.alias("band")).join(clusters, "sig")
-    counts = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    members = full.select("sig", band.alias("band"), "n").join(clusters, "sig")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / WEIGHT)).cast("int")
+    counts = members.groupBy("cluster", "band").agg(blocks.alias("blocks"))
+    members = members.drop("n")
     whole = counts.groupBy("cluster").agg(F.sum(F.when(F.col("blocks") == 1, 0).otherwise(1)).alias("large"), F.count("*").alias("bands"), F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("of"))
     # the sets themselves move once to their place in a cluster, and once to their tasks
     sets = full.join(members.join(whole, "cluster").hint("merge"), "sig")

@@ -24,7 +24,7 @@ def test_odd_rows(spark):
 
 
 def test_documents_with_tiny_limits(spark, monkeypatch):
-    for name, value in {"BLOCK": 2, "LEAF": 2, "CHILDREN": 2}.items():
+    for name, value in {"BLOCK": 2, "WEIGHT": 150, "LEAF": 2, "CHILDREN": 2}.items():
         monkeypatch.setattr(jaccard_join, name, value)
     base = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").limit(40).collect()]
     rnd, rows = random.Random(4), []
