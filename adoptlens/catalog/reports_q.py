@@ -190,7 +190,7 @@ def q_reconcile_files(spark, sf):
 
 
 @register("bulk_import_one_file", W("""
-SELECT usage_id, usage_date, user_email, 'line one' || chr(10) || '"two", ' || COALESCE(product_area, '') AS product_area FROM usage"""))
+SELECT usage_id, usage_date, user_email, rtrim('line one' || chr(10) || '"two", ' || COALESCE(product_area, '')) AS product_area FROM usage"""))
 def q_bulk_import_one_file(spark, sf):
     """An extract in one CSV file whose cells hold line breaks, quotes and commas, bulk-imported."""
     base = scratch_path(spark, "bulk")

@@ -22,7 +22,7 @@ from adoptlens.operators import dedupe, enrich, reconcile, roster
 from adoptlens.operators.upsert import read_table, upsert_into_table
 from adoptlens.plans.dashboard import top_users
 from adoptlens.plans.sync import sync_metadata
-from adoptlens.session import path_exists, remove_path, scratch_path
+from adoptlens.session import path_exists, remove_path, scratch_path, scratch_scope
 from adoptlens.sources.events_json import read_ordered_csv, write_extract_csv
 from adoptlens.sources.tables import require_rows
 
@@ -123,9 +123,10 @@ def bulk_import(spark: SparkSession, csv_path: str, table_path: str, tz: str = D
     """
     from adoptlens.operators.extract import canonical_usage
 
-    rows = canonical_usage(read_ordered_csv(spark, csv_path, "_ord", multi_line), tz, keep=["_ord"])
-    rows = dedupe.keep_last(rows, ["usage_id"], ["_ord"]).drop("_ord")
-    upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", cluster_by=USAGE_CLUSTER)
+    with scratch_scope(spark):
+        rows = canonical_usage(read_ordered_csv(spark, csv_path, "_ord", multi_line), tz, keep=["_ord"])
+        rows = dedupe.keep_last(rows, ["usage_id"], ["_ord"]).drop("_ord")
+        upsert_into_table(spark, table_path, rows, ["usage_id"], ["utc_time"], "usage_date", cluster_by=USAGE_CLUSTER)
     return read_table(spark, table_path).count()
 
 
@@ -173,11 +174,20 @@ def sync_window(spark: SparkSession, raw: DataFrame, roster_df: DataFrame, table
     return spark.read.parquet(meta_path)
 
 
+def _parsed(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """An extract parsed once for the several comparisons that read it."""
+    rows = read_ordered_csv(spark, path, "src_ord", multi_line)
+    stored = scratch_path(spark, "extract")
+    rows.write.parquet(stored)
+    return spark.read.schema(rows.schema).parquet(stored)
+
+
 def reconcile_extracts(spark: SparkSession, left_csv: str, right_csv: str, out_dir: str, multi_line: bool = True) -> DataFrame:
     """Compare two CSV extracts of the same events: one-row summary; discrepancies as CSV files."""
-    left, right = (read_ordered_csv(spark, p, "src_ord", multi_line) for p in (left_csv, right_csv))
-    reconcile.write_discrepancies(left, right, out_dir, "src_ord")
-    result = reconcile.summary(reconcile.clean_ids(left), reconcile.clean_ids(right), "src_ord")
     path = f"{out_dir.rstrip('/')}/summary"
-    result.write.mode("overwrite").parquet(path)
+    with scratch_scope(spark):
+        left, right = (_parsed(spark, p, multi_line) for p in (left_csv, right_csv))
+        reconcile.write_discrepancies(left, right, out_dir, "src_ord")
+        result = reconcile.summary(reconcile.clean_ids(left), reconcile.clean_ids(right), "src_ord")
+        result.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from adoptlens.session import scratch_path
 
@@ -19,7 +19,7 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "ranges")
     df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).write.parquet(path)
-    held = spark.read.schema(df.schema.add("__part", IntegerType())).parquet(path)
+    held = spark.read.schema(StructType([*df.schema.fields, StructField("__part", IntegerType())])).parquet(path)
     sizes = held.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))

@@ -101,7 +101,7 @@ def write_document(sections: dict[str, DataFrame], path: str, order: dict[str, l
     """The document of ``document_lines`` as text files ``section=<k>/part-*``: end to end, in the
     order of their names, they are the document; a section's folder holds its rows alone."""
     lines = document_lines(sections, order)
-    dealt = lines.repartitionByRange("section", "number").sortWithinPartitions("section", "number")
+    dealt = lines.repartitionByRange("section", "number").sortWithinPartitions("section", "number").select("section", "line")
     dealt.write.mode("overwrite").partitionBy("section").text(path)
 
 

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from adoptlens.session import scratch_path
+
 RECORDS = "file string, block long, id long, text string, head boolean, tail boolean"
 
 
@@ -111,8 +113,14 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_quoted_csv(spark: SparkSession, path: str, ord_col: str | None = None) -> DataFrame:
-    """All records as text columns, header names trimmed; with ``ord_col`` their order over the files."""
+    """All records as text columns, header names trimmed; with ``ord_col`` their order over the files.
+
+    The records are put together once, into a table in the shared folder (``scratch_scope``).
+    """
     found = records(spark, path).withColumn("text", F.regexp_replace("text", "\r$", "")).where(F.col("text") != "")
+    stored = scratch_path(spark, "csv-records")
+    found.write.parquet(stored)
+    found = spark.read.schema(found.schema).parquet(stored)
     first = found.where("block = 0").groupBy("file").agg(F.min_by("text", "id").alias("text"), F.min("id").alias("id"))
     header = first.orderBy("file").first()
     if header is None:
