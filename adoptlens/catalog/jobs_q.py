@@ -18,6 +18,8 @@ from adoptlens.sources.tables import table
 from adoptlens.sources import fixtures as fx
 
 W = fx.with_fixtures
+#: A window around every event of the tables.
+ALL_DAYS = ("2023-12-01", "2024-04-01")
 
 
 @register("snapshot_top_users", ORACLES["top_users"])
@@ -111,26 +113,26 @@ def q_sync_cut_window(spark, sf):
 
 @register("sync_without_rows", W("""
 SELECT COUNT(*) AS row_count, MIN(usage_date) AS min_date, MAX(usage_date) AS max_date, CAST(0 AS BIGINT) AS last_sync_rows
-FROM usage WHERE usage_date >= DATE '2024-01-10' AND usage_date < DATE '2024-01-12'"""))
+FROM usage"""))
 def q_sync_without_rows(spark, sf):
     """A sync that brings nothing still renews the metadata."""
     base = scratch_path(spark, "sync")
     raw, roster = fx.raw_events(spark, sf), fx.roster(spark, sf)
-    jobs.sync_window(spark, raw, roster, f"{base}/usage", f"{base}/meta", "2024-01-10", "2024-01-12")
+    jobs.sync_window(spark, raw, roster, f"{base}/usage", f"{base}/meta", *ALL_DAYS)
     return jobs.sync_window(spark, raw, roster, f"{base}/usage", f"{base}/meta", "2030-01-01", "2030-01-02").drop("last_sync")
 
 
 @register("sync_corrected_event", W("""
 SELECT usage_id, usage_date + CASE WHEN CAST(usage_id AS BIGINT) % 5 = 0 THEN 3 ELSE 0 END AS usage_date
-FROM usage WHERE usage_date >= DATE '2024-01-10' AND usage_date < DATE '2024-01-12'"""))
+FROM usage"""))
 def q_sync_corrected_event(spark, sf):
     """Every fifth event is pulled again three days later: it is stored once, on its new day."""
     base = scratch_path(spark, "sync")
     raw, roster = fx.raw_events(spark, sf), fx.roster(spark, sf)
-    jobs.sync_window(spark, raw, roster, f"{base}/usage", f"{base}/meta", "2024-01-10", "2024-01-12")
-    again = jobs.window_events(raw, "2024-01-10", "2024-01-12").filter(F.col("usage_id").cast("long") % 5 == 0)
+    jobs.sync_window(spark, raw, roster, f"{base}/usage", f"{base}/meta", *ALL_DAYS)
+    again = raw.filter(F.col("usage_id").cast("long") % 5 == 0)
     moved = again.withColumn("utc_time", F.timestamp_add("DAY", F.lit(3), F.col("utc_time")).cast("timestamp_ntz"))
-    jobs.sync_window(spark, moved, roster, f"{base}/usage", f"{base}/meta", "2024-01-13", "2024-01-15")
+    jobs.sync_window(spark, moved, roster, f"{base}/usage", f"{base}/meta", *ALL_DAYS)
     return read_table(spark, f"{base}/usage").select("usage_id", "usage_date")
 
 

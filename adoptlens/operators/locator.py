@@ -65,7 +65,7 @@ def add(spark: SparkSession, path: str, number: int, entries: DataFrame, runs: l
     rows = reduce(DataFrame.union, parts).withColumn("bucket", _bucket(buckets))
     rows = rows.distinct() if old else rows
     target = f"{path}/{run['folder']}"
-    rows.repartition("bucket").sortWithinPartitions("bucket", "hash").write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/rows")
+    rows.repartition("bucket").sortWithinPartitions("bucket", "hash").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{target}/rows")
     at = _read(spark, path, run).select("bucket", F.explode(_places(run)).alias("p")).select("bucket", "p.slot", "p.bit")
     at.groupBy("bucket", "slot").agg(F.bitmap_construct_agg("bit").alias("bitmap")).write.mode("overwrite").parquet(f"{target}/filter")
     return [*runs, run], [r["folder"] for r in old]

@@ -127,7 +127,8 @@ def _put_new(spark: SparkSession, path: str, text: str) -> None:
 def publish(spark: SparkSession, path: str, version: Version, unused: list[str] = ()) -> Version:
     """Make ``version`` the current one; ``unused``: folders that it no longer needs."""
     base = path.rstrip("/")
-    retired = version.retired + [[f, version.number] for f in unused]
+    used = set(version.folders.values())
+    retired = [x for x in version.retired if x[0] not in used] + [[f, version.number] for f in unused]
     gone = [f for f, since in retired if since <= version.number - KEEP]
     version = replace(version, retired=[x for x in retired if x[1] > version.number - KEEP])
     _put_new(spark, f"{base}/_log/{version.number:012d}.json", version.text())

@@ -102,7 +102,7 @@ def write_document(sections: dict[str, DataFrame], path: str, order: dict[str, l
     order of their names, they are the document; a section's folder holds its rows alone."""
     lines = document_lines(sections, order)
     dealt = lines.repartitionByRange("section", "number").sortWithinPartitions("section", "number").select("section", "line")
-    dealt.write.mode("overwrite").partitionBy("section").text(path)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("section").text(path)
 
 
 def read_document(spark, path: str, names: list[str]) -> DataFrame:

@@ -32,7 +32,7 @@ def write_ranked(usage: DataFrame, path: str, sort_key: str = "utc_time", ascend
     ranges = max(1, -(-rows.count() // range_rows))
     order = _order(sort_key, ascending)
     dealt = rows.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id())
-    dealt.sortWithinPartitions("part", *order).write.mode("overwrite").partitionBy("part").parquet(f"{base}/rows")
+    dealt.sortWithinPartitions("part", *order).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(f"{base}/rows")
     schema = StructType([*rows.schema.fields, StructField("part", IntegerType())])
     sizes = spark.read.schema(schema).parquet(f"{base}/rows").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     _with_before(sizes).write.mode("overwrite").parquet(f"{base}/directory")

@@ -122,16 +122,21 @@ def _roster_digest(roster: DataFrame) -> str:
     return f"{row[0]}:{row[1]}"
 
 
-def _put_rollup(spark: SparkSession, path: str, fresh: DataFrame, touched) -> versions.Version:
-    """Replace the rollup's touched days, or all of them (``touched`` None), in one version."""
+def _put_rollup(spark: SparkSession, path: str, fresh: DataFrame, touched, was: versions.Version | None = None) -> versions.Version:
+    """Replace the touched days of the rollup ``was``, or all days (``touched`` None), in one version.
+
+    A refresh that died after this step leaves a rollup that no snapshot names; the next one
+    builds on the snapshot's again.
+    """
     before = versions.current(spark, path)
     number = before.number + 1 if before else 1
     written = versions.write_partitions(fresh.hint("rebalance", "usage_date"), path, number, "usage_date")
-    old = before.folders if before else {}
+    old = (was or before).folders if before else {}
     gone = set(old) if touched is None else {versions.as_text(d) for d in touched}
     schema = fresh.select(*[c for c in fresh.columns if c != "usage_date"], "usage_date").schema
     after = versions.Version(number, schema, "usage_date", {**{d: f for d, f in old.items() if d not in gone}, **written}, retired=before.retired if before else [])
-    return versions.publish(spark, path, after, [f for d, f in old.items() if d in gone])
+    unused = (set(before.folders.values()) | set(old.values())) - set(after.folders.values()) if before else ()
+    return versions.publish(spark, path, after, sorted(unused))
 
 
 def _finish(spark: SparkSession, root: str, version: str, roster: DataFrame, manifest: dict, changed: set[str], parallel_jobs: int) -> str:
@@ -184,7 +189,7 @@ def refresh_incremental(spark: SparkSession, usage: DataFrame, roster: DataFrame
     """
     root = root.rstrip("/")
     manifest = _manifest(spark, root, current_version(spark, root))
-    if manifest is None:
+    if manifest is None or not path_exists(spark, f"{root}/rollup/_log/{manifest['rollup']:012d}.json"):
         return refresh(spark, usage, roster, root, parallel_jobs=parallel_jobs)
     version = _new_version()
     base = f"version={version}"
@@ -197,7 +202,7 @@ def refresh_incremental(spark: SparkSession, usage: DataFrame, roster: DataFrame
         was = versions.current(spark, f"{root}/rollup", manifest["rollup"])
         texts = {versions.as_text(d) for d in touched_dates}
         before = versions.read_folders(spark, f"{root}/rollup", was, texts)
-        held = _put_rollup(spark, f"{root}/rollup", usage_rollup(usage.filter(touched)).select(*before.columns), touched_dates)
+        held = _put_rollup(spark, f"{root}/rollup", usage_rollup(usage.filter(touched)).select(*before.columns), touched_dates, was)
         after = versions.read_folders(spark, f"{root}/rollup", held, texts)
         # the days' new rows count for, their old ones against a state
         change = after.unionByName(before.withColumns({WEIGHT: -F.col(WEIGHT), FILES: -F.col(FILES)}))

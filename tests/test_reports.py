@@ -305,3 +305,26 @@ def test_scratch_tables_go_with_their_scope(spark):
         inner = scratch_path(spark, "inner")
         spark.range(1).write.parquet(inner)
     assert path_exists(spark, kept) and not path_exists(spark, inner)
+
+
+def test_a_refresh_that_dies_is_made_good_by_the_next(spark, scratch, monkeypatch):
+    import datetime as dt
+
+    d6, d8 = dt.date(2024, 1, 6), dt.date(2024, 1, 8)
+    usage, r = fx.usage(spark, SF001), fx.roster(spark, SF001)
+    SN.refresh(spark, usage, r, scratch)
+
+    def without(*days):
+        return usage.filter(~F.col("usage_date").isin(*days))
+
+    real = SN._finish
+    monkeypatch.setattr(SN, "_finish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        SN.refresh_incremental(spark, without(d6), r, scratch, [d6])
+    monkeypatch.setattr(SN, "_finish", real)
+    assert SN.read_section(spark, scratch, "dashboard.kpis").collect() == D.kpis(usage).collect()
+    SN.refresh_incremental(spark, without(d8), r, scratch, [d8])  # the lost day is not touched again
+    assert SN.read_section(spark, scratch, "dashboard.kpis").collect() == D.kpis(without(d8)).collect()
+    assert SN.read_section(spark, scratch, "usage_rollup").agg(F.sum("_n")).first()[0] == without(d8).count()
+    SN.refresh_incremental(spark, without(d6, d8), r, scratch, [d6])
+    assert SN.read_section(spark, scratch, "dashboard.kpis").collect() == D.kpis(without(d6, d8)).collect()

@@ -157,6 +157,8 @@ def test_replayed_groups_change_nothing(spark, scratch):
     merge(0, ("practice", "Tax", D1, 3), ("practice", "Tax", D2, 1))
     assert merge(1, ("practice", "Tax", D1, 5)) == [D1]
     assert merge(1, ("practice", "Tax", D1, 5)) == [] and merge(0, ("practice", "Tax", D1, 3)) == []
+    with pytest.raises(ValueError):
+        live.merge_counts(spark, spark.createDataFrame([("practice", "Tax", D1, 1)], "dimension string, label string, day date, events long"), 0, scratch, "another")
     got = {(r.label, r.day): (r.events, r.batch) for r in versions.read_table(spark, scratch).collect()}
     assert got == {("Tax", D1): (5, 1), ("Tax", D2): (1, 0)}
 
@@ -201,15 +203,15 @@ def test_late_rows_wait_and_are_taken_once(spark, scratch, monkeypatch):
     monkeypatch.setattr(versions, "publish", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
     for _ in range(2):
         with pytest.raises(RuntimeError):
-            live.backfill_late(spark, f"{scratch}/t", f"{scratch}/q", source="s")
+            live.backfill_late(spark, f"{scratch}/t", f"{scratch}/q")
         with pytest.raises(RuntimeError):  # its late row is in the queue, its batch is not in the table
             _split(spark, scratch, 3, ("h", 2), ("i", 21))
     monkeypatch.setattr(versions, "publish", published)
-    assert sorted(map(str, live.backfill_late(spark, f"{scratch}/t", f"{scratch}/q", source="s"))) == ["2024-01-05", "2024-01-09"]
+    assert sorted(map(str, live.backfill_late(spark, f"{scratch}/t", f"{scratch}/q"))) == ["2024-01-05", "2024-01-09"]
     assert _ids(spark, scratch) == ["a", "b", "c", "d", "e", "f", "g", "z"]
-    assert live.backfill_late(spark, f"{scratch}/t", f"{scratch}/q", source="s") == []
+    assert live.backfill_late(spark, f"{scratch}/t", f"{scratch}/q") == []
     _split(spark, scratch, 3, ("h", 2), ("i", 21))
-    assert live.backfill_late(spark, f"{scratch}/t", f"{scratch}/q", source="s") == [dt.date(2024, 1, 2)]
+    assert live.backfill_late(spark, f"{scratch}/t", f"{scratch}/q") == [dt.date(2024, 1, 2)]
     assert _ids(spark, scratch) == ["a", "b", "c", "d", "e", "f", "g", "h", "i", "z"]
 
 
