@@ -237,3 +237,31 @@ def q_sync_info(spark, sf):
     base = scratch_path(spark, "sync")
     jobs.sync_window(spark, fx.raw_events(spark, sf), fx.roster(spark, sf), f"{base}/usage", f"{base}/meta", "2023-12-01", "2024-03-01")
     return api.get_sync_info(spark, f"{base}/meta").select("row_count", "min_date", "max_date", "last_sync_rows")
+
+
+# --- every public function -------------------------------------------------------------
+
+def _count_sql(name: str, body: str) -> str:
+    return f"SELECT '{name}' AS name, COUNT(*) AS n FROM ({body})"
+
+
+@register("public_functions", "\nUNION ALL ".join([
+    _count_sql("get_dashboard_bundle", ORACLES["count_by_location"]), _count_sql("get_top_users", ORACLES["top_users"]),
+    _count_sql("get_usage_page", W("SELECT usage_id FROM usage LIMIT 20")), _count_sql("export_usage_csv", ORACLES["export_usage_lines"]),
+    _count_sql("export_top_users_csv", ORACLES["export_top_user_lines"]), _count_sql("get_filter_options", ORACLES["filter_options"]),
+    _count_sql("get_adoption_bundle", ORACLES["inactive_members"]), _count_sql("get_adoption_filter_options", ORACLES["adoption_filter_options"]),
+    _count_sql("get_team_report_bundle", ORACLES["report_members"]), _count_sql("sync_metadata", "SELECT 1"),
+]))
+def q_public_functions(spark, sf):
+    """Rows that each public report function returns with nothing but its required arguments."""
+    usage, roster = fx.usage(spark, sf), fx.roster(spark, sf)
+    report = api.get_team_report_bundle(spark, roster, usage, report_q.PRACTICE, report_q.TEAM, report_q.START, report_q.END)
+    results = {
+        "get_dashboard_bundle": api.get_dashboard_bundle(spark, usage)["location"], "get_top_users": api.get_top_users(spark, usage),
+        "get_usage_page": api.get_usage_page(usage)["rows"], "export_usage_csv": api.export_usage_csv(usage),
+        "export_top_users_csv": api.export_top_users_csv(usage), "get_filter_options": api.get_filter_options(spark, usage)["values"],
+        "get_adoption_bundle": api.get_adoption_bundle(spark, roster, usage)["inactive_users"],
+        "get_adoption_filter_options": api.get_adoption_filter_options(roster), "get_team_report_bundle": report["members_with_access"],
+        "sync_metadata": api.sync_metadata(usage),
+    }
+    return _together([df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in results.items()])
