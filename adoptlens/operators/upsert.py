@@ -108,25 +108,25 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
         columns = schema.names
         batch_d = batch_d.select(*columns)
         entries = _entries(batch_d, keys, partition_col)
-        number, own = before.number + 1, _values(batch_d, partition_col)
+        number, own, n = before.number + 1, _values(batch_d, partition_col), batch_d.count()
         touched, unknown = own, entries
         if before.runs:
-            locator.find(spark, path, entries.select("hash"), before.runs).write.parquet(found_path)
+            locator.find(spark, path, entries.select("hash"), before.runs, n).write.parquet(found_path)
             found = spark.read.schema("hash long, part string").parquet(found_path)
             named = {r.part for r in found.select("part").distinct().collect()} - {as_text(v) for v in own}
             if named:  # whether the keys themselves lie there
                 near = versions.read_folders(spark, path, before, named).select(*keys, partition_col)
-                touched = own + _values(near.join(batch_d.select(*keys), keys, "left_semi"), partition_col)
-            unknown = entries.join(found, ["hash", "part"], "left_anti")
+                touched = own + _values(near.join(locator.short(batch_d.select(*keys), n), keys, "left_semi"), partition_col)
+            unknown = entries.join(locator.short(found, found.count()), ["hash", "part"], "left_anti")
         texts = {as_text(v) for v in touched}
         affected = versions.read_folders(spark, path, before, texts)
         incoming = batch_d
         if newer_by:
-            stored = affected.select(*keys, F.col(newer_by).alias("_newest"))
+            stored = locator.short(affected.select(*keys, F.col(newer_by).alias("_newest")), affected.count())
             incoming = batch_d.join(stored, keys, "left").where(F.col("_newest").isNull() | (F.col("_newest") <= F.col(newer_by))).drop("_newest")
-        replaced = incoming.select(*keys)
+        replaced = locator.short(incoming.select(*keys), n)
         if keep_existing:
-            old = affected.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep_existing])
+            old = locator.short(affected.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep_existing]), affected.count())
             incoming = incoming.join(old, keys, "left").select(
                 *[F.coalesce(F.col(f"_old_{c}"), F.col(c)).alias(c) if c in keep_existing else F.col(c)
                   for c in columns])

@@ -147,6 +147,26 @@ def test_locator_finds_every_key_and_reads_few_buckets(spark, scratch, monkeypat
     assert sum(map(len, seen)) <= 2  # none of these keys is known
 
 
+def test_keys_of_a_long_batch_are_not_broadcast(spark, scratch, monkeypatch):
+    monkeypatch.setattr(locator, "SHORT", 100)
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("v"), F.lit(D1).alias("day"))
+    U.upsert_into_table(spark, scratch, rows, ["id"], ["v"], "day")
+    asked = rows.select(locator.key_hash(["id"]).alias("hash"))
+    run = versions.current(spark, scratch).runs[0]
+    plans = [locator._maybe(spark, scratch, run, asked), locator.find(spark, scratch, asked, [run])]
+    assert all("Broadcast" not in p._jdf.queryExecution().executedPlan().toString() for p in plans)
+    assert plans[1].count() == 4000
+    U.upsert_into_table(spark, scratch, rows.withColumns({"v": F.lit(2), "day": F.lit(D2)}), ["id"], ["v"], "day")
+    assert {tuple(r)[1:] for r in versions.read_table(spark, scratch).collect()} == {(2, D2)}
+
+
+def test_a_run_with_a_filter_of_before_is_read_whole(spark, scratch):
+    entries = spark.range(300).select(F.xxhash64("id").alias("hash"), F.lit("p").alias("part"))
+    runs, _ = locator.add(spark, scratch, 1, entries, [])
+    old = [{k: v for k, v in runs[0].items() if k != "slots"} | {"bits": 32768}]
+    assert locator.find(spark, scratch, entries.select("hash"), old).count() == 300
+
+
 # --- live counts and late rows ---------------------------------------------------------
 
 
