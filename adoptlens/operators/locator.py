@@ -70,9 +70,10 @@ def add(spark: SparkSession, path: str, number: int, entries: DataFrame, runs: l
     run = {"folder": f"_locator/run={number}", "n": n, "buckets": buckets, "slots": _power(-(-BITS_PER_KEY * n // buckets // BITMAP))}
     parts = [entries.select("hash", "part"), *[_read(spark, path, r).select("hash", "part") for r in old]]
     rows = reduce(DataFrame.union, parts).withColumn("bucket", _bucket(buckets))
-    rows = rows.distinct() if old else rows
+    rows = rows.repartition("bucket")
+    rows = rows.distinct() if old else rows  # within the buckets, without another shuffle
     target = f"{path}/{run['folder']}"
-    rows.repartition("bucket").sortWithinPartitions("bucket", "hash").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{target}/rows")
+    rows.sortWithinPartitions("bucket", "hash").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{target}/rows")
     at = _read(spark, path, run).select("bucket", _slot(run).alias("slot"), F.explode(F.array(*_places())).alias("bit"))
     at.groupBy("bucket", "slot").agg(F.bitmap_construct_agg("bit").alias("bitmap")).write.mode("overwrite").parquet(f"{target}/filter")
     return [*runs, run], [r["folder"] for r in old]

@@ -97,7 +97,7 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
         batch = batch.withColumn(partition_col, F.nullif(F.col(partition_col), F.lit("")))
     newest = keep_last(batch, keys, list(order_cols))
     # the de-duplicated batch is written once; every later step reads it
-    batch_path, found_path = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-found")
+    batch_path, found_path, unknown_path = (scratch_path(spark, f"upsert-{k}") for k in ("batch", "found", "unknown"))
     newest.write.parquet(batch_path)
     batch_d = spark.read.schema(newest.schema).parquet(batch_path)
     try:
@@ -117,7 +117,8 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
             if named:  # whether the keys themselves lie there
                 near = versions.read_folders(spark, path, before, named).select(*keys, partition_col)
                 touched = own + _values(near.join(locator.short(batch_d.select(*keys), n), keys, "left_semi"), partition_col)
-            unknown = entries.join(locator.short(found, found.count()), ["hash", "part"], "left_anti")
+            entries.join(locator.short(found, found.count()), ["hash", "part"], "left_anti").write.parquet(unknown_path)
+            unknown = spark.read.schema(found.schema).parquet(unknown_path)
         texts = {as_text(v) for v in touched}
         affected = versions.read_folders(spark, path, before, texts)
         incoming = batch_d
@@ -142,3 +143,4 @@ def upsert_into_table(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     finally:
         remove_path(spark, batch_path)
         remove_path(spark, found_path)
+        remove_path(spark, unknown_path)

@@ -167,6 +167,22 @@ def test_a_run_with_a_filter_of_before_is_read_whole(spark, scratch):
     assert locator.find(spark, scratch, entries.select("hash"), old).count() == 300
 
 
+def test_a_run_that_takes_in_others_is_shuffled_once(spark, scratch, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, real = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, p, *a, **k: plans.append((p, w._df)) or real(w, p, *a, **k))
+    held_in = [spark.range(300).select(F.xxhash64("id").alias("hash"), F.lit(p).alias("part")) for p in ("p", "q", "p")]
+    runs = []
+    for k, entries in enumerate(held_in):
+        runs, _ = locator.add(spark, scratch, k, entries, runs)
+    rows = [df._jdf.queryExecution().optimizedPlan().toString() for p, df in plans if p.endswith("run=1/rows")][0]
+    assert rows.index("Aggregate") < rows.index("RepartitionByExpression")
+    last = [df for p, df in plans if p.endswith("run=1/rows")][0]._jdf.queryExecution().executedPlan().toString()
+    assert last.split("== Initial Plan ==")[-1].count("Exchange") == 1
+    assert sorted(r.part for r in locator.find(spark, scratch, held_in[0].select("hash"), runs).select("part").distinct().collect()) == ["p", "q"]
+
+
 # --- live counts and late rows ---------------------------------------------------------
 
 
