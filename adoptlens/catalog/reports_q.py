@@ -197,6 +197,8 @@ def q_bulk_import_one_file(spark, sf):
     text = F.concat(F.lit('line one\n"two", '), F.coalesce(F.col("product_area"), F.lit("")))
     rows = fx.usage(spark, sf).select(F.col("usage_id").alias("unique_usage_id"), F.date_format("utc_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("utc_time"),
                                       F.col("user_email").alias("user"), "access_point", text.alias("product_surface_area"))
+    rows.write.parquet(f"{base}/rows")  # joined by many tasks; the one that writes the file only copies
+    rows = spark.read.schema(rows.schema).parquet(f"{base}/rows")
     write_extract_csv(rows.coalesce(1), f"{base}/csv")  # the fixture is one file on purpose
     jobs.bulk_import(spark, f"{base}/csv", f"{base}/usage")
     return read_table(spark, f"{base}/usage").select("usage_id", "usage_date", "user_email", "product_area")

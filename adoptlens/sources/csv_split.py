@@ -98,11 +98,18 @@ def _records(batches):
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, id, text): every CSV record of the files, with the place where it begins."""
+    """(file, block, id, text): every CSV record of the files, with the place where it begins.
+
+    The lines are read and put together once, into a table in the shared folder (``scratch_scope``).
+    """
     lines = _lines(spark, path)
-    # one row per range: broadcast or not, as the planner finds it small enough
-    told = lines.join(_begins_inside(lines), ["file", "block"])
-    parts = told.sortWithinPartitions("file", "block", "id").mapInArrow(_records, RECORDS)
+    # one row per range, as the driver's list of the files has: the lines stay where they are read, in order
+    begins = F.broadcast(_begins_inside(lines))
+    same = F.coalesce("inside", F.raise_error(F.lit("the ranges of the files changed between two reads")).cast("boolean"))
+    told = lines.join(begins, ["file", "block"], "left").withColumn("inside", same)
+    stored = scratch_path(spark, "csv-records")
+    told.mapInArrow(_records, RECORDS).write.parquet(stored)
+    parts = spark.read.schema(RECORDS).parquet(stored)
     whole = parts.where("not head and not tail").select("file", "block", "id", "text")
     by_place = Window.partitionBy("file").orderBy("block", "id")
     divided = parts.where("head or tail").withColumn("record", F.count_if(~F.col("head")).over(by_place))
@@ -113,14 +120,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_quoted_csv(spark: SparkSession, path: str, ord_col: str | None = None) -> DataFrame:
-    """All records as text columns, header names trimmed; with ``ord_col`` their order over the files.
-
-    The records are put together once, into a table in the shared folder (``scratch_scope``).
-    """
+    """All records as text columns, header names trimmed; with ``ord_col`` their order over the files."""
     found = records(spark, path).withColumn("text", F.regexp_replace("text", "\r$", "")).where(F.col("text") != "")
-    stored = scratch_path(spark, "csv-records")
-    found.write.parquet(stored)
-    found = spark.read.schema(found.schema).parquet(stored)
     first = found.where("block = 0").groupBy("file").agg(F.min_by("text", "id").alias("text"), F.min("id").alias("id"))
     header = first.orderBy("file").first()
     if header is None:
@@ -128,7 +129,7 @@ def read_quoted_csv(spark: SparkSession, path: str, ord_col: str | None = None)
     names = [c.strip().lstrip("﻿").strip() for c in next(csv.reader([header.text]))]
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
     heads = first.select("file", F.lit(0).cast("long").alias("block"), "id")  # one row per file
-    rows = found.join(heads, ["file", "block", "id"], "left_anti")
+    rows = found.join(F.broadcast(heads), ["file", "block", "id"], "left_anti")
     cells = F.from_csv("text", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {"quote": '"', "escape": '"', "multiLine": "true"})
     order = F.struct(F.col("file"), F.col("block").alias("split"), F.col("id").alias("row"))
     out = rows.select(cells.alias("c"), order.alias("__order"))

@@ -328,3 +328,22 @@ def test_a_refresh_that_dies_is_made_good_by_the_next(spark, scratch, monkeypatc
     assert SN.read_section(spark, scratch, "usage_rollup").agg(F.sum("_n")).first()[0] == without(d8).count()
     SN.refresh_incremental(spark, without(d6, d8), r, scratch, [d6])
     assert SN.read_section(spark, scratch, "dashboard.kpis").collect() == D.kpis(without(d6, d8)).collect()
+
+
+def test_csv_lines_are_put_together_once_where_they_are_read(spark, scratch):
+    from adoptlens.sources import csv_split
+
+    spark.createDataFrame([('a,b\n1,"x\n""y"""\n2,z',)], "text string").coalesce(1).write.text(scratch)
+    found = csv_split.records(spark, scratch)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Scan text" not in plan  # both kinds of records come from one stored table
+    assert sorted(r.text for r in found.collect()) == ['1,"x\n""y"""', "2,z", "a,b"]
+
+
+def test_the_task_that_writes_one_file_joins_nothing(spark, monkeypatch):
+    from adoptlens.catalog import reports_q
+
+    plans, real = [], reports_q.write_extract_csv
+    monkeypatch.setattr(reports_q, "write_extract_csv", lambda df, path: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, path))
+    assert reports_q.q_bulk_import_one_file(spark, SF001).count() > 0
+    assert len(plans) == 1 and "Join" not in plans[0]
