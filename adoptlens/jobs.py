@@ -187,7 +187,11 @@ def reconcile_extracts(spark: SparkSession, left_csv: str, right_csv: str, out_d
     path = f"{out_dir.rstrip('/')}/summary"
     with scratch_scope(spark):
         left, right = (_parsed(spark, p, multi_line) for p in (left_csv, right_csv))
-        reconcile.write_discrepancies(left, right, out_dir, "src_ord")
-        result = reconcile.summary(reconcile.clean_ids(left), reconcile.clean_ids(right), "src_ord")
+        lc, rc = reconcile.clean_ids(left), reconcile.clean_ids(right)
+        both, stored = reconcile.compared(lc, rc, "src_ord"), scratch_path(spark, "compared")
+        both.write.parquet(stored)
+        both = spark.read.schema(both.schema).parquet(stored)
+        reconcile.write_discrepancies(left, right, out_dir, "src_ord", both=both)
+        result = reconcile.summary(lc, rc, "src_ord", both=both)
         result.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

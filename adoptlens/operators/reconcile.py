@@ -15,6 +15,8 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from adoptlens.functions.text import compare_timestamp, compare_value, strip
 from adoptlens.operators.dedupe import keep_first
+from adoptlens.operators.locator import short
+from adoptlens.session import remove_path, scratch_path
 
 ID_COL = "unique_usage_id"
 # Compared fields, in report order.
@@ -52,15 +54,26 @@ def only_in(a: DataFrame, b: DataFrame, id_col: str = ID_COL) -> DataFrame:
     return a.join(b.select(id_col).distinct(), id_col, "left_anti")
 
 
+def compared(left: DataFrame, right: DataFrame, ord_col: str, fields: Sequence[str] | None = None,
+             id_col: str = ID_COL) -> DataFrame:
+    """(id, _l, _r): every id of either side once, with the first row's normalised values on each; NULL where it is not.
+
+    One full outer join of the de-duplicated sides; ``field_mismatches``, ``summary`` and
+    ``write_discrepancies`` all follow from it, so a job that needs several stores it.
+    """
+    fields = list(fields) if fields is not None else shared_fields(left, right)
+    lf, rf = (first_per_id(side, fields, ord_col, id_col).select(id_col, F.struct(F.lit(1).alias("_in"), *fields).alias(name))
+              for side, name in ((left, "_l"), (right, "_r")))
+    return lf.join(rf, id_col, "full")
+
+
 def field_mismatches(left: DataFrame, right: DataFrame, ord_col: str, fields: Sequence[str] | None = None,
-                     id_col: str = ID_COL) -> DataFrame:
-    """One row per (id, field) whose normalised values differ on the two sides."""
+                     id_col: str = ID_COL, both: DataFrame | None = None) -> DataFrame:
+    """One row per (id, field) whose normalised values differ on the two sides; ``both``: their stored ``compared``."""
     fields = list(fields) if fields is not None else shared_fields(left, right)
-    lf = first_per_id(left, fields, ord_col, id_col)
-    rf = first_per_id(right, fields, ord_col, id_col)
-    j = lf.alias("l").join(rf.alias("r"), id_col)
+    j = (compared(left, right, ord_col, fields, id_col) if both is None else both).where(F.col("_l").isNotNull() & F.col("_r").isNotNull())
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(f).alias("field"), F.col(f"l.{f}").alias("left_value"), F.col(f"r.{f}").alias("right_value"))
+        F.struct(F.lit(f).alias("field"), F.col(f"_l.{f}").alias("left_value"), F.col(f"_r.{f}").alias("right_value"))
         for f in fields
     ])).alias("p")
     return j.select(F.col(id_col), pairs).select(id_col, "p.field", "p.left_value", "p.right_value").filter(
@@ -101,27 +114,25 @@ def field_mismatches_by_digest(left: DataFrame, right: DataFrame, ord_col: str,
 
 
 def summary(left: DataFrame, right: DataFrame, ord_col: str, fields: Sequence[str] | None = None,
-            id_col: str = ID_COL) -> DataFrame:
+            id_col: str = ID_COL, both: DataFrame | None = None) -> DataFrame:
     """rows, unique ids, only-left, only-right, shared, field mismatches and pass/fail.
 
-    One full outer join of the two first-row-per-id frames gives every id count and the
-    number of differing fields at once; both sides arrive hash-partitioned by id from their
+    ``compared`` (or ``both``, where it is stored) gives every id count and the number of
+    differing fields at once; both sides arrive hash-partitioned by id from their
     de-duplication, so the join adds no further exchange of the inputs.
     """
     fields = list(fields) if fields is not None else shared_fields(left, right)
-    lf = first_per_id(left, fields, ord_col, id_col).withColumn("_l", F.lit(1))
-    rf = first_per_id(right, fields, ord_col, id_col).withColumn("_r", F.lit(1))
-    j = lf.alias("l").join(rf.alias("r"), id_col, "full")
-    both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
+    j = compared(left, right, ord_col, fields, id_col) if both is None else both
+    shared = F.col("_l").isNotNull() & F.col("_r").isNotNull()
     diffs = F.lit(0)
     for f in fields:
-        diffs = diffs + F.when(both & (F.col(f"l.{f}") != F.col(f"r.{f}")), 1).otherwise(0)
+        diffs = diffs + F.when(shared & (F.col(f"_l.{f}") != F.col(f"_r.{f}")), 1).otherwise(0)
     ids = j.agg(
         F.count("_l").alias("left_ids"),
         F.count("_r").alias("right_ids"),
         F.count_if(F.col("_r").isNull()).alias("only_left"),
         F.count_if(F.col("_l").isNull()).alias("only_right"),
-        F.count_if(both).alias("shared"),
+        F.count_if(shared).alias("shared"),
         F.coalesce(F.sum(diffs), F.lit(0)).cast("bigint").alias("field_mismatches"),
     )
     rows = left.agg(F.count(F.lit(1)).alias("left_rows")).crossJoin(
@@ -131,21 +142,34 @@ def summary(left: DataFrame, right: DataFrame, ord_col: str, fields: Sequence[st
         "passed", (F.col("only_left") == 0) & (F.col("only_right") == 0) & (F.col("field_mismatches") == 0))
 
 
-def write_discrepancies(left: DataFrame, right: DataFrame, out_dir: str, ord_col: str, id_col: str = ID_COL) -> dict[str, bool]:
+def write_discrepancies(left: DataFrame, right: DataFrame, out_dir: str, ord_col: str, id_col: str = ID_COL,
+                        both: DataFrame | None = None) -> dict[str, bool]:
     """Write the three discrepancy outputs, each only when it has rows (CSV with header).
 
-    Ids are cleaned here, as for every comparison.
+    Ids are cleaned here, as for every comparison. ``both``: the stored ``compared`` of the
+    cleaned sides; the ids of one side alone are then read from it.
     """
-    left, right = clean_ids(left, id_col), clean_ids(right, id_col)
+    left, right, spark = clean_ids(left, id_col), clean_ids(right, id_col), left.sparkSession
+
+    def alone(a: DataFrame, b: DataFrame, other: str) -> DataFrame:
+        if both is None:
+            return only_in(a, b, id_col)
+        ids = both.where(F.col(other).isNull()).select(id_col)
+        return a.join(short(ids, ids.count()), id_col, "left_semi")
+
     outputs = {
-        "only_in_left": only_in(left, right, id_col).drop(ord_col),
-        "only_in_right": only_in(right, left, id_col).drop(ord_col),
-        "field_mismatches": field_mismatches(left, right, ord_col, id_col=id_col),
+        "only_in_left": alone(left, right, "_r").drop(ord_col),
+        "only_in_right": alone(right, left, "_l").drop(ord_col),
+        "field_mismatches": field_mismatches(left, right, ord_col, id_col=id_col, both=both),
     }
     written = {}
     for name, df in outputs.items():
-        has_rows = not df.isEmpty()
+        staged = scratch_path(spark, "discrepancies")  # found once, whether there are any and to be written
+        df.write.parquet(staged)
+        rows = spark.read.schema(df.schema).parquet(staged)
+        has_rows = not rows.isEmpty()
         if has_rows:
-            df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{out_dir.rstrip('/')}/{name}")
+            rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{out_dir.rstrip('/')}/{name}")
+        remove_path(spark, staged)
         written[name] = has_rows
     return written
