@@ -79,6 +79,18 @@ def test_keep_one_keeps_the_smallest_of_each_group(spark):
     assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == sorted(want, key=str)
 
 
+def watched(monkeypatch, module):
+    """Rows that each call of the module's ``_links`` gets."""
+    dealt, links = [], module._links
+
+    def counted(tasks, *rest):
+        dealt.append(tasks.count())
+        return links(tasks, *rest)
+
+    monkeypatch.setattr(module, "_links", counted)
+    return dealt
+
+
 def test_empty_documents(spark):
     assert jaccard_join.classes(frame(spark, []), 4, 85).collect() == []
     assert jaccard_join.keep_one(frame(spark, []), 4, 85).collect() == []
@@ -140,6 +152,33 @@ def test_vectors_in_many_cells_and_blocks(spark, monkeypatch):
     compare_vectors(spark, vectors(2), 0.9)
 
 
+def test_vectors_in_many_waves(spark, monkeypatch):
+    for name, value in {"BLOCK": 20, "WAVE": 1, "RINGS": 4, "SOME": 3, "RUN": 5}.items():
+        monkeypatch.setattr(vector_join, name, value, raising=False)
+    compare_vectors(spark, vectors(3), 0.9)
+    monkeypatch.setattr(vector_join, "BLOCK_BYTES", 1000, raising=False)
+    compare_vectors(spark, vectors(4), 0.98)
+
+
+def test_copies_of_vectors_are_made_in_waves_and_not_kept(spark, monkeypatch):
+    for name, value in {"BLOCK": 300, "WAVE": 1}.items():
+        monkeypatch.setattr(vector_join, name, value, raising=False)
+    kept, write = [], vector_join.stored
+
+    def counted(df, name, **options):
+        table = write(df, name, **options)
+        kept.append(table.count() if "vector" in table.columns else 0)
+        return table
+
+    monkeypatch.setattr(vector_join, "stored", counted)
+    dealt = watched(monkeypatch, vector_join)
+    points = np.random.default_rng(7).normal(size=(3000, 16))
+    rows = [(k, x.tolist(), 0, 0) for k, x in enumerate(points)] + [(3000, points[5].tolist(), 0, 0)]
+    found = vector_join.join(spark.createDataFrame(rows, VECTORS), 0.98)
+    assert {(r.vec, r.component) for r in found.where("n_links > 0").collect()} >= {(5, 5), (3000, 5)}
+    assert sum(kept) == 3000 and sum(dealt) > 10 * 3000 and max(dealt) <= 6 * 3000
+
+
 def test_every_label_of_some_size_gets_pivots(spark):
     def pivots(sf):
         rows = spark.read.parquet(f"{sf}/embeddings.parquet").selectExpr("vec_id AS vec", "label", "embedding AS vector", "true AS good")
