@@ -5,10 +5,12 @@ of the union. The join is exact:
 
 1. Documents of equal sets are one class. A class with enough shingles that no other class has
    (as many as the shortest prefix in which two similar sets must meet) links with nothing;
-   that is found on the quarter of all shingles with the smallest hash, in one shuffle.
+   that is found on the quarter of all shingles with the smallest hash, in one shuffle, and
+   then, among the classes that are left, on all their shingles.
 2. The other classes are grouped: two classes whose prefixes share a shingle fall into one
    cluster (connected components), so no link leaves a cluster. A large cluster is cut by size
    and hash into blocks of at most about ``BLOCK`` sets and ``WEIGHT`` shingles, and the pairs of blocks whose sizes fit become separate tasks.
+   The tasks run in waves, so that the copies of the sets on disk stay within ``COPIES`` times the sets.
 3. In each task, a tree over the sets holds, per node, the combined shingle bitmap (the most
    that any set below has per bit) and the range of sizes. A dual traversal drops pairs of
    nodes whose largest possible overlap is too small, skips those already connected, and
@@ -22,6 +24,8 @@ larger than every other; an empty table gives no rows; further columns are ignor
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -35,12 +39,16 @@ from adoptlens.llm.tokens import text_blocks
 
 #: Shingles with a hash below this are looked at first: a quarter.
 REGION = np.uint64(1 << 62)
+#: Prefixes take the rarest of the shingles with a hash below this first: of a half.
+RANKED = np.uint64(1 << 63)
 #: Sets of at most so many shingles show all of them first.
 NARROW = 100
 #: Sets in a block, and in a leaf of a tree; children of a node; bits of a node's bitmap.
 BLOCK, LEAF, CHILDREN, BITS = 1024, 8, 8, 2048
 #: Shingles in a block, 8 bytes each.
 WEIGHT = 1 << 22
+#: Shingles that the tasks of a wave hold, as a multiple of those of all sets, and the least that makes a wave.
+COPIES, WAVE = 2, 1 << 23
 #: Shingles whose holders are compared at once.
 VERIFY = 1 << 20
 
@@ -131,8 +139,39 @@ def _full(docs: DataFrame, undecided: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(scan, "sig long, n long, shingles binary")
 
 
+def _slices(undecided: DataFrame, sets: DataFrame) -> int:
+    """Slices in which no more shingles of the undecided classes are looked at than a quarter of all."""
+    some, every = undecided.agg(F.sum("n")).first()[0] or 0, sets.agg(F.sum("n")).first()[0] or 1
+    return max(1, -(-4 * some // every))
+
+
+def _shared(full: DataFrame, percent: int, slices: int) -> DataFrame:
+    """``full``, once a class, without those of which others in it hold too few shingles for a link."""
+
+    def held(k: int):
+        def scan(batches):
+            for batch in batches:
+                sets = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
+                sets = [h[(h >> np.uint64(32)) % np.uint64(slices) == k] for h in sets] if slices > 1 else sets
+                if sets:
+                    sig = np.repeat(batch.column("sig").to_numpy(), [len(h) for h in sets])
+                    yield pa.record_batch([pa.array(sig), pa.array(np.concatenate(sets).view(np.int64))], names=["sig", "shingle"])
+
+        rows = full.select("sig", "shingles").mapInArrow(scan, "sig long, shingle long")
+        holders = rows.groupBy("shingle").agg(F.min("sig").alias("sig"), F.max("sig").alias("other"))
+        return stored(holders.where("sig = other").groupBy("sig").agg(F.count("*").alias("own")), "own-shingles")
+
+    # slice by slice, each freed before the next
+    parts = [held(k) for k in range(slices)]
+    own = reduce(DataFrame.union, parts).groupBy("sig").agg(F.sum("own").alias("own"))
+    left = full.join(own, "sig", "left").where(F.coalesce("own", F.lit(0)) < _prefix(percent))
+    left = stored(left.select("sig", "n", "shingles").dropDuplicates(["sig"]), "shared-sets")
+    discard(*parts)
+    return left
+
+
 def _candidates(full: DataFrame, percent: int) -> DataFrame:
-    """Shingles that a prefix may hold: all of the region and, for small sets, the next ones.
+    """Shingles that a prefix may hold: all below ``RANKED`` and, for small sets, the next ones.
 
     ``wanted``: length of the prefix; ``place``: order by hash.
     """
@@ -142,12 +181,12 @@ def _candidates(full: DataFrame, percent: int) -> DataFrame:
             n = batch.column("n").to_numpy()
             wanted = n - -(-n * percent // 100) + 1
             held = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
-            length = [max(k, int(np.searchsorted(h, REGION))) for h, k in zip(held, wanted.tolist())]
+            length = [max(k, int(np.searchsorted(h, RANKED))) for h, k in zip(held, wanted.tolist())]
             if held:
                 shingle = np.concatenate([h[:k] for h, k in zip(held, length)])
                 place = np.concatenate([np.arange(k) for k in length]).astype(np.int32)
                 yield pa.record_batch(
-                    [pa.array(np.repeat(batch.column("sig").to_numpy(), length)), pa.array(np.repeat(wanted, length)), pa.array(place), pa.array(shingle < REGION), pa.array(shingle.view(np.int64))],
+                    [pa.array(np.repeat(batch.column("sig").to_numpy(), length)), pa.array(np.repeat(wanted, length)), pa.array(place), pa.array(shingle < RANKED), pa.array(shingle.view(np.int64))],
                     names=["sig", "wanted", "place", "inside", "shingle"])
 
     return full.mapInArrow(cut, "sig long, wanted long, place int, inside boolean, shingle long")
@@ -156,7 +195,7 @@ def _candidates(full: DataFrame, percent: int) -> DataFrame:
 def _clusters(full: DataFrame, percent: int) -> DataFrame:
     """(sig, cluster) of the classes that share a prefix shingle with another.
 
-    Prefixes take the rarest shingles of the region first, then the others by hash: one order
+    Prefixes take the rarest shingles below ``RANKED`` first, then the others by hash: one order
     for all sets, in which passages that many documents hold come late.
     """
     rows = stored(_candidates(full, percent), "prefix-candidates")
@@ -171,31 +210,54 @@ def _clusters(full: DataFrame, percent: int) -> DataFrame:
     return clusters
 
 
-def _tasks(full: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    """Sets by task: a cluster's pair of blocks. Sizes that may link lie in one band or the next."""
+def _placed(full: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Sets with their place in a cluster: ``me`` (band and block), and the blocks of their band and both neighbours.
+
+    Sizes that may link lie in one band or the next. No ``near``: few sets in all, one task.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + F.lit(1e-9)).cast("int")
     members = full.select("sig", band.alias("band"), "n").join(clusters, "sig")
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / WEIGHT)).cast("int")
     counts = members.groupBy("cluster", "band").agg(blocks.alias("blocks"))
     members = members.drop("n")
     whole = counts.groupBy("cluster").agg(F.sum(F.when(F.col("blocks") == 1, 0).otherwise(1)).alias("large"), F.count("*").alias("bands"), F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("of"))
-    # the sets themselves move once to their place in a cluster, and once to their tasks
-    sets = full.join(members.join(whole, "cluster").hint("merge"), "sig")
-    # few sets in all: one task; else each block meets its band's and both neighbours' blocks
     small = (F.col("large") == 0) & (F.col("bands") <= 4)
-    own = F.pmod(F.xxhash64("sig"), F.coalesce(F.try_element_at("of", F.col("band")), F.lit(1))).cast("int")
 
-    def name(b, k):
-        return F.struct(b.alias("band"), k.alias("block"))
+    def blocks_of(shift: int):
+        return F.coalesce(F.try_element_at("of", F.col("band") + shift), F.lit(0))
 
-    def meets(shift: int):
-        other = F.coalesce(F.try_element_at("of", F.col("band") + shift), F.lit(0))
-        blocks = F.when(other > 0, F.sequence(F.lit(0), other - 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(blocks, lambda k: name(F.col("band") + shift, k))
+    own = F.pmod(F.xxhash64("sig"), F.greatest(blocks_of(0), F.lit(1))).cast("int")
+    members = members.join(whole, "cluster").select(
+        "sig", "cluster", F.when(small, _name(F.lit(0), F.lit(0))).otherwise(_name(F.col("band"), own)).alias("me"),
+        F.when(~small, F.array(blocks_of(-1), blocks_of(0), blocks_of(1))).alias("near"))
+    # the sets themselves move once to their place in a cluster, and once to their tasks
+    return full.join(members.hint("merge"), "sig").select("cluster", "me", "near", "sig", "n", "shingles")
+
+
+def _name(band, block):
+    return F.struct(band.alias("band"), block.alias("block"))
 
-    partners = F.when(small, F.array(name(F.lit(0), F.lit(0)))).otherwise(F.concat(meets(-1), meets(0), meets(1)))
-    sets = sets.withColumn("me", F.when(small, name(F.lit(0), F.lit(0))).otherwise(name(F.col("band"), own)))
-    sets = sets.select("cluster", "sig", "n", "shingles", "me", F.explode(partners).alias("partner"))
+
+def _waves(placed: DataFrame) -> int:
+    """Waves of tasks, each of at most about ``COPIES`` times the sets' shingles."""
+    copies = F.coalesce(F.aggregate("near", F.lit(0), lambda a, x: a + x), F.lit(1)).cast("long")
+    once, moved = placed.agg(F.sum("n"), F.sum(F.col("n") * copies)).first()
+    return max(1, -(-(moved or 0) // max(WAVE, COPIES * (once or 0))))
+
+
+def _tasks(placed: DataFrame, waves: int = 1, wave: int = 0) -> DataFrame:
+    """Sets by task of a wave: a cluster's pair of blocks. Each block meets its band's and both neighbours' blocks."""
+    me = F.col("me")
+
+    def meets(shift: int):
+        blocks = F.element_at("near", shift + 2)
+        blocks = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(blocks, lambda k: _name(me["band"] + shift, k))
+
+    partners = F.when(F.col("near").isNull(), F.array(me)).otherwise(F.concat(meets(-1), meets(0), meets(1)))
+    if waves > 1:  # before the copies are made
+        partners = F.filter(partners, lambda x: F.pmod(F.xxhash64("cluster", F.least(me, x), F.greatest(me, x)), F.lit(waves)) == wave)
+    sets = placed.select("cluster", "sig", "n", "shingles", "me", F.explode(partners).alias("partner"))
     return sets.withColumns({"low": F.least("me", "partner"), "high": F.greatest("me", "partner")}).select("cluster", "low", "high", (F.col("me") == F.col("low")).alias("left"), "sig", "n", "shingles")
 
 
@@ -318,12 +380,17 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     undecided = stored(_undecided(shown, percent), "undecided")
     sets = stored(shown.drop("region"), "sets")
     discard(shown)
-    full = stored(_full(docs, undecided, size), "full-sets")
+    every = stored(_full(docs, undecided, size), "full-sets")
+    full = _shared(every, percent, _slices(undecided, sets))
+    discard(every)
     clusters = stored(_clusters(full, percent), "clusters")
-    links = stored(_links(_tasks(full, clusters, percent), percent), "set-links")
+    placed = stored(_placed(full, clusters, percent), "placed-sets")
     discard(full, clusters)
-    joined = components(links)
-    discard(links)
+    waves = _waves(placed)
+    links = [stored(_links(_tasks(placed, waves, k), percent), "set-links") for k in range(waves)]
+    discard(placed)
+    joined = components(reduce(DataFrame.union, links))
+    discard(*links)
     heads = joined.join(undecided.withColumnRenamed("sig", "node"), "node").select("node", "component", "doc")
     least = heads.groupBy("component").agg(F.min("doc").alias("least"))
     heads = heads.select("node", "component").join(least, "component").select(F.col("node").alias("sig"), "least")

@@ -91,6 +91,28 @@ def watched(monkeypatch, module):
     return dealt
 
 
+def test_copies_of_sets_are_made_in_waves(spark, monkeypatch):
+    for name, value in {"BLOCK": 2, "LEAF": 2, "CHILDREN": 2, "WAVE": 1}.items():
+        monkeypatch.setattr(jaccard_join, name, value, raising=False)
+    rnd, rows = random.Random(8), []
+    for k in range(40):
+        words = [f"w{i}" for i in range(120)]
+        words[rnd.randrange(120)] = f"new{k}"
+        rows.append((k, " ".join(words), "en", "s", 1))
+    dealt = watched(monkeypatch, jaccard_join)
+    compare_jaccard(frame(spark, rows), 4, 85)
+    assert sum(dealt) > 600 and max(dealt) <= 5 * 40
+
+
+def test_sets_that_share_a_passage_only_are_not_dealt(spark, monkeypatch):
+    shared = " ".join(f"s{i}" for i in range(80))
+    rows = [(k, " ".join(f"d{k}x{i}" for i in range(120)) + " " + shared, "en", "s", 1) for k in range(60)]
+    rows += [(k + 60, text + " end", *rest) for k, text, *rest in rows[:2]]
+    dealt = watched(monkeypatch, jaccard_join)
+    compare_jaccard(frame(spark, rows), 5, 80)
+    assert dealt == [4]
+
+
 def test_empty_documents(spark):
     assert jaccard_join.classes(frame(spark, []), 4, 85).collect() == []
     assert jaccard_join.keep_one(frame(spark, []), 4, 85).collect() == []
